@@ -268,10 +268,13 @@ def html_positions_span(spark, sf):
     return H.positions_span(_enrich_els(spark, sf), ["c_custkey"])
 
 
-@register("enrich_record",
-          f"SELECT c.c_custkey, s.position_list, {_RATE_SQL}[c.c_custkey % 3 + 1] || '/' || "
-          f"{_RATE_SQL}[c.c_custkey % 2 + 1] AS work_rate FROM customer c LEFT JOIN ({_SPAN_POS_SQL}) s "
-          f"ON c.c_custkey = s.c_custkey")
+ENRICH_RECORD_SQL = (
+    f"SELECT c.c_custkey, s.position_list, {_RATE_SQL}[c.c_custkey % 3 + 1] || '/' || "
+    f"{_RATE_SQL}[c.c_custkey % 2 + 1] AS work_rate FROM customer c LEFT JOIN ({_SPAN_POS_SQL}) s "
+    f"ON c.c_custkey = s.c_custkey")
+
+
+@register("enrich_record", ENRICH_RECORD_SQL)
 def enrich_record(spark, sf):
     return H.enrich_record(_enrich_els(spark, sf), ["c_custkey"])
 
