@@ -201,3 +201,55 @@ def logreg_predict(spark, sf):
     m = _lr_model(spark, sf)
     te = _scaled(spark, sf).where(F.col("split") == "test")
     return m.predict(te, "z").select("vec_id", "label", "prediction")
+
+
+# --------------------------------------------------------------------------- threshold trees
+
+from sylvan.operators import cart  # noqa: E402
+
+_CART_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@register("cart_classify")
+def cart_classify(spark, sf):
+    li = table(spark, sf, "lineitem").select(*LI_KEYS, *_CART_FEATURES, "l_returnflag")
+    return cart.cart_classify(li, _CART_FEATURES, "l_returnflag", max_depth=5).select(*LI_KEYS, "prediction")
+
+
+@register("cart_regress")
+def cart_regress(spark, sf):
+    p = table(spark, sf, "part").select("p_partkey", "p_size", (F.col("p_partkey") % 1000).alias("pk_mod"),
+                                        "p_retailprice")
+    out = cart.cart_regress(p, ["p_size", "pk_mod"], "p_retailprice", max_depth=5)
+    return out.select("p_partkey", r6("prediction").alias("prediction"))
+
+
+_THR_FEATURES = ["l_quantity", "l_discount", "l_tax"]
+
+
+def _threshold_sql():
+    long = " UNION ALL ".join(f"SELECT '{f}' AS feature, CAST({f} AS DOUBLE) AS x, l_returnflag AS y FROM lineitem"
+                              for f in _THR_FEATURES)
+    return (
+        f"WITH l AS ({long}), cnt AS (SELECT feature, x, y, count(*) AS c FROM l GROUP BY ALL), "
+        "vals AS (SELECT DISTINCT feature, x FROM l), labs AS (SELECT DISTINCT y FROM l), "
+        "grid AS (SELECT v.feature, v.x, lb.y, coalesce(c.c, 0) AS c FROM vals v CROSS JOIN labs lb "
+        "LEFT JOIN cnt c ON v.feature = c.feature AND v.x = c.x AND lb.y = c.y), "
+        "cum AS (SELECT feature, x, y, sum(c) OVER (PARTITION BY feature, y ORDER BY x) AS cl, "
+        "sum(c) OVER (PARTITION BY feature, y) AS ct FROM grid), "
+        "agg AS (SELECT feature, x, sum(cl) AS nl, sum(ct) AS n, sum(cl * cl) AS sl2, sum((ct - cl) * (ct - cl)) AS sr2, "
+        "sum(ct * ct) AS st2 FROM cum GROUP BY feature, x), "
+        "cand AS (SELECT feature, x, lead(x) OVER (PARTITION BY feature ORDER BY x) AS nx, nl, n - nl AS nr, n, "
+        "(1 - st2 / (n * n)) - (nl * (1 - sl2 / (nl * nl)) + (n - nl) * (1 - sr2 / ((n - nl) * (n - nl)))) / n AS gain "
+        "FROM agg), "
+        "ranked AS (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY round(gain, 12) DESC, (x + nx) / 2) AS rn "
+        "FROM cand WHERE nx IS NOT NULL) "
+        "SELECT feature, round((x + nx) / 2, 6) + 0.0 AS threshold, round(gain, 6) + 0.0 AS gain, "
+        "CAST(nl AS BIGINT) AS n_left, CAST(nr AS BIGINT) AS n_right FROM ranked WHERE rn = 1")
+
+
+@register("best_threshold_split", _threshold_sql())
+def best_threshold_split(spark, sf):
+    b = cart.best_threshold_split(table(spark, sf, "lineitem"), _THR_FEATURES, "l_returnflag")
+    return b.select("feature", r6("threshold").alias("threshold"), r6("gain").alias("gain"),
+                    F.col("n_left").cast("bigint").alias("n_left"), F.col("n_right").cast("bigint").alias("n_right"))

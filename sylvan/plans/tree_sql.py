@@ -17,7 +17,7 @@ def _case(idx: str, values: list[str]) -> str:
 
 def tree_sql(base: str, features: list[str], target: str, kind: str, max_depth: int | None,
              min_samples: int = 2, keys: list[str] | None = None, output: str = "nodes",
-             reg_round: bool = True) -> str:
+             reg_round: bool = True, route_base: str | None = None) -> str:
     k = len(features)
     levels = k if max_depth is None else min(max_depth, k)
     keys = keys or []
@@ -27,8 +27,8 @@ def tree_sql(base: str, features: list[str], target: str, kind: str, max_depth:
     notnull = " AND ".join([f"{f} IS NOT NULL" for f in features] + [f"{target} IS NOT NULL"])
     y = target if cls else f"CAST({target} AS DOUBLE)"
     kc = "".join(f"{c}, " for c in keys)
-    ctes = [f"a0 AS (SELECT 'R' AS node_id, CAST([] AS INTEGER[]) AS used, '' AS rule, {kc}{fsel}, {y} AS y "
-            f"FROM {base} WHERE {notnull})"]
+    ctes = [f"a0 AS (SELECT 'R' AS node_id, CAST(NULL AS VARCHAR) AS parent, CAST([] AS INTEGER[]) AS used, "
+            f"'' AS rule, {kc}{fsel}, {y} AS y FROM {base} WHERE {notnull})"]
     names_sql = [f"'{f}'" for f in features]
     for d in range(levels + 1):
         a = f"a{d}"
@@ -84,7 +84,7 @@ def tree_sql(base: str, features: list[str], target: str, kind: str, max_depth:
             cond = f"{fname} || ' = ' || {value}"
             ctes.append(
                 f"a{d + 1} AS (SELECT x.node_id || '/' || CAST(d.best_f AS VARCHAR) || '=' || {_esc(value)} AS node_id, "
-                f"list_append(x.used, d.best_f) AS used, "
+                f"x.node_id AS parent, list_append(x.used, d.best_f) AS used, "
                 f"CASE WHEN x.rule = '' THEN {cond} ELSE x.rule || ' AND ' || {cond} END AS rule, "
                 f"{''.join(f'x.{c}, ' for c in keys)}{', '.join(f'x.{c}' for c in fcols)}, x.y "
                 f"FROM a{d} x JOIN dec{d} d ON x.node_id = d.node_id WHERE NOT d.is_leaf)")
@@ -105,6 +105,27 @@ def tree_sql(base: str, features: list[str], target: str, kind: str, max_depth:
         body = " UNION ALL ".join(
             f"SELECT {''.join(f'x.{c}, ' for c in keys)}x.y AS actual, d.pred AS prediction "
             f"FROM a{d} x JOIN dec{d} d ON x.node_id = d.node_id WHERE d.is_leaf" for d in range(levels + 1))
+    elif output == "route":
+        # rows of ``route_base`` routed through the fitted tree; a value with no
+        # child at a node follows the node's first-seen child (smallest key tuple).
+        order = ", ".join(f"{c}" for c in keys)
+        rsel = ", ".join(f"CAST({f} AS VARCHAR) AS f{i}" for i, f in enumerate(features))
+        ctes.append(f"t0 AS (SELECT 'R' AS node_id, {kc}{rsel} FROM {route_base})")
+        for d in range(levels):
+            ctes.append(f"fc{d} AS (SELECT parent, first(node_id ORDER BY {order}) AS first_child "
+                        f"FROM a{d + 1} GROUP BY parent)")
+            value = _case("d.best_f", [f"t.{c}" for c in fcols])
+            child = f"t.node_id || '/' || CAST(d.best_f AS VARCHAR) || '=' || {_esc(value)}"
+            ctes.append(
+                f"t{d + 1} AS (SELECT CASE WHEN d.node_id IS NULL OR d.is_leaf THEN t.node_id "
+                f"ELSE coalesce(e.node_id, fc.first_child) END AS node_id, "
+                f"{''.join(f't.{c}, ' for c in keys)}{', '.join(f't.{c}' for c in fcols)} "
+                f"FROM t{d} t LEFT JOIN dec{d} d ON t.node_id = d.node_id "
+                f"LEFT JOIN (SELECT DISTINCT node_id FROM a{d + 1}) e ON e.node_id = {child} "
+                f"LEFT JOIN fc{d} fc ON fc.parent = t.node_id)")
+        alln = " UNION ALL ".join(f"SELECT node_id, pred FROM dec{d}" for d in range(levels + 1))
+        body = (f"SELECT {''.join(f't.{c}, ' for c in keys)}n.pred AS prediction FROM t{levels} t "
+                f"JOIN ({alln}) n ON t.node_id = n.node_id")
     else:
         raise ValueError(output)
     return "WITH " + ",\n".join(ctes) + "\n" + body

@@ -121,12 +121,14 @@ def tree_predict_reg(spark, sf_dir):
 _UNSEEN_SQL_BASE = f"(SELECT * FROM {LINEITEM_BINNED_SQL} WHERE qty_bin <> 'q5')"
 
 
-@register("tree_predict_unseen")
+@register("tree_predict_unseen",
+          tree_sql(_UNSEEN_SQL_BASE, LI_CLS_FEATURES, "l_returnflag", "entropy", 2, keys=LI_KEYS, output="route",
+                   route_base=f"(SELECT * FROM {LINEITEM_BINNED_SQL} WHERE qty_bin = 'q5')"))
 def tree_predict_unseen(spark, sf_dir):
     li = lineitem_binned(spark, sf_dir)
     m = fit_tree(li.where(F.col("qty_bin") != "q5"), LI_CLS_FEATURES, "l_returnflag", "information_gain",
                  max_depth=2, order_by=LI_KEYS)
-    return m.predict(li.where(F.col("qty_bin") == "q5")).select(*LI_KEYS, "qty_bin", "prediction")
+    return m.predict(li.where(F.col("qty_bin") == "q5")).select(*LI_KEYS, "prediction")
 
 
 # ---------------------------------------------------------------------------
