@@ -160,8 +160,11 @@ def detail_pages(spark, sf):
     return p.select("p_partkey", html.alias("html"))
 
 
+DETAIL_TAGS = "script,div,p,span,em,svg,li"
+
+
 def _detail_els(spark, sf):
-    return H.parse_pages(detail_pages(spark, sf), ["p_partkey"])
+    return H.parse_pages(detail_pages(spark, sf), ["p_partkey"], tags=DETAIL_TAGS)
 
 
 _CODES_SQL = "[" + ", ".join(f"'{c}'" for c in _CODES) + "]"

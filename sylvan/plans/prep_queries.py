@@ -360,9 +360,9 @@ def safe_name(spark, sf):
 
 
 @register("array_join_distinct",
-          "SELECT l_orderkey, string_agg(l_returnflag || l_linestatus, ', ' ORDER BY first_pos) "
+          "SELECT l_orderkey, string_agg(l_returnflag || l_linestatus, ', ' ORDER BY first_pos, l_returnflag || l_linestatus) "
           "FILTER (WHERE rnk <= 5) AS flags FROM (SELECT l_orderkey, l_returnflag, l_linestatus, first_pos, "
-          "dense_rank() OVER (PARTITION BY l_orderkey ORDER BY first_pos) AS rnk FROM "
+          "row_number() OVER (PARTITION BY l_orderkey ORDER BY first_pos, l_returnflag || l_linestatus) AS rnk FROM "
           "(SELECT l_orderkey, l_returnflag, l_linestatus, min((l_linenumber, l_partkey, l_suppkey)) AS first_pos "
           "FROM lineitem GROUP BY 1, 2, 3)) GROUP BY l_orderkey")
 def array_join_distinct(spark, sf):

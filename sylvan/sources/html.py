@@ -98,7 +98,7 @@ def parse_elements(html: str | None, tags: str | None = "*"):
     return out
 
 
-@udtf(returnType=ELEMENT_SCHEMA)
+@udtf(returnType=ELEMENT_SCHEMA, useArrow=True)
 class HtmlElements:
     def eval(self, html: str, tags: str):
         yield from parse_elements(html, tags)
