@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sylvan.operators.joins import broadcast_if_small, materialize_small
+from sylvan.operators.quantile import exact_quantiles
 
 
 def _long(df: DataFrame, cols: list[str], keep: list[str] | None = None) -> DataFrame:
@@ -56,16 +57,17 @@ def boxplot_stats(df: DataFrame, value: str, by: str | None = None) -> DataFrame
     """A10: Q1/median/Q3 (linear interpolation), whiskers at the extreme points within
     1.5 IQR of the box, and the outlier count, per group.
 
-    Quartiles use Spark's exact ``percentile``; groups are few (one row each),
-    so the quartile table is counted and broadcast back for the whisker pass.
+    Quartiles are exact (``quantile.exact_quantiles``, size-gated); the
+    quartile table (one row per group) is counted and broadcast back for the
+    whisker pass.
     """
     g = F.col(by) if by else F.lit("all")
     base = df.select(g.cast("string").alias("group"), F.col(value).cast("double").alias("v")).where(
         F.col("v").isNotNull())
-    q = base.groupBy("group").agg(F.percentile("v", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"),
-                                  F.count(F.lit(1)).alias("n"))
-    q = q.select("group", "n", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"),
-                 F.col("_q")[2].alias("q3"))
+    q = exact_quantiles(base, ["group"], "v", [0.25, 0.5, 0.75]).select(
+        "group", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
+    n = base.groupBy("group").agg(F.count(F.lit(1)).alias("n"))
+    q = n.join(q, "group")
     q, n_groups = materialize_small(q)
     iqr = F.col("q3") - F.col("q1")
     lo_f, hi_f = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sylvan.operators.joins import broadcast_if_small, materialize_small
+from sylvan.operators.quantile import exact_quantiles_counted
 
 CLASSIFICATION = {"information_gain": "entropy", "entropy": "entropy", "gini": "gini"}
 REGRESSION = {"mse": "mse", "mae": "mae"}
@@ -85,31 +86,21 @@ def mse_summary(frame: DataFrame, keys: list[str]) -> DataFrame:
 def mae_summary(frame: DataFrame, keys: list[str], y: str = "y", count: str = "n") -> DataFrame:
     """``frame(keys.., y, n)`` -> per key: N, median (exact), AD, ymin, ymax.
 
-    The median is Spark's exact ``percentile`` with frequencies (value->count map
-    per group, merged map-side); the deviation pass joins the per-group medians
-    back, broadcast when the group count is within bound.
+    The median comes from ``quantile.exact_quantiles`` (size-gated: exact
+    ``percentile`` for small groups, distributed selection for large ones), so
+    no task ever holds a large group.  The deviation pass joins the per-group
+    medians back, broadcast when the group count is within bound.
     """
     if not keys:
         frame = frame.withColumn("_all", F.lit(0))
         return mae_summary(frame, ["_all"], y, count).drop("_all")
-    med = frame.groupBy(*keys).agg(
-        F.sum(count).alias("N"),
-        F.percentile(F.col(y), F.lit(0.5), F.col(count)).alias("median"),
-        F.min(y).alias("ymin"),
-        F.max(y).alias("ymax"),
-    )
-    med, n_groups = materialize_small(med)
-    small = broadcast_if_small(med.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "median"),
-                               n_groups)
-    cond = [frame[k].eqNullSafe(small[f"_k{i}"]) for i, k in enumerate(keys)]
-    dev = (
-        frame.join(small, cond)
-        .groupBy(*keys)
-        .agg(F.sum(F.col(count) * F.abs(F.col(y) - F.col("median"))).alias("AD"))
-    )
-    dev = dev.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], "AD")
-    cond = [med[k].eqNullSafe(dev[f"_k{i}"]) for i, k in enumerate(keys)]
-    return med.join(dev, cond).drop(*[f"_k{i}" for i in range(len(keys))])
+    g = frame.withColumn("_g", F.to_json(F.struct(*[F.col(k) for k in keys])))
+    med, n_groups = exact_quantiles_counted(g, ["_g"], y, [0.5], weight=count)
+    med = med.withColumnRenamed("q0", "median")
+    stats = g.groupBy("_g", *keys).agg(F.sum(count).alias("N"), F.min(y).alias("ymin"), F.max(y).alias("ymax"))
+    dev = (g.join(broadcast_if_small(med, n_groups), "_g")
+           .groupBy("_g").agg(F.sum(F.col(count) * F.abs(F.col(y) - F.col("median"))).alias("AD")))
+    return stats.join(med, "_g").join(dev, "_g").drop("_g")
 
 
 def impurity_of(kind: str) -> Column:

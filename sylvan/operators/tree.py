@@ -136,8 +136,9 @@ def fit_tree(df: DataFrame, features: list[str], target: str, criterion: str = "
         decision = decision.withColumn("split_idx", F.when(~F.col("is_leaf"), F.col("_best"))).drop("_best")
         decision = cut_lineage(decision)
         split_tbl = decision.where(~F.col("is_leaf")).select("node_id", "split_idx")
-        n_split = split_tbl.count()
-        sizes.append(decision.count())
+        counts = decision.agg(F.count(F.lit(1)).alias("all"), F.count_if(~F.col("is_leaf")).alias("split")).first()
+        n_split = counts["split"]
+        sizes.append(counts["all"])
         level_nodes.append(decision)
         if n_split == 0:
             break

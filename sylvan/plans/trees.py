@@ -292,5 +292,6 @@ def leaf_mean(spark, sf_dir):
 @register("leaf_median",
           f"SELECT qty_bin, round(median(l_extendedprice), 6) + 0.0 AS median_value FROM {LINEITEM_BINNED_SQL} GROUP BY 1")
 def leaf_median(spark, sf_dir):
-    return lineitem_binned(spark, sf_dir).groupBy("qty_bin").agg(
-        r6(F.median("l_extendedprice")).alias("median_value"))
+    from sylvan.operators.quantile import exact_quantiles
+    m = exact_quantiles(lineitem_binned(spark, sf_dir), ["qty_bin"], "l_extendedprice", [0.5])
+    return m.select("qty_bin", r6("q0").alias("median_value"))
