@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from sylvan.operators.joins import broadcast_if_small, materialize_small
 from sylvan.operators.quantile import exact_quantiles_counted
+from sylvan.session import cut_lineage
 
 CLASSIFICATION = {"information_gain": "entropy", "entropy": "entropy", "gini": "gini"}
 REGRESSION = {"mse": "mse", "mae": "mae"}
@@ -186,10 +187,14 @@ def split_gains(df: DataFrame, features: list[str], target: str, criterion: str)
     clean = df.where(F.col(target).isNotNull())
     for c in features:
         clean = clean.where(F.col(c).isNotNull())
-    node = clean.withColumn("node_id", F.lit("R"))
-    frame_cols = ["node_id"] + [F.col(c).cast("string").alias(f"_f{i}") for i, c in enumerate(features)]
+    frame_cols = [F.col(c).cast("string").alias(f"_f{i}") for i, c in enumerate(features)]
     fcols = [f"_f{i}" for i in range(len(features))]
-    cells = weighted_rows(node.select(*frame_cols, F.col(target)), target, kind, ["node_id"] + fcols)
+    # One pass over the raw rows: compact to cells and materialise them; all
+    # roll-ups below run on the cells.  The root id becomes a real column of
+    # the materialised table (a literal would let the optimizer fold the
+    # parent/child join into a nested-loop join).
+    cells = weighted_rows(clean.select(*frame_cols, F.col(target)), target, kind, fcols)
+    cells = cut_lineage(cells.withColumn("node_id", F.lit("R")))
     long = unpivot_features(cells, fcols, ["node_id"] + [c for c in cells.columns if c not in fcols and c != "node_id"])
     g = gains_from_frames(cells, long, ["node_id"], kind)
     names = F.array(*[F.lit(c) for c in features])

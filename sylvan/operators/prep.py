@@ -63,8 +63,12 @@ def distinct_first_seen(df: DataFrame, col: str, order_col: str) -> DataFrame:
 
 
 def skip_seen(new: DataFrame, seen: DataFrame, keys: list[str]) -> DataFrame:
-    """Anti join on the key; nulls are removed from the seen set first."""
-    seen = seen.select(*keys).dropna()
+    """Anti join on the key; nulls are removed from the seen set first.
+
+    The seen side is de-duplicated (partial aggregation), so a key repeated a
+    billion times in the history becomes one build row.
+    """
+    seen = seen.select(*keys).dropna().distinct()
     return new.join(seen, keys, "left_anti")
 
 

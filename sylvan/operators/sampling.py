@@ -71,7 +71,12 @@ def stratified_split(df: DataFrame, class_col: str | None, id_cols: list[str], t
     thresholds = (in_bucket.withColumn("_r", F.row_number().over(rank))
                   .where(F.col("_r") == F.col("_need")).select("_cls", F.col("_h").alias("_t")))
     thresholds, n_t = materialize_small(thresholds)
-    out = keyed.join(broadcast_if_small(thresholds, n_t), "_cls", "left")
+    if class_col is None:
+        # one stratum: its threshold is a single value, applied as a literal
+        row = thresholds.first()
+        out = keyed.withColumn("_t", F.lit(row["_t"] if row else None).cast("string"))
+    else:
+        out = keyed.join(broadcast_if_small(thresholds, n_t), "_cls", "left")
     is_test = F.col("_t").isNotNull() & (F.col("_h") <= F.col("_t"))
     return out.withColumn(col, F.when(is_test, "test").otherwise("train")).drop("_cls", "_h", "_b", "_t")
 

@@ -185,19 +185,28 @@ def fit_tree(df: DataFrame, features: list[str], target: str, criterion: str = "
 def predict(model: TreeModel, df: DataFrame, out_col: str = "prediction") -> DataFrame:
     """Route rows level by level; unseen or null values follow the first child.
 
-    Each level is two equi-joins against the model tables, broadcast when
-    their (known) row counts are within bound, so the scored table is never
-    shuffled for a small model.
+    The root's split comes from the model's one root row, so every row starts
+    with a concrete feature value; each further level is two equi-joins
+    against the model tables, broadcast when their (known) row counts are
+    within bound, so the scored table is never shuffled for a small model.
     """
     fv = F.array(*[F.col(c).cast("string") for c in model.features])
-    rows = df.withColumn("_node", F.lit("R")).withColumn("_fv", fv)
-    internal = model.nodes.where(~F.col("is_leaf")).select(
-        F.col("node_id").alias("_node"), F.col("split_idx").alias("_split"), F.col("first_child").alias("_first"))
-    internal = broadcast_if_small(internal, model.n_nodes)
+    root = model.nodes.where(F.col("node_id") == "R").select("split_idx", "first_child", "prediction").first()
+    rows = df.withColumn("_fv", fv)
+    if root is None or root["split_idx"] is None:
+        return rows.withColumn(out_col, F.lit(root["prediction"] if root else None)).drop("_fv")
     edges = broadcast_if_small(
         model.edges.select(F.col("node_id").alias("_node"), F.col("value").alias("_val"),
                            F.col("child_id").alias("_child")), model.n_edges)
-    for _ in range(model.levels):
+    root_edges = broadcast_if_small(
+        model.edges.where(F.col("node_id") == "R").select(F.col("value").alias("_val"),
+                                                           F.col("child_id").alias("_child")), model.n_edges)
+    rows = rows.withColumn("_val", F.element_at("_fv", root["split_idx"] + 1)).join(root_edges, "_val", "left")
+    rows = rows.withColumn("_node", F.coalesce("_child", F.lit(root["first_child"]))).drop("_val", "_child")
+    internal = broadcast_if_small(model.nodes.where(~F.col("is_leaf")).select(
+        F.col("node_id").alias("_node"), F.col("split_idx").alias("_split"), F.col("first_child").alias("_first")),
+        model.n_nodes)
+    for _ in range(model.levels - 1):
         rows = rows.join(internal, "_node", "left").withColumn(
             "_val", F.element_at("_fv", F.col("_split") + 1))
         rows = rows.join(edges, ["_node", "_val"], "left")
