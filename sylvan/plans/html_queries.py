@@ -109,9 +109,15 @@ def prefix_until_bad(spark, sf):
     return rows.select("page_no", "player_url")
 
 
-@register("html_table_inventory")
+# Every list page has one table (element 6 in document order) whose rows are the
+# page's customers, the two malformed rows and the header row; the first row is
+# the header with the single cell "Name".
+@register("html_table_inventory",
+          f"SELECT CAST(c_custkey // {ROWS_PER_PAGE} AS BIGINT) AS page_no, 6 AS t_ord, 'table' AS table_class, "
+          f"count(*) + 3 AS n_rows, CAST(1 AS BIGINT) AS n_cols, 'Name' AS first_cells FROM customer GROUP BY 1")
 def html_table_inventory(spark, sf):
-    return H.table_inventory(_list_els(spark, sf), ["page_no"])
+    inv = H.table_inventory(_list_els(spark, sf), ["page_no"])
+    return inv.withColumn("first_cells", F.array_join("first_cells", "|"))
 
 
 # --------------------------------------------------------------------------- detail pages
@@ -282,7 +288,16 @@ def enrich_record(spark, sf):
     return H.enrich_record(_enrich_els(spark, sf), ["c_custkey"])
 
 
-@register("html_parent_lookup")
+# Enrichment pages: the code spans sit inside plain <a href="#"> links, so the
+# parent of the first span carrying one of the six codes is an 'a' without class.
+_SIX = "('ST', 'CF', 'LW', 'RW', 'CAM', 'CM')"
+
+
+@register("html_parent_lookup",
+          "SELECT c_custkey, first(t ORDER BY i) AS code, 'a' AS parent_tag, '' AS parent_class FROM ("
+          f"SELECT c_custkey, i, CASE WHEN i = 1 THEN lower({_CODES_SQL}[((c_custkey * 7 + i * i) % 13) + 1]) "
+          f"WHEN i = 3 THEN 'GOAL' ELSE {_CODES_SQL}[((c_custkey * 7 + i * i) % 13) + 1] END AS t "
+          f"FROM customer, range(0, 10) r(i)) WHERE t IN {_SIX} GROUP BY c_custkey")
 def html_parent_lookup(spark, sf):
     """First span (of the first 20) whose text is one of six codes -> its parent's tag and class."""
     els = H.parse_pages(enrich_pages(spark, sf), ["c_custkey"], tags="*")

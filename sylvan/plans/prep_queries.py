@@ -325,7 +325,18 @@ def _rate_word(col):
             .when(col == "4-NOT SPECIFIED", "none").otherwise("low"))
 
 
-@register("regex_work_rate")
+_WR_TEXT_SQL = ("'Team x. Work rate: ' || CASE o_orderpriority WHEN '1-URGENT' THEN 'HIGH' WHEN '2-HIGH' THEN 'high' "
+                "WHEN '3-MEDIUM' THEN 'Medium' WHEN '4-NOT SPECIFIED' THEN 'none' ELSE 'low' END || ' / ' || "
+                "CASE o_orderstatus WHEN '1-URGENT' THEN 'HIGH' WHEN '2-HIGH' THEN 'high' WHEN '3-MEDIUM' THEN 'Medium' "
+                "WHEN '4-NOT SPECIFIED' THEN 'none' ELSE 'low' END")
+_WR_RE = "(?i)Work Rate.*?(\\w+)\\s*/\\s*(\\w+)"
+
+
+# The rendered text is ASCII, where Java's Unicode \w and RE2's \w agree, so RE2 can serve as oracle.
+@register("regex_work_rate",
+          f"SELECT o_orderkey, CASE WHEN regexp_matches(t, '{_WR_RE}') THEN regexp_extract(t, '{_WR_RE}', 1) "
+          f"|| '/' || regexp_extract(t, '{_WR_RE}', 2) END AS work_rate FROM (SELECT o_orderkey, {_WR_TEXT_SQL} AS t "
+          f"FROM orders)")
 def regex_work_rate(spark, sf):
     o = table(spark, sf, "orders")
     t = F.concat(F.lit("Team x. Work rate: "), _rate_word(F.col("o_orderpriority")), F.lit(" / "),
@@ -379,15 +390,15 @@ _CODES_SQL = ("SELECT l_orderkey, string_agg(['ST','CF','LW','RW','CAM','CM','CD
 
 
 @register("position_codes",
-          "SELECT l_orderkey, list_sort(list_distinct(regexp_extract_all(t, "
-          f"'{S.POSITION_CODE_PATTERN}', 1))) AS codes FROM ({_CODES_SQL})")
+          "SELECT l_orderkey, array_to_string(list_sort(list_distinct(regexp_extract_all(t, "
+          f"'{S.POSITION_CODE_PATTERN}', 1))), ',') AS codes FROM ({_CODES_SQL})")
 def position_codes(spark, sf):
     li = table(spark, sf, "lineitem")
     codes = F.array(*[F.lit(c) for c in S.POSITION_CODES + ["XX"]])
     tok = F.concat(F.element_at(codes, F.col("l_linenumber")),
                    F.when(F.col("l_partkey") % 2 == 0, "x").otherwise(""))
     t = li.groupBy("l_orderkey").agg(F.concat_ws(" ", F.collect_list(tok)).alias("t"))
-    return t.select("l_orderkey", S.position_codes("t").alias("codes"))
+    return t.select("l_orderkey", F.array_join(S.position_codes("t"), ",").alias("codes"))
 
 
 @register("keyword_flag", "SELECT lang, count(*) FILTER (WHERE contains(text, 'the')) AS n_with, "
