@@ -3,12 +3,14 @@
 M12/M13 use Spark ML's distributed tree learners (binary splits on numeric
 features, Gini / variance).  M14 exposes the split search itself as SQL: the
 exact best threshold of each numeric column, from per-value label counts and
-cumulative windows over the *distinct* values of one feature (pre-bin a
-feature first when it has very many distinct values).
+cumulative counts over the sorted distinct values (a blocked, two-level prefix
+sum, so high-cardinality features need no pre-binning).
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
@@ -16,6 +18,9 @@ from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sylvan.operators.joins import broadcast_if_small, materialize_small
+from sylvan.session import cut_lineage
+
 
 def cart_classifier(df: DataFrame, features: list[str], label: str, max_depth: int = 5, max_bins: int = 64):
     """Fitted pipeline (label indexer, assembler, Gini tree, label decoder)."""
@@ -43,26 +48,52 @@ def cart_regress(df: DataFrame, features: list[str], label: str, max_depth: int
     return model.transform(df).drop("_features")
 
 
+MAX_VALUES_PER_TASK = 1_000_000
+
+
 def best_threshold_split(df: DataFrame, features: list[str], label: str) -> DataFrame:
     """Per numeric feature, the Gini-best threshold ``x <= t`` (midpoint of two
     consecutive distinct values): feature, threshold, gain, n_left, n_right.
 
-    Ties go to the smallest threshold.  Label values are read first (one small
-    distinct query: the class set bounds the width of the count vectors).
+    Ties go to the smallest threshold.  Cumulative label counts over the
+    sorted distinct values are a two-level prefix sum: distinct values are cut
+    into blocks of at most MAX_VALUES_PER_TASK (approximate quantile cut
+    points), block offsets come from a window over the few block totals, and
+    the within-block windows run in parallel -- no task sorts a whole feature.
+    The label set (the classes) is read first; it bounds the count vectors.
     """
     labels = [r[0] for r in df.select(label).distinct().where(F.col(label).isNotNull()).orderBy(label).collect()]
+    k = len(labels)
     pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("x")) for f in features])
     long = df.select(F.col(label).alias("y"), F.explode(pairs).alias("_p")).select("_p.feature", "_p.x", "y")
-    long = long.where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    per_value = long.groupBy("feature", "x").agg(
-        *[F.count_if(F.col("y") == F.lit(v)).alias(f"_c{i}") for i, v in enumerate(labels)])
-    w = Window.partitionBy("feature").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-    tot = Window.partitionBy("feature")
-    k = len(labels)
-    cum = per_value
+    long = long.where(F.col("x").isNotNull() & ~F.isnan("x") & F.col("y").isNotNull())
+    per_value = cut_lineage(long.groupBy("feature", "x").agg(
+        *[F.count_if(F.col("y") == F.lit(v)).alias(f"_c{i}") for i, v in enumerate(labels)]))
+    most = per_value.groupBy("feature").count().agg(F.max("count")).first()[0] or 0
+    blocks = max(1, math.ceil(most / MAX_VALUES_PER_TASK))
+    if blocks > 1:
+        probs = [i / blocks for i in range(1, blocks)]
+        cuts, n_cuts = materialize_small(per_value.groupBy("feature").agg(
+            F.percentile_approx("x", probs, 10000).alias("_cuts")))
+        pv = per_value.join(broadcast_if_small(cuts, n_cuts), "feature").withColumn(
+            "_blk", F.size(F.filter("_cuts", lambda c: c < F.col("x")))).drop("_cuts")
+    else:
+        pv = per_value.withColumn("_blk", F.lit(0))
+    bt = pv.groupBy("feature", "_blk").agg(*[F.sum(f"_c{i}").alias(f"_b{i}") for i in range(k)],
+                                           F.min("x").alias("_bmin"))
+    wb = Window.partitionBy("feature").orderBy("_blk")
+    before = wb.rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("feature")
+    bt = bt.select("feature", "_blk", F.lead("_bmin").over(wb).alias("_nextmin"),
+                   *[F.coalesce(F.sum(f"_b{i}").over(before), F.lit(0)).alias(f"_o{i}") for i in range(k)],
+                   *[F.sum(f"_b{i}").over(whole).alias(f"_t{i}") for i in range(k)])
+    bt, n_bt = materialize_small(bt)
+    cum = pv.join(broadcast_if_small(bt, n_bt), ["feature", "_blk"])
+    w = Window.partitionBy("feature", "_blk").orderBy("x")
+    running = w.rowsBetween(Window.unboundedPreceding, 0)
     for i in range(k):
-        cum = cum.withColumn(f"_l{i}", F.sum(f"_c{i}").over(w)).withColumn(f"_t{i}", F.sum(f"_c{i}").over(tot))
-    cum = cum.withColumn("_next", F.lead("x").over(Window.partitionBy("feature").orderBy("x")))
+        cum = cum.withColumn(f"_l{i}", F.sum(f"_c{i}").over(running) + F.col(f"_o{i}"))
+    cum = cum.withColumn("_next", F.coalesce(F.lead("x").over(w), F.col("_nextmin")))
     nl = sum((F.col(f"_l{i}") for i in range(k)), F.lit(0))
     n = sum((F.col(f"_t{i}") for i in range(k)), F.lit(0))
     nr = n - nl

@@ -8,7 +8,7 @@ the work partitions by page and no page ever meets another page's rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sylvan.functions import scalar as S
@@ -171,21 +171,37 @@ def stats(els: DataFrame, key: list[str]) -> DataFrame:
         F.max_by(F.col("raw").cast("int"), F.struct("p_ord", "span_ord")).alias("value"))
 
 
+def first_k(df: DataFrame, key: list[str], k: int, order: str = "ord") -> DataFrame:
+    """The first ``k`` rows per page in document order (partial WindowGroupLimit: each
+    task keeps only its top ``k`` per page before the shuffle)."""
+    w = Window.partitionBy(*key).orderBy(order)
+    return df.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= k).drop("_rk")
+
+
+def first_distinct_joined(df: DataFrame, key: list[str], value: str, k: int, sep: str = ", ") -> DataFrame:
+    """First ``k`` distinct values per page in first-seen order, joined.
+
+    De-dup is an aggregate (first position per value); only the ``k`` survivors
+    of a page are gathered.
+    """
+    first = df.groupBy(*key, value).agg(F.min("ord").alias("_first"))
+    first = first_k(first, key, k, order="_first")
+    arr = first.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("_first", value))).alias("_a"))
+    return arr.select(*key, F.array_join(F.transform("_a", lambda x: x[value]), sep).alias(value))
+
+
 def positions_div(els: DataFrame, key: list[str]) -> DataFrame:
     """First 10 div.pos; stripped text of 1-4 characters; de-dup; first 5; ', '-joined."""
-    d = by_tag(els, "div", "pos").select(*key, "ord", S.py_strip("text").alias("t"))
-    arr = d.groupBy(*key).agg(F.slice(F.array_sort(F.collect_list(F.struct("ord", "t"))), 1, 10).alias("a"))
-    kept = F.filter(F.transform("a", lambda x: x["t"]), lambda t: (F.length(t) >= 1) & (F.length(t) <= 4))
-    out = arr.select(*key, S.join_distinct(kept, 5).alias("positions"))
-    return out.where(F.col("positions") != "")
+    d = first_k(by_tag(els, "div", "pos").select(*key, "ord", S.py_strip("text").alias("t")), key, 10)
+    d = d.where((F.length("t") >= 1) & (F.length("t") <= 4))
+    return first_distinct_joined(d, key, "t", 5).withColumnRenamed("t", "positions")
 
 
 def positions_span(els: DataFrame, key: list[str]) -> DataFrame:
     """Spans having class token ``pos``; stripped text passing F16; de-dup; stop at 5."""
     sp = by_tag(els, "span", "pos").select(*key, "ord", S.py_strip("text").alias("t"))
     sp = sp.where(S.is_position_code("t"))
-    arr = sp.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("ord", "t"))).alias("a"))
-    return arr.select(*key, S.join_distinct(F.transform("a", lambda x: x["t"]), 5).alias("position_list"))
+    return first_distinct_joined(sp, key, "t", 5).withColumnRenamed("t", "position_list")
 
 
 _RATE = r"(?i)(Low|Medium|High)"
@@ -258,10 +274,11 @@ def table_inventory(els: DataFrame, key: list[str]) -> DataFrame:
     n_rows = trs.groupBy(*key, "t_ord").agg(F.count(F.lit(1)).alias("n_rows"), F.min("ord").alias("first_tr"))
     cells = inside(els.where(F.col("tag").isin("td", "th")), n_rows.select(*key, F.col("first_tr").alias("ord")),
                    key, "tr_ord")
-    c = cells.groupBy(*key, "tr_ord").agg(
-        F.count(F.lit(1)).alias("n_cols"),
-        F.slice(F.array_sort(F.collect_list(F.struct("ord", S.prefix(S.py_strip("text"), 50).alias("t")))), 1, 5)
-        .alias("_c"))
-    c = c.select(*key, F.col("tr_ord").alias("first_tr"), "n_cols", F.transform("_c", lambda x: x["t"]).alias("first_cells"))
+    n_cols = cells.groupBy(*key, "tr_ord").agg(F.count(F.lit(1)).alias("n_cols"))
+    firsts = first_k(cells.select(*key, "tr_ord", "ord", S.prefix(S.py_strip("text"), 50).alias("t")),
+                     key + ["tr_ord"], 5)
+    firsts = firsts.groupBy(*key, "tr_ord").agg(F.array_sort(F.collect_list(F.struct("ord", "t"))).alias("_c"))
+    c = n_cols.join(firsts, key + ["tr_ord"]).select(
+        *key, F.col("tr_ord").alias("first_tr"), "n_cols", F.transform("_c", lambda x: x["t"]).alias("first_cells"))
     return (tables.withColumnRenamed("ord", "t_ord").join(n_rows, key + ["t_ord"], "left")
             .join(c, key + ["first_tr"], "left").drop("first_tr"))

@@ -15,7 +15,7 @@ Summary statistics per group:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sylvan.operators.joins import broadcast_if_small, materialize_small
@@ -63,25 +63,30 @@ def class_summary(frame: DataFrame, keys: list[str], label: str = "y", count: st
     )
 
 
+def center_mse_cells(cells: DataFrame) -> DataFrame:
+    """Shift the cells' sums by the overall mean ``c`` (kept in column ``_c``).
+
+    Variance is shift-invariant; centring keeps the one-pass merge in
+    ``mse_summary`` free of cancellation even when |mean| >> std.  ``cells``
+    should be materialised (``c`` is one small aggregate over them).
+    """
+    c = cells.agg((F.sum("s") / F.sum("n")).alias("c")).first()["c"] or 0.0
+    return cells.withColumn("s", F.col("s") - F.col("n") * F.lit(c)).withColumn("_c", F.lit(float(c)))
+
+
 def mse_summary(frame: DataFrame, keys: list[str]) -> DataFrame:
-    """``frame(keys.., n, s, m2, ymin, ymax)`` -> per key: N, mean, M2, ymin, ymax.
+    """``frame(keys.., n, s, m2, ymin, ymax, _c)`` -> per key: N, mean, M2, ymin, ymax.
 
-    M2 is merged as sum(m2_i) + sum(n_i (mean_i - mean)^2); the window and the
-    aggregate share one clustering, so this is a single shuffle.
+    ``s`` are sums centred by ``_c`` (``center_mse_cells``).  M2 merges in one
+    pass, M2 = sum(m2_i) + sum(s_i^2 / n_i) - S^2 / N, so every term is a plain
+    sum (partial aggregation, no per-group window or buffer).
     """
-    w = Window.partitionBy(*keys)
-    mu = F.sum("s").over(w) / F.sum("n").over(w)
-    return (
-        frame.withColumn("_mu", mu)
-        .groupBy(*keys)
-        .agg(
-            F.sum("n").alias("N"),
-            (F.sum("s") / F.sum("n")).alias("mean"),
-            F.sum(F.col("m2") + F.col("n") * F.pow(F.col("s") / F.col("n") - F.col("_mu"), 2)).alias("M2"),
-            F.min("ymin").alias("ymin"),
-            F.max("ymax").alias("ymax"),
-        )
-    )
+    agg = frame.groupBy(*keys).agg(
+        F.sum("n").alias("N"), F.sum("s").alias("_S"), F.sum(F.col("s") * F.col("s") / F.col("n")).alias("_Q"),
+        F.sum("m2").alias("_W"), F.max("_c").alias("_c"), F.min("ymin").alias("ymin"), F.max("ymax").alias("ymax"))
+    m2 = F.greatest(F.col("_W") + F.col("_Q") - F.col("_S") * F.col("_S") / F.col("N"), F.lit(0.0))
+    return agg.select(*keys, "N", (F.col("_S") / F.col("N") + F.col("_c")).alias("mean"), m2.alias("M2"),
+                      "ymin", "ymax")
 
 
 def mae_summary(frame: DataFrame, keys: list[str], y: str = "y", count: str = "n") -> DataFrame:
@@ -148,6 +153,8 @@ def column_impurity(df: DataFrame, target: str, criterion: str, by: list[str] |
     kind = impurity_kind(criterion)
     keys = list(by or [])
     frame = weighted_rows(df.where(F.col(target).isNotNull()), target, kind, keys)
+    if kind == "mse":
+        frame = center_mse_cells(cut_lineage(frame))
     summ = summarize(frame, keys, kind)
     return summ.select(*keys, F.col("N").alias("n"), impurity_of(kind).alias("impurity"))
 
@@ -195,6 +202,8 @@ def split_gains(df: DataFrame, features: list[str], target: str, criterion: str)
     # parent/child join into a nested-loop join).
     cells = weighted_rows(clean.select(*frame_cols, F.col(target)), target, kind, fcols)
     cells = cut_lineage(cells.withColumn("node_id", F.lit("R")))
+    if kind == "mse":
+        cells = center_mse_cells(cells)
     long = unpivot_features(cells, fcols, ["node_id"] + [c for c in cells.columns if c not in fcols and c != "node_id"])
     g = gains_from_frames(cells, long, ["node_id"], kind)
     names = F.array(*[F.lit(c) for c in features])

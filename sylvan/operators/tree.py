@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from sylvan.operators.impurity import (
     best_split,
+    center_mse_cells,
     gains_from_frames,
     impurity_kind,
     impurity_of,
@@ -98,6 +99,8 @@ def fit_tree(df: DataFrame, features: list[str], target: str, criterion: str = "
         cells = base.groupBy(*fcols, F.col("_y").cast("double").alias("y")).agg(
             F.count(F.lit(1)).alias("n"), F.min("_o").alias("_o"))
 
+    if kind == "mse":
+        cells = center_mse_cells(cut_lineage(cells))
     frontier = cut_lineage(cells.select(
         F.lit("R").alias("node_id"), F.lit(None).cast("string").alias("parent_id"),
         F.lit("").alias("rule"), F.array().cast("array<int>").alias("used"), *cells.columns))

@@ -301,13 +301,12 @@ _SIX = "('ST', 'CF', 'LW', 'RW', 'CAM', 'CM')"
 def html_parent_lookup(spark, sf):
     """First span (of the first 20) whose text is one of six codes -> its parent's tag and class."""
     els = H.parse_pages(enrich_pages(spark, sf), ["c_custkey"], tags="*")
-    spans = els.where(F.col("tag") == "span").select("c_custkey", "ord", "parent_ord", "text")
-    first20 = spans.groupBy("c_custkey").agg(F.slice(F.array_sort(F.collect_list(
-        F.struct("ord", "parent_ord", F.trim("text").alias("t")))), 1, 20).alias("a"))
-    six = F.array(*[F.lit(c) for c in ["ST", "CF", "LW", "RW", "CAM", "CM"]])
-    hit = first20.select("c_custkey", F.filter("a", lambda x: F.array_contains(six, x["t"]))[0].alias("h"))
-    hit = hit.where(F.col("h").isNotNull()).select("c_custkey", F.col("h.t").alias("code"),
-                                                   F.col("h.parent_ord").alias("ord"))
+    spans = H.first_k(els.where(F.col("tag") == "span").select(
+        "c_custkey", "ord", "parent_ord", F.trim("text").alias("t")), ["c_custkey"], 20)
+    six = ["ST", "CF", "LW", "RW", "CAM", "CM"]
+    hit = spans.where(F.col("t").isin(*six)).groupBy("c_custkey").agg(
+        F.min_by(F.struct("t", "parent_ord"), F.col("ord")).alias("h"))
+    hit = hit.select("c_custkey", F.col("h.t").alias("code"), F.col("h.parent_ord").alias("ord"))
     parents = els.select("c_custkey", "ord", F.col("tag").alias("parent_tag"),
                          F.array_join("classes", " ").alias("parent_class"))
     return hit.join(parents, ["c_custkey", "ord"]).drop("ord")

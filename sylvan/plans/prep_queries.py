@@ -377,10 +377,16 @@ def safe_name(spark, sf):
           "(SELECT l_orderkey, l_returnflag, l_linestatus, min((l_linenumber, l_partkey, l_suppkey)) AS first_pos "
           "FROM lineitem GROUP BY 1, 2, 3)) GROUP BY l_orderkey")
 def array_join_distinct(spark, sf):
+    """F13 per order: distinct flag pairs in first-seen order, first five, joined.
+
+    First-seen position per (order, value) is an aggregate (map-side combined),
+    so only the distinct values of an order -- not its rows -- are gathered.
+    """
     li = table(spark, sf, "lineitem")
-    ordered = li.groupBy("l_orderkey").agg(
-        F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey",
-                                             F.concat("l_returnflag", "l_linestatus").alias("v")))).alias("a"))
+    v = F.concat("l_returnflag", "l_linestatus")
+    first = li.groupBy("l_orderkey", v.alias("v")).agg(
+        F.min(F.struct("l_linenumber", "l_partkey", "l_suppkey")).alias("pos"))
+    ordered = first.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct("pos", "v"))).alias("a"))
     return ordered.select("l_orderkey", S.join_distinct(F.transform("a", lambda x: x["v"])).alias("flags"))
 
 
@@ -397,8 +403,11 @@ def position_codes(spark, sf):
     codes = F.array(*[F.lit(c) for c in S.POSITION_CODES + ["XX"]])
     tok = F.concat(F.element_at(codes, F.col("l_linenumber")),
                    F.when(F.col("l_partkey") % 2 == 0, "x").otherwise(""))
-    t = li.groupBy("l_orderkey").agg(F.concat_ws(" ", F.collect_list(tok)).alias("t"))
-    return t.select("l_orderkey", F.array_join(S.position_codes("t"), ",").alias("codes"))
+    # codes are found per line and unioned per order: only the (at most 13) distinct
+    # codes of an order are gathered, never its lines
+    found = li.select("l_orderkey", F.explode_outer(S.position_codes(tok)).alias("code"))
+    per = found.groupBy("l_orderkey").agg(F.array_sort(F.collect_set("code")).alias("codes"))
+    return per.select("l_orderkey", F.array_join("codes", ",").alias("codes"))
 
 
 @register("keyword_flag", "SELECT lang, count(*) FILTER (WHERE contains(text, 'the')) AS n_with, "
