@@ -89,7 +89,8 @@ def mse_summary(frame: DataFrame, keys: list[str]) -> DataFrame:
                       "ymin", "ymax")
 
 
-def mae_summary(frame: DataFrame, keys: list[str], y: str = "y", count: str = "n") -> DataFrame:
+def mae_summary(frame: DataFrame, keys: list[str], y: str = "y", count: str = "n",
+                rows_bound: int | None = None) -> DataFrame:
     """``frame(keys.., y, n)`` -> per key: N, median (exact), AD, ymin, ymax.
 
     The median comes from ``quantile.exact_quantiles`` (size-gated: exact
@@ -99,9 +100,11 @@ def mae_summary(frame: DataFrame, keys: list[str], y: str = "y", count: str = "n
     """
     if not keys:
         frame = frame.withColumn("_all", F.lit(0))
-        return mae_summary(frame, ["_all"], y, count).drop("_all")
+        return mae_summary(frame, ["_all"], y, count, rows_bound).drop("_all")
     g = frame.withColumn("_g", F.to_json(F.struct(*[F.col(k) for k in keys])))
-    med, n_groups = exact_quantiles_counted(g, ["_g"], y, [0.5], weight=count)
+    med, n_groups = exact_quantiles_counted(g, ["_g"], y, [0.5], weight=count, rows_bound=rows_bound)
+    if n_groups is None and rows_bound is not None:
+        n_groups = rows_bound  # groups <= rows: a proven bound for the broadcast decision
     med = med.withColumnRenamed("q0", "median")
     stats = g.groupBy("_g", *keys).agg(F.sum(count).alias("N"), F.min(y).alias("ymin"), F.max(y).alias("ymax"))
     dev = (g.join(broadcast_if_small(med, n_groups), "_g")
@@ -122,12 +125,13 @@ def impurity_of(kind: str) -> Column:
     raise ValueError(kind)
 
 
-def summarize(frame: DataFrame, keys: list[str], kind: str) -> DataFrame:
+def summarize(frame: DataFrame, keys: list[str], kind: str, rows_bound: int | None = None) -> DataFrame:
+    """Group summary of the kind; ``rows_bound`` bounds the frame's rows per group (MAE uses it)."""
     if kind in ("entropy", "gini"):
         return class_summary(frame, keys)
     if kind == "mse":
         return mse_summary(frame, keys)
-    return mae_summary(frame, keys)
+    return mae_summary(frame, keys, rows_bound=rows_bound)
 
 
 # --------------------------------------------------------------------------
@@ -176,11 +180,11 @@ def unpivot_features(frame: DataFrame, feature_cols: list[str], keep: list[str],
 
 
 def gains_from_frames(node_frame: DataFrame, value_frame: DataFrame, node_key: list[str],
-                      kind: str) -> DataFrame:
+                      kind: str, rows_bound: int | None = None) -> DataFrame:
     """Gain of every (node, f): parent impurity minus the N-weighted child impurity."""
-    parent = summarize(node_frame, node_key, kind).select(
+    parent = summarize(node_frame, node_key, kind, rows_bound).select(
         *node_key, impurity_of(kind).alias("parent_impurity"))
-    child = summarize(value_frame, node_key + ["f", "v"], kind).select(
+    child = summarize(value_frame, node_key + ["f", "v"], kind, rows_bound).select(
         *node_key, "f", "N", impurity_of(kind).alias("imp"))
     weighted = child.groupBy(*node_key, "f").agg(
         (F.sum(F.col("N") * F.col("imp")) / F.sum("N")).alias("child_impurity"))
@@ -205,7 +209,7 @@ def split_gains(df: DataFrame, features: list[str], target: str, criterion: str)
     if kind == "mse":
         cells = center_mse_cells(cells)
     long = unpivot_features(cells, fcols, ["node_id"] + [c for c in cells.columns if c not in fcols and c != "node_id"])
-    g = gains_from_frames(cells, long, ["node_id"], kind)
+    g = gains_from_frames(cells, long, ["node_id"], kind, rows_bound=cells.count() if kind == "mae" else None)
     names = F.array(*[F.lit(c) for c in features])
     return g.select(F.element_at(names, F.col("f") + 1).alias("feature"), F.col("f").alias("feature_idx"),
                     "gain", "parent_impurity", "child_impurity")

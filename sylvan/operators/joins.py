@@ -19,6 +19,9 @@ def materialize_small(df: DataFrame) -> tuple[DataFrame, int]:
     return df, df.count()
 
 
-def broadcast_if_small(df: DataFrame, n_rows: int, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` when its measured row count is within the bound."""
-    return F.broadcast(df) if n_rows <= max_rows else df
+def broadcast_if_small(df: DataFrame, n_rows: int | None, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``df`` when its measured (or proven upper-bound) row count is within the bound.
+
+    ``None`` means unknown: no hint, Spark/AQE decide from runtime statistics.
+    """
+    return F.broadcast(df) if n_rows is not None and n_rows <= max_rows else df

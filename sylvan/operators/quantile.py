@@ -40,11 +40,16 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
 
 def exact_quantiles_counted(df: DataFrame, keys: list[str], value: str, probs: list[float],
                             weight: str | None = None, small_group_rows: int = SMALL_GROUP_ROWS,
-                            buckets: int = BUCKETS) -> tuple[DataFrame, int]:
-    """Like ``exact_quantiles`` and also returns the number of groups (from the size check)."""
+                            buckets: int = BUCKETS, rows_bound: int | None = None) -> tuple[DataFrame, int | None]:
+    """Like ``exact_quantiles`` and also returns the number of groups (None when not measured).
+
+    ``rows_bound`` is a caller-proven upper bound on the rows of any group (e.g.
+    the size of a compacted cell table); within the small-group limit it
+    replaces the size-check job.
+    """
     if not keys:
         out, n = exact_quantiles_counted(df.withColumn("_all", F.lit(0)), ["_all"], value, probs, weight,
-                                         small_group_rows, buckets)
+                                         small_group_rows, buckets, rows_bound)
         return out.drop("_all"), n
     w = F.col(weight).cast("double") if weight else F.lit(1.0)
     # one non-null surrogate key, so null group values join like any other
@@ -52,9 +57,12 @@ def exact_quantiles_counted(df: DataFrame, keys: list[str], value: str, probs: l
     frame = df.select(gk.alias("_qg"), *keys, F.col(value).cast("double").alias("_y"), w.alias("_w")).where(
         F.col("_y").isNotNull() & ~F.isnan("_y") & (F.col("_w") > 0))
     # size check: one aggregate job; small groups never need the selection passes
-    size = frame.groupBy("_qg").agg(F.count(F.lit(1)).alias("_rows")).agg(
-        F.max("_rows").alias("largest"), F.count(F.lit(1)).alias("groups")).first()
-    largest, n_groups = size["largest"] or 0, size["groups"]
+    if rows_bound is not None and rows_bound <= small_group_rows:
+        largest, n_groups = rows_bound, None
+    else:
+        size = frame.groupBy("_qg").agg(F.count(F.lit(1)).alias("_rows")).agg(
+            F.max("_rows").alias("largest"), F.count(F.lit(1)).alias("groups")).first()
+        largest, n_groups = size["largest"] or 0, size["groups"]
     if largest <= small_group_rows:
         freq = F.col("_w").cast("long") if weight else F.lit(1).cast("long")
         q = frame.groupBy("_qg", *keys).agg(

@@ -107,12 +107,14 @@ def fit_tree(df: DataFrame, features: list[str], target: str, criterion: str = "
     if frontier.isEmpty():
         raise ValueError("empty training frame")
     stat_cols = [c for c in frontier.columns if c not in fcols + ["node_id", "parent_id", "rule", "used", "_o"]]
+    # every group summarised below holds at most one row per cell: a proven bound
+    n_cells = frontier.count() if kind == "mae" else None
     names = F.array(*[F.lit(c) for c in features])
 
     level_nodes, level_edges, sizes = [], [], []
     depth = 0
     while True:
-        summ = summarize(frontier, ["node_id", "parent_id", "rule"], kind)
+        summ = summarize(frontier, ["node_id", "parent_id", "rule"], kind, n_cells)
         if kind in ("entropy", "gini"):
             pred, constant = F.col("majority"), F.col("n_labels") == 1
         elif kind == "mse":
@@ -126,7 +128,7 @@ def fit_tree(df: DataFrame, features: list[str], target: str, criterion: str = "
         evaluated = ~F.col("_constant") & (F.col("n") >= F.lit(min_samples_split)) & F.lit(level_open)
         if level_open:
             long = unpivot_features(frontier, fcols, ["node_id"] + stat_cols, used_col="used")
-            gains = gains_from_frames(frontier.select("node_id", *stat_cols), long, ["node_id"], kind)
+            gains = gains_from_frames(frontier.select("node_id", *stat_cols), long, ["node_id"], kind, n_cells)
             stats = stats.join(best_split(gains, ["node_id"]), "node_id", "left")
         else:
             stats = stats.withColumn("best_f", F.lit(None).cast("int")).withColumn(
