@@ -3,9 +3,11 @@
 The data stay on the executors (persisted once); every epoch is one Spark job:
 ``mapInPandas`` turns each Arrow batch into a numpy block and emits the
 partition's partial gradient as a few ``(pos, value)`` rows, which a grouped
-sum (map-side combined) reduces to ``d + 2`` numbers for the driver: the
-gradient, the bias gradient and the loss.  Only the weights travel out
-(inside the task closure) and only the bounded gradient comes back.
+sum (map-side combined) reduces to ``d + 3`` numbers for the driver: the
+gradient, the bias gradient, the loss and the row count.  With at most
+DIRECT_SUM_MAX_PARTITIONS partitions the partials are summed directly.  Only
+the weights travel out (inside the task closure) and only the bounded
+gradient comes back.
 """
 
 from __future__ import annotations
@@ -18,6 +20,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+DIRECT_SUM_MAX_PARTITIONS = 256
+
 
 def scaler_fit(df: DataFrame, features: str) -> tuple[list[float], list[float]]:
     """M8 fit: per-dimension mean and population std (zero std -> 1).
@@ -106,12 +110,17 @@ def fit_logistic(df: DataFrame, features: str, label: str, learning_rate: float
         w = np.zeros(d)
         b = 0.0
         losses = []
+        # partial gradients are (d + 3) numbers per partition: with few partitions
+        # they are summed directly (one stage per epoch); with many, a grouped sum
+        # (map-side combined) first reduces them to d + 3 numbers
+        direct = data.rdd.getNumPartitions() <= DIRECT_SUM_MAX_PARTITIONS
         for epoch in range(epochs):
             parts = data.mapInPandas(_partial_gradients(w.copy(), b), "pos int, val double")
-            tot = parts.groupBy("pos").agg(F.sum("val").alias("val")).collect()
+            if not direct:
+                parts = parts.groupBy("pos").agg(F.sum("val").alias("val"))
             vec = np.zeros(d + 3)
-            for r in tot:
-                vec[r["pos"]] = r["val"]
+            for r in parts.collect():
+                vec[r["pos"]] += r["val"]
             m = vec[d + 2]
             if epoch % record_every == 0:
                 losses.append((epoch, vec[d + 1] / m))
