@@ -327,7 +327,7 @@ def html_elements_q(spark, sf):
 @register("html_text")
 def html_text(spark, sf):
     d = _driver_els(spark, sf).where(F.col("ord") == 0)
-    return d.select("page_id", F.length("text").alias("n_chars"), F.substring("text", 1, 50).alias("head"))
+    return d.select("page_id", F.length("text").alias("n_chars"), "text")
 
 
 _STRIP = ("regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), "
