@@ -48,17 +48,24 @@ def is_classification(criterion: str) -> bool:
 # group summaries over weighted frames
 # --------------------------------------------------------------------------
 
-def class_summary(frame: DataFrame, keys: list[str], label: str = "y", count: str = "n") -> DataFrame:
+def class_summary(frame: DataFrame, keys: list[str], label: str = "y", count: str = "n",
+                  label_order: list | None = None) -> DataFrame:
     """``frame(keys.., label, count)`` -> per key: N, S, Q, majority, n_labels.
 
-    Majority ties go to the smallest label (pandas ``mode()[0]``).
+    Majority ties go to the smallest label (pandas ``mode()[0]``); for an
+    ordered categorical label pass ``label_order`` (lowest category first) and
+    ties go to the lowest category instead.
     """
     per_label = frame.groupBy(*keys, label).agg(F.sum(count).alias("_c"))
+    if label_order:
+        rank = F.array_position(F.array(*[F.lit(v) for v in label_order]), F.col(label))
+    else:
+        rank = F.col(label)
     return per_label.groupBy(*keys).agg(
         F.sum("_c").alias("N"),
         F.sum(F.col("_c") * F.log2("_c")).alias("S"),
         F.sum(F.col("_c") * F.col("_c")).alias("Q"),
-        F.min_by(label, F.struct((-F.col("_c")).alias("k"), F.col(label).alias("l"))).alias("majority"),
+        F.min_by(label, F.struct((-F.col("_c")).alias("k"), rank.alias("l"))).alias("majority"),
         F.count(F.lit(1)).alias("n_labels"),
     )
 
@@ -125,10 +132,11 @@ def impurity_of(kind: str) -> Column:
     raise ValueError(kind)
 
 
-def summarize(frame: DataFrame, keys: list[str], kind: str, rows_bound: int | None = None) -> DataFrame:
+def summarize(frame: DataFrame, keys: list[str], kind: str, rows_bound: int | None = None,
+              label_order: list | None = None) -> DataFrame:
     """Group summary of the kind; ``rows_bound`` bounds the frame's rows per group (MAE uses it)."""
     if kind in ("entropy", "gini"):
-        return class_summary(frame, keys)
+        return class_summary(frame, keys, label_order=label_order)
     if kind == "mse":
         return mse_summary(frame, keys)
     return mae_summary(frame, keys, rows_bound=rows_bound)

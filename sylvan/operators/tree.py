@@ -69,13 +69,15 @@ class TreeModel:
 
 def fit_tree(df: DataFrame, features: list[str], target: str, criterion: str = "information_gain",
              max_depth: int | None = None, min_samples_split: int = 2,
-             order_by: list[str] | None = None) -> TreeModel:
+             order_by: list[str] | None = None, label_order: list | None = None) -> TreeModel:
     """Fit a multiway tree on categorical ``features``.
 
     ``order_by`` names columns giving the rows' original order; it defines the
     first-seen child used for unseen values at predict time (T4).  Without it,
     the smallest value is used.  Rows with a null feature or target are
-    dropped (the reference cannot handle them either).
+    dropped (the reference cannot handle them either).  ``label_order`` lists
+    an ordered categorical target's categories, lowest first: majority ties
+    then go to the lowest category rather than the smallest label text.
     """
     kind = impurity_kind(criterion)
     if not features:
@@ -114,7 +116,7 @@ def fit_tree(df: DataFrame, features: list[str], target: str, criterion: str = "
     level_nodes, level_edges, sizes = [], [], []
     depth = 0
     while True:
-        summ = summarize(frontier, ["node_id", "parent_id", "rule"], kind, n_cells)
+        summ = summarize(frontier, ["node_id", "parent_id", "rule"], kind, n_cells, label_order)
         if kind in ("entropy", "gini"):
             pred, constant = F.col("majority"), F.col("n_labels") == 1
         elif kind == "mse":

@@ -113,3 +113,12 @@ def test_counts_sum_to_parent(weather):
             assert sum(nodes[k["child_id"]]["n"] for k in kids) == r["n"]
     assert all(r["gain"] is None or r["gain"] >= -1e-12 for r in nodes.values())
     assert not math.isnan(nodes["R"]["impurity"])
+
+
+def test_ordered_label_majority_tie(spark):
+    # one node, tie between High and Low: text order picks High, category order picks Low
+    df = spark.createDataFrame([(0, "a", "High"), (1, "a", "Low")], "row_id int, f string, y string")
+    m_text = fit_tree(df, ["f"], "y", "gini", order_by=["row_id"])
+    m_cat = fit_tree(df, ["f"], "y", "gini", order_by=["row_id"], label_order=["Low", "Medium", "High", "Elite"])
+    assert m_text.nodes.first()["prediction"] == "High"
+    assert m_cat.nodes.first()["prediction"] == "Low"
