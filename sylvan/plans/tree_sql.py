@@ -17,7 +17,7 @@ def _case(idx: str, values: list[str]) -> str:
 
 def tree_sql(base: str, features: list[str], target: str, kind: str, max_depth: int | None,
              min_samples: int = 2, keys: list[str] | None = None, output: str = "nodes",
-             reg_round: bool = True, route_base: str | None = None) -> str:
+             reg_round: bool = True, route_base: str | None = None, label_order: list | None = None) -> str:
     k = len(features)
     levels = k if max_depth is None else min(max_depth, k)
     keys = keys or []
@@ -30,6 +30,7 @@ def tree_sql(base: str, features: list[str], target: str, kind: str, max_depth:
     ctes = [f"a0 AS (SELECT 'R' AS node_id, CAST(NULL AS VARCHAR) AS parent, CAST([] AS INTEGER[]) AS used, "
             f"'' AS rule, {kc}{fsel}, {y} AS y FROM {base} WHERE {notnull})"]
     names_sql = [f"'{f}'" for f in features]
+    tie = ("list_position([" + ", ".join(f"'{v}'" for v in label_order) + "], y)") if label_order else "y"
     for d in range(levels + 1):
         a = f"a{d}"
         if cls:
@@ -38,7 +39,7 @@ def tree_sql(base: str, features: list[str], target: str, kind: str, max_depth:
             ctes.append(f"lc{d} AS (SELECT node_id, y, count(*) AS c FROM {a} GROUP BY node_id, y)")
             ctes.append(f"lt{d} AS (SELECT node_id, y, c, sum(c) OVER (PARTITION BY node_id) AS nt FROM lc{d})")
             ctes.append(f"s{d} AS (SELECT node_id, CAST(max(nt) AS BIGINT) AS n, {imp} AS imp, "
-                        f"first(y ORDER BY c DESC, y) AS pred, count(*) = 1 AS const FROM lt{d} GROUP BY node_id)")
+                        f"first(y ORDER BY c DESC, {tie}) AS pred, count(*) = 1 AS const FROM lt{d} GROUP BY node_id)")
         elif kind == "mse":
             ctes.append(f"s{d} AS (SELECT node_id, count(*) AS n, var_pop(y) AS imp, avg(y) AS pred, "
                         f"min(y) = max(y) AS const FROM {a} GROUP BY node_id)")
