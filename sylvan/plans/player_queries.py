@@ -100,3 +100,82 @@ def player_tree_accuracy(spark, sf):
             F.lit(crit).alias("criterion"), r6("accuracy").alias("accuracy"), "n")
         out = acc if out is None else out.unionByName(acc)
     return out
+
+
+# --------------------------------------------------------------------------- regression twin
+
+REG_FEATURES = ["Age", "Overall", "Potential", "Wage_Numeric"]
+REG_TARGET = "Value_Million"
+_REG_SOURCE = {"Age": "age", "Overall": "overall", "Potential": "potential", "Wage_Numeric": "wage_numeric"}
+
+
+def player_regression_rows(spark, sf):
+    """Value in millions; the four features binned in place; at most 100 rows per Overall bin."""
+    rows = H.player_rows(HQ._list_els(spark, sf), ["page_no"])
+    rows = rows.dropna(subset=["age", "overall", "potential", "wage_numeric", "value_numeric"])
+    rows = rows.where(F.col("value_numeric") > 0)
+    binned = rows.select("player_url", *[bin_right_closed(F.col(src), *PLAYER_BINS[name]).alias(name)
+                                         for name, src in _REG_SOURCE.items()],
+                         (F.col("value_numeric") / 1_000_000).alias(REG_TARGET))
+    binned = binned.where(F.col("Overall").isNotNull())
+    return sampling.balanced_sample(binned, "Overall", ["player_url"], n=100, seed=42)
+
+
+def _reg_model(spark, sf, criterion):
+    key = (spark.sparkContext.applicationId, sf, "reg", criterion)
+    if key not in _MEMO:
+        _MEMO[key] = fit_tree(player_regression_rows(spark, sf), REG_FEATURES, REG_TARGET, criterion,
+                              max_depth=3, order_by=["player_url"])
+    return _MEMO[key]
+
+
+_REG_BINNED_SQL = (
+    "SELECT player_url, " + ", ".join(f"{bin_sql('raw_' + src, *PLAYER_BINS[name])} AS {name}"
+                                      for name, src in _REG_SOURCE.items())
+    + f", raw_value_numeric / 1000000 AS {REG_TARGET} FROM ("
+    + "SELECT player_url, age AS raw_age, overall AS raw_overall, potential AS raw_potential, "
+    + f"wage_numeric AS raw_wage_numeric, value_numeric AS raw_value_numeric FROM ({_PLAYERS_SQL})) "
+    + "WHERE raw_value_numeric > 0"
+)
+_REG_SAMPLE_SQL = (
+    "(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY Overall ORDER BY md5('42:' || player_url), "
+    f"player_url) AS rn FROM ({_REG_BINNED_SQL}) WHERE Overall IS NOT NULL) WHERE rn <= 100)"
+)
+
+
+def _reg_tree_sql(kind, output):
+    return tree_sql(_REG_SAMPLE_SQL, REG_FEATURES, REG_TARGET, kind, 3, keys=["player_url"], output=output)
+
+
+def _reg_nodes(criterion):
+    def q(spark, sf):
+        m = _reg_model(spark, sf, criterion)
+        return m.nodes.select("node_id", "depth", "split_feature", "is_leaf", r6("prediction").alias("prediction"),
+                              "n", r6("impurity").alias("impurity"), r6("gain").alias("gain"))
+    return q
+
+
+register("player_reg_tree_fit_mse", _reg_tree_sql("mse", "nodes"))(_reg_nodes("mse"))
+register("player_reg_tree_fit_mae", _reg_tree_sql("mae", "nodes"))(_reg_nodes("mae"))
+
+_SCORE_COLS = ["r2", "mse", "rmse", "mae", "mape"]
+
+
+def _reg_scores_sql(crit, kind):
+    p = f"({_reg_tree_sql(kind, 'predict')})"
+    return (f"SELECT '{crit}' AS criterion, count(*) AS n, round(CASE WHEN var_pop(actual) = 0 THEN 0.0 ELSE "
+            f"1 - sum((actual - prediction) ^ 2) / (var_pop(actual) * count(*)) END, 6) + 0.0 AS r2, "
+            f"round(avg((actual - prediction) ^ 2), 6) + 0.0 AS mse, round(sqrt(avg((actual - prediction) ^ 2)), 6) + 0.0 AS rmse, "
+            f"round(avg(abs(actual - prediction)), 6) + 0.0 AS mae, "
+            f"round(avg(abs((actual - prediction) / actual)) * 100, 6) + 0.0 AS mape FROM {p}")
+
+
+@register("player_reg_scores", " UNION ALL ".join(_reg_scores_sql(c, k) for c, k in [("mse", "mse"), ("mae", "mae")]))
+def player_reg_scores(spark, sf):
+    out = None
+    for crit in ["mse", "mae"]:
+        scored = _reg_model(spark, sf, crit).predict(player_regression_rows(spark, sf))
+        s = metrics.regression_scores(scored, REG_TARGET, "prediction").select(
+            F.lit(crit).alias("criterion"), "n", *[r6(c).alias(c) for c in _SCORE_COLS])
+        out = s if out is None else out.unionByName(s)
+    return out
