@@ -19,6 +19,7 @@ from sylvan.plans import html_queries as HQ
 from sylvan.plans.common import r6
 from sylvan.plans.registry import register
 from sylvan.plans.tree_sql import tree_sql
+from sylvan.session import cut_lineage
 
 CATEGORIES = ["Low", "Medium", "High", "Elite"]
 FEATURES = ["Age_Cat", "Potential_Cat", "Wage_Cat"]
@@ -28,7 +29,20 @@ _SOURCE = {"Age_Cat": ("age", "Age"), "Potential_Cat": ("potential", "Potential"
 _MEMO: dict = {}
 
 
+def _materialized(spark, sf, name, build):
+    """The sampled training table is parsed and sampled once, checkpointed and reused
+    by every fit and scoring pass of the chain."""
+    key = (spark.sparkContext.applicationId, sf, "rows", name)
+    if key not in _MEMO:
+        _MEMO[key] = cut_lineage(build(spark, sf))
+    return _MEMO[key]
+
+
 def player_training_rows(spark, sf):
+    return _materialized(spark, sf, "cls", _player_training_rows)
+
+
+def _player_training_rows(spark, sf):
     rows = H.player_rows(HQ._list_els(spark, sf), ["page_no"])
     rows = rows.where(F.col("age").isNotNull() & F.col("overall").isNotNull() & F.col("potential").isNotNull()
                       & F.col("wage_numeric").isNotNull() & F.col("value_numeric").isNotNull())
@@ -110,6 +124,10 @@ _REG_SOURCE = {"Age": "age", "Overall": "overall", "Potential": "potential", "Wa
 
 
 def player_regression_rows(spark, sf):
+    return _materialized(spark, sf, "reg", _player_regression_rows)
+
+
+def _player_regression_rows(spark, sf):
     """Value in millions; the four features binned in place; at most 100 rows per Overall bin."""
     rows = H.player_rows(HQ._list_els(spark, sf), ["page_no"])
     rows = rows.dropna(subset=["age", "overall", "potential", "wage_numeric", "value_numeric"])
