@@ -71,10 +71,19 @@ def exact_quantiles_counted(df: DataFrame, keys: list[str], value: str, probs: l
     stats = frame.groupBy("_qg", *keys).agg(F.sum("_w").alias("_n"), F.count(F.lit(1)).alias("_rows"),
                                            F.min("_y").alias("_lo"), F.max("_y").alias("_hi"))
     stats, n_groups = materialize_small(stats)
+    # only the large groups (at most rows / small_group_rows of them) take the
+    # selection passes; the others keep the bounded exact percentile
+    big, n_big = materialize_small(stats.where(F.col("_rows") > small_group_rows))
+    big_keys = broadcast_if_small(big.select("_qg"), n_big)
+    body = frame.select("_qg", "_y", "_w")
+    freq = F.col("_w").cast("long") if weight else F.lit(1).cast("long")
+    small_q = body.join(big_keys, "_qg", "left_anti").groupBy("_qg").agg(
+        F.percentile("_y", F.array(*[F.lit(float(p)) for p in probs]), freq).alias("_q")).select(
+        "_qg", *[F.col("_q")[i].alias(f"q{i}") for i in range(len(probs))])
+    big_q = _select(body.join(big_keys, "_qg", "left_semi"), big.select("_qg", "_n", "_lo", "_hi"), n_big,
+                    ["_qg"], probs, small_group_rows, buckets)
     names = stats.select("_qg", *keys)
-    q = _select(frame.select("_qg", "_y", "_w"), stats.select("_qg", "_n", "_lo", "_hi"), n_groups, ["_qg"],
-                probs, small_group_rows, buckets)
-    return names.join(q, "_qg").drop("_qg"), n_groups
+    return names.join(small_q.unionByName(big_q), "_qg").drop("_qg"), n_groups
 
 
 def _select(frame, stats, n_groups, keys, probs, small_group_rows, buckets):
