@@ -3,11 +3,9 @@ sorts and scalar functions (P, J, A1-A4, U, L, F)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sylvan.functions import scalar as S
-from sylvan.functions.binning import bin_right_closed
 from sylvan.operators import prep
 from sylvan.plans.common import LI_KEYS, LINEITEM_BINNED_SQL, lineitem_binned, r6
 from sylvan.plans.registry import register
@@ -435,11 +433,3 @@ def code_filter(spark, sf):
 def sigmoid(spark, sf):
     e = table(spark, sf, "events")
     return e.select("event_id", r6(S.sigmoid(F.col("value") / 100 - 1)).alias("p"))
-
-
-def _qty_bins_sql():
-    return LINEITEM_BINNED_SQL
-
-
-# keep the binning helper importable for users of this module
-__all__ = ["players", "bin_right_closed", "Window"]
