@@ -189,7 +189,43 @@ def fit_tree(df: DataFrame, features: list[str], target: str, criterion: str = "
                      n_edges=n_edges, level_sizes=sizes)
 
 
+# Trees up to this many nodes are compiled into one CASE expression: scoring is
+# then a projection inside whole-stage codegen (no joins, nothing broadcast
+# beyond the expression itself).  Larger trees are scored by joins.
+CASE_MAX_NODES = 256
+
+
+def compile_case(model: TreeModel) -> Column:
+    """The tree as one nested CASE over the feature columns (model size is count-gated)."""
+    nodes = {r["node_id"]: r for r in model.nodes.select(
+        "node_id", "is_leaf", "split_idx", "first_child", "prediction").collect()}
+    children: dict = {}
+    for e in model.edges.select("node_id", "value", "child_id").collect():
+        children.setdefault(e["node_id"], []).append((e["value"], e["child_id"]))
+    dtype = dict(model.nodes.dtypes)["prediction"]
+
+    def build(node_id):
+        r = nodes[node_id]
+        if r["is_leaf"] or not children.get(node_id):
+            return F.lit(r["prediction"]).cast(dtype)
+        x = F.col(model.features[r["split_idx"]]).cast("string")
+        expr = None
+        for value, child in sorted(children[node_id]):
+            cond = x == F.lit(value)
+            expr = F.when(cond, build(child)) if expr is None else expr.when(cond, build(child))
+        return expr.otherwise(build(r["first_child"]))  # unseen or null value
+
+    return build("R")
+
+
 def predict(model: TreeModel, df: DataFrame, out_col: str = "prediction") -> DataFrame:
+    """Score rows; a small model is one CASE projection, a large one joins level by level."""
+    if model.n_nodes <= CASE_MAX_NODES:
+        return df.withColumn(out_col, compile_case(model))
+    return predict_by_joins(model, df, out_col)
+
+
+def predict_by_joins(model: TreeModel, df: DataFrame, out_col: str = "prediction") -> DataFrame:
     """Route rows level by level; unseen or null values follow the first child.
 
     The root's split comes from the model's one root row, so every row starts

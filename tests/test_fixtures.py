@@ -122,3 +122,17 @@ def test_ordered_label_majority_tie(spark):
     m_cat = fit_tree(df, ["f"], "y", "gini", order_by=["row_id"], label_order=["Low", "Medium", "High", "Elite"])
     assert m_text.nodes.first()["prediction"] == "High"
     assert m_cat.nodes.first()["prediction"] == "Low"
+
+
+def test_case_compiled_and_join_scoring_agree(spark, weather, prices):
+    from sylvan.operators.tree import compile_case, predict_by_joins
+    probe = spark.createDataFrame([("Foggy", "Cool"), ("Rainy", "Hot"), (None, "Hot"), ("Sunny", "Mild")],
+                                  "Weather string, Temp string")
+    m = fit_tree(weather, ["Weather", "Temp"], "Play", "information_gain", order_by=["row_id"])
+    a = [r["prediction"] for r in probe.withColumn("prediction", compile_case(m)).collect()]
+    b = [r["prediction"] for r in predict_by_joins(m, probe).collect()]
+    assert a == b == ["Yes", "Yes", "No", "No"]
+    r = fit_tree(prices, ["Size", "Location"], "Price", "mse", order_by=["row_id"])
+    a = sorted(x["prediction"] for x in prices.withColumn("prediction", compile_case(r)).collect())
+    b = sorted(x["prediction"] for x in predict_by_joins(r, prices).collect())
+    assert a == pytest.approx(b)
