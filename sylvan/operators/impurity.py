@@ -187,11 +187,16 @@ def unpivot_features(frame: DataFrame, feature_cols: list[str], keep: list[str],
     return out
 
 
-def gains_from_frames(node_frame: DataFrame, value_frame: DataFrame, node_key: list[str],
-                      kind: str, rows_bound: int | None = None) -> DataFrame:
-    """Gain of every (node, f): parent impurity minus the N-weighted child impurity."""
-    parent = summarize(node_frame, node_key, kind, rows_bound).select(
-        *node_key, impurity_of(kind).alias("parent_impurity"))
+def gains_from_frames(node_frame: DataFrame | None, value_frame: DataFrame, node_key: list[str],
+                      kind: str, rows_bound: int | None = None, parent: DataFrame | None = None) -> DataFrame:
+    """Gain of every (node, f): parent impurity minus the N-weighted child impurity.
+
+    ``parent`` (node_key.., parent_impurity) may be passed when the caller has
+    already summarised the nodes, so that pass is not repeated.
+    """
+    if parent is None:
+        parent = summarize(node_frame, node_key, kind, rows_bound).select(
+            *node_key, impurity_of(kind).alias("parent_impurity"))
     child = summarize(value_frame, node_key + ["f", "v"], kind, rows_bound).select(
         *node_key, "f", "N", impurity_of(kind).alias("imp"))
     weighted = child.groupBy(*node_key, "f").agg(

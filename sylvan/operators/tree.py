@@ -130,7 +130,8 @@ def fit_tree(df: DataFrame, features: list[str], target: str, criterion: str = "
         evaluated = ~F.col("_constant") & (F.col("n") >= F.lit(min_samples_split)) & F.lit(level_open)
         if level_open:
             long = unpivot_features(frontier, fcols, ["node_id"] + stat_cols, used_col="used")
-            gains = gains_from_frames(frontier.select("node_id", *stat_cols), long, ["node_id"], kind, n_cells)
+            parent = stats.select("node_id", F.col("impurity").alias("parent_impurity"))
+            gains = gains_from_frames(None, long, ["node_id"], kind, n_cells, parent=parent)
             stats = stats.join(best_split(gains, ["node_id"]), "node_id", "left")
         else:
             stats = stats.withColumn("best_f", F.lit(None).cast("int")).withColumn(
