@@ -341,6 +341,15 @@ def html_inventory(spark, sf):
     return H.tag_inventory(_driver_els(spark, sf), ["page_id"])
 
 
+@register("html_tag_sequence",
+          f"SELECT page_id, ord, lower(tag) AS tag FROM (SELECT page_id, generate_subscripts(t, 1) AS ord, "
+          f"unnest(t) AS tag FROM (SELECT page_id, regexp_extract_all({_STRIP}, '<([a-zA-Z][a-zA-Z0-9]*)', 1) AS t "
+          f"FROM pages))")
+def html_tag_sequence(spark, sf):
+    """H1 check on real pages: every element's tag in document order (ord 1, 2, ...)."""
+    return _driver_els(spark, sf).where(F.col("ord") > 0).select("page_id", "ord", "tag")
+
+
 @register("page_range",
           "SELECT o_orderkey, o_orderkey // 60 AS page_no FROM orders WHERE o_orderkey // 60 BETWEEN 3 AND 7")
 def page_range(spark, sf):
