@@ -232,7 +232,11 @@ def player_details(spark, sf):
                     F.col("stats")["FK_Accuracy"].alias("fk_accuracy"))
 
 
-@register("regex_work_rate_page")
+# F10 on detail pages: after the first "Work Rate" the lazy match reaches the
+# "Rates: x / y" paragraph (the list items carry no slash), so the raw words x/y.
+@register("regex_work_rate_page",
+          "SELECT p_partkey, ['low', 'MEDIUM', 'High'][p_partkey % 3 + 1] || '/' || "
+          "['High', 'low', 'medium'][p_partkey % 3 + 1] AS work_rate_page FROM part")
 def regex_work_rate_page(spark, sf):
     return H.page_text_fields(_detail_els(spark, sf), ["p_partkey"]).select("p_partkey", "work_rate_page")
 
@@ -324,10 +328,27 @@ def html_elements_q(spark, sf):
     return _driver_els(spark, sf).select("page_id", "ord", "parent_ord", "depth", "tag")
 
 
-@register("html_text")
+# The character references that occur in the driver's pages, decoded
+# by the oracle (the parser decodes every reference itself).
+_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&copy;", "©"),
+             ("&middot;", "·"), ("&amp;", "&")]
+
+
+def _visible_text_sql():
+    t = ("regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), "
+         "'(?is)<script[^>]*>.*?</script>', '', 'g'), '(?is)<style[^>]*>.*?</style>', '', 'g'), '<[^>]*>', '', 'g')")
+    for ent, ch in _ENTITIES:
+        t = f"replace({t}, '{ent}', '{ch}')"
+    return t
+
+
+@register("html_text",
+          f"SELECT page_id, CAST(length(t) AS BIGINT) AS n_chars, t AS text FROM "
+          f"(SELECT page_id, {_visible_text_sql()} AS t FROM pages)")
 def html_text(spark, sf):
+    """H9: the whole visible text of each page (script, style and comments excluded)."""
     d = _driver_els(spark, sf).where(F.col("ord") == 0)
-    return d.select("page_id", F.length("text").alias("n_chars"), "text")
+    return d.select("page_id", F.length("text").cast("bigint").alias("n_chars"), "text")
 
 
 _STRIP = ("regexp_replace(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'), "
