@@ -8,9 +8,10 @@ so Spark runs partial (map-side) aggregation before each shuffle.
 Summary statistics per group:
   classification  N, S = sum c*log2(c), Q = sum c^2, majority label, #labels
                   entropy = log2 N - S/N ;  gini = 1 - Q/N^2
-  mse             N, mean, M2 (merged with Chan's rule, no sum-of-squares)
-                  mse = M2/N
-  mae             N, exact median, AD = sum |y - median|;  mae = AD/N
+  mse             N, mean, M2 = sum m2 + sum s^2/n - S^2/N over mean-centred
+                  cell sums (one pass, no window);  mse = M2/N
+  mae             N, exact median (size-gated, ``quantile.py``),
+                  AD = sum |y - median|;  mae = AD/N
 """
 
 from __future__ import annotations
