@@ -59,8 +59,8 @@ class TreeModel:
     n_edges: int
     level_sizes: list[int] = field(default_factory=list)
 
-    def predict(self, df: DataFrame, out_col: str = "prediction") -> DataFrame:
-        return predict(self, df, out_col)
+    def predict(self, df: DataFrame, out_col: str = "prediction", compiled: bool = False) -> DataFrame:
+        return predict(self, df, out_col, compiled)
 
     def rules(self) -> DataFrame:
         """T5: one row per leaf: rule text, depth, prediction, n."""
@@ -190,9 +190,9 @@ def fit_tree(df: DataFrame, features: list[str], target: str, criterion: str = "
                      n_edges=n_edges, level_sizes=sizes)
 
 
-# Trees up to this many nodes are compiled into one CASE expression: scoring is
-# then a projection inside whole-stage codegen (no joins, nothing broadcast
-# beyond the expression itself).  Larger trees are scored by joins.
+# Scoring by broadcast hash joins measured faster than the compiled CASE form
+# (77-node tree, 600k rows: 2.3 s vs 1.3 s to build + 3.5 s to run), so the
+# compiled form is opt-in (``predict(..., compiled=True)``), capped at this size.
 CASE_MAX_NODES = 256
 
 
@@ -219,9 +219,10 @@ def compile_case(model: TreeModel) -> Column:
     return build("R")
 
 
-def predict(model: TreeModel, df: DataFrame, out_col: str = "prediction") -> DataFrame:
-    """Score rows; a small model is one CASE projection, a large one joins level by level."""
-    if model.n_nodes <= CASE_MAX_NODES:
+def predict(model: TreeModel, df: DataFrame, out_col: str = "prediction", compiled: bool = False) -> DataFrame:
+    """Score rows by count-gated broadcast joins, level by level; with
+    ``compiled=True`` a model of at most CASE_MAX_NODES nodes becomes one CASE projection."""
+    if compiled and model.n_nodes <= CASE_MAX_NODES:
         return df.withColumn(out_col, compile_case(model))
     return predict_by_joins(model, df, out_col)
 
