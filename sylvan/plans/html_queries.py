@@ -79,7 +79,8 @@ def html_links(spark, sf):
 
 
 _PLAYER_SQL = (
-    "SELECT c_name AS name, c_nationkey + 17 AS age, 50 + c_custkey % 40 AS overall, 55 + c_custkey % 40 AS potential, "
+    "SELECT c_name AS name, c_nationkey + 17 AS age, CAST(50 + c_custkey % 40 AS INTEGER) AS overall, "
+    "CAST(55 + c_custkey % 40 AS INTEGER) AS potential, "
     "CASE WHEN c_acctbal < 0 THEN 'Free Agent' ELSE c_mktsegment END AS team, "
     "'€' || (c_custkey % 100) || '.5M' AS value_raw, '€' || (c_nationkey * 3) || 'K' AS wage_raw, "
     "CAST(((c_custkey % 100) + 0.5) * 1000000 AS DOUBLE) AS value_numeric, CAST(c_nationkey * 3 * 1000 AS DOUBLE) AS wage_numeric, "
@@ -363,7 +364,7 @@ def html_inventory(spark, sf):
 
 
 @register("html_tag_sequence",
-          f"SELECT page_id, ord, lower(tag) AS tag FROM (SELECT page_id, generate_subscripts(t, 1) AS ord, "
+          f"SELECT page_id, CAST(ord AS INTEGER) AS ord, lower(tag) AS tag FROM (SELECT page_id, generate_subscripts(t, 1) AS ord, "
           f"unnest(t) AS tag FROM (SELECT page_id, regexp_extract_all({_STRIP}, '<([a-zA-Z][a-zA-Z0-9]*)', 1) AS t "
           f"FROM pages))")
 def html_tag_sequence(spark, sf):

@@ -86,7 +86,7 @@ def _hist_sql(bins=20):
         f"c AS (SELECT l.feature, CASE WHEN s.hi = s.lo THEN 1 ELSE least(CAST(floor((l.v - s.lo) / (s.hi - s.lo) * {bins}) AS INTEGER) + 1, {bins}) END AS bin, "
         f"count(*) AS n FROM l JOIN s ON l.feature = s.feature GROUP BY 1, 2), "
         f"g AS (SELECT feature, lo, hi, unnest(generate_series(1, {bins})) AS bin FROM s) "
-        f"SELECT g.feature, g.bin, round(g.lo + (g.bin - 1) * (g.hi - g.lo) / {bins}, 6) + 0.0 AS bin_lo, "
+        f"SELECT g.feature, CAST(g.bin AS INTEGER) AS bin, round(g.lo + (g.bin - 1) * (g.hi - g.lo) / {bins}, 6) + 0.0 AS bin_lo, "
         f"round(g.lo + g.bin * (g.hi - g.lo) / {bins}, 6) + 0.0 AS bin_hi, coalesce(c.n, 0) AS n "
         f"FROM g LEFT JOIN c ON g.feature = c.feature AND g.bin = c.bin")
 
@@ -161,9 +161,9 @@ def _lr_sql(output, epochs=LR_EPOCHS, lr=LR_RATE):
         ctes.append(f"b{e + 1} AS (SELECT any_value(b{e}.b) - {lr} * avg(p{e}.p - p{e}.y) AS b FROM p{e} CROSS JOIN b{e})")
     head = "WITH " + ",\n".join(ctes) + "\n"
     if output == "standard_scale":
-        return head + "SELECT vec_id, idx, round(z, 6) + 0.0 AS z FROM z"
+        return head + "SELECT vec_id, CAST(idx AS INTEGER) AS idx, round(z, 6) + 0.0 AS z FROM z"
     if output == "weights":
-        return head + (f"SELECT idx, round(w, 6) + 0.0 AS weight FROM w{epochs} UNION ALL "
+        return head + (f"SELECT CAST(idx AS INTEGER) AS idx, round(w, 6) + 0.0 AS weight FROM w{epochs} UNION ALL "
                        f"SELECT -1, round(b, 6) + 0.0 FROM b{epochs}")
     if output == "loss":
         return head + " UNION ALL ".join(f"SELECT epoch, round(loss, 6) + 0.0 AS loss FROM loss{e}"
