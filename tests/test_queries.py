@@ -9,6 +9,10 @@ from tools.oracle_check import _approx, _rows
 
 from .conftest import SF001
 
+# result types must agree too (the driver compares schemas)
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "float": "FLOAT"}
+
 QUERIES = E.queries()
 ORACLES = E.oracle_sql()
 
@@ -38,9 +42,13 @@ def test_query_matches_oracle(spark, con, name):
     if name not in ORACLES:
         assert len(srows) >= 0
         return
-    cur = con.execute(ORACLES[name])
-    dcols = [d[0] for d in cur.description]
-    drows = cur.fetchall()
+    rel = con.sql(ORACLES[name])
+    spark_types = {f.name.lower(): SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in sdf.schema.fields}
+    duck_types = {c.lower(): str(t) for c, t in zip(rel.columns, rel.types)}
+    assert spark_types == duck_types
+    dcols = list(rel.columns)
+    drows = rel.fetchall()
     sc, sr = _rows(sdf.columns, srows)
     dc, dr = _rows(dcols, drows)
     assert sc == dc
