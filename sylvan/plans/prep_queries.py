@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sylvan.functions import scalar as S
 from sylvan.operators import prep
+from sylvan.operators.joins import broadcast_if_small
 from sylvan.plans.common import LI_KEYS, LINEITEM_BINNED_SQL, lineitem_binned, r6
 from sylvan.plans.registry import register
 from sylvan.sources.tables import table
@@ -145,9 +146,10 @@ def keyed_update(spark, sf):
 @register("label_lookup",
           "SELECT n.n_nationkey, n.n_name, r.r_name FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey")
 def label_lookup(spark, sf):
-    n, r = table(spark, sf, "nation"), table(spark, sf, "region")
-    # region is a fixed 5-row dimension: a proven bound, so broadcast it.
-    return n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name")
+    n, r = table(spark, sf, "nation"), table(spark, sf, "region").select("r_regionkey", "r_name")
+    # the dimension side is broadcast only after its size is measured
+    r = broadcast_if_small(r, r.count())
+    return n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name")
 
 
 # --------------------------------------------------------------------------- A1-A4
