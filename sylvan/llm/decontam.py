@@ -61,11 +61,10 @@ def item_sketches(items: DataFrame, id_col: str, text_col: str, threshold: float
     m = values_needed(threshold)
     base = (items.select(F.col(id_col).alias("item_id"), words_of(F.col(text_col)).alias("w"))
             .select("item_id", F.array_sort(F.array_distinct(shingle_hashes(F.col("w"), n))).alias("shingles"))
-            .where(F.size("shingles") > 0)
             .withColumn("n_shingles", F.size("shingles")))
     # partitions: up to m shingles all are kept; in each doubling above, a part of the m may repeat a word run
     # across items, so one more value per doubling is kept
-    size_class = F.greatest(F.lit(0), F.ceil(F.log2(F.col("n_shingles") / m))).cast("int")
+    size_class = F.greatest(F.lit(0), F.ceil(F.log2(F.greatest("n_shingles", F.lit(1)) / m))).cast("int")
     return (base.withColumn("size_class", size_class)
             .withColumn("sketch", F.slice("shingles", 1, F.lit(m) + F.col("size_class"))))
 
@@ -75,7 +74,7 @@ def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     """``doc_id, item_id, n_shingles, n_shared, containment`` of every document that holds an item."""
     spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "decontam")
     item_sketches(items, item_id_col, item_text_col, threshold, n).write.parquet(f"{path}/items")
-    sketches = spark.read.parquet(f"{path}/items")
+    sketches = spark.read.parquet(f"{path}/items").where(F.col("n_shingles") > 0)
     values = sketches.select("item_id", F.explode("sketch").alias("h"))
     n_values, = sketches.agg(F.coalesce(F.sum(F.size("sketch")), F.lit(0))).first()
     if n_values <= BROADCAST_ROWS:
@@ -85,7 +84,8 @@ def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     # the words are a column of their own: inside the lambda they would be split again for each shingle
     hashed = (base.withColumn("w", words_of(F.col("text")))
               .select("doc_id", "version", shingle_hashes(F.col("w"), n).alias("hs")))
-    (hashed.select("doc_id", "version", F.explode("hs").alias("h")).join(values, "h")
+    # explode_outer: a plain explode adds a filter that is pushed below the words and splits them for each shingle
+    (hashed.select("doc_id", "version", F.explode_outer("hs").alias("h")).join(values, "h")
      .select("doc_id", "version", "item_id").distinct().write.parquet(f"{path}/candidates"))
     found = spark.read.parquet(f"{path}/candidates")
 
@@ -96,8 +96,8 @@ def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
              .dropDuplicates(["doc_id", "version"])
              .withColumn("w", words_of(F.col("text")))
              .select("doc_id", "version", F.array_distinct(shingle_hashes(F.col("w"), n)).alias("hs")))
-    pairs = found.join(sketches.select("item_id", "shingles", "n_shingles"), F.col("item_id").eqNullSafe(sketches["item_id"])) \
-        .select("doc_id", "version", found["item_id"], "shingles", "n_shingles")
+    sets = sketches.select(F.col("item_id").alias("i"), "shingles", "n_shingles")
+    pairs = found.join(sets, F.col("item_id").eqNullSafe(F.col("i"))).drop("i")
     shared = F.size(F.array_intersect("hs", "shingles"))
     return (pairs.join(texts.withColumnsRenamed({"doc_id": "d", "version": "v"}),
                        F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("version") == F.col("v")))
