@@ -1,7 +1,74 @@
-"""placeholder until the stages are written"""
-STAGES = []
+"""A corpus pipeline over ``documents``: five stages, each one operator of ``sylvan.llm``.
+
+Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; ``run``
+writes it as Parquet to the shared folder and hands the next stage what it
+reads back.  All stages but the last return the columns of ``documents``.
+
+* ``language``       drops documents in which no language can be told (null
+                     text or no letter); the rest stay as they are
+* ``line_dedup``     takes lines found in ten or more documents out of texts
+* ``near_dups``      keeps one document of each near-duplicate group: the one
+                     with the smallest id
+* ``decontaminate``  drops documents that hold a benchmark item
+* ``bpe``            encodes and decodes the texts and returns their digests
+
+Defined results: repeated rows are exact copies, of which one stays; documents
+without a word have no near duplicates and stay; a text that line dedup
+empties stays as an empty text.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from sylvan.llm import bpe, decontam, langid, line_dedup, near_dups
+from sylvan.llm.queries import BYTE_BPE
+from sylvan.session import scratch_path
+from sylvan.sources.tables import table
+
+
+def language(spark, docs, sf_dir):
+    model = langid.train(docs.where(~langid.held_out()))
+    return (docs.withColumn("__lang", langid.predict(F.col("text"), model)["lang_pred"])
+            .where(F.col("__lang") != langid.UNDETERMINED).drop("__lang"))
+
+
+def dedup_lines(spark, docs, sf_dir):
+    return line_dedup.drop_repeated_lines(docs).drop("__n_lines", "__n_dropped")
+
+
+def dedup_documents(spark, docs, sf_dir):
+    found = near_dups.near_duplicates(docs)
+    gone = found.where(~F.col("is_kept")).select(F.col("doc_id").alias("__doc"), F.col("version").alias("__gone")).distinct()
+    version = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    here = docs.withColumn("__version", version)
+    kept = here.join(gone, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__version") == F.col("__gone")), "left_anti")
+    has_word = F.coalesce(F.regexp_like("text", F.lit(r"[\p{L}\p{N}]")), F.lit(False))
+    # repeats of a kept row: the same id and text
+    return (kept.withColumn("__own", F.when(~has_word, F.monotonically_increasing_id()))
+            .dropDuplicates(["doc_id", "__version", "__own"]).drop("__version", "__own"))
+
+
+def decontaminate(spark, docs, sf_dir):
+    found = decontam.find_items(docs, table(spark, sf_dir, "benchmark"))
+    holders = found.select(F.col("doc_id").alias("__doc")).distinct()
+    return docs.join(holders, F.col("doc_id").eqNullSafe(F.col("__doc")), "left_anti")
+
+
+def encode(spark, docs, sf_dir):
+    return bpe.round_trip(docs, BYTE_BPE)
+
+
+STAGES = [("language", language), ("line_dedup", dedup_lines), ("near_dups", dedup_documents),
+          ("decontaminate", decontaminate), ("bpe", encode)]
+
+#: The mixture model, the pruned join and the tokenizer have no SQL form; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    raise NotImplementedError
+    docs, path = table(spark, sf_dir, "documents"), scratch_path(spark, "pipeline")
+    for k, (name, stage) in enumerate(STAGES):
+        stage(spark, docs, sf_dir).write.parquet(f"{path}/{k}-{name}")
+        docs = spark.read.parquet(f"{path}/{k}-{name}")
+    return docs

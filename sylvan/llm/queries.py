@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from sylvan.llm import bpe, decontam, line_dedup, token_counts, token_files, warc
+from sylvan.llm import bpe, decontam, langid, licences, line_dedup, multi_index, near_dups, token_counts, token_files, warc
 from sylvan.session import scratch_path
 from sylvan.sources.tables import table
 
@@ -91,3 +91,24 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
 FROM m GROUP BY doc_id
 """
+
+
+@query
+def op2_nearest_vectors(spark, sf_dir):
+    return multi_index.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query
+def op3_language(spark, sf_dir):
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_licences(spark, sf_dir):
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_near_duplicates(spark, sf_dir):
+    found = near_dups.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "copy_id", "n_links")
