@@ -19,17 +19,18 @@ from __future__ import annotations
 import heapq
 import re
 import unicodedata
+from array import array
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sylvan.llm.bytelevel import Vocabulary
 
 SCAN_BYTES = 256
-CACHE_WORDS = 150_000
+CACHE_WORDS = 300_000
 
 NO_RANK = 1 << 60
 
@@ -51,13 +52,28 @@ def plain_pattern():
                       f"|[{space}]+(?![^{space}])|[{space}]+")
 
 
+class _Known(dict):
+    """Words and their ids as u32 bytes; a missing word is taken from the older generation or encoded."""
+
+    def __init__(self, encoder, old):
+        super().__init__()
+        self.encoder, self.old = encoder, old
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = array("I", self.encoder.merge(word.encode())).tobytes()
+        if len(word) <= 64:
+            self[word] = ids
+        return ids
+
+
 class RankArrayEncoder:
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         self.vocab = Vocabulary(path)
         self.pre_tokenizer = Tokenizer.from_file(path).pre_tokenizer
         self.cache_words = cache_words
-        self.young: dict[str, list[int]] = {}
-        self.old: dict[str, list[int]] = {}
+        self.known = _Known(self, {})
         specials = sorted(self.vocab.special, key=len, reverse=True)
         self.split_special = re.compile("(" + "|".join(map(re.escape, specials)) + ")") if specials else None
         self.plain_words = plain_pattern().findall
@@ -105,38 +121,22 @@ class RankArrayEncoder:
                 heapq.heappush(heap, (r[0], h, parts[h], parts[i]))
         return [p for p in parts if p >= 0]
 
-    def word_ids(self, word: str) -> list[int]:
-        """A cached encoding; the older half of the cache is dropped when the younger is full."""
-        ids = self.old.get(word)
-        if ids is None:
-            ids = self.merge(word.encode())
-        if len(word) <= 64:
-            if len(self.young) >= self.cache_words:
-                self.old, self.young = self.young, {}
-            self.young[word] = ids
-        return ids
-
     def words(self, text: str) -> list[str]:
         if not BEYOND_PLAIN(text):
             return self.plain_words(text)
         return [text[a:b] for _, (a, b) in self.pre_tokenizer.pre_tokenize_str(text)]
 
-    def encode(self, text: str) -> list[int]:
+    def encode(self, text: str) -> bytes:
+        """The ids of a text as u32 bytes."""
         if self.split_special and any(s in text for s in self.vocab.special):
             out = []
             for part in self.split_special.split(text):
                 special = self.vocab.special.get(part)
-                out += self.encode(part) if special is None else [special]
-            return out
-        out: list[int] = []
-        extend, get, miss = out.extend, self.young.get, self.word_ids
-        for w in self.words(text):
-            ids = get(w)
-            if ids is None:
-                ids = miss(w)
-                get = self.young.get
-            extend(ids)
-        return out
+                out.append(self.encode(part) if special is None else array("I", [special]).tobytes())
+            return b"".join(out)
+        if len(self.known) > self.cache_words:
+            self.known = _Known(self, {**self.known})
+        return b"".join(map(self.known.__getitem__, self.words(text)))
 
 
 class Decoder:
@@ -162,18 +162,28 @@ def _worker(kind, path: str):
     return _CACHE[key]
 
 
-def encode(text: Column, tokenizer_path: str) -> Column:
-    """``array<int>`` of token ids of a text column (null: no ids)."""
+def _flat(arrays: pa.Array):
+    """The values of a list array and each row's bounds in them."""
+    offsets = arrays.offsets.to_numpy()
+    return arrays.values.to_numpy(zero_copy_only=False).tolist() if len(arrays) else [], offsets
+
+
+def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, ids``: the token ids (``array<int>``) of each row's whole text."""
+    id_type = docs.schema[id_col].dataType.simpleString()
 
-    @F.arrow_udf("array<int>")
-    def bpe_encode(texts: pa.Array) -> pa.Array:
+    def run(batches):
         enc = _worker(RankArrayEncoder, tokenizer_path)
-        ids = [np.array(enc.encode(t.as_py() or ""), np.int32) for t in texts]
-        offsets = np.zeros(len(ids) + 1, np.int32)
-        np.cumsum([len(x) for x in ids], out=offsets[1:])
-        return pa.ListArray.from_arrays(offsets, np.concatenate([np.empty(0, np.int32), *ids]))
+        for batch in batches:
+            ids = [enc.encode(t.as_py() or "") for t in batch.column(1)]
+            offsets = np.zeros(len(ids) + 1, np.int32)
+            np.cumsum([len(x) // 4 for x in ids], out=offsets[1:])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.ListArray.from_arrays(offsets, np.frombuffer(b"".join(ids), np.int32))],
+                names=["doc_id", "ids"])
 
-    return bpe_encode(text)
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
+        run, f"doc_id {id_type}, ids array<int>")
 
 
 def decode(ids: Column, tokenizer_path: str) -> Column:
@@ -182,15 +192,16 @@ def decode(ids: Column, tokenizer_path: str) -> Column:
     @F.arrow_udf("string")
     def bpe_decode(arrays: pa.Array) -> pa.Array:
         dec = _worker(Decoder, tokenizer_path)
-        return pa.array([None if (x := a.as_py()) is None else dec.decode(x) for a in arrays], pa.string())
+        values, at = _flat(arrays)
+        return pa.array([None if null else dec.decode(values[a:b])
+                         for null, a, b in zip(arrays.is_null().to_pylist(), at, at[1:])], pa.string())
 
     return bpe_decode(ids)
 
 
-def round_trip(docs, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text"):
+def round_trip(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: the id, token count, and SHA-256 of the ids and of the text decoded from them."""
-    ids = docs.select(F.col(id_col).alias("doc_id"), encode(F.col(text_col), tokenizer_path).alias("ids"))
-    return ids.select(
+    return encode(docs, tokenizer_path, id_col, text_col).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2(decode(F.col("ids"), tokenizer_path), 256).alias("decoded_sha256"))
