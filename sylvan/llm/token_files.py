@@ -34,9 +34,11 @@ import re
 import struct
 import unicodedata
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,7 +51,8 @@ LANES = 32
 CHECKPOINT_STEPS = 256
 SCALE_BITS = 20
 BATCH_BLOCKS = 24
-CACHE_WORDS = 400_000
+CACHE_WORDS = 450_000
+SLICE_BYTES = 4 << 20
 
 LOW = np.uint64(1 << 31)
 WORD = np.uint64(32)
@@ -190,6 +193,9 @@ NOT_PLAIN = re.compile(f"[^\0-\u012f\u0131-{chr(PLAIN_END - 1)}]|[<|>]").search
 ALPHABET = {b: c for c, b in byte_alphabet().items()}
 
 
+STOPS = (",", ".")
+
+
 def _plain_pieces():
     chars = [chr(i) for i in range(PLAIN_END)]
     letter = re.escape("".join(c for c in chars if unicodedata.category(c)[0] == "L"))
@@ -202,6 +208,21 @@ def _plain_pieces():
 PLAIN_PIECES = _plain_pieces()
 
 
+class _Known(dict):
+    """Words and their ids as u32 bytes; a missing word is taken from the older generation or encoded."""
+
+    def __init__(self, cache, old):
+        super().__init__()
+        self.cache, self.old = cache, old
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self.cache.word(word)
+        self[word] = ids
+        return ids
+
+
 class WordCache:
     """The library's ids (u32 bytes), word by word: no token, pattern or normaliser step crosses a
     blank or newline.  Words are kept in two generations; the older is dropped when the younger is full."""
@@ -211,33 +232,55 @@ class WordCache:
         self.tok.no_truncation()
         self.tok.no_padding()
         self.tokenize = self.tok.model.tokenize
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def encode(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
-        young, old, new = self.young, self.old, []
-        for w in {*words}:
-            if w not in young:
-                ids = old.get(w)
-                if ids is None:
-                    new.append(w)
-                else:
-                    young[w] = ids
-        rare = []
-        for w in new:
-            if NOT_PLAIN(w):
-                rare.append(w)
-            else:  # the library's own model, past a normaliser and splitter that such words need not pass
-                young[w] = np.array([t.id for piece in PLAIN_PIECES(w.lower())
-                                     for t in self.tokenize(piece.encode().decode("latin-1").translate(ALPHABET))],
-                                    "<u4").tobytes()
-        for w, e in zip(rare, self.tok.encode_batch_fast(rare, add_special_tokens=False) if rare else ()):
-            young[w] = np.array(e.ids, "<u4").tobytes()
-        out = b"".join([young[w] for w in words])
-        if len(young) > CACHE_WORDS:
-            self.old, self.young = young, {}
-        return out
+        self.words = _Known(self, {})
+        self.pieces: dict[str, bytes] = {}
+
+    def word(self, word: str) -> bytes:
+        if word.isascii():
+            if word.isalpha():
+                return self.piece(word.lower())
+            if word[-1:] in STOPS and word[:-1].isalpha():
+                return self.piece(word[:-1].lower()) + self.piece(word[-1])
+        if NOT_PLAIN(word):
+            return np.array(self.tok.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        return b"".join(map(self.piece, PLAIN_PIECES(word.lower())))
+
+    def piece(self, piece: str) -> bytes:
+        """A piece's ids by the library's own model, past a normaliser and splitter that it need not pass."""
+        ids = self.pieces.get(piece)
+        if ids is None:
+            if len(self.pieces) > CACHE_WORDS:
+                self.pieces.clear()
+            known = piece if piece.isascii() and piece.isprintable() else piece.encode().decode("latin-1").translate(ALPHABET)
+            ids = self.pieces[piece] = array("I", [t.id for t in self.tokenize(known)]).tobytes()
+        return ids
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text as u32 bytes; Arrow splits the words and numbers the distinct ones."""
+        lists = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        words = lists.flatten().dictionary_encode()
+        known = list(map(self.words.__getitem__, words.dictionary.to_pylist()))
+        if len(self.words) > CACHE_WORDS:
+            self.words = _Known(self, {**self.words})
+        size = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        first = np.cumsum(size) - size
+        word = words.indices.to_numpy()
+        n = size[word]
+        end = np.concatenate([[0], np.cumsum(n)])
+        at = np.arange(end[-1]) - np.repeat(end[:-1] - first[word], n)
+        ids = np.frombuffer(b"".join(known), "<u4")[at]
+        cut = end[np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])]
+        return [ids[a:b].tobytes() for a, b in zip(cut, cut[1:])]
+
+    def encode_all(self, texts: pa.Array):
+        """The same, a few megabytes of text at a time."""
+        ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy())
+        start = 0
+        while start < len(texts):
+            base = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, base + SLICE_BYTES, "right")))
+            yield from self.encode(texts[start:stop])
+            start = stop
 
 
 _CACHE: dict = {}
@@ -263,8 +306,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
         end = struct.pack("<I", end_id)
         for batch in batches:
             rows, starts, sizes = [], [], []
-            for t in batch.column(1):
-                ids = enc.encode(t.as_py() or "") + end
+            for ids in enc.encode_all(batch.column(1)):
+                ids += end
                 rows.append(ids)
                 starts.append(start)
                 sizes.append(len(ids) // 4)
