@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sylvan.llm import bpe, decontam, langid, line_dedup, near_dups
+from sylvan.llm.joins import stored_keys
 from sylvan.llm.queries import BYTE_BPE
 from sylvan.session import scratch_path
 from sylvan.sources.tables import table
@@ -38,20 +39,25 @@ def dedup_lines(spark, docs, sf_dir):
 
 
 def dedup_documents(spark, docs, sf_dir):
-    found = near_dups.near_duplicates(docs)
-    gone = found.where(~F.col("is_kept")).select(F.col("doc_id").alias("__doc"), F.col("version").alias("__gone")).distinct()
-    version = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    here = docs.withColumn("__version", version)
-    kept = here.join(gone, F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__version") == F.col("__gone")), "left_anti")
-    has_word = F.coalesce(F.regexp_like("text", F.lit(r"[\p{L}\p{N}]")), F.lit(False))
-    # repeats of a kept row: the same id and text
-    return (kept.withColumn("__own", F.when(~has_word, F.monotonically_increasing_id()))
-            .dropDuplicates(["doc_id", "__version", "__own"]).drop("__version", "__own"))
+    path = scratch_path(spark, "pipeline-near-dups")
+    near_dups.near_duplicates(docs).select("doc_id", "version", "is_kept", "has_words").write.parquet(f"{path}/found")
+    found = spark.read.parquet(f"{path}/found")
+    key = [F.col("doc_id").alias("__doc"), F.col("version").alias("__v")]
+    gone = found.where(~F.col("is_kept")).select(*key).distinct()
+    # repeats of a kept row (same id and text): taken out of the main path, and one of each is put back
+    again = (found.where(F.col("is_kept") & F.col("has_words")).groupBy("doc_id", "version").agg(F.count(F.lit(1)).alias("n"))
+             .where("n > 1").select(*key))
+    here = docs.withColumn("__version", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    same = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__version") == F.col("__v"))
+    once = here.join(stored_keys(gone.unionAll(again), f"{path}/out"), same, "left_anti")
+    repeated = here.join(stored_keys(again, f"{path}/again"), same, "left_semi").dropDuplicates(["doc_id", "__version"])
+    return once.unionByName(repeated).drop("__version")
 
 
 def decontaminate(spark, docs, sf_dir):
     found = decontam.find_items(docs, table(spark, sf_dir, "benchmark"))
     holders = found.select(F.col("doc_id").alias("__doc")).distinct()
+    holders = stored_keys(holders, scratch_path(spark, "pipeline-holders"))
     return docs.join(holders, F.col("doc_id").eqNullSafe(F.col("__doc")), "left_anti")
 
 

@@ -30,7 +30,7 @@ from tokenizers import Tokenizer
 from sylvan.llm.bytelevel import Vocabulary
 
 SCAN_BYTES = 256
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 
 NO_RANK = 1 << 60
 
@@ -162,12 +162,6 @@ def _worker(kind, path: str):
     return _CACHE[key]
 
 
-def _flat(arrays: pa.Array):
-    """The values of a list array and each row's bounds in them."""
-    offsets = arrays.offsets.to_numpy()
-    return arrays.values.to_numpy(zero_copy_only=False).tolist() if len(arrays) else [], offsets
-
-
 def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, ids``: the token ids (``array<int>``) of each row's whole text."""
     id_type = docs.schema[id_col].dataType.simpleString()
@@ -192,8 +186,8 @@ def decode(ids: Column, tokenizer_path: str) -> Column:
     @F.arrow_udf("string")
     def bpe_decode(arrays: pa.Array) -> pa.Array:
         dec = _worker(Decoder, tokenizer_path)
-        values, at = _flat(arrays)
-        return pa.array([None if null else dec.decode(values[a:b])
+        values, at = arrays.values.to_numpy(zero_copy_only=False), arrays.offsets.to_numpy()
+        return pa.array([None if null else dec.decode(values[a:b].tolist())
                          for null, a, b in zip(arrays.is_null().to_pylist(), at, at[1:])], pa.string())
 
     return bpe_decode(ids)

@@ -40,6 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sylvan.llm.components import components
+from sylvan.llm.joins import stored_keys
 from sylvan.session import scratch_path
 
 WORDS = 5
@@ -231,7 +232,7 @@ def _verifier(threshold: float, tolerance: float):
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILARITY,
                     tolerance: float = TOLERANCE, block: int = BLOCK) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, version, class_id, copy_id, n_links, is_kept``.
+    """One row per row of ``docs``: ``doc_id, version, class_id, copy_id, n_links, has_words, is_kept``.
 
     ``class_id`` names the near-duplicate group by its smallest id, ``copy_id``
     the rows with an equal shingle set; ``n_links`` counts the other shingle
@@ -264,7 +265,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reps = dealt.join(classes, "node").select("node", "root", "blocks", "block", F.col("doc_id").alias("d"), F.col("version").alias("v"))
     reps.write.parquet(f"{path}/reps")
     reps = spark.read.schema(reps.schema).parquet(f"{path}/reps")
-    texts = (base.join(reps.select("d", "v", "node"), F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("version") == F.col("v")))
+    # (the keys are broadcast while few; beyond that the texts are shuffled once)
+    keys = stored_keys(reps.select("d", "v", "node"), f"{path}/rep-keys")
+    texts = (base.join(keys, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("version") == F.col("v")))
              .select("node", "text"))
     sets = texts.mapInArrow(_sets, "node long, sig binary, shingles binary").dropDuplicates(["node"])
     units = (sets.join(reps.select("node", "root", "blocks", "block"), "node")
@@ -290,4 +293,5 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.when(lone, F.col("doc_id")).otherwise(F.col("keeper.doc_id")).alias("class_id"),
         F.when(lone, F.col("doc_id")).otherwise(F.col("copy_id")).alias("copy_id"),
         F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        F.col("node").isNotNull().alias("has_words"),
         (lone | (F.col("doc_id").eqNullSafe(F.col("keeper.doc_id")) & (F.col("version") == F.col("keeper.version")))).alias("is_kept"))
