@@ -24,17 +24,16 @@ STAT_NAMES = [
 ]
 
 
-def parse_pages(pages: DataFrame, key: list[str], html_col: str = "html", tags: str = "*") -> DataFrame:
+def parse_pages(pages: DataFrame, key: list[str], html_col: str = "html", tags: str = "*",
+                spread: bool = True) -> DataFrame:
     """Parse once and checkpoint the element table (reused by every extraction).
 
-    Parsing is Python work, so it must run on every task slot: when the page
-    table has fewer partitions than the cluster's default parallelism (a small
-    or single-file input), pages are first spread by their key.  Large inputs
-    already have enough partitions and are parsed where they are.
+    Parsing is Python work, so it must run on every task slot: pages are first
+    spread over the cluster's default parallelism by their key.  With
+    ``spread=False`` they are parsed where they lie, for inputs of many splits.
     """
-    slots = pages.sparkSession.sparkContext.defaultParallelism
-    if pages.rdd.getNumPartitions() < slots:
-        pages = pages.repartition(slots, *key)
+    if spread:
+        pages = pages.repartition(pages.sparkSession.sparkContext.defaultParallelism, *key)
     return cut_lineage(html_elements(pages, html_col, key, tags))
 
 

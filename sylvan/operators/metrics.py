@@ -57,8 +57,8 @@ def classification_report(df: DataFrame, actual: str, pred: str) -> DataFrame:
     per = per.withColumn("f1", F.when(F.col("precision") + F.col("recall") > 0,
                                       2 * F.col("precision") * F.col("recall") /
                                       (F.col("precision") + F.col("recall"))).otherwise(0.0))
-    classes = per.where(F.col("support") > 0)
-    summary = classes.agg(
+    # the averages run over every label, also one that is only predicted (its recall is 0)
+    summary = per.agg(
         F.avg("precision").alias("m_p"), F.avg("recall").alias("m_r"), F.avg("f1").alias("m_f"),
         (F.sum(F.col("precision") * F.col("support")) / F.sum("support")).alias("w_p"),
         (F.sum(F.col("recall") * F.col("support")) / F.sum("support")).alias("w_r"),

@@ -59,7 +59,7 @@ def run_counters(spark, sf):
 EVENTS_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
 
-def _land_events_in_two_arrivals(spark, sf, landing):
+def _land_events_in_two_arrivals(spark, sf):
     """Stage the events table as two arrivals in a landing folder; the second also
     re-delivers the first arrival's clicks (duplicates a restart must absorb)."""
     e = table(spark, sf, "events")
@@ -72,7 +72,7 @@ def _land_events_in_two_arrivals(spark, sf, landing):
 @register("stream_ingest", "SELECT event_id, user_id, event_type, value FROM events")
 def stream_ingest(spark, sf):
     landing, sink, ckpt = (scratch_path(spark, n) for n in ("landing-events", "sink-events", "ckpt-events"))
-    first, second = _land_events_in_two_arrivals(spark, sf, landing)
+    first, second = _land_events_in_two_arrivals(spark, sf)
     first.write.mode("append").parquet(landing)
     ST.run_ingest(spark, landing, EVENTS_SCHEMA, sink, ckpt, ["event_id"], ["ts", "event_id"])
     second.write.mode("append").parquet(landing)
@@ -84,7 +84,7 @@ def stream_ingest(spark, sf):
 @register("stream_dedupe", "SELECT DISTINCT event_type, user_id FROM events")
 def stream_dedupe(spark, sf):
     landing, sink, ckpt = (scratch_path(spark, n) for n in ("landing-dedupe", "sink-dedupe", "ckpt-dedupe"))
-    first, second = _land_events_in_two_arrivals(spark, sf, landing)
+    first, second = _land_events_in_two_arrivals(spark, sf)
     first.write.mode("append").parquet(landing)
     ST.run_dedupe(spark, landing, EVENTS_SCHEMA, ["event_type", "user_id"], sink, ckpt)
     second.write.mode("append").parquet(landing)
@@ -96,25 +96,29 @@ PAGES_SCHEMA = "c_custkey long, html string"
 
 
 @register("stream_enrich",
-          f"SELECT p.idx AS c_custkey, coalesce(nullif(e.position_list, ''), p.position_list) AS position_list, "
-          f"e.work_rate FROM (SELECT c_custkey AS idx, CASE WHEN c_acctbal > 5000 THEN c_mktsegment END AS position_list "
+          f"SELECT p.idx AS c_custkey, CASE WHEN p.position_list IS NULL THEN nullif(e.position_list, '') ELSE p.position_list "
+          f"END AS position_list, CASE WHEN p.position_list IS NULL THEN nullif(e.work_rate, '') END AS work_rate FROM (SELECT c_custkey AS idx, CASE WHEN c_acctbal > 5000 THEN c_mktsegment END AS position_list "
           f"FROM customer) p LEFT JOIN ({HQ.ENRICH_RECORD_SQL}) e ON p.idx = e.c_custkey")
 def stream_enrich(spark, sf):
-    """ST2: players missing fields are enriched from pages arriving in two batches."""
+    """ST2: rows still without a position list are enriched from pages arriving in two batches;
+    pages of rows that have one are not parsed and change nothing."""
     landing, sink, ckpt = (scratch_path(spark, n) for n in ("landing-enrich", "sink-enrich", "ckpt-enrich"))
     pages = HQ.enrich_pages(spark, sf)
     pages.where(F.col("c_custkey") % 2 == 0).write.mode("append").parquet(landing)
 
+    base = table(spark, sf, "customer").select(
+        "c_custkey", F.when(F.col("c_acctbal") > 5000, F.col("c_mktsegment")).alias("position_list"),
+        F.lit(None).cast("string").alias("work_rate"))
+    missing = base.where("position_list IS NULL").select("c_custkey")
+
     def extract(df):
-        return H.enrich_record(H.parse_pages(df, ["c_custkey"], tags="span,li,div,p,a"), ["c_custkey"])
+        todo = df.join(missing, "c_custkey", "left_semi")
+        return H.enrich_record(H.parse_pages(todo, ["c_custkey"], tags="span,li,div,p,a"), ["c_custkey"])
 
     ST.run_keyed_updates(spark, landing, PAGES_SCHEMA, extract, sink, ckpt)
     pages.where(F.col("c_custkey") % 2 == 1).write.mode("append").parquet(landing)
     ST.run_keyed_updates(spark, landing, PAGES_SCHEMA, extract, sink, ckpt)
     upd = ST.latest_updates(spark, sink, ["c_custkey"], ["position_list", "work_rate"])
-    base = table(spark, sf, "customer").select(
-        "c_custkey", F.when(F.col("c_acctbal") > 5000, F.col("c_mktsegment")).alias("position_list"),
-        F.lit(None).cast("string").alias("work_rate"))
     return prep.keyed_update(base, upd, ["c_custkey"], ["position_list", "work_rate"])
 
 

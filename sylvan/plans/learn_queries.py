@@ -120,8 +120,9 @@ _MEMO: dict = {}
 
 
 def _embeddings(spark, sf):
-    e = table(spark, sf, "embeddings").where(F.col("label").isin(0, 1))
-    return sampling.hash_split(e, ["vec_id"], 0.2, seed=42)
+    """All rows; label 1 against the rest; exactly ceil(0.2 n) test rows."""
+    e = table(spark, sf, "embeddings").withColumn("label", (F.col("label") == 1).cast("int"))
+    return sampling.stratified_split(e, None, ["vec_id"], 0.2, seed=42)
 
 
 def _scaled(spark, sf):
@@ -140,8 +141,9 @@ def _lr_model(spark, sf, epochs=LR_EPOCHS, every=1):
 
 def _lr_sql(output, epochs=LR_EPOCHS, lr=LR_RATE):
     ctes = [
-        "base AS (SELECT vec_id, embedding, label, CASE WHEN substr(md5('42:' || CAST(vec_id AS VARCHAR)), 1, 4) "
-        "< '3333' THEN 'test' ELSE 'train' END AS split FROM embeddings WHERE label IN (0, 1))",
+        "base AS (SELECT vec_id, embedding, CASE WHEN label = 1 THEN 1 ELSE 0 END AS label, "
+        "CASE WHEN row_number() OVER (ORDER BY md5('42:' || CAST(vec_id AS VARCHAR))) <= ceil(0.2 * count(*) OVER ()) "
+        "THEN 'test' ELSE 'train' END AS split FROM embeddings)",
         "xl AS (SELECT vec_id, label, split, unnest(generate_series(0, len(embedding) - 1)) AS idx, "
         "CAST(unnest(embedding) AS DOUBLE) AS x FROM base)",
         "st AS (SELECT idx, avg(x) AS mu, CASE WHEN stddev_pop(x) = 0 OR stddev_pop(x) IS NULL THEN 1.0 "

@@ -3,12 +3,15 @@ sorts and scalar functions (P, J, A1-A4, U, L, F)."""
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sylvan.functions import scalar as S
 from sylvan.operators import prep
 from sylvan.operators.joins import broadcast_if_small
-from sylvan.plans.common import LI_KEYS, LINEITEM_BINNED_SQL, lineitem_binned, r6
+from sylvan.plans.common import LI_BINS, LI_KEYS, LINEITEM_BINNED_SQL, lineitem_binned, r6
 from sylvan.plans.registry import register
 from sylvan.sources.tables import table
 
@@ -105,9 +108,9 @@ def distinct_first_seen(spark, sf):
 
 @register("anti_join_new",
           "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN "
-          "(SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)")
+          "(SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL AND o_orderpriority = '1-URGENT')")
 def anti_join_new(spark, sf):
-    seen = table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    seen = table(spark, sf, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey"))
     return prep.skip_seen(table(spark, sf, "customer").select("c_custkey", "c_name"), seen, ["c_custkey"])
 
 
@@ -163,9 +166,13 @@ def agg_shape(spark, sf):
                   F.count_distinct("l_returnflag").alias("n_classes"))
 
 
-@register("value_counts", f"SELECT qty_bin, count(*) AS n FROM {LINEITEM_BINNED_SQL} GROUP BY 1")
+@register("value_counts", f"SELECT qty_bin, CAST(list_position({LI_BINS['qty_bin'][2]}, qty_bin) AS INTEGER) AS ordinal, count(*) AS n "
+          f"FROM {LINEITEM_BINNED_SQL} GROUP BY 1, 2")
 def value_counts(spark, sf):
-    return lineitem_binned(spark, sf).groupBy("qty_bin").agg(F.count(F.lit(1)).alias("n"))
+    """L2: class counts in category order (the ordinal is the position of the bin's label)."""
+    labels = F.array(*map(F.lit, LI_BINS["qty_bin"][2]))
+    return (lineitem_binned(spark, sf).groupBy("qty_bin").agg(F.count(F.lit(1)).alias("n"))
+            .select("qty_bin", F.array_position(labels, F.col("qty_bin")).cast("int").alias("ordinal"), "n").orderBy("ordinal"))
 
 
 @register("baseline_accuracy",
@@ -189,11 +196,11 @@ def describe_target(spark, sf):
 
 
 @register("union_classes",
-          "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F' "
-          "UNION ALL SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'O'")
+          "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus IN ('F', 'O', 'P')")
 def union_classes(spark, sf):
+    """The per-class frames of all classes put together again."""
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
-    return o.where("o_orderstatus = 'F'").unionByName(o.where("o_orderstatus = 'O'"))
+    return reduce(DataFrame.unionByName, [o.where(F.col("o_orderstatus") == c) for c in ("F", "O", "P")])
 
 
 @register("append_new",

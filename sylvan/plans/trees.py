@@ -184,7 +184,7 @@ m AS (SELECT label, support, tp,
     CASE WHEN npred > 0 THEN tp / npred ELSE 0.0 END AS precision,
     CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall FROM per),
 f AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1 FROM m),
-c AS (SELECT * FROM f WHERE support > 0)
+c AS (SELECT * FROM f)
 SELECT label, round(precision, 6) + 0.0 AS precision, round(recall, 6) + 0.0 AS recall, round(f1, 6) + 0.0 AS f1,
        CAST(support AS BIGINT) AS support FROM f
 UNION ALL SELECT 'accuracy', NULL, NULL, round(sum(tp) / sum(support), 6) + 0.0, CAST(sum(support) AS BIGINT) FROM c

@@ -9,12 +9,17 @@ absent -- local tests -- do we create a private folder ourselves.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
 
+_SHIPPED: set[str] = set()
+
+
 def get_spark(master: str | None = None, app: str = "sylvan",
               shuffle_partitions: int | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -33,9 +38,27 @@ def get_spark(master: str | None = None, app: str = "sylvan",
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, so Python workers can import it wherever they run."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(sc.applicationId)
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="sylvan-code-"), "sylvan.zip")  # read by this driver only
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    at = os.path.join(folder, name)
+                    z.write(at, os.path.join("sylvan", os.path.relpath(at, root)))
+    sc.addPyFile(archive)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Return the shared checkpoint directory, configuring it from the session.
 
@@ -53,6 +76,8 @@ def checkpoint_root(spark: SparkSession) -> str:
             configured = spark.conf.get("spark.checkpoint.dir")
         except Exception:  # noqa: BLE001 - unset key
             configured = None
+    if not configured and not re.match(r"local(\[|$)", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not configured:
         configured = tempfile.mkdtemp(prefix="sylvan-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)

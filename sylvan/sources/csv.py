@@ -10,9 +10,13 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
+BOM = "\ufeff"
+
+
 def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
     """Header row, declared schema; a UTF-8 BOM in the header is ignored."""
     return (spark.read.schema(schema).option("header", True).option("encoding", "UTF-8")
@@ -20,8 +24,12 @@ def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def write_csv(df: DataFrame, base: str) -> str:
-    """Full snapshot with header, no index column, to a new version path; returns it."""
+    """Full snapshot with header, no index column, to a new version path; returns it.
+
+    Each file starts with a UTF-8 byte order mark, carried by the first header name.
+    """
     path = f"{base.rstrip('/')}/v-{uuid.uuid4().hex[:12]}"
+    df = df.toDF(*(BOM * (i == 0) + c for i, c in enumerate(df.columns)))
     df.write.mode("errorifexists").option("header", True).csv(path)
     return path
 
@@ -34,12 +42,18 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def load_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
-    """S3: the table at ``path`` if it exists (and reads), else an empty frame of ``schema``."""
-    if path and path_exists(spark, path):
-        try:
-            df = read_csv(spark, path, schema)
-            df.schema  # noqa: B018 - resolve now so an unreadable path falls back
-            return df
-        except Exception:  # noqa: BLE001
-            pass
-    return spark.createDataFrame([], schema)
+    """S3: the table at ``path``, else an empty frame of ``schema``.
+
+    Empty stands for a missing path and for a file that is no such table (its
+    header does not name the schema's columns).  Storage errors are raised.
+    """
+    empty = spark.createDataFrame([], schema)
+    if not path or not path_exists(spark, path):
+        return empty
+    try:
+        header = spark.read.option("header", True).csv(path).columns
+    except AnalysisException:  # no CSV file below the path
+        return empty
+    if [c.removeprefix(BOM) for c in header] != empty.columns:
+        return empty
+    return read_csv(spark, path, schema)

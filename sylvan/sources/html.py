@@ -67,6 +67,13 @@ class _TreeBuilder(HTMLParser):
                 del self.stack[i:]
                 return
 
+    def parse_html_declaration(self, i):
+        """A declaration the library rejects (such as ``<![foo[x]]>``) is skipped like a comment; parsing goes on."""
+        try:
+            return super().parse_html_declaration(i)
+        except AssertionError:
+            return self.parse_bogus_comment(i)
+
     def handle_data(self, data):
         cur = self.nodes[self.stack[-1]]
         cur["own"].append(data)
@@ -84,11 +91,8 @@ def parse_elements(html: str | None, tags: str | None = "*"):
         return []
     wanted = None if tags in (None, "", "*") else frozenset(t.strip() for t in tags.split(","))
     b = _TreeBuilder(wanted)
-    try:
-        b.feed(html)
-        b.close()
-    except Exception:  # noqa: BLE001 - a malformed page yields what was parsed
-        pass
+    b.feed(html)
+    b.close()
     out = []
     for n in b.nodes:
         if wanted is not None and n["ord"] != 0 and n["tag"] not in wanted:

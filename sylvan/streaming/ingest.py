@@ -46,11 +46,15 @@ def run_dedupe(spark: SparkSession, source_dir: str, schema, key: list[str], sin
 
     The state store is RocksDB-backed so the key set may exceed memory.
     """
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
-                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    stream = spark.readStream.schema(schema).parquet(source_dir)
-    q = (stream.dropDuplicates(key).writeStream.format("parquet").option("path", sink)
-         .option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start())
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        stream = spark.readStream.schema(schema).parquet(source_dir)
+        q = (stream.dropDuplicates(key).writeStream.format("parquet").option("path", sink)
+             .option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start())
+    finally:  # the query keeps the setting it started with; other streams keep theirs
+        spark.conf.set(setting, before)
     q.awaitTermination()
 
 
@@ -70,12 +74,16 @@ def run_keyed_updates(spark: SparkSession, source_dir: str, schema, extract, sin
 
 
 def latest_updates(spark: SparkSession, sink: str, key: list[str], fields: list[str]) -> DataFrame:
-    """Fold an update log: per key and field, the latest *truthy* value (non-null, non-empty)."""
+    """Fold an update log: per key and field, the latest *truthy* value (non-null, non-empty).
+
+    Of several values of a key in one batch the largest counts, whatever the row order.
+    """
     log = spark.read.parquet(sink)
     aggs = []
     for f in fields:
         truthy = F.nullif(F.col(f).cast("string"), F.lit(""))
-        aggs.append(F.max_by(truthy, F.when(truthy.isNotNull(), F.col("batch_id"))).alias(f))
+        latest = F.max(F.when(truthy.isNotNull(), F.struct("batch_id", truthy.alias("value"))))
+        aggs.append(latest["value"].alias(f))
     return log.groupBy(*key).agg(*aggs)
 
 
