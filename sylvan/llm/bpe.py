@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sylvan.llm.bytelevel import Vocabulary
+from sylvan.llm.workers import held
 
 SCAN_BYTES = 256
 CACHE_WORDS = 200_000
@@ -152,14 +153,8 @@ class Decoder:
         return b"".join(map(self.table.__getitem__, ids)).decode("utf-8", "replace")
 
 
-_CACHE: dict = {}
-
-
 def _worker(kind, path: str):
-    key = (kind, path)
-    if key not in _CACHE:
-        _CACHE[key] = kind(path)
-    return _CACHE[key]
+    return held("bpe", (kind, path), lambda: kind(path))
 
 
 def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sylvan.llm.workers import held
+
 BUCKETS = 1 << 15
 SAMPLE_PER_LANG = 4000
 UNDETERMINED = "und"
@@ -37,14 +39,9 @@ SMOOTHING = 0.5
 EM_STEPS = 40
 EM_TOLERANCE = 1e-4
 
-_LETTERS: list[np.ndarray] = []
-
-
 def letters() -> np.ndarray:
     """For each code point, whether it is a letter (built once per worker)."""
-    if not _LETTERS:
-        _LETTERS.append(np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000))
-    return _LETTERS[0]
+    return held("langid", "letters", lambda: np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000))
 
 
 def trigrams(text: str) -> np.ndarray:

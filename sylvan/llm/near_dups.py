@@ -41,6 +41,7 @@ from pyspark.sql import functions as F
 
 from sylvan.llm.components import components
 from sylvan.llm.joins import stored_keys
+from sylvan.llm.workers import held
 from sylvan.session import scratch_path
 
 WORDS = 5
@@ -50,7 +51,7 @@ ROWS = 5
 STEP = 15
 TOLERANCE = 1e-6
 BLOCK = 256
-CACHE_WORDS = 400_000
+CACHE_WORDS = 150_000
 
 WORD = re.compile(r"[^\W_]+").findall
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -162,13 +163,8 @@ def linked_pairs(sigs_a, sets_a, sigs_b, sets_b, same: bool, threshold: float, l
         mark[member[i]] = False
 
 
-_WORKER: list[Shingler] = []
-
-
 def _shingler() -> Shingler:
-    if not _WORKER:
-        _WORKER.append(Shingler())
-    return _WORKER[0]
+    return held("near_dups", "shingler", Shingler)
 
 
 def _signed(batches):

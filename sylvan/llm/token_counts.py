@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sylvan.llm.bytelevel import Vocabulary
+from sylvan.llm.workers import held
 
 CHUNK_CHARS = 32_768
 #: Compiled transitions kept per Python worker (a cache; dropped states are compiled again).
@@ -241,14 +242,8 @@ def chunk_maps(tx: CountTransducer, text: str, size: int):
             yield k, True, part[:first], tx.count(part[first:last]), part[last:]
 
 
-_CACHE: dict = {}
-
-
 def _transducer(path: str, max_edges: int = MAX_EDGES) -> CountTransducer:
-    if path not in _CACHE:
-        _CACHE.clear()
-        _CACHE[path] = CountTransducer(path, max_edges)
-    return _CACHE[path]
+    return held("token_counts", path, lambda: CountTransducer(path, max_edges))
 
 
 def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",

@@ -45,6 +45,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sylvan.llm.bytelevel import byte_alphabet
+from sylvan.llm.workers import held
 
 BLOCK_IDS = 1 << 16
 LANES = 32
@@ -283,13 +284,8 @@ class WordCache:
             start = stop
 
 
-_CACHE: dict = {}
-
-
 def _words(path: str) -> WordCache:
-    if path not in _CACHE:
-        _CACHE[path] = WordCache(path)
-    return _CACHE[path]
+    return held("token_files", path, lambda: WordCache(path))
 
 
 # ---- Spark jobs
