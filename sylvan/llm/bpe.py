@@ -28,10 +28,10 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sylvan.llm.bytelevel import Vocabulary
-from sylvan.llm.workers import held
+from sylvan.llm.workers import held, small_batches
 
 SCAN_BYTES = 256
-CACHE_WORDS = 200_000
+CACHE_WORDS = 150_000
 
 NO_RANK = 1 << 60
 
@@ -160,6 +160,7 @@ def _worker(kind, path: str):
 def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, ids``: the token ids (``array<int>``) of each row's whole text."""
     id_type = docs.schema[id_col].dataType.simpleString()
+    small_batches(docs.sparkSession)
 
     def run(batches):
         enc = _worker(RankArrayEncoder, tokenizer_path)

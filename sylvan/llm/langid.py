@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sylvan.llm.workers import held
+from sylvan.llm.workers import held, small_batches
 
 BUCKETS = 1 << 15
 SAMPLE_PER_LANG = 4000
@@ -97,6 +97,7 @@ class MixtureModel:
 def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           sample_per_lang: int = SAMPLE_PER_LANG) -> MixtureModel:
     """Count trigrams per language over the bounded sample."""
+    small_batches(labelled.sparkSession)
     src = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")) \
         .where("lang IS NOT NULL AND text IS NOT NULL AND id IS NOT NULL")
     sizes = {r["lang"]: r["n"] for r in src.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from sylvan.llm.components import components
 from sylvan.llm.joins import stored_keys
-from sylvan.llm.workers import held
+from sylvan.llm.workers import held, small_batches
 from sylvan.session import scratch_path
 
 WORDS = 5
@@ -236,6 +236,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     repeats) that stands for the group.  ``version`` is the text's hash.
     """
     spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "near-dups")
+    small_batches(spark)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("version"), F.col(text_col).alias("text"))
     schema = "doc_id long, version long, node long, bands array<long>"

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sylvan.llm.bytelevel import Vocabulary
-from sylvan.llm.workers import held
+from sylvan.llm.workers import held, small_batches
 
 CHUNK_CHARS = 32_768
 #: Compiled transitions kept per Python worker (a cache; dropped states are compiled again).
@@ -250,6 +250,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
                  chunk_chars: int = CHUNK_CHARS) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_bytes, n_tokens`` of the whole text."""
     id_type = docs.schema[id_col].dataType.simpleString()
+    small_batches(docs.sparkSession)
     src = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def maps(batches):

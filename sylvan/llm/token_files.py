@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sylvan.llm.bytelevel import byte_alphabet
-from sylvan.llm.workers import held
+from sylvan.llm.workers import held, small_batches
 
 BLOCK_IDS = 1 << 16
 LANES = 32
@@ -294,6 +294,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
                       text_col: str = "text", block_ids: int = BLOCK_IDS) -> str:
     """Write the folder described above and return its path."""
     spark = docs.sparkSession
+    small_batches(spark)
     ordered = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
                .repartitionByRange("doc_id").sortWithinPartitions("doc_id"))
 

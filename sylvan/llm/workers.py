@@ -6,12 +6,28 @@ would add up over a pipeline.  ``held`` drops the others' when an operator begin
 
 from __future__ import annotations
 
+import gc
+
+import pyarrow as pa
+
 _HELD: dict = {}
 
+#: Rows of whole texts that travel to a worker at a time (Spark's default is 10,000).
+BATCH_ROWS = 1000
+
+
+def small_batches(spark) -> None:
+    """Keep batches of whole texts small in the JVM and the worker, unless the session says otherwise."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(setting) == "10000":
+        spark.conf.set(setting, str(BATCH_ROWS))
+
 
 def held(operator: str, key, make):
     if any(k[0] != operator for k in _HELD):
         _HELD.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
     if (operator, key) not in _HELD:
         _HELD[operator, key] = make()
     return _HELD[operator, key]
