@@ -3,7 +3,8 @@
 ``write_token_files`` encodes whole texts in ascending id order and writes a
 folder of three tables:
 
-* ``ids``     the plain ids of each document with its start (an intermediate)
+* ``ids``     the plain ids of each document with its start, and a last row with each partition's
+              counts (an intermediate)
 * ``model``   the shared frequency table, counted over all ids
 * ``blocks``  one binary block a row
 
@@ -190,11 +191,13 @@ def unpack(data: bytes):
 #: A plain word has only characters below this one (with the classes, composition and lower case that
 #: every Unicode version gives them), and nothing that can belong to a special string.
 PLAIN_END = 0x250
+BEYOND = f"[^\\x{{00}}-\\x{{12f}}\\x{{131}}-\\x{{{PLAIN_END - 1:x}}}]"
 NOT_PLAIN = re.compile(f"[^\0-\u012f\u0131-{chr(PLAIN_END - 1)}]|[<|>]").search
 ALPHABET = {b: c for c, b in byte_alphabet().items()}
 
 
-STOPS = (",", ".")
+#: Marks that are a piece of their own after a word of letters alone.
+STOPS = ",.;:!?)"
 
 
 def _plain_pieces():
@@ -234,44 +237,45 @@ class WordCache:
         self.tok.no_padding()
         self.tokenize = self.tok.model.tokenize
         self.words = _Known(self, {})
-        self.pieces: dict[str, bytes] = {}
 
     def word(self, word: str) -> bytes:
-        if word.isascii():
-            if word.isalpha():
-                return self.piece(word.lower())
-            if word[-1:] in STOPS and word[:-1].isalpha():
-                return self.piece(word[:-1].lower()) + self.piece(word[-1])
         if NOT_PLAIN(word):
             return np.array(self.tok.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        return b"".join(map(self.piece, PLAIN_PIECES(word.lower())))
+        pieces = PLAIN_PIECES(word.lower())
+        if len(pieces) == 1:
+            return self.piece(pieces[0])
+        return b"".join(map(self.words.__getitem__, pieces))
 
     def piece(self, piece: str) -> bytes:
         """A piece's ids by the library's own model, past a normaliser and splitter that it need not pass."""
-        ids = self.pieces.get(piece)
-        if ids is None:
-            if len(self.pieces) > CACHE_WORDS:
-                self.pieces.clear()
-            known = piece if piece.isascii() and piece.isprintable() else piece.encode().decode("latin-1").translate(ALPHABET)
-            ids = self.pieces[piece] = array("I", [t.id for t in self.tokenize(known)]).tobytes()
-        return ids
+        known = piece if piece.isascii() and piece.isprintable() else piece.encode().decode("latin-1").translate(ALPHABET)
+        return array("I", [t.id for t in self.tokenize(known)]).tobytes()
+
+    def distinct(self, words: pa.Array) -> pa.Array:
+        """The ids of distinct words.  Words of plain letters, with or without a mark after them, are
+        lower-cased and brought together before they are looked up."""
+        last = pc.utf8_slice_codeunits(words, -1)
+        marked = pc.is_in(last, value_set=pa.array(list(STOPS)))
+        base = pc.if_else(marked, pc.utf8_slice_codeunits(words, 0, -1), words)
+        plain = pc.and_not(pc.utf8_is_alpha(base), pc.match_substring_regex(base, BEYOND))
+        marked = pc.and_(plain, marked)
+        keys = pc.if_else(plain, pc.utf8_lower(base), words).dictionary_encode()
+        ids = pa.array(list(map(self.words.__getitem__, keys.dictionary.to_numpy(zero_copy_only=False))), pa.large_binary()).take(keys.indices)
+        marks = pa.array([b"", *map(self.words.__getitem__, STOPS)], pa.large_binary())
+        at = pc.if_else(marked, pc.add(pc.index_in(last, value_set=pa.array(list(STOPS))), 1), 0)
+        if len(self.words) > CACHE_WORDS:
+            self.words = _Known(self, {**self.words})
+        return pc.binary_join_element_wise(ids, marks.take(at), pa.scalar(b"", pa.large_binary()))
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text as u32 bytes; Arrow splits the words and numbers the distinct ones."""
         lists = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
         words = lists.flatten().dictionary_encode()
-        known = list(map(self.words.__getitem__, words.dictionary.to_pylist()))
-        if len(self.words) > CACHE_WORDS:
-            self.words = _Known(self, {**self.words})
-        size = np.fromiter(map(len, known), np.int64, len(known)) // 4
-        first = np.cumsum(size) - size
-        word = words.indices.to_numpy()
-        n = size[word]
-        end = np.concatenate([[0], np.cumsum(n)])
-        at = np.arange(end[-1]) - np.repeat(end[:-1] - first[word], n)
-        ids = np.frombuffer(b"".join(known), "<u4")[at]
+        ids = self.distinct(words.dictionary).take(words.indices)
+        end = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1, 8 * ids.offset) if len(ids) else np.zeros(1, np.int64)
+        data = memoryview(ids.buffers()[2] or b"")
         cut = end[np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])]
-        return [ids[a:b].tobytes() for a, b in zip(cut, cut[1:])]
+        return [bytes(data[a:b]) for a, b in zip(cut.tolist(), cut[1:].tolist())]
 
     def encode_all(self, texts: pa.Array):
         """The same, a few megabytes of text at a time."""
@@ -298,9 +302,11 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
     ordered = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
                .repartitionByRange("doc_id").sortWithinPartitions("doc_id"))
 
+    names = ["part", "doc_id", "start", "n", "ids", "counts"]
+
     def to_ids(batches):
         enc, part, start = _words(tokenizer_path), TaskContext.get().partitionId(), 0
-        end = struct.pack("<I", end_id)
+        end, total = struct.pack("<I", end_id), np.zeros(end_id + 1, np.int64)
         for batch in batches:
             rows, starts, sizes = [], [], []
             for ids in enc.encode_all(batch.column(1)):
@@ -309,37 +315,42 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
                 starts.append(start)
                 sizes.append(len(ids) // 4)
                 start += len(ids) // 4
+            raw = pa.array(rows, pa.large_binary())
+            if rows:
+                seen = np.bincount(np.frombuffer(raw.buffers()[2], "<u4"), minlength=len(total))
+                seen[:len(total)] += total
+                total = seen
             yield pa.RecordBatch.from_arrays(
                 [pa.array([part] * len(rows), pa.int32()), batch.column(0), pa.array(starts, pa.int64()),
-                 pa.array(sizes, pa.int64()), pa.array(rows, pa.binary())], names=["part", "doc_id", "start", "n", "ids"])
+                 pa.array(sizes, pa.int64()), raw.cast(pa.binary()), pa.nulls(len(rows), pa.binary())], names=names)
+        # the partition's last row: its ids and their counts
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([part], pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([start], pa.int64()),
+             pa.nulls(1, pa.binary()), pa.array([total.astype("<i8").tobytes()], pa.binary())], names=names)
 
-    ids_schema = "part int, doc_id long, start long, n long, ids binary"
+    ids_schema = "part int, doc_id long, start long, n long, ids binary, counts binary"
     ordered.mapInArrow(to_ids, ids_schema).write.option("compression", "zstd").parquet(f"{path}/ids")
     ids = spark.read.schema(ids_schema).parquet(f"{path}/ids")
 
     def count(batches):
-        total = np.zeros(0, np.int64)
         for batch in batches:
-            for x in batch.column(0):
-                c = np.bincount(np.frombuffer(x.as_py(), "<u4"))
-                if len(c) > len(total):
-                    c, total = total, c
-                total[:len(c)] += c
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["id", "n"])
-
-    (ids.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+            for x in batch.column(0).drop_null():
+                total = np.frombuffer(x.as_py(), "<i8")
+                seen = np.flatnonzero(total)
+                yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["id", "n"])
+
+    (ids.select("counts").where("counts IS NOT NULL").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
      .coalesce(1).write.parquet(f"{path}/model"))
     counts = _model(spark, path)
     # one row per range partition, in order: the partitions' bases
-    totals = ids.groupBy("part").agg(F.sum("n").alias("n")).collect()
+    totals = ids.where("counts IS NOT NULL").select("part", "n").collect()
     base, at = {}, 0
     for part, n in sorted((r["part"], r["n"]) for r in totals):
         base[part], at = at, at + n
 
     def to_blocks(batches):
         coder, ready = Coder(counts), []
-        block, room, entries = [], block_ids, []
+        block, room, entries, current = [], block_ids, [], None
 
         def flush():
             coded = coder.encode([b for b, _ in ready])
@@ -351,8 +362,15 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
             return out
 
         for batch in batches:
-            for part, doc, start, raw in zip(*(batch.column(i) for i in (0, 1, 2, 4))):
-                doc, start = doc.as_py(), start.as_py() + base[part.as_py()]
+            for part, doc, start, raw in zip(*batch.columns):
+                part = part.as_py()
+                if part != current and block:  # a block holds one run of ascending ids
+                    ready.append((np.concatenate(block), entries))
+                    block, room, entries = [], block_ids, []
+                    if len(ready) == BATCH_BLOCKS:
+                        yield flush()
+                current = part
+                doc, start = doc.as_py(), start.as_py() + base[part]
                 rest, seg = np.frombuffer(raw.as_py(), "<u4"), 0
                 while len(rest):
                     piece, rest = rest[:room], rest[room:]
@@ -369,7 +387,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
         if ready:
             yield flush()
 
-    (ids.mapInArrow(to_blocks, "start long, n long, data binary")
+    (ids.where("ids IS NOT NULL").select("part", "doc_id", "start", "ids").mapInArrow(to_blocks, "start long, n long, data binary")
      .write.option("compression", "uncompressed").parquet(f"{path}/blocks"))
     return path
 
