@@ -333,13 +333,18 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
     ids = spark.read.schema(ids_schema).parquet(f"{path}/ids")
 
     def count(batches):
+        total = np.zeros(0, np.int64)
         for batch in batches:
             for x in batch.column(0).drop_null():
-                total = np.frombuffer(x.as_py(), "<i8")
-                seen = np.flatnonzero(total)
-                yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["id", "n"])
-
-    (ids.select("counts").where("counts IS NOT NULL").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+                c = np.frombuffer(x.as_py(), "<i8")
+                short, long = sorted((total, c), key=len)
+                total = long.copy()
+                total[:len(short)] += short
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], names=["id", "n"])
+
+    # a task for each core adds up its partitions' counts: rows by cores, not by partitions
+    (ids.select("counts").where("counts IS NOT NULL").coalesce(spark.sparkContext.defaultParallelism).mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
      .coalesce(1).write.parquet(f"{path}/model"))
     counts = _model(spark, path)
     # one row per range partition, in order: the partitions' bases
