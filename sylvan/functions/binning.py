@@ -23,11 +23,6 @@ def bin_right_closed(col: Column | str, edges, labels) -> Column:
     return expr
 
 
-def bin_ordinal(col: Column | str, edges) -> Column:
-    """Ordinal (0-based) of the right-closed bin, null outside the range."""
-    return bin_right_closed(col, edges, list(range(len(edges) - 1)))
-
-
 def bin_sql(col: str, edges, labels) -> str:
     """The same binning as a SQL CASE expression (for oracles and SQL users)."""
     parts = []

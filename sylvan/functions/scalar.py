@@ -88,6 +88,7 @@ def regex_group(x, pattern: str, idx: int = 1) -> Column:
 
 def work_rate_text(x) -> Column:
     """``Work Rate.*?(\\w+)\\s*/\\s*(\\w+)`` (ignore case, Unicode \\w) -> 'a/b'."""
+    # fixed value: the text pattern
     p = r"(?iU)Work Rate.*?(\w+)\s*/\s*(\w+)"
     c = _c(x)
     return F.when(c.rlike(p), F.concat(F.regexp_extract(c, p, 1), F.lit("/"), F.regexp_extract(c, p, 2)))
@@ -95,6 +96,7 @@ def work_rate_text(x) -> Column:
 
 def work_rate_pair(x) -> Column:
     """``(Low|Medium|High)\\s*/\\s*(Low|Medium|High)`` ignore case, capitalised 'A/B'."""
+    # fixed value: the text pattern
     p = r"(?i)(Low|Medium|High)\s*/\s*(Low|Medium|High)"
     c = _c(x)
     cap = lambda g: F.initcap(F.lower(F.regexp_extract(c, p, g)))

@@ -66,6 +66,29 @@ def first_per(df: DataFrame, group: list[str]) -> DataFrame:
     return df.groupBy(*group).agg(F.min_by(F.struct(*cols), F.col("ord")).alias("_f")).select(*group, "_f.*")
 
 
+def class_probes(els: DataFrame, key: list[str], tag: str = "div", token: str = "pos", k: int = 5, width: int = 30) -> DataFrame:
+    """Per page, the elements of ``tag`` with the class ``token`` (number, first ``k`` texts) and those
+    with a class that contains it (number, first ``k`` as ``class:text``, texts cut to ``width``, the
+    reference's display).  Pages without any give zeros and empty strings; ranks are running counts,
+    so at most ``k`` texts of a page are gathered."""
+    exact = (F.col("tag") == tag) & has_class(token)
+    like = (F.col("tag") == tag) & F.exists("classes", lambda c: c.contains(token))
+    run = Window.partitionBy(*key).orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)
+    text = F.trim("text")
+    rows = els.where(like | (F.col("ord") == 0)).select(
+        *key, "ord", exact.alias("_exact"), like.alias("_like"), text.alias("_text"),
+        F.concat(F.array_join("classes", " "), F.lit(":"), F.substring(text, 1, width)).alias("_shown"))
+    rows = rows.withColumn("_ne", F.count_if("_exact").over(run)).withColumn("_nl", F.count_if("_like").over(run))
+
+    def firsts(hit, rank, value):
+        kept = F.collect_list(F.when(F.col(hit) & (F.col(rank) <= k), F.struct(F.col(rank), F.col(value))))
+        return F.array_join(F.transform(F.array_sort(kept), lambda x: x[value]), " | ")
+
+    return rows.groupBy(*key).agg(
+        F.count_if("_exact").alias("n_exact"), firsts("_exact", "_ne", "_text").alias("first_exact"),
+        F.count_if("_like").alias("n_like"), firsts("_like", "_nl", "_shown").alias("first_like"))
+
+
 # --------------------------------------------------------------------------- list pages (H2-H4)
 
 def table_rows(els: DataFrame, key: list[str], min_cells: int = 8) -> DataFrame:
@@ -203,6 +226,7 @@ def positions_span(els: DataFrame, key: list[str]) -> DataFrame:
     return first_distinct_joined(sp, key, "t", 5).withColumnRenamed("t", "position_list")
 
 
+# fixed value: the three rates as they are looked for in a text
 _RATE = r"(?i)(Low|Medium|High)"
 
 
@@ -238,6 +262,7 @@ def json_ld(els: DataFrame, key: list[str]) -> DataFrame:
 def page_text_fields(els: DataFrame, key: list[str]) -> DataFrame:
     """F9/F10 on the page text: preferred foot and the generic work-rate pattern."""
     doc = els.where(F.col("ord") == 0)
+    # fixed value: the text pattern of the preferred foot
     return doc.select(*key, S.regex_group("text", r"Preferred foot\s+(Left|Right)").alias("preferred_foot"),
                       S.work_rate_text("text").alias("work_rate_page"))
 

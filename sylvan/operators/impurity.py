@@ -41,10 +41,6 @@ def impurity_kind(criterion: str) -> str:
                      f"{sorted(CLASSIFICATION) + sorted(REGRESSION)}")
 
 
-def is_classification(criterion: str) -> bool:
-    return impurity_kind(criterion) in ("entropy", "gini")
-
-
 # --------------------------------------------------------------------------
 # group summaries over weighted frames
 # --------------------------------------------------------------------------

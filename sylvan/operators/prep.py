@@ -57,6 +57,22 @@ def worklist(df: DataFrame, url: str, pending: str, idx: str, name: str | None)
     return df.where(todo).select(idx, url, nm.alias("name"))
 
 
+def second_pass_counters(rows: DataFrame, results: DataFrame, key: str, url: str, pending: str, found: list[str]) -> DataFrame:
+    """Counters of an enrichment pass, one row.
+
+    A row without a URL or with its ``pending`` column set is skipped; the rest are tasks.  A task with a
+    non-empty value in one of ``found`` is a success, one without (or without a result) an error.
+    ``results`` holds one row per key."""
+    todo = F.col(url).isNotNull() & (F.col(url) != "") & F.col(pending).isNull()
+    got = F.lit(False)
+    for c in found:
+        got = got | (F.coalesce(F.col(f"_r_{c}"), F.lit("")) != "")
+    renamed = results.select(F.col(key).alias("_r_key"), *[F.col(c).alias(f"_r_{c}") for c in found])
+    flags = rows.join(renamed, F.col(key) == F.col("_r_key"), "left").select(todo.alias("todo"), got.alias("got"))
+    return flags.agg(F.count_if("todo").alias("n_tasks"), F.count_if(F.col("todo") & F.col("got")).alias("n_success"),
+                     F.count_if(F.col("todo") & ~F.col("got")).alias("n_error"), F.count_if(~F.col("todo")).alias("n_skipped"))
+
+
 def distinct_first_seen(df: DataFrame, col: str, order_col: str) -> DataFrame:
     """Distinct values with their first-appearance position."""
     return df.groupBy(F.col(col).alias("value")).agg(F.min(order_col).alias("first_seen"))

@@ -46,6 +46,10 @@ def escape_value(c: Column) -> Column:
     return F.regexp_replace(c, "=", "%3D")
 
 
+#: The value that stands for null under ``null_policy="branch"`` (a private-use character).
+NULL_VALUE = "\ue000null"
+
+
 @dataclass
 class TreeModel:
     features: list[str]
@@ -58,9 +62,11 @@ class TreeModel:
     n_nodes: int
     n_edges: int
     level_sizes: list[int] = field(default_factory=list)
+    null_policy: str = "drop"
+    dropped: DataFrame | None = None
 
-    def predict(self, df: DataFrame, out_col: str = "prediction", compiled: bool = False) -> DataFrame:
-        return predict(self, df, out_col, compiled)
+    def predict(self, df: DataFrame, out_col: str = "prediction") -> DataFrame:
+        return predict(self, df, out_col)
 
     def rules(self) -> DataFrame:
         """T5: one row per leaf: rule text, depth, prediction, n."""
@@ -69,23 +75,34 @@ class TreeModel:
 
 def fit_tree(df: DataFrame, features: list[str], target: str, criterion: str = "information_gain",
              max_depth: int | None = None, min_samples_split: int = 2,
-             order_by: list[str] | None = None, label_order: list | None = None) -> TreeModel:
+             order_by: list[str] | None = None, label_order: list | None = None, null_policy: str = "drop") -> TreeModel:
     """Fit a multiway tree on categorical ``features``.
 
     ``order_by`` names columns giving the rows' original order; it defines the
     first-seen child used for unseen values at predict time (T4).  Without it,
-    the smallest value is used.  Rows with a null feature or target are
-    dropped (the reference cannot handle them either).  ``label_order`` lists
+    the smallest value is used.  ``null_policy`` says what a null feature
+    means: ``drop`` leaves the row out (``model.dropped`` counts such rows),
+    ``reject`` raises, and ``branch`` makes null a value of its own, at predict
+    too.  Rows with a null target are left out (and counted), or rejected.
+    ``label_order`` lists
     an ordered categorical target's categories, lowest first: majority ties
     then go to the lowest category rather than the smallest label text.
     """
     kind = impurity_kind(criterion)
     if not features:
         raise ValueError("need at least one feature")
+    if null_policy not in ("drop", "reject", "branch"):
+        raise ValueError(f"unknown null policy: {null_policy}")
     fcols = [f"_f{i}" for i in range(len(features))]
     order = F.struct(*[F.col(c) for c in order_by]) if order_by else F.lit(None).cast("string")
     base = df.select(*[F.col(c).cast("string").alias(fc) for c, fc in zip(features, fcols)],
                      F.col(target).alias("_y"), order.alias("_o"))
+    if null_policy == "branch":
+        base = base.withColumns({c: F.coalesce(c, F.lit(NULL_VALUE)) for c in fcols})
+    any_null = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in [*fcols, "_y"]])
+    dropped = base.agg(F.count_if(any_null).alias("n_dropped"))
+    if null_policy == "reject" and (n_null := dropped.first()["n_dropped"]):
+        raise ValueError(f"{n_null} rows have a null feature or target")
     base = base.dropna(subset=fcols + ["_y"])
 
     if kind in ("entropy", "gini"):
@@ -187,48 +204,11 @@ def fit_tree(df: DataFrame, features: list[str], target: str, criterion: str = "
             [], "node_id string, value string, child_id string, first_seen string")
     return TreeModel(features=list(features), target=target, criterion=criterion, kind=kind,
                      nodes=nodes, edges=edges, levels=len(level_edges), n_nodes=sum(sizes),
-                     n_edges=n_edges, level_sizes=sizes)
-
-
-# Scoring by broadcast hash joins measured faster than the compiled CASE form
-# (77-node tree, 600k rows: 2.3 s vs 1.3 s to build + 3.5 s to run), so the
-# compiled form is opt-in (``predict(..., compiled=True)``), capped at this size.
-CASE_MAX_NODES = 256
-
-
-def compile_case(model: TreeModel) -> Column:
-    """The tree as one nested CASE over the feature columns (model size is count-gated)."""
-    nodes = {r["node_id"]: r for r in model.nodes.select(
-        "node_id", "is_leaf", "split_idx", "first_child", "prediction").collect()}
-    children: dict = {}
-    for e in model.edges.select("node_id", "value", "child_id").collect():
-        children.setdefault(e["node_id"], []).append((e["value"], e["child_id"]))
-    dtype = dict(model.nodes.dtypes)["prediction"]
-
-    def build(node_id):
-        r = nodes[node_id]
-        if r["is_leaf"] or not children.get(node_id):
-            return F.lit(r["prediction"]).cast(dtype)
-        x = F.col(model.features[r["split_idx"]]).cast("string")
-        expr = None
-        for value, child in sorted(children[node_id]):
-            cond = x == F.lit(value)
-            expr = F.when(cond, build(child)) if expr is None else expr.when(cond, build(child))
-        return expr.otherwise(build(r["first_child"]))  # unseen or null value
-
-    return build("R")
-
-
-def predict(model: TreeModel, df: DataFrame, out_col: str = "prediction", compiled: bool = False) -> DataFrame:
-    """Score rows by count-gated broadcast joins, level by level; with
-    ``compiled=True`` a model of at most CASE_MAX_NODES nodes becomes one CASE projection."""
-    if compiled and model.n_nodes <= CASE_MAX_NODES:
-        return df.withColumn(out_col, compile_case(model))
-    return predict_by_joins(model, df, out_col)
+                     n_edges=n_edges, level_sizes=sizes, null_policy=null_policy, dropped=dropped)
 
 
-def predict_by_joins(model: TreeModel, df: DataFrame, out_col: str = "prediction") -> DataFrame:
-    """Route rows level by level; unseen or null values follow the first child.
+def predict(model: TreeModel, df: DataFrame, out_col: str = "prediction") -> DataFrame:
+    """Route rows level by level; unseen values (and nulls, unless they are a branch) follow the first child.
 
     The root's split comes from the model's one root row, so every row starts
     with a concrete feature value; each further level is two equi-joins
@@ -236,6 +216,8 @@ def predict_by_joins(model: TreeModel, df: DataFrame, out_col: str = "prediction
     within bound, so the scored table is never shuffled for a small model.
     """
     fv = F.array(*[F.col(c).cast("string") for c in model.features])
+    if model.null_policy == "branch":
+        fv = F.transform(fv, lambda v: F.coalesce(v, F.lit(NULL_VALUE)))
     root = model.nodes.where(F.col("node_id") == "R").select("split_idx", "first_child", "prediction").first()
     rows = df.withColumn("_fv", fv)
     if root is None or root["split_idx"] is None:

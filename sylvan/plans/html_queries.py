@@ -295,7 +295,9 @@ def enrich_record(spark, sf):
 
 # Enrichment pages: the code spans sit inside plain <a href="#"> links, so the
 # parent of the first span carrying one of the six codes is an 'a' without class.
-_SIX = "('ST', 'CF', 'LW', 'RW', 'CAM', 'CM')"
+# The six codes.
+_SIX_CODES = ["ST", "CF", "LW", "RW", "CAM", "CM"]
+_SIX = "('" + "', '".join(_SIX_CODES) + "')"
 
 
 @register("html_parent_lookup",
@@ -308,8 +310,7 @@ def html_parent_lookup(spark, sf):
     els = H.parse_pages(enrich_pages(spark, sf), ["c_custkey"], tags="*")
     spans = H.first_k(els.where(F.col("tag") == "span").select(
         "c_custkey", "ord", "parent_ord", F.trim("text").alias("t")), ["c_custkey"], 20)
-    six = ["ST", "CF", "LW", "RW", "CAM", "CM"]
-    hit = spans.where(F.col("t").isin(*six)).groupBy("c_custkey").agg(
+    hit = spans.where(F.col("t").isin(*_SIX_CODES)).groupBy("c_custkey").agg(
         F.min_by(F.struct("t", "parent_ord"), F.col("ord")).alias("h"))
     hit = hit.select("c_custkey", F.col("h.t").alias("code"), F.col("h.parent_ord").alias("ord"))
     parents = els.select("c_custkey", "ord", F.col("tag").alias("parent_tag"),
@@ -317,6 +318,30 @@ def html_parent_lookup(spark, sf):
     return hit.join(parents, ["c_custkey", "ord"]).drop("ord")
 
 
+_DIV_CODE_SQL = f"{_CODES_SQL}[((p_partkey + {{i}} * {{i}}) % 13) + 1]"
+_SPAN_CODE_SQL = f"{_CODES_SQL}[((c_custkey * 7 + {{i}} * {{i}}) % 13) + 1]"
+_c0, _c1, _c3 = (_DIV_CODE_SQL.format(i=i) for i in (0, 1, 3))
+_s0, _s1, _s2 = (_SPAN_CODE_SQL.format(i=i) for i in (0, 1, 2))
+
+
+@register("html_class_probe_div",
+          f"SELECT p_partkey, 12::BIGINT AS n_exact, {_c0} || ' | ' || {_c1} || ' | WIDE5 | ' || {_c3} || ' | ' AS first_exact, "
+          f"12::BIGINT AS n_like, 'pos:' || {_c0} || ' | pos:' || {_c1} || ' | pos:WIDE5 | pos:' || {_c3} || ' | pos:' AS first_like "
+          "FROM part")
+def html_class_probe_div(spark, sf):
+    """Div.pos and divs with 'pos' in a class, per detail page."""
+    return H.class_probes(H.parse_pages(detail_pages(spark, sf), ["p_partkey"], tags="div"), ["p_partkey"])
+
+
+@register("html_class_probe_span",
+          f"SELECT c_custkey, 11::BIGINT AS n_exact, '12 | ' || {_s0} || ' | ' || lower({_s1}) || ' | ' || {_s2} || ' | GOAL' "
+          f"AS first_exact, 12::BIGINT AS n_like, 'posx:ZZ | pos:12 | pos pos0:' || {_s0} || ' | pos pos1:' || lower({_s1}) "
+          f"|| ' | pos pos2:' || {_s2} AS first_like FROM customer")
+def html_class_probe_span(spark, sf):
+    """H10 on the enrichment pages' spans, whose classes hold the token, a longer one, or both."""
+    return H.class_probes(H.parse_pages(enrich_pages(spark, sf), ["c_custkey"], tags="span"), ["c_custkey"], tag="span")
+
+
 # --------------------------------------------------------------------------- driver pages
 
 

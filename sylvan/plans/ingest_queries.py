@@ -9,6 +9,7 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, Str
 from sylvan.operators import html_extract as H
 from sylvan.operators import prep
 from sylvan.plans import html_queries as HQ
+from sylvan.plans import prep_queries as PQ
 from sylvan.plans import trees as TQ
 from sylvan.plans.common import LI_KEYS, lineitem_binned
 from sylvan.plans.registry import register
@@ -54,6 +55,29 @@ def run_counters(spark, sf):
                        F.count_if(F.col("_seen").isNull()).alias("n_new"))
 
 
+_TODO_SQL = "player_url IS NOT NULL AND player_url <> '' AND p.position_list IS NULL"
+_FOUND_SQL = "(coalesce(e.position_list, '') <> '' OR coalesce(e.work_rate, '') <> '')"
+
+
+@register("enrich_counters",
+          f"SELECT count(*) FILTER (WHERE {_TODO_SQL}) AS n_tasks, count(*) FILTER (WHERE ({_TODO_SQL}) AND {_FOUND_SQL}) AS n_success, "
+          f"count(*) FILTER (WHERE ({_TODO_SQL}) AND NOT {_FOUND_SQL}) AS n_error, "
+          f"count(*) FILTER (WHERE NOT coalesce({_TODO_SQL}, false)) AS n_skipped FROM ({PQ._PLAYERS_SQL}) p "
+          f"LEFT JOIN (SELECT r.* FROM ({HQ.ENRICH_RECORD_SQL}) r JOIN customer k ON k.c_custkey = r.c_custkey "
+          "WHERE k.c_nationkey <> 6) e ON p.idx = e.c_custkey")
+def enrich_counters(spark, sf):
+    """Tasks, successes, errors and skips of the second pass; customers of nation 6 have no page,
+    so their tasks are errors.  Only pages of the work list are parsed."""
+    rows = PQ.players(spark, sf)
+    todo = prep.worklist(rows, "player_url", "position_list", "idx", "name").select(F.col("idx").alias("c_custkey"))
+    pages = HQ.enrich_pages(spark, sf).join(
+        table(spark, sf, "customer").where("c_nationkey <> 6").select("c_custkey"), "c_custkey", "left_semi")
+    pages = pages.join(todo, "c_custkey", "left_semi")
+    got = H.enrich_record(H.parse_pages(pages, ["c_custkey"], tags="span,li,div,p,a"), ["c_custkey"])
+    return prep.second_pass_counters(rows, got.withColumnRenamed("c_custkey", "idx").withColumnRenamed("position_list", "positions"),
+                                     "idx", "player_url", "position_list", ["positions", "work_rate"])
+
+
 # --------------------------------------------------------------------------- streaming
 
 EVENTS_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"

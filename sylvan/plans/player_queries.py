@@ -21,6 +21,7 @@ from sylvan.plans.registry import register
 from sylvan.plans.tree_sql import tree_sql
 from sylvan.session import cut_lineage
 
+# Category and column names of the player tables.
 CATEGORIES = ["Low", "Medium", "High", "Elite"]
 FEATURES = ["Age_Cat", "Potential_Cat", "Wage_Cat"]
 TARGET = "Overall_Category"

@@ -1,4 +1,4 @@
-"""Driver tables (one parquet file each) and literal rows."""
+"""Driver tables (one parquet file each)."""
 
 from __future__ import annotations
 
@@ -16,8 +16,3 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Lazy parquet scan; Catalyst prunes columns and pushes filters into it."""
     ship_package(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-def literal_rows(spark: SparkSession, rows, schema) -> DataFrame:
-    """Literal fixture / scoring rows."""
-    return spark.createDataFrame(rows, schema)

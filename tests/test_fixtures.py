@@ -124,15 +124,24 @@ def test_ordered_label_majority_tie(spark):
     assert m_cat.nodes.first()["prediction"] == "Low"
 
 
-def test_case_compiled_and_join_scoring_agree(spark, weather, prices):
-    from sylvan.operators.tree import compile_case, predict_by_joins
+def test_null_policy(spark):
+    df = spark.createDataFrame([(0, "a", "x"), (1, None, "y"), (2, "b", "x"), (3, None, "y"), (4, "a", None)],
+                               "row_id int, f string, y string")
+    dropped = fit_tree(df, ["f"], "y", "gini", order_by=["row_id"])
+    assert dropped.dropped.first()[0] == 3 and dropped.nodes.where("node_id = 'R'").first()["n"] == 2
+    with pytest.raises(ValueError):
+        fit_tree(df, ["f"], "y", "gini", null_policy="reject")
+    with pytest.raises(ValueError):
+        fit_tree(df, ["f"], "y", "gini", null_policy="keep")
+    own = fit_tree(df, ["f"], "y", "gini", order_by=["row_id"], null_policy="branch")
+    assert own.dropped.first()[0] == 1
+    got = {r["f"]: r["prediction"] for r in own.predict(df.select("f").distinct()).collect()}
+    assert got == {"a": "x", "b": "x", None: "y"}
+
+
+def test_join_scoring_routes_unseen_and_null_values(spark, weather, prices):
     probe = spark.createDataFrame([("Foggy", "Cool"), ("Rainy", "Hot"), (None, "Hot"), ("Sunny", "Mild")],
                                   "Weather string, Temp string")
     m = fit_tree(weather, ["Weather", "Temp"], "Play", "information_gain", order_by=["row_id"])
-    a = [r["prediction"] for r in probe.withColumn("prediction", compile_case(m)).collect()]
-    b = [r["prediction"] for r in predict_by_joins(m, probe).collect()]
-    assert a == b == ["Yes", "Yes", "No", "No"]
-    r = fit_tree(prices, ["Size", "Location"], "Price", "mse", order_by=["row_id"])
-    a = sorted(x["prediction"] for x in prices.withColumn("prediction", compile_case(r)).collect())
-    b = sorted(x["prediction"] for x in predict_by_joins(r, prices).collect())
-    assert a == pytest.approx(b)
+    assert [r["prediction"] for r in m.predict(probe).collect()] == ["Yes", "Yes", "No", "No"]
+
