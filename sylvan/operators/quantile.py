@@ -7,12 +7,12 @@ checks the size first:
 * groups whose row count is within ``small_group_rows`` use ``percentile``
   (the map is bounded by that count);
 * otherwise it runs distributed selection: per target rank, a weighted
-  histogram of the current bracket (partial aggregation, ``buckets`` bins) picks
-  the bin holding the rank; the bracket shrinks to that bin (with one bin of
-  slack each side) until its mass is within ``small_group_rows``; a final pass
-  ranks only the distinct values inside the bracket.  Counts below the bracket
-  are exact comparisons (``y < lo``), so the answer is exact; a target whose
-  rank is not inside its final bracket falls back to an unbounded bracket.
+  histogram of the current bracket (partial aggregation, ``buckets`` bins) finds
+  the bin holding the rank; the bracket shrinks to that bin's smallest and
+  largest value, until it holds at most ``small_group_rows`` rows or a single
+  value, however often it is repeated; a final pass ranks only the distinct
+  values inside the bracket.  All comparisons are of values, so the answer is
+  exact and no rank can leave its bracket.
 
 Interpolation is linear between order statistics (numpy's default), with
 ranks ``h = (N - 1) p`` over the summed weights.
@@ -20,7 +20,7 @@ ranks ``h = (N - 1) p`` over the summed weights.
 
 from __future__ import annotations
 
-import math
+import sys
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,7 +29,6 @@ from sylvan.operators.joins import broadcast_if_small, materialize_small
 
 SMALL_GROUP_ROWS = 1_000_000
 BUCKETS = 4096
-MAX_ROUNDS = 6
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float], weight: str | None = None,
@@ -98,37 +97,23 @@ def _select(frame, stats, n_groups, keys, probs, small_group_rows, buckets):
     targets = targets.dropDuplicates([*keys, "pi", "k"]).withColumn("t", F.concat_ws(":", "pi", "k"))
     targets, n_t = materialize_small(targets)
 
-    for _ in range(MAX_ROUNDS):
+    while True:  # every round takes at least the extremes off a bracket of more than one value
         hist = _histogram(frame, targets, n_t, keys, buckets)
         w_ = Window.partitionBy(*keys, "t").orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
         hist = hist.withColumn("_cum", F.sum("c").over(w_))
-        hit = hist.where((F.col("_cum") - F.col("c") <= F.col("k")) & (F.col("k") < F.col("_cum")) & (F.col("b") >= 0))
-        # bracket = the hit bin with one bin of slack each side, clipped to the old bracket
-        width = (F.col("hi") - F.col("lo")) / buckets
-        nxt = hit.select(*keys, "t", F.col("b").alias("hb"))
-        nb = targets.join(nxt, [*keys, "t"], "left")
-        mass = hist.groupBy(*keys, "t").agg(F.sum(F.when(F.col("b") >= 0, F.col("c"))).alias("_mass"))
-        nb = nb.join(mass, [*keys, "t"], "left")
-        nb = nb.select(*keys, "pi", "h", "k", "t",
-                       F.when(F.col("hb").isNull(), F.col("lo"))
-                       .otherwise(F.greatest(F.col("lo"), F.col("lo") + (F.col("hb") - 1) * width)).alias("lo"),
-                       F.when(F.col("hb").isNull(), F.col("hi"))
-                       .otherwise(F.least(F.col("hi"), F.col("lo") + (F.col("hb") + 2) * width)).alias("hi"),
-                       F.coalesce("_mass", F.lit(0.0)).alias("_mass"))
-        nb, _ = materialize_small(nb)
-        done = nb.agg(F.max("_mass")).first()[0] or 0
-        targets = nb.drop("_mass")
-        if done <= small_group_rows:
+        hit = hist.where((F.col("_cum") - F.col("c") <= F.col("k")) & (F.col("k") < F.col("_cum")))
+        hit, _ = materialize_small(hit.select(*keys, "pi", "h", "k", "t", F.col("y_min").alias("lo"),
+                                              F.col("y_max").alias("hi"), "rows"))
+        targets = hit.drop("rows")
+        widest = hit.agg(F.max(F.when(F.col("lo") < F.col("hi"), F.col("rows")))).first()[0] or 0
+        if widest <= small_group_rows:
             break
-    values, missing = _final(frame, targets, n_t, keys)
-    if missing:
-        wide = targets.withColumn("lo", F.lit(-math.inf)).withColumn("hi", F.lit(math.inf))
-        values, _ = _final(frame, wide, n_t, keys)
+    values = _final(frame, targets, n_t, keys)
     qs = values.groupBy(*keys, "pi").agg(
         F.min_by("x", "k").alias("x_lo"), F.max_by("x", "k").alias("x_hi"), F.first("h").alias("h"),
         F.min("k").alias("k_lo"))
-    q = qs.select(*keys, "pi", (F.col("x_lo") + (F.col("h") - F.col("k_lo")) * (F.col("x_hi") - F.col("x_lo")))
-                  .alias("q"))
+    between = F.col("x_lo") + (F.col("h") - F.col("k_lo")) * (F.col("x_hi") - F.col("x_lo"))
+    q = qs.select(*keys, "pi", F.when(F.col("x_lo") == F.col("x_hi"), F.col("x_lo")).otherwise(between).alias("q"))
     return q.groupBy(*keys).agg(*[F.max(F.when(F.col("pi") == i, F.col("q"))).alias(f"q{i}")
                                   for i in range(len(probs))])
 
@@ -139,12 +124,19 @@ def _in_bracket(frame, targets, n_t, keys):
 
 
 def _histogram(frame, targets, n_t, keys, buckets):
+    """Weight, rows and extreme values of each bin of each bracket; bin -1 lies below the bracket.
+
+    The bracket's ends are bins of their own and the bin number never falls as the value grows, so the
+    bin that holds a rank holds its value, and its own extremes are the next bracket."""
     x = _in_bracket(frame, targets, n_t, keys)
-    span = F.col("hi") - F.col("lo")
-    b = (F.when(F.col("_y") < F.col("lo"), F.lit(-1))
-         .when(span <= 0, F.lit(0))
-         .otherwise(F.least(F.floor((F.col("_y") - F.col("lo")) / span * buckets), F.lit(buckets - 1))))
-    h = x.groupBy(*keys, "t", "k", "lo", "hi", b.cast("int").alias("b")).agg(F.sum("_w").alias("c"))
+    finite = lambda c: F.greatest(F.lit(-sys.float_info.max), F.least(F.lit(sys.float_info.max), F.col(c))) * 0.25
+    span = finite("hi") - finite("lo")
+    middle = F.when(span <= 0, F.lit(0)).otherwise(F.floor((finite("_y") - finite("lo")) / span * (buckets - 2)))
+    b = (F.when(F.col("_y") < F.col("lo"), F.lit(-1)).when(F.col("_y") == F.col("lo"), F.lit(0))
+         .when(F.col("_y") == F.col("hi"), F.lit(buckets - 1))
+         .otherwise(F.least(middle, F.lit(buckets - 3)) + 1))
+    h = x.groupBy(*keys, "t", "pi", "h", "k", b.cast("int").alias("b")).agg(
+        F.sum("_w").alias("c"), F.count(F.lit(1)).alias("rows"), F.min("_y").alias("y_min"), F.max("_y").alias("y_max"))
     h, _ = materialize_small(h)
     return h
 
@@ -157,5 +149,4 @@ def _final(frame, targets, n_t, keys):
         Window.unboundedPreceding, 0)
     g = g.withColumn("_cum", F.sum("c").over(w_))
     hit = g.where(F.col("x").isNotNull() & (F.col("_cum") - F.col("c") <= F.col("k")) & (F.col("k") < F.col("_cum")))
-    hit, n_hit = materialize_small(hit.select(*keys, "t", "pi", "h", "k", "x"))
-    return hit, n_hit < n_t
+    return hit.select(*keys, "t", "pi", "h", "k", "x")

@@ -28,3 +28,17 @@ def test_weighted_ties_and_null_keys(spark):
                                                        small_group_rows=3, buckets=4).collect()}
     ref = {r[0]: r[1] for r in li.groupBy("g").agg(F.median("l_quantity")).collect()}
     assert got == pytest.approx(ref)
+
+
+def test_heavy_ties_and_extreme_values_take_few_rounds(spark, monkeypatch):
+    from sylvan.operators import quantile as Q
+    rounds, real = [], Q._histogram
+    monkeypatch.setattr(Q, "_histogram", lambda *a: rounds.append(1) or real(*a))
+    ties = spark.range(3000).selectExpr("'g' AS g", "CASE WHEN id < 2500 THEN 7.0D ELSE CAST(id % 50 AS DOUBLE) END AS v")
+    got = Q.exact_quantiles(ties, ["g"], "v", [0.0, 0.5, 1.0], small_group_rows=10).first()
+    assert (got["q0"], got["q1"], got["q2"]) == (0.0, 7.0, 49.0) and len(rounds) <= 2
+    values = [float("-inf"), -1.7e308, -1e-320, 0.0, 5e-324, 1e-300, 1.0, 1.7e308, float("inf")] * 3
+    df = spark.createDataFrame([("g", v) for v in values], "g string, v double")
+    got = Q.exact_quantiles(df, ["g"], "v", [0.0, 0.5, 1.0], small_group_rows=1).first()
+    want = sorted(values)
+    assert (got["q0"], got["q1"], got["q2"]) == (want[0], want[13], want[-1])
