@@ -7,6 +7,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -95,6 +96,17 @@ def test_token_files_hold_every_id_in_order(spark, odd, texts):
     assert token_files.read_checksums(spark, empty).count() == 0
 
 
+def test_word_cache_equals_the_library(texts):
+    tok = Tokenizer.from_file(WORD_BPE)
+    hard = ["Foo, BAR. élan! ÉLAN; don't X<|endoftext|>, <|ENDOFTEXT|> a..b foo.) foo). ß? \u0130st, \u0131, ª, º. \u212a",
+            "J\u030c e\u0301, I\u0307. '' ''s I'LL, we're. 's, 't. 12,5. a1, ½, ²", "x y.\t z,\r\nq  ,, . \x85a\xa0b, \x1c?", ",", " .", "a\u0300,"]
+    given = [*ODD, *hard, *(t for _, t in texts)]
+    cache = token_files.WordCache(WORD_BPE)
+    for _ in range(2):  # the second time from the cache
+        got = list(cache.encode_all(pa.array(given, pa.string())))
+        assert got == [np.array(tok.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in given]
+
+
 def test_near_duplicates_equal_brute_force(spark, texts):
     base = [" ".join(random.Random(9).choices("abcdefghijklmnop", k=120))]
     for i in range(60):  # a family of near copies, in blocks of 16
