@@ -8,10 +8,15 @@ identifiers that must follow one another (other, unknown sentences may stand
 between); the first rule that fits at a position wins and consumes its
 identifiers, so longer notices stand before their parts.
 
-A sentence ends at a full stop, semicolon, colon, question or exclamation mark
-before white space, at a blank line, and at the end of the text.  A sentence
-that runs over several lines is looked up whole and line by line, so a notice
-is found whether or not the line above it ended with a stop.
+A text is cut into pieces at each full stop, semicolon, colon, question or
+exclamation mark before white space, and at each end of a line.  A known
+sentence may hold such marks and be wrapped anywhere, so every run of adjacent
+pieces is looked up, the longest first; a run goes on only while it begins a
+known sentence, and never over a blank line.  A sentence must begin and end
+with a piece, whatever stands on the lines around it.
+
+Digits in a known sentence stand for themselves (``bsd 3-clause``, ``cc0``),
+and only ``#`` stands for the version.
 
 Only texts that hold one of ``SIGNS`` are cut; every known sentence holds one
 (a test checks it), so no text is missed.  The test runs inside the scan and
@@ -124,54 +129,72 @@ RULES = [
 #: Every known sentence holds one of these words.
 SIGNS = ("licens", "permission", "warrant", "copyright", "redistribut", "all rights reserved", "public domain")
 
-PLACED = re.compile(r"\d+(?:\.\d+)*")
+PLACED = re.compile(r"\d+(?:\.\d+)*|#")
 COMMENT = re.compile(r"^[ \t]*(?:/\*+|\*+/?|//+|#+|--+|;+|%+|<!--)?[ \t]*|[ \t]*(?:\*+/|-->)?[ \t]*$", re.M)
-END = re.compile(r"[.;:!?](?=\s)|\n[ \t]*\n")
+END = re.compile(r"[.;:!?](?=\s)|\n(?P<blank>[ \t]*\n)?")
 WORDS = re.compile(r"[a-z0-9#]+")
 
 
-def normalise(sentence: str) -> tuple[str, str]:
-    """(words of the sentence with ``#`` for its version numbers, the first such number)."""
+def normalise(sentence: str) -> tuple[str, list[str]]:
+    """(words of the sentence with ``#`` for its numbers, those numbers)."""
     low = sentence.lower()
-    numbers = PLACED.findall(low)
-    return " ".join(WORDS.findall(PLACED.sub("#", low))), numbers[0] if numbers else ""
+    return " ".join(WORDS.findall(PLACED.sub("#", low))), PLACED.findall(low)
 
 
-def _table() -> dict[str, str]:
-    out: dict[str, str] = {}
-    for key, known in SENTENCES.items():
-        for s in known:
-            out.setdefault(normalise(s)[0], key)
-    return out
+def _table() -> tuple[dict[str, list[tuple[str, list[str]]]], set[str]]:
+    """Known sentences by their words, as (identifier, numbers) where ``#`` is any number; and what they begin with."""
+    known: dict[str, list[tuple[str, list[str]]]] = {}
+    begins: set[str] = set()
+    for key, group in SENTENCES.items():
+        for s in group:
+            words, numbers = normalise(s)
+            known.setdefault(words, []).append((key, numbers))
+            split = words.split()
+            begins.update(" ".join(split[:i]) for i in range(1, len(split) + 1))
+    return known, begins
 
 
-KNOWN = _table()
+KNOWN, BEGINS = _table()
 
 
-def sentences(text: str) -> list[tuple[int, str]]:
-    """(position, sentence); a sentence over several lines is followed by its lines."""
-    out, start, clean = [], 0, COMMENT.sub("", text)
-    for stop in [*(m.end() for m in END.finditer(clean)), len(clean)]:
-        whole = clean[start:stop]
-        out.append((start, whole))
-        if "\n" in whole.strip():
-            at = start
-            for line in whole.split("\n"):
-                out.append((at, line))
-                at += len(line) + 1
-        start = stop
-    return out
+def sentences(text: str) -> list[tuple[str, list[str], bool]]:
+    """(words, numbers, whether a blank line stands before it) of every piece that has words."""
+    out, start, fresh, clean = [], 0, True, COMMENT.sub("", text)
+    for m in END.finditer(clean):
+        words, numbers = normalise(clean[start:m.end()])
+        if words:
+            out.append((words, numbers, fresh))
+            fresh = False
+        fresh, start = fresh or m["blank"] is not None, m.end()
+    words, numbers = normalise(clean[start:])
+    return [*out, (words, numbers, fresh)] if words else out
+
+
+def lookup(words: str, numbers: list[str]) -> tuple[str, str] | None:
+    """(identifier, version) of a known sentence."""
+    for key, known in KNOWN.get(words, ()):
+        if all(k in ("#", n) for k, n in zip(known, numbers)):
+            return key, next((n for k, n in zip(known, numbers) if k == "#" != n), "")
+    return None
 
 
 def identify(text: str) -> list[tuple[str, str]]:
     """The known sentences' (identifier, version) in their order."""
-    found, taken = [], -1
-    for at, s in sentences(text):
-        words, version = normalise(s)
-        key = KNOWN.get(words)
-        if key and at >= taken:
-            found.append((key, version))
-            taken = at + len(s)
+    found, pieces, i = [], sentences(text), 0
+    while i < len(pieces):
+        run, numbers, best, after = "", [], None, i + 1
+        for j in range(i, len(pieces)):
+            words, more, fresh = pieces[j]
+            run = f"{run} {words}" if run else words
+            if run not in BEGINS or (fresh and j > i):
+                break
+            numbers = numbers + more
+            hit = lookup(run, numbers)
+            if hit:
+                best, after = hit, j + 1
+        if best:
+            found.append(best)
+        i = after
     return found
 
 

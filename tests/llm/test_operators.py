@@ -217,6 +217,22 @@ def test_licence_rules(spark, odd):
     assert sorted((r["doc_id"], r["licence"]) for r in QUERIES["op4_licences"](spark, SF001).collect()) == want
 
 
+def test_licence_sentences_and_rules_all_fire():
+    for key, known in licences.SENTENCES.items():
+        for s in known:
+            for version in ("2.0", "3"):
+                want = [(key, version if "#" in s else "")]
+                assert licences.identify(s.replace("#", version)) == want
+                assert licences.identify(f"Some heading\n{s.replace('#', version)}.\n\nMore text.") == want
+    for licence, seq in licences.RULES:
+        notice = ". ".join(licences.SENTENCES[k][0] for k in seq).replace("#", "3")
+        assert licences.match(licences.identify(notice)) == [(licence.replace("#", "3"), 0, len(seq))]
+    names = lambda t: [m[0] for m in licences.match(licences.identify(t))]
+    assert names("Licensed under the BSD 2-Clause License.") == ["BSD-2-Clause"]
+    assert names("SPDX-License-Identifier: CC0-1.0") == ["CC0-1.0"]
+    assert names("Licensed under the BSD 4-Clause License.") == []
+
+
 def test_decontamination_odd(spark, odd):
     items = spark.createDataFrame([(1, "one two three four five six seven"), (2, "too short"), (3, None), (1, "one two three four five six seven")],
                                   "item_id long, text string")
