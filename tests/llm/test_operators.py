@@ -233,6 +233,20 @@ def test_licence_sentences_and_rules_all_fire():
     assert names("Licensed under the BSD 4-Clause License.") == []
 
 
+def test_licence_sentences_wrapped(spark):
+    assert licences.identify("Copyright 2020 Foo\nLicensed under the Apache License,\nVersion 2.0.") == [("ApacheName", "2.0")]
+    for key, known in licences.SENTENCES.items():
+        for s in known:
+            words = s.replace("#", "3").split(" ")
+            for n in (1, 2, 5):
+                wrapped = "\n * ".join(" ".join(words[i:i + n]) for i in range(0, len(words), n))
+                assert licences.identify(f"Copyright 2020 Foo\n * {wrapped}\n * More text") == [(key, "3" if "#" in s else "")]
+    assert licences.identify("Licensed under the Apache License,\n\nVersion 2.0.") == []
+    rows = [(1, "# This work is dedicated to the public\n# domain under CC0 1.0.")]
+    got = licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [(r["doc_id"], r["licence"]) for r in got] == [(1, "CC0-1.0")]
+
+
 def test_decontamination_odd(spark, odd):
     items = spark.createDataFrame([(1, "one two three four five six seven"), (2, "too short"), (3, None), (1, "one two three four five six seven")],
                                   "item_id long, text string")
