@@ -1,114 +1,330 @@
 """Threshold (CART-style) trees on numeric features.
 
-M12/M13 use Spark ML's distributed tree learners (binary splits on numeric
-features, Gini / variance).  M14 exposes the split search itself as SQL: the
-exact best threshold of each numeric column, from per-value label counts and
-cumulative counts over the sorted distinct values (a blocked, two-level prefix
-sum, so high-cardinality features need no pre-binning).
+M14 exposes the split search as SQL: the exact best threshold of each numeric
+column (Gini or squared error), from per-value label statistics and cumulative
+sums over the sorted distinct values (a blocked, two-level prefix sum, so
+high-cardinality features need no pre-binning).
+
+M12/M13 grow exact trees level by level on that search, without bins, samples
+or a depth limit (unless one is given), until a node has one label value or
+equal features.  A node of at most MAX_ROWS_PER_TASK rows is finished within
+one task by the same rules; larger ones are split by the distributed search.  Ties (gains equal to
+12 decimals) go to the first feature, then to the smallest threshold; a class
+tie in a leaf goes to the smallest label.  Null or NaN features and null labels
+raise, an empty table too.
 """
 
 from __future__ import annotations
 
 import math
+import pickle
+from dataclasses import dataclass
 
-from pyspark.ml import Pipeline
-from pyspark.ml.classification import DecisionTreeClassifier
-from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
-from pyspark.ml.regression import DecisionTreeRegressor
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sylvan.operators.joins import broadcast_if_small, materialize_small
 from sylvan.session import cut_lineage
 
+MAX_VALUES_PER_TASK = 1_000_000
+MAX_ROWS_PER_TASK = 1_000_000
 
-def cart_classifier(df: DataFrame, features: list[str], label: str, max_depth: int = 5, max_bins: int = 64):
-    """Fitted pipeline (label indexer, assembler, Gini tree, label decoder)."""
-    idx = StringIndexer(inputCol=label, outputCol="_label_idx", stringOrderType="alphabetAsc")
-    vec = VectorAssembler(inputCols=features, outputCol="_features")
-    tree = DecisionTreeClassifier(featuresCol="_features", labelCol="_label_idx", predictionCol="_pred_idx",
-                                  impurity="gini", maxDepth=max_depth, maxBins=max_bins, seed=42)
-    model = Pipeline(stages=[idx, vec, tree]).fit(df)
-    decode = IndexToString(inputCol="_pred_idx", outputCol="prediction", labels=model.stages[0].labels)
-    return model, decode
 
+def grow(x: np.ndarray, y: np.ndarray, k: int, max_depth: int | None = None) -> dict[str, np.ndarray]:
+    """The exact tree of one task's rows, all nodes of a level at once: feature (-1 in leaves), threshold,
+    left (the right child follows it) and value by node.  ``k`` classes, or 0 for squared error."""
+    feature, threshold, left, value = [], [], [], []
+    node, first, depth = np.zeros(len(y), np.int64), 0, 0
+    orders = [np.argsort(x[:, j], kind="stable") for j in range(x.shape[1])]
+    while len(orders[0]):
+        by_node = [o[np.argsort(node[o], kind="stable")] for o in orders]
+        at = node[by_node[0]]
+        starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+        seg = np.cumsum(np.r_[False, at[1:] != at[:-1]])
+        n = np.diff(np.r_[starts, len(at)]).astype(float)
+        m, ys = len(starts), y[by_node[0]]
+        lo, hi = np.minimum.reduceat(ys, starts), np.maximum.reduceat(ys, starts)
+        stats = np.zeros((len(y), max(k, 1)))
+        if k:
+            stats[np.arange(len(y)), y.astype(np.int64)] = 1.0
+            total = np.add.reduceat(stats[by_node[0]], starts, axis=0)
+            out, scale = total.argmax(axis=1).astype(float), np.ones(m)
+            parent = (total * total).sum(axis=1)
+        else:
+            mean = lo + np.add.reduceat(ys - lo[seg], starts) / n
+            out = np.where(lo == hi, lo, mean)
+            stats[by_node[0], 0] = ys - mean[seg]
+            scale = np.add.reduceat(stats[by_node[0], 0] ** 2, starts) / n
+            total, parent = np.add.reduceat(stats[by_node[0]], starts, axis=0), np.zeros(m)
+        best, chosen, cut = np.full(m, -np.inf), np.full(m, -1), np.zeros(m)
+        for j, o in enumerate(by_node if max_depth is None or depth < max_depth else []):
+            xs, sums = x[o, j], np.cumsum(stats[o], axis=0)
+            i = np.flatnonzero((seg[1:] == seg[:-1]) & (xs[1:] != xs[:-1]) & (lo != hi)[seg[:-1]])
+            if not len(i):
+                continue
+            g = seg[i]
+            base = np.where((starts > 0)[:, None], sums[starts - 1], 0.0)
+            sl = sums[i] - base[g]
+            sr, nl = total[g] - sl, i - starts[g] + 1.0
+            nr = n[g] - nl
+            gain = ((sl * sl).sum(axis=1) / nl + (sr * sr).sum(axis=1) / nr - parent[g] / n[g]) / n[g]
+            r = np.round(gain / scale[g], 12)
+            heads = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
+            top = np.full(m, -np.inf)
+            top[g[heads]] = np.maximum.reduceat(r, heads)
+            hits = np.flatnonzero(r == top[g])
+            hits = hits[np.r_[True, g[hits][1:] != g[hits][:-1]]]
+            hits = hits[r[hits] > best[g[hits]]]
+            a, b = xs[i[hits]], xs[i[hits] + 1]
+            with np.errstate(all="ignore"):
+                mid = (a + b) / 2
+            won = g[hits]
+            best[won], chosen[won], cut[won] = r[hits], j, np.where(mid < b, mid, a)
+        split = chosen >= 0
+        child = first + m + 2 * (np.cumsum(split) - 1)
+        feature.append(chosen), threshold.append(cut), value.append(out)
+        left.append(np.where(split, child, -1))
+        o = by_node[0][split[seg]]
+        own = node[o] - first
+        node[o] = child[own] + ~(x[o, chosen[own]] <= cut[own])
+        goes = np.zeros(len(y), bool)
+        goes[o] = True
+        place = np.cumsum(goes) - 1
+        orders, first, depth = [place[b[goes[b]]] for b in by_node], first + m, depth + 1
+        x, y, node = x[goes], y[goes], node[goes]
+    names = ("feature", "threshold", "left", "value")
+    return {name: np.concatenate(v) for name, v in zip(names, (feature, threshold, left, value))}
 
-def cart_classify(df: DataFrame, features: list[str], label: str, max_depth: int = 5, max_bins: int = 64) -> DataFrame:
-    model, decode = cart_classifier(df, features, label, max_depth, max_bins)
-    return decode.transform(model.transform(df)).drop("_label_idx", "_features", "_pred_idx", "rawPrediction",
-                                                      "probability")
 
+def descend(tree: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
+    """The value of each row's leaf."""
+    node, live = np.zeros(len(x), np.int64), np.arange(len(x))
+    while len(live):
+        live = live[tree["feature"][node[live]] >= 0]
+        at = node[live]
+        node[live] = tree["left"][at] + ~(x[live, tree["feature"][at]] <= tree["threshold"][at])
+    return tree["value"][node]
 
-def cart_regress(df: DataFrame, features: list[str], label: str, max_depth: int = 5, max_bins: int = 64) -> DataFrame:
-    """Variance-reduction regression tree; adds ``prediction``."""
-    vec = VectorAssembler(inputCols=features, outputCol="_features")
-    tree = DecisionTreeRegressor(featuresCol="_features", labelCol=label, predictionCol="prediction",
-                                 maxDepth=max_depth, maxBins=max_bins, seed=42)
-    model = Pipeline(stages=[vec, tree]).fit(df)
-    return model.transform(df).drop("_features")
 
+@dataclass
+class CartModel:
+    """Splits of the large nodes by level, leaves among them, and the trees that one task each has finished."""
 
-MAX_VALUES_PER_TASK = 1_000_000
+    features: list[str]
+    classes: list | None
+    class_type: T.DataType | None
+    levels: list[tuple[DataFrame, int]]
+    leaves: tuple[DataFrame, int]
+    trees: DataFrame
 
+    def predict(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``prediction``."""
+        _reject_missing(df, self.features)
+        rows = df.select(F.struct("*").alias("row"), _vector(self.features).alias("_x"), F.lit("").alias("_node"))
+        for splits, n in self.levels:
+            rows = _descend_level(rows, splits, n, "left")
+        rows = cut_lineage(rows)
+        limit = MAX_ROWS_PER_TASK
+        counts, n_counts = materialize_small(rows.groupBy("_node").agg(F.ceil(F.count("*") / limit).alias("_parts")))
+        parts = broadcast_if_small(counts, n_counts)
+        of_tree = rows.join(self.trees.select("_node"), "_node", "left_semi").join(parts, "_node").withColumn(
+            "_part", F.monotonically_increasing_id() % F.col("_parts")).drop("_parts")
+        trees = self.trees.join(parts, "_node").withColumn(
+            "_part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_parts") - 1))).drop("_parts")
+        schema = T.StructType([T.StructField("row", df.schema), T.StructField("_value", T.DoubleType())])
+        width = len(self.features)
 
-def best_threshold_split(df: DataFrame, features: list[str], label: str) -> DataFrame:
-    """Per numeric feature, the Gini-best threshold ``x <= t`` (midpoint of two
-    consecutive distinct values): feature, threshold, gain, n_left, n_right.
+        def apply(rows, trees):
+            x = rows["_x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+            values = descend(pickle.loads(trees["tree"][0].as_py()), x) if len(x) else np.zeros(0)
+            return pa.table({"row": rows["row"], "_value": pa.array(values, pa.float64())})
 
-    Ties go to the smallest threshold.  Cumulative label counts over the
-    sorted distinct values are a two-level prefix sum: distinct values are cut
-    into blocks of at most MAX_VALUES_PER_TASK (approximate quantile cut
-    points), block offsets come from a window over the few block totals, and
-    the within-block windows run in parallel -- no task sorts a whole feature.
-    The label set (the classes) is read first; it bounds the count vectors.
-    """
-    labels = [r[0] for r in df.select(label).distinct().where(F.col(label).isNotNull()).orderBy(label).collect()]
-    k = len(labels)
-    pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("x")) for f in features])
-    long = df.select(F.col(label).alias("y"), F.explode(pairs).alias("_p")).select("_p.feature", "_p.x", "y")
-    long = long.where(F.col("x").isNotNull() & ~F.isnan("x") & F.col("y").isNotNull())
-    per_value = cut_lineage(long.groupBy("feature", "x").agg(
-        *[F.count_if(F.col("y") == F.lit(v)).alias(f"_c{i}") for i, v in enumerate(labels)]))
-    most = per_value.groupBy("feature").count().agg(F.max("count")).first()[0] or 0
+        by = ("_node", "_part")
+        finished = of_tree.groupBy(*by).cogroup(trees.groupBy(*by)).applyInArrow(apply, schema)
+        leaves, n_leaves = self.leaves
+        out = finished.unionByName(rows.join(broadcast_if_small(leaves, n_leaves), "_node").select("row", "_value"))
+        value = F.col("_value")
+        if self.classes is not None:
+            value = F.element_at(F.array(*[F.lit(c).cast(self.class_type) for c in self.classes]), value.cast("int") + 1)
+        return out.select("row.*", value.alias("prediction"))
+
+
+def _vector(features: list[str]):
+    return F.array(*[F.col(f).cast("double") for f in features])
+
+
+def _reject_missing(df: DataFrame, features: list[str], label: str | None = None) -> int:
+    """The number of rows; raises when a feature is null or NaN or a label null."""
+    bad = F.lit(False) if label is None else F.col(label).isNull()
+    for f in features:
+        bad = bad | F.col(f).isNull() | F.isnan(F.col(f).cast("double"))
+    n, n_bad = df.agg(F.count("*"), F.count_if(bad)).first()
+    if n_bad:
+        raise ValueError(f"{n_bad} rows have a null or NaN feature or a null label")
+    return n
+
+
+def _descend_level(rows: DataFrame, splits: DataFrame, n: int, how: str) -> DataFrame:
+    below = F.concat("_node", F.when(F.element_at("_x", F.col("_f") + 1) <= F.col("_t"), "l").otherwise("r"))
+    return rows.join(broadcast_if_small(splits, n), "_node", how).withColumn(
+        "_node", F.when(F.col("_f").isNull(), F.col("_node")).otherwise(below)).drop("_f", "_t")
+
+
+def fit_cart(df: DataFrame, features: list[str], label: str, criterion: str = "gini",
+             max_depth: int | None = None) -> CartModel:
+    """The exact tree: ``gini`` for classes, ``squared_error`` for numbers."""
+    if not _reject_missing(df, features, label):
+        raise ValueError("cannot fit a tree on an empty table")
+    classes, class_type, k = None, None, 0
+    if criterion == "gini":
+        classes, class_type = [r[0] for r in df.select(label).distinct().orderBy(label).collect()], df.schema[label].dataType
+        k = len(classes)
+        y = (F.array_position(F.array(*[F.lit(c).cast(class_type) for c in classes]), F.col(label)) - 1).cast("double")
+    elif criterion == "squared_error":
+        y = F.col(label).cast("double")
+    else:
+        raise ValueError(f"unknown criterion {criterion!r}")
+    rows = cut_lineage(df.select(F.lit("").alias("_node"), _vector(features).alias("_x"), y.alias("_y")))
+    limit = MAX_ROWS_PER_TASK
+    # a class's count in each node; the leaf value is the first class with the largest
+    counted = [F.count_if(F.col("_y") == i) for i in range(k)]
+    value = F.array_position(F.array(*counted), F.array_max(F.array(*counted))).cast("double") - 1 if k else F.avg("_y")
+    levels, leaves, tasks, depth = [], [], [], 0
+    while True:
+        nodes, n_nodes = materialize_small(rows.groupBy("_node").agg(
+            F.count("*").alias("_n"), (F.min("_y") == F.max("_y")).alias("_pure"), F.min("_y").alias("_lo"), value.alias("_mean")))
+        ends = F.lit(True) if depth == max_depth else F.col("_pure")
+        nodes = nodes.select("_node", F.when(F.col("_pure"), F.col("_lo")).otherwise(F.col("_mean")).alias("_value"),
+                             F.when(ends, "leaf").when(F.col("_n") <= limit, "task").otherwise("split").alias("_kind"))
+        kinds = {r[0] for r in nodes.select("_kind").distinct().collect()}
+        leaves.append(nodes.where("_kind = 'leaf'").select("_node", "_value"))
+        kinded = rows.join(broadcast_if_small(nodes.select("_node", "_kind"), n_nodes), "_node")
+        if "task" in kinds:
+            tasks.append(kinded.where("_kind = 'task'").select("_node", "_x", "_y"))
+        if "split" not in kinds:
+            break
+        large = kinded.where("_kind = 'split'").select("_node", "_x", "_y")
+        long = large.select("_node", F.posexplode("_x").alias("_f", "x"), "_y")
+        splits, n_splits = materialize_small(_candidates(long, ["_node", "_f"], "_y", range(k) if k else None).groupBy("_node").agg(
+            F.max_by(F.struct("_f", F.col("threshold").alias("_t")), F.struct("_rank", -F.col("_f"), -F.col("threshold"))).alias("b"))
+            .select("_node", "b.*"))
+        # large nodes whose features are all equal
+        leaves.append(nodes.where("_kind = 'split'").join(broadcast_if_small(splits, n_splits), "_node", "left_anti")
+                      .select("_node", "_value"))
+        levels.append((splits, n_splits))
+        rows, depth = cut_lineage(_descend_level(large, splits, n_splits, "inner")), depth + 1
+        if not n_splits:
+            break
+    all_leaves = leaves[0]
+    for more in leaves[1:]:
+        all_leaves = all_leaves.unionByName(more)
+    schema, width = "_node string, tree binary", len(features)
+
+    def finish(group: pd.DataFrame) -> pd.DataFrame:
+        node, x = group["_node"].iloc[0], np.concatenate(group["_x"].to_numpy()).reshape(-1, width)
+        rest = None if max_depth is None else max_depth - len(node)
+        return pd.DataFrame({"_node": [node], "tree": [pickle.dumps(grow(x, group["_y"].to_numpy(), k, rest))]})
+
+    all_tasks = tasks[0] if tasks else rows.where("false").select("_node", "_x", "_y")
+    for more in tasks[1:]:
+        all_tasks = all_tasks.unionByName(more)
+    trees = cut_lineage(all_tasks.groupBy("_node").applyInPandas(finish, schema))
+    return CartModel(features, classes, class_type, levels, materialize_small(all_leaves), trees)
+
+
+def cart_classify(df: DataFrame, features: list[str], label: str, max_depth: int | None = None) -> DataFrame:
+    """Gini tree; adds ``prediction``."""
+    return fit_cart(df, features, label, "gini", max_depth).predict(df)
+
+
+def cart_regress(df: DataFrame, features: list[str], label: str, max_depth: int | None = None) -> DataFrame:
+    """Squared-error tree; adds ``prediction``."""
+    return fit_cart(df, features, label, "squared_error", max_depth).predict(df)
+
+
+def _candidates(long: DataFrame, keys: list[str], label: str, labels) -> DataFrame:
+    """Every threshold of each key group of (keys, x, label): threshold, gain, n_left, n_right, and ``_rank``, the gain to
+    12 decimals.  ``labels``: the classes (Gini), or None for squared error (ranked by its share of the group's variance)."""
+    y = F.col(label)
+    if labels is None:
+        mean = long.agg(F.avg(label)).first()[0] or 0.0
+        stats = [F.count("*"), F.sum(y - mean), F.sum((y - mean) * (y - mean))]
+    else:
+        stats = [F.count_if(y == F.lit(v)) for v in labels]
+    k = len(stats)
+    per_value = cut_lineage(long.groupBy(*keys, "x").agg(*[c.alias(f"_c{i}") for i, c in enumerate(stats)]))
+    most = per_value.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
     blocks = max(1, math.ceil(most / MAX_VALUES_PER_TASK))
     if blocks > 1:
         probs = [i / blocks for i in range(1, blocks)]
-        cuts, n_cuts = materialize_small(per_value.groupBy("feature").agg(
+        cuts, n_cuts = materialize_small(per_value.groupBy(*keys).agg(
             F.percentile_approx("x", probs, 10000).alias("_cuts")))
-        pv = per_value.join(broadcast_if_small(cuts, n_cuts), "feature").withColumn(
+        pv = per_value.join(broadcast_if_small(cuts, n_cuts), keys).withColumn(
             "_blk", F.size(F.filter("_cuts", lambda c: c < F.col("x")))).drop("_cuts")
     else:
         pv = per_value.withColumn("_blk", F.lit(0))
-    bt = pv.groupBy("feature", "_blk").agg(*[F.sum(f"_c{i}").alias(f"_b{i}") for i in range(k)],
-                                           F.min("x").alias("_bmin"))
-    wb = Window.partitionBy("feature").orderBy("_blk")
+    bt = pv.groupBy(*keys, "_blk").agg(*[F.sum(f"_c{i}").alias(f"_b{i}") for i in range(k)],
+                                       F.min("x").alias("_bmin"))
+    wb = Window.partitionBy(*keys).orderBy("_blk")
     before = wb.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy("feature")
-    bt = bt.select("feature", "_blk", F.lead("_bmin").over(wb).alias("_nextmin"),
+    whole = Window.partitionBy(*keys)
+    bt = bt.select(*keys, "_blk", F.lead("_bmin").over(wb).alias("_nextmin"),
                    *[F.coalesce(F.sum(f"_b{i}").over(before), F.lit(0)).alias(f"_o{i}") for i in range(k)],
                    *[F.sum(f"_b{i}").over(whole).alias(f"_t{i}") for i in range(k)])
     bt, n_bt = materialize_small(bt)
-    cum = pv.join(broadcast_if_small(bt, n_bt), ["feature", "_blk"])
-    w = Window.partitionBy("feature", "_blk").orderBy("x")
+    cum = pv.join(broadcast_if_small(bt, n_bt), [*keys, "_blk"])
+    w = Window.partitionBy(*keys, "_blk").orderBy("x")
     running = w.rowsBetween(Window.unboundedPreceding, 0)
     for i in range(k):
         cum = cum.withColumn(f"_l{i}", F.sum(f"_c{i}").over(running) + F.col(f"_o{i}"))
     cum = cum.withColumn("_next", F.coalesce(F.lead("x").over(w), F.col("_nextmin")))
-    nl = sum((F.col(f"_l{i}") for i in range(k)), F.lit(0))
-    n = sum((F.col(f"_t{i}") for i in range(k)), F.lit(0))
-    nr = n - nl
+    left = [F.col(f"_l{i}") for i in range(k)]
+    total = [F.col(f"_t{i}") for i in range(k)]
+    right = [t - c for t, c in zip(total, left)]
+    if labels is None:
+        nl, n, nr = left[0], total[0], right[0]
+        gain = (left[1] * left[1] / nl + right[1] * right[1] / nr - total[1] * total[1] / n) / n
+        variance = total[2] / n - (total[1] / n) * (total[1] / n)
+        rank = F.when(variance > 0, gain / variance).otherwise(F.lit(0.0))
+    else:
+        nl = sum(left, F.lit(0))
+        n = sum(total, F.lit(0))
+        nr = n - nl
 
-    def gini(counts, total):
-        return F.lit(1.0) - sum(((c / total) * (c / total) for c in counts), F.lit(0.0))
+        def gini(counts, of):
+            return F.lit(1.0) - sum(((c / of) * (c / of) for c in counts), F.lit(0.0))
 
-    left = [F.col(f"_l{i}") for i in range(k)]
-    right = [F.col(f"_t{i}") - F.col(f"_l{i}") for i in range(k)]
-    parent = gini([F.col(f"_t{i}") for i in range(k)], n)
-    weighted = (nl * gini(left, nl) + nr * gini(right, nr)) / n
-    cand = cum.where(F.col("_next").isNotNull()).select(
-        "feature", ((F.col("x") + F.col("_next")) / 2).alias("threshold"), (parent - weighted).alias("gain"),
-        nl.alias("n_left"), nr.alias("n_right"))
-    r = F.round("gain", 12)
-    best = cand.groupBy("feature").agg(F.max_by(F.struct("threshold", "gain", "n_left", "n_right"),
-                                                F.struct(r, -F.col("threshold"))).alias("b"))
+        gain = rank = gini(total, n) - (nl * gini(left, nl) + nr * gini(right, nr)) / n
+    mid = (F.col("x") + F.col("_next")) / 2
+    return cum.where(F.col("_next").isNotNull()).select(
+        *keys, F.when(mid < F.col("_next"), mid).otherwise(F.col("x")).alias("threshold"), gain.alias("gain"),
+        nl.alias("n_left"), nr.alias("n_right"), F.round(rank, 12).alias("_rank"))
+
+
+def best_threshold_split(df: DataFrame, features: list[str], label: str, criterion: str = "gini") -> DataFrame:
+    """Per numeric feature, the best threshold ``x <= t`` (midpoint of two
+    consecutive distinct values) by Gini or squared error: feature, threshold, gain, n_left, n_right.
+
+    Ties go to the smallest threshold.  Cumulative label statistics over the
+    sorted distinct values are a two-level prefix sum: distinct values are cut
+    into blocks of at most MAX_VALUES_PER_TASK (approximate quantile cut
+    points), block offsets come from a window over the few block totals, and
+    the within-block windows run in parallel -- no task sorts a whole feature.
+    With Gini the label set (the classes) is read first; it bounds the count vectors.
+    """
+    if criterion not in ("gini", "squared_error"):
+        raise ValueError(f"unknown criterion {criterion!r}")
+    y, labels = F.col(label).cast("double"), None
+    if criterion == "gini":
+        y = F.col(label)
+        labels = [r[0] for r in df.select(label).distinct().where(F.col(label).isNotNull()).orderBy(label).collect()]
+    pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("x")) for f in features])
+    long = df.select(y.alias("y"), F.explode(pairs).alias("_p")).select("_p.feature", "_p.x", "y")
+    long = long.where(F.col("x").isNotNull() & ~F.isnan("x") & F.col("y").isNotNull())
+    best = _candidates(long, ["feature"], "y", labels).groupBy("feature").agg(
+        F.max_by(F.struct("threshold", "gain", "n_left", "n_right"), F.struct("_rank", -F.col("threshold"))).alias("b"))
     return best.select("feature", "b.*")

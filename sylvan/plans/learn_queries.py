@@ -215,14 +215,14 @@ _CART_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 @register("cart_classify")
 def cart_classify(spark, sf):
     li = table(spark, sf, "lineitem").select(*LI_KEYS, *_CART_FEATURES, "l_returnflag")
-    return cart.cart_classify(li, _CART_FEATURES, "l_returnflag", max_depth=5).select(*LI_KEYS, "prediction")
+    return cart.cart_classify(li, _CART_FEATURES, "l_returnflag").select(*LI_KEYS, "prediction")
 
 
 @register("cart_regress")
 def cart_regress(spark, sf):
     p = table(spark, sf, "part").select("p_partkey", "p_size", (F.col("p_partkey") % 1000).alias("pk_mod"),
                                         "p_retailprice")
-    out = cart.cart_regress(p, ["p_size", "pk_mod"], "p_retailprice", max_depth=5)
+    out = cart.cart_regress(p, ["p_size", "pk_mod"], "p_retailprice")
     return out.select("p_partkey", r6("prediction").alias("prediction"))
 
 
