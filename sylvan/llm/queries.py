@@ -5,12 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from sylvan.llm import bpe, decontam, langid, licences, line_dedup, multi_index, near_dups, token_counts, token_files, warc
+from sylvan.llm import (alignment, bpe, decontam, langid, licences, line_dedup, multi_index, near_dups, quality, spelling, token_counts,
+                        token_files, warc)
 from sylvan.session import scratch_path
 from sylvan.sources.tables import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -112,3 +114,36 @@ def op4_licences(spark, sf_dir):
 def op6_near_duplicates(spark, sf_dir):
     found = near_dups.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "class_id", "copy_id", "n_links")
+
+
+@query
+def op11_quality(spark, sf_dir):
+    return quality.rate_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+#: Occurrences of which one in so many loses a code point before words are counted.
+SLIP = 31
+
+
+@query
+def op12_spelling(spark, sf_dir):
+    found = spelling.runs(table(spark, sf_dir, "documents"))
+    h = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("run")).cast("binary"))
+    found = found.withColumn("h", h).withColumn("k", (F.col("h") % F.char_length("run")).cast("int"))
+    word = F.when(F.col("h") % SLIP == 0, F.expr("concat(substring(run, 1, k), substring(run, k + 2))")).otherwise(F.col("run"))
+    grouped = spelling.group_variants(spelling.count_words(found, word))
+    return grouped.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@query
+def op13_alignment(spark, sf_dir):
+    path = scratch_path(spark, "op13")
+    groups = alignment.token_groups(table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE)
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    (groups.withColumn("groups_sha256", digest).drop("groups").withColumn("row", F.monotonically_increasing_id())
+     .write.parquet(f"{path}/aligned"))
+    aligned = spark.read.parquet(f"{path}/aligned")
+    scores = alignment.link_scores(aligned).withColumnRenamed("row", "of")
+    return aligned.join(scores, F.col("row") == F.col("of"), "left").select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", F.coalesce("n_best", F.lit(0)).cast("long").alias("n_best"),
+        F.coalesce("count_sum", F.lit(0)).cast("long").alias("count_sum"), "groups_sha256")
