@@ -92,7 +92,11 @@ def brute_alignment(rows):
                 a, b = [], []
         at, bt = np.cumsum([len(v.bytes_of[i]) for i in a]), np.cumsum([len(b_bytes(i)) for i in b])
         cuts = sorted(set(at.tolist()) & set(bt.tolist()))
-        side = lambda ids, ends: [",".join(map(str, ids[i:j])) for i, j in zip([0, *(k := np.searchsorted(ends, cuts, "right").tolist())], k)]
+
+        def side(ids, ends):
+            upto = np.searchsorted(ends, cuts, "right").tolist()
+            return [",".join(map(str, ids[i:j])) for i, j in zip([0, *upto], upto)]
+
         groups = ";".join(f"{x}|{y}" for x, y in zip(side(a, at), side(b, bt)))
         where = {int(e): i for i, e in zip(b, bt)}
         links = [(i, where[int(e)]) for i, e in zip(a, at) if int(e) in where]
