@@ -1,19 +1,20 @@
-"""HTML extraction as SQL over the element table.
-
-Every "find X inside Y" becomes an equi-join on ``(page keys, ancestor ord)``
-against the exploded ``ancestors`` array; "first" / "last match wins" become
-``min_by`` / ``max_by`` on document order.  All joins are keyed by page, so
-the work partitions by page and no page ever meets another page's rows.
+"""HTML extraction over interval-numbered page trees.
+
+A page is one row (``sources/html.py``): "find X inside Y" is a slice of the
+page's element array and a filter, "first" / "last match wins" its first or
+last item, and text is a slice of the page's bytes.  Every extraction is an
+expression over the row, so nothing is joined or shuffled: the pages'
+placement before parsing is the only exchange, and all fields of a record come
+from one pass.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sylvan.functions import scalar as S
-from sylvan.session import cut_lineage
-from sylvan.sources.html import html_elements
+from sylvan.sources.html import below, els, first, html_trees, last, tagged, text_of
 
 # Stat names recognised on detail pages.
 STAT_NAMES = [
@@ -26,7 +27,7 @@ STAT_NAMES = [
 
 def parse_pages(pages: DataFrame, key: list[str], html_col: str = "html", tags: str = "*",
                 spread: bool = True) -> DataFrame:
-    """Parse once and checkpoint the element table (reused by every extraction).
+    """The trees of all pages: key, ``text``, ``els``.
 
     Parsing is Python work, so it must run on every task slot: pages are first
     spread over the cluster's default parallelism by their key.  With
@@ -34,111 +35,83 @@ def parse_pages(pages: DataFrame, key: list[str], html_col: str = "html", tags:
     """
     if spread:
         pages = pages.repartition(pages.sparkSession.sparkContext.defaultParallelism, *key)
-    return cut_lineage(html_elements(pages, html_col, key, tags))
+    return html_trees(pages, html_col, key, tags)
 
 
-def has_class(cls: str):
-    return F.array_contains("classes", cls)
+def _each(rows: DataFrame, key: list[str], items: Column) -> DataFrame:
+    """One row per item of an array of structs.  (Outer, then filtered: a plain explode of an expression would
+    have it evaluated once more, in a filter below it.)"""
+    return rows.select(*key, F.explode_outer(items).alias("_i")).where("_i IS NOT NULL").select(*key, "_i.*")
 
 
-def by_tag(els: DataFrame, tag: str, cls: str | None = None) -> DataFrame:
-    cond = F.col("tag") == tag
-    if cls:
-        cond = cond & has_class(cls)
-    return els.where(cond)
+def class_probes(trees: DataFrame, key: list[str], tag: str = "div", token: str = "pos", k: int = 5, width: int = 30) -> DataFrame:
+    """Per page, the elements of ``tag`` with the class ``token`` (number, first ``k`` texts) and those
+    with a class that contains it (number, first ``k`` as ``class:text``, texts cut to ``width``, the
+    reference's display).  Pages without any give zeros and empty strings."""
+    exact = tagged(els(), tag, token)
+    like = F.filter(els(), lambda e: (e["tag"] == tag) & F.exists(e["classes"], lambda c: c.contains(token)))
+    text = lambda e: F.trim(text_of(e))
+    shown = lambda e: F.concat(F.array_join(e["classes"], " "), F.lit(":"), F.substring(text(e), 1, width))
+    joined = lambda found, show: F.array_join(F.transform(F.slice(found, 1, k), show), " | ")
+    return trees.select(*key, F.size(exact).cast("long").alias("n_exact"), joined(exact, text).alias("first_exact"),
+                        F.size(like).cast("long").alias("n_like"), joined(like, shown).alias("first_like"))
+
+
+def parent_of_first(trees: DataFrame, key: list[str], tag: str, codes: list[str], k: int = 20) -> DataFrame:
+    """Of the first ``k`` elements of ``tag``, the first whose text is one of ``codes``: that code, and its
+    parent's tag and classes.  Pages without one give no row; parents must be among the parsed tags."""
+    hits = F.filter(F.transform(F.slice(tagged(els(), tag), 1, k), lambda e: F.struct(
+        F.trim(text_of(e)).alias("code"), e["parent_ord"].alias("parent_ord"))), lambda h: h["code"].isin(*codes))
+    out = trees.select(*key, "els", first(hits).alias("_h")).where("_h IS NOT NULL")
+    parent = first(F.filter(els(), lambda e: e["ord"] == F.col("_h.parent_ord")))
+    return out.select(*key, "_h.code", parent.alias("_p")).select(
+        *key, "code", F.col("_p.tag").alias("parent_tag"), F.array_join("_p.classes", " ").alias("parent_class"))
 
 
-def inside(els: DataFrame, outer: DataFrame, key: list[str], outer_alias: str = "o_ord") -> DataFrame:
-    """Rows of ``els`` that are descendants of a row of ``outer`` (key + ``ord``).
+# --------------------------------------------------------------------------- list pages (H2-H4)
 
-    Adds ``outer_alias`` = the outer element's ord.  A descendant of several
-    matching outers appears once per outer (like nested find_all).
-    """
-    ex = els.withColumn("_anc", F.explode("ancestors"))
-    o = outer.select(*key, F.col("ord").alias(outer_alias))
-    return ex.join(o, [*[ex[k] == o[k] for k in key], ex["_anc"] == o[outer_alias]]).drop(
-        *[o[k] for k in key]).drop("_anc")
+def _list_rows() -> Column:
+    """H2: the first ``table``'s first ``tbody``'s ``tr`` elements (null or empty on a bad page)."""
+    return tagged(below(first(tagged(below(first(tagged(els(), "table"))), "tbody"))), "tr")
 
 
-def first_per(df: DataFrame, group: list[str]) -> DataFrame:
-    """The document-first row per group."""
-    cols = [c for c in df.columns if c not in group]
-    return df.groupBy(*group).agg(F.min_by(F.struct(*cols), F.col("ord")).alias("_f")).select(*group, "_f.*")
+def _cells(rows: Column, min_cells: int) -> Column:
+    """Rows as (tr_ord, cells): those with at least ``min_cells`` ``td`` elements."""
+    with_cells = F.transform(rows, lambda r: F.struct(r["ord"].alias("tr_ord"), tagged(below(r), "td").alias("cells")))
+    return F.filter(with_cells, lambda r: F.size(r["cells"]) >= min_cells)
 
 
-def class_probes(els: DataFrame, key: list[str], tag: str = "div", token: str = "pos", k: int = 5, width: int = 30) -> DataFrame:
-    """Per page, the elements of ``tag`` with the class ``token`` (number, first ``k`` texts) and those
-    with a class that contains it (number, first ``k`` as ``class:text``, texts cut to ``width``, the
-    reference's display).  Pages without any give zeros and empty strings; ranks are running counts,
-    so at most ``k`` texts of a page are gathered."""
-    exact = (F.col("tag") == tag) & has_class(token)
-    like = (F.col("tag") == tag) & F.exists("classes", lambda c: c.contains(token))
-    run = Window.partitionBy(*key).orderBy("ord").rowsBetween(Window.unboundedPreceding, 0)
-    text = F.trim("text")
-    rows = els.where(like | (F.col("ord") == 0)).select(
-        *key, "ord", exact.alias("_exact"), like.alias("_like"), text.alias("_text"),
-        F.concat(F.array_join("classes", " "), F.lit(":"), F.substring(text, 1, width)).alias("_shown"))
-    rows = rows.withColumn("_ne", F.count_if("_exact").over(run)).withColumn("_nl", F.count_if("_like").over(run))
-
-    def firsts(hit, rank, value):
-        kept = F.collect_list(F.when(F.col(hit) & (F.col(rank) <= k), F.struct(F.col(rank), F.col(value))))
-        return F.array_join(F.transform(F.array_sort(kept), lambda x: x[value]), " | ")
-
-    return rows.groupBy(*key).agg(
-        F.count_if("_exact").alias("n_exact"), firsts("_exact", "_ne", "_text").alias("first_exact"),
-        F.count_if("_like").alias("n_like"), firsts("_like", "_nl", "_shown").alias("first_like"))
+def _link(cell: Column) -> Column:
+    """The first ``a`` inside a cell: title, href, text (nulls when there is none)."""
+    found = first(tagged(below(cell), "a"))
+    return F.struct(found["ord"].alias("ord"), found["attrs"]["title"].alias("title"), found["attrs"]["href"].alias("href"),
+                    text_of(found).alias("text"))
 
 
-# --------------------------------------------------------------------------- list pages (H2-H4)
+def table_rows(trees: DataFrame, key: list[str], min_cells: int = 8, link_cell: int = 1) -> DataFrame:
+    """H2: key, tr_ord, n_cells, cells (their texts) and the link of cell ``link_cell`` of every row with at least
+    ``min_cells`` cells; pages without table, tbody or rows give none."""
+    return _each(trees, key, F.transform(_cells(_list_rows(), min_cells), lambda r: F.struct(
+        r["tr_ord"].alias("tr_ord"), F.size(r["cells"]).alias("n_cells"), F.transform(r["cells"], text_of).alias("cells"),
+        _link(F.get(r["cells"], F.lit(link_cell))).alias("link"))))
 
-def table_rows(els: DataFrame, key: list[str], min_cells: int = 8) -> DataFrame:
-    """H2: rows of the first ``table`` -> first ``tbody`` -> every ``tr`` -> every ``td``.
 
-    Returns key, tr_ord, n_cells, cells (array of struct(ord, text)) for rows
-    with at least ``min_cells`` cells; pages without table/tbody/rows give none.
-    """
-    table = first_per(by_tag(els, "table").select(*key, "ord"), key)
-    tbody = first_per(inside(by_tag(els, "tbody"), table, key).select(*key, "ord"), key)
-    trs = inside(by_tag(els, "tr"), tbody, key).select(*key, "ord")
-    tds = inside(by_tag(els, "td"), trs, key, "tr_ord")
-    rows = tds.groupBy(*key, "tr_ord").agg(
-        F.array_sort(F.collect_list(F.struct("ord", "text"))).alias("cells"))
-    rows = rows.withColumn("n_cells", F.size("cells"))
-    return rows.where(F.col("n_cells") >= min_cells)
-
-
-def bad_pages(els: DataFrame, pages: DataFrame, key: list[str]) -> DataFrame:
-    """G6 input: pages with no table, no tbody in it, or no row in that tbody."""
-    table = first_per(by_tag(els, "table").select(*key, "ord"), key)
-    tbody = first_per(inside(by_tag(els, "tbody"), table, key).select(*key, "ord"), key)
-    trs = inside(by_tag(els, "tr"), tbody, key).select(*key).distinct()
-    return pages.select(*key).join(trs, key, "left_anti")
-
-
-def first_link_in(els: DataFrame, cells: DataFrame, key: list[str], cell_col: str) -> DataFrame:
-    """First ``a`` inside the cell whose ord is ``cell_col``: title, href, text."""
-    a = by_tag(els, "a")
-    c = cells.select(*key, "tr_ord", F.col(cell_col).alias("ord"))
-    found = inside(a, c, key, "cell_ord").select(*key, "cell_ord", "ord", "attrs", "text")
-    f = first_per(found, key + ["cell_ord"])
-    return f.select(*key, "cell_ord", F.col("attrs")["title"].alias("title"),
-                    F.col("attrs")["href"].alias("href"), F.col("text").alias("link_text"))
-
-
-def player_rows(els: DataFrame, key: list[str]) -> DataFrame:
+def is_bad_page() -> Column:
+    """No table, no tbody in it, or no row in that tbody."""
+    return F.coalesce(F.size(_list_rows()), F.lit(0)) <= 0
+
+
+def player_rows(trees: DataFrame, key: list[str]) -> DataFrame:
     """H3/H4: one player record per list row that has a name link (F1-F5 applied).
 
     Rows whose money text does not parse are dropped (the reference skips them).
     """
-    rows = table_rows(els, key)
-    rows = rows.select(*key, "tr_ord", *[F.col("cells")[i]["ord"].alias(f"c{i}_ord") for i in range(8)],
-                       *[F.col("cells")[i]["text"].alias(f"c{i}") for i in range(8)])
-    name_link = first_link_in(els, rows, key, "c1_ord")
-    team_link = first_link_in(els, rows, key, "c5_ord").select(
-        *key, F.col("cell_ord").alias("c5_ord"), F.col("link_text").alias("team_text"))
-    r = (rows.join(name_link.withColumnRenamed("cell_ord", "c1_ord"), key + ["c1_ord"])
-         .join(team_link, key + ["c5_ord"], "left"))
-    name = F.coalesce(F.nullif(F.col("title"), F.lit("")), S.first_line(F.col("link_text")))
+    def fields(r):
+        return F.struct(r["tr_ord"].alias("tr_ord"), _link(r["cells"][1]).alias("name"), _link(r["cells"][5]).alias("team"),
+                        *(text_of(r["cells"][i]).alias(f"c{i}") for i in (2, 3, 4, 6, 7)))
+
+    r = _each(trees, key, F.transform(_cells(_list_rows(), 8), fields)).where("name.ord IS NOT NULL")
+    name = F.coalesce(F.nullif(F.col("name.title"), F.lit("")), S.first_line(F.col("name.text")))
     ovr = S.parse_rating(S.py_strip("c3"))
     pot = S.parse_rating(S.py_strip("c4"))
     value, wage = S.py_strip("c6"), S.py_strip("c7")
@@ -148,161 +121,164 @@ def player_rows(els: DataFrame, key: list[str]) -> DataFrame:
         S.safe_int(S.py_strip("c2")).alias("age"),
         S.safe_int(ovr).alias("overall"),
         S.safe_int(pot).alias("potential"),
-        F.when(F.col("team_text").isNotNull(), S.py_strip("team_text")).otherwise(F.lit("Free Agent")).alias("team"),
+        F.when(F.col("team.ord").isNotNull(), S.py_strip(F.col("team.text"))).otherwise(F.lit("Free Agent")).alias("team"),
         value.alias("value_raw"), wage.alias("wage_raw"),
         S.parse_money(value).alias("value_numeric"), S.parse_money(wage).alias("wage_numeric"),
-        F.coalesce(F.col("href"), F.lit("")).alias("player_url"))
+        F.coalesce(F.col("name.href"), F.lit("")).alias("player_url"))
     return out.where(F.col("value_numeric").isNotNull() & F.col("wage_numeric").isNotNull())
 
 
 # --------------------------------------------------------------------------- detail pages
+# Each field (or struct of fields) of a page is a column expression; records put them side by side.
 
-def star_counts(els: DataFrame, key: list[str]) -> DataFrame:
+def star_fields() -> Column:
     """H5: in the first div.attribute, each p mentioning "Skill moves" (else "Weak foot")
     sets that count to its number of svg.star descendants; the last such p wins."""
-    attr = first_per(by_tag(els, "div", "attribute").select(*key, "ord"), key)
-    ps = inside(by_tag(els, "p"), attr, key).select(*key, "ord", "text")
-    stars = inside(by_tag(els, "svg", "star").select(*key, "ord", "ancestors"), ps.select(*key, "ord"), key, "p_ord")
-    n = stars.groupBy(*key, "p_ord").agg(F.count(F.lit(1)).alias("n"))
-    ps = ps.join(n.withColumnRenamed("p_ord", "ord"), key + ["ord"], "left").fillna(0, ["n"])
-    kind = F.when(F.col("text").contains("Skill moves"), "skill").when(F.col("text").contains("Weak foot"), "weak")
-    ps = ps.withColumn("kind", kind).where(F.col("kind").isNotNull())
-    return ps.groupBy(*key).agg(
-        F.max_by(F.when(F.col("kind") == "skill", F.col("n")), F.when(F.col("kind") == "skill", F.col("ord")))
-        .alias("skill_moves"),
-        F.max_by(F.when(F.col("kind") == "weak", F.col("n")), F.when(F.col("kind") == "weak", F.col("ord")))
-        .alias("weak_foot"))
-
-
-def stats(els: DataFrame, key: list[str]) -> DataFrame:
-    """H6: (key, stat, value): in every div.col > p, a span whose stripped text is a known
-    stat name takes the first em's ``title`` (or its text when the title is empty);
-    digits only; the last occurrence in document order wins."""
-    cols = by_tag(els, "div", "col").select(*key, "ord")
-    ps = inside(by_tag(els, "p"), cols, key).select(*key, "ord").distinct()
-    em = first_per(inside(by_tag(els, "em"), ps, key, "p_ord").select(*key, "p_ord", "ord", "attrs", "text"),
-                   key + ["p_ord"])
-    em = em.select(*key, "p_ord", F.coalesce(F.nullif(F.col("attrs")["title"], F.lit("")), F.col("text"))
-                   .alias("raw"))
-    spans = inside(by_tag(els, "span"), ps, key, "p_ord").select(
-        *key, "p_ord", F.col("ord").alias("span_ord"), S.py_strip("text").alias("stat"))
+    ps = F.transform(tagged(below(first(tagged(els(), "div", "attribute"))), "p"), lambda p: F.struct(
+        text_of(p).alias("text"), F.size(tagged(below(p), "svg", "star")).cast("long").alias("n")))
+    skill = lambda p: p["text"].contains("Skill moves")
+    weak = lambda p: ~skill(p) & p["text"].contains("Weak foot")
+    return F.struct(last(F.filter(ps, skill))["n"].alias("skill_moves"), last(F.filter(ps, weak))["n"].alias("weak_foot"))
+
+
+def star_counts(trees: DataFrame, key: list[str]) -> DataFrame:
+    """H5 per page that has either."""
+    return trees.select(*key, star_fields().alias("_s")).select(*key, "_s.*").where("skill_moves IS NOT NULL OR weak_foot IS NOT NULL")
+
+
+def stat_entries() -> Column:
+    """H6: array of (p_ord, span_ord, stat, value): in every div.col > p, a span whose stripped text is a known
+    stat name takes the first em's ``title`` (or its text when the title is empty); digits only.  In document order,
+    each once."""
     names = F.array(*[F.lit(s) for s in STAT_NAMES])
-    hits = spans.where(F.array_contains(names, F.col("stat"))).join(em, key + ["p_ord"])
-    hits = hits.where(F.col("raw").rlike("^[0-9]+$"))
-    return hits.groupBy(*key, S.safe_name("stat").alias("stat")).agg(
-        F.max_by(F.col("raw").cast("int"), F.struct("p_ord", "span_ord")).alias("value"))
 
+    def of_p(p):
+        em = first(tagged(below(p), "em"))
+        raw = F.coalesce(F.nullif(em["attrs"]["title"], F.lit("")), text_of(em))
+        spans = F.transform(tagged(below(p), "span"), lambda s: F.struct(
+            p["ord"].alias("p_ord"), s["ord"].alias("span_ord"), S.py_strip(text_of(s)).alias("stat"), raw.alias("value")))
+        return F.filter(spans, lambda h: F.array_contains(names, h["stat"]) & h["value"].rlike("^[0-9]+$"))
 
-def first_k(df: DataFrame, key: list[str], k: int, order: str = "ord") -> DataFrame:
-    """The first ``k`` rows per page in document order (partial WindowGroupLimit: each
-    task keeps only its top ``k`` per page before the shuffle)."""
-    w = Window.partitionBy(*key).orderBy(order)
-    return df.withColumn("_rk", F.row_number().over(w)).where(F.col("_rk") <= k).drop("_rk")
+    cols = tagged(els(), "div", "col")
+    return F.array_sort(F.array_distinct(F.flatten(F.transform(cols, lambda c: F.flatten(F.transform(
+        tagged(below(c), "p"), of_p))))))
 
 
-def first_distinct_joined(df: DataFrame, key: list[str], value: str, k: int, sep: str = ", ") -> DataFrame:
-    """First ``k`` distinct values per page in first-seen order, joined.
+def stats(trees: DataFrame, key: list[str]) -> DataFrame:
+    """H6: (key, stat, value); the last occurrence in document order wins."""
+    return stats_of(trees.select(*key, stat_entries().alias("_h")), key)
 
-    De-dup is an aggregate (first position per value); only the ``k`` survivors
-    of a page are gathered.
-    """
-    first = df.groupBy(*key, value).agg(F.min("ord").alias("_first"))
-    first = first_k(first, key, k, order="_first")
-    arr = first.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("_first", value))).alias("_a"))
-    return arr.select(*key, F.array_join(F.transform("_a", lambda x: x[value]), sep).alias(value))
 
+def stats_of(hits: DataFrame, key: list[str]) -> DataFrame:
+    winners = F.filter("_h", lambda h, i: ~F.exists(F.slice("_h", i + 2, F.size("_h")), lambda later: later["stat"] == h["stat"]))
+    return _each(hits, key, F.transform(winners, lambda h: F.struct(
+        S.safe_name(h["stat"]).alias("stat"), h["value"].cast("int").alias("value"))))
 
-def positions_div(els: DataFrame, key: list[str]) -> DataFrame:
+
+def stat_map(hits: Column) -> Column:
+    """Stat name -> value of ``stat_entries``, the last of a name; null without any."""
+    names = F.array_distinct(F.transform(hits, lambda h: h["stat"]))
+    value = lambda n: last(F.filter(hits, lambda h: h["stat"] == n))["value"].cast("int")
+    return F.when(F.size(hits) > 0, F.map_from_arrays(F.transform(names, S.safe_name), F.transform(names, value)))
+
+
+def _distinct_joined(values: Column, k: int = 5, sep: str = ", ") -> Column:
+    """The first ``k`` distinct values in first-seen order, joined (F13); null without any."""
+    return F.nullif(F.array_join(F.slice(F.array_distinct(values), 1, k), sep), F.lit(""))
+
+
+def positions_div_field() -> Column:
     """First 10 div.pos; stripped text of 1-4 characters; de-dup; first 5; ', '-joined."""
-    d = first_k(by_tag(els, "div", "pos").select(*key, "ord", S.py_strip("text").alias("t")), key, 10)
-    d = d.where((F.length("t") >= 1) & (F.length("t") <= 4))
-    return first_distinct_joined(d, key, "t", 5).withColumnRenamed("t", "positions")
+    texts = F.transform(F.slice(tagged(els(), "div", "pos"), 1, 10), lambda e: S.py_strip(text_of(e)))
+    return _distinct_joined(F.filter(texts, lambda t: (F.length(t) >= 1) & (F.length(t) <= 4)))
 
 
-def positions_span(els: DataFrame, key: list[str]) -> DataFrame:
+def positions_div(trees: DataFrame, key: list[str]) -> DataFrame:
+    return trees.select(*key, positions_div_field().alias("positions")).where("positions IS NOT NULL")
+
+
+def positions_span_field() -> Column:
     """Spans having class token ``pos``; stripped text passing F16; de-dup; stop at 5."""
-    sp = by_tag(els, "span", "pos").select(*key, "ord", S.py_strip("text").alias("t"))
-    sp = sp.where(S.is_position_code("t"))
-    return first_distinct_joined(sp, key, "t", 5).withColumnRenamed("t", "position_list")
+    texts = F.transform(tagged(els(), "span", "pos"), lambda e: S.py_strip(text_of(e)))
+    return _distinct_joined(F.filter(texts, S.is_position_code))
+
+
+def positions_span(trees: DataFrame, key: list[str]) -> DataFrame:
+    return trees.select(*key, positions_span_field().alias("position_list")).where("position_list IS NOT NULL")
 
 
 # fixed value: the three rates as they are looked for in a text
 _RATE = r"(?i)(Low|Medium|High)"
 
 
-def work_rate(els: DataFrame, key: list[str]) -> DataFrame:
+def work_rate_field() -> Column:
     """H8/G7 (+F11 fallback): over li/div/p in document order, an element whose text
     mentions the attacking (defensive) work rate sets that side to the first
     Low/Medium/High in its whole text; the last such element wins.  With a side
     missing, the first 'X / Y' pair in the page text is used."""
-    cand = els.where(F.col("tag").isin("li", "div", "p")).select(*key, "ord", "text")
-    first = F.initcap(F.lower(F.regexp_extract("text", _RATE, 1)))
-    has_rate = F.col("text").rlike(_RATE)
-    is_att = (F.col("text").contains("Att. Work Rate") | F.col("text").contains("Attacking Work Rate")) & has_rate
-    is_def = (F.col("text").contains("Def. Work Rate") | F.col("text").contains("Defensive Work Rate")) & has_rate
-    sides = cand.groupBy(*key).agg(
-        F.max_by(F.when(is_att, first), F.when(is_att, F.col("ord"))).alias("att"),
-        F.max_by(F.when(is_def, first), F.when(is_def, F.col("ord"))).alias("def"))
-    doc = els.where(F.col("ord") == 0).select(*key, S.work_rate_pair("text").alias("pair"))
-    out = doc.join(sides, key, "left")
-    both = F.col("att").isNotNull() & F.col("def").isNotNull()
-    return out.select(*key, F.when(both, F.concat("att", F.lit("/"), "def")).otherwise(F.col("pair"))
-                      .alias("work_rate"))
-
-
-def json_ld(els: DataFrame, key: list[str]) -> DataFrame:
+    candidates = F.filter(els(), lambda e: e["tag"].isin("li", "div", "p"))
+
+    def side(short, long):
+        # what is looked for is first tested on the whole page: most elements need no text then
+        page = F.col("text").cast("string")
+        hit = F.filter(candidates, lambda e: (text_of(e).contains(short) | text_of(e).contains(long)) & text_of(e).rlike(_RATE))
+        found = F.initcap(F.lower(F.regexp_extract(text_of(last(hit)), _RATE, 1)))
+        return F.when(page.contains(short) | page.contains(long), found)
+
+    att, dfn = side("Att. Work Rate", "Attacking Work Rate"), side("Def. Work Rate", "Defensive Work Rate")
+    return F.coalesce(F.concat(att, F.lit("/"), dfn), S.work_rate_pair(F.col("text").cast("string")))
+
+
+def work_rate(trees: DataFrame, key: list[str]) -> DataFrame:
+    return trees.select(*key, work_rate_field().alias("work_rate"))
+
+
+def json_ld_fields() -> Column:
     """F8 on the first script[type=application/ld+json]: height/weight digits, nationality."""
-    sc = first_per(els.where((F.col("tag") == "script") & (F.col("attrs")["type"] == "application/ld+json"))
-                   .select(*key, "ord", "own_text"), key)
-    return sc.select(*key, S.json_first_int("own_text", "$.height").cast("int").alias("height_cm"),
-                     S.json_first_int("own_text", "$.weight").cast("int").alias("weight_kg"),
-                     F.get_json_object("own_text", "$.nationality").alias("nationality"))
+    own = first(F.filter(els(), lambda e: (e["tag"] == "script") & (e["attrs"]["type"] == "application/ld+json")))["own_text"]
+    return F.struct(S.json_first_int(own, "$.height").cast("int").alias("height_cm"),
+                    S.json_first_int(own, "$.weight").cast("int").alias("weight_kg"),
+                    F.get_json_object(own, "$.nationality").alias("nationality"))
 
 
-def page_text_fields(els: DataFrame, key: list[str]) -> DataFrame:
+def page_text_fields(trees: DataFrame, key: list[str]) -> DataFrame:
     """F9/F10 on the page text: preferred foot and the generic work-rate pattern."""
-    doc = els.where(F.col("ord") == 0)
+    return trees.select(*key, *_page_text())
+
+
+def _page_text() -> list[Column]:
+    text = F.col("text").cast("string")
     # fixed value: the text pattern of the preferred foot
-    return doc.select(*key, S.regex_group("text", r"Preferred foot\s+(Left|Right)").alias("preferred_foot"),
-                      S.work_rate_text("text").alias("work_rate_page"))
+    return [S.regex_group(text, r"Preferred foot\s+(Left|Right)").alias("preferred_foot"),
+            S.work_rate_text(text).alias("work_rate_page")]
 
 
-def player_details(els: DataFrame, key: list[str]) -> DataFrame:
-    """One detail record per page (left joins of the field extractors)."""
-    base = els.where(F.col("ord") == 0).select(*key)
-    out = (base.join(json_ld(els, key), key, "left")
-           .join(page_text_fields(els, key), key, "left")
-           .join(star_counts(els, key), key, "left")
-           .join(positions_div(els, key), key, "left"))
-    st = stats(els, key).groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("stat", "value")))
-                                           .alias("stats"))
-    return out.join(st, key, "left")
+def player_details(trees: DataFrame, key: list[str]) -> DataFrame:
+    """One detail record per page, all fields in one pass."""
+    return trees.select(*key, json_ld_fields().alias("_j"), *_page_text(), star_fields().alias("_s"),
+                        positions_div_field().alias("positions"), stat_entries().alias("_h")).select(
+        *key, "_j.*", "preferred_foot", "work_rate_page", "_s.*", "positions", stat_map(F.col("_h")).alias("stats"))
 
 
-def enrich_record(els: DataFrame, key: list[str]) -> DataFrame:
+def enrich_record(trees: DataFrame, key: list[str]) -> DataFrame:
     """Positioning (H7b) and work rate (H8) per page, nulls when absent."""
-    base = els.where(F.col("ord") == 0).select(*key)
-    pos = positions_span(els, key).where(F.col("position_list") != "")
-    return base.join(pos, key, "left").join(work_rate(els, key), key, "left")
+    return trees.select(*key, positions_span_field().alias("position_list"), work_rate_field().alias("work_rate"))
 
 
-def tag_inventory(els: DataFrame, key: list[str]) -> DataFrame:
+def tag_inventory(trees: DataFrame, key: list[str]) -> DataFrame:
     """Element count per page and tag."""
-    return els.where(F.col("ord") > 0).groupBy(*key, "tag").agg(F.count(F.lit(1)).alias("n"))
+    tags = trees.select(*key, F.explode_outer(F.transform(els(), lambda e: e["tag"])).alias("tag"))
+    return tags.where("tag <> '#document'").groupBy(*key, "tag").agg(F.count(F.lit(1)).alias("n"))
 
 
-def table_inventory(els: DataFrame, key: list[str]) -> DataFrame:
+def table_inventory(trees: DataFrame, key: list[str]) -> DataFrame:
     """Per table: class, row count, cells in its first row, first five cell texts (50 chars)."""
-    tables = by_tag(els, "table").select(*key, "ord", F.array_join("classes", " ").alias("table_class"))
-    trs = inside(by_tag(els, "tr"), tables, key, "t_ord").select(*key, "t_ord", "ord")
-    n_rows = trs.groupBy(*key, "t_ord").agg(F.count(F.lit(1)).alias("n_rows"), F.min("ord").alias("first_tr"))
-    cells = inside(els.where(F.col("tag").isin("td", "th")), n_rows.select(*key, F.col("first_tr").alias("ord")),
-                   key, "tr_ord")
-    n_cols = cells.groupBy(*key, "tr_ord").agg(F.count(F.lit(1)).alias("n_cols"))
-    firsts = first_k(cells.select(*key, "tr_ord", "ord", S.prefix(S.py_strip("text"), 50).alias("t")),
-                     key + ["tr_ord"], 5)
-    firsts = firsts.groupBy(*key, "tr_ord").agg(F.array_sort(F.collect_list(F.struct("ord", "t"))).alias("_c"))
-    c = n_cols.join(firsts, key + ["tr_ord"]).select(
-        *key, F.col("tr_ord").alias("first_tr"), "n_cols", F.transform("_c", lambda x: x["t"]).alias("first_cells"))
-    return (tables.withColumnRenamed("ord", "t_ord").join(n_rows, key + ["t_ord"], "left")
-            .join(c, key + ["first_tr"], "left").drop("first_tr"))
+    with_rows = F.transform(tagged(els(), "table"), lambda t: F.struct(t.alias("t"), tagged(below(t), "tr").alias("trs")))
+
+    first_cells = F.transform(with_rows, lambda r: F.struct(r["t"].alias("t"), F.size(r["trs"]).alias("n"), F.filter(
+        below(first(r["trs"])), lambda e: e["tag"].isin("td", "th")).alias("cells")))
+    some = lambda n: F.when(n > 0, n).cast("long")
+    texts = lambda cells: F.transform(F.slice(cells, 1, 5), lambda e: S.prefix(S.py_strip(text_of(e)), 50))
+    return _each(trees, key, F.transform(first_cells, lambda r: F.struct(
+        r["t"]["ord"].alias("t_ord"), F.array_join(r["t"]["classes"], " ").alias("table_class"), some(r["n"]).alias("n_rows"),
+        some(F.size(r["cells"])).alias("n_cols"), F.when(F.size(r["cells"]) > 0, texts(r["cells"])).alias("first_cells"))))

@@ -1,4 +1,4 @@
-"""Registered queries: HTML element table and extractions.
+"""Registered queries: page trees and extractions.
 
 The driver's ``pages`` carry no tables, stars or JSON-LD, so list, detail and
 enrichment pages are *rendered inside the query* from ``customer`` / ``part``
@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from sylvan.functions.scalar import POSITION_CODES
 from sylvan.operators import html_extract as H
 from sylvan.plans.registry import register
+from sylvan.session import cut_lineage
+from sylvan.sources.html import element_table
 from sylvan.sources.tables import table
 
 ROWS_PER_PAGE = 60
@@ -63,12 +65,8 @@ def _list_els(spark, sf):
           f"SELECT CAST(c_custkey // {ROWS_PER_PAGE} AS BIGINT) AS page_no, '/p/' || c_custkey AS player_url, "
           f"8 AS n_cells FROM customer WHERE c_custkey // {ROWS_PER_PAGE} NOT IN ({_BAD_PAGES_SQL})")
 def html_table_rows(spark, sf):
-    els = _list_els(spark, sf)
-    rows = H.table_rows(els, ["page_no"])
-    links = H.first_link_in(els, rows.select("page_no", "tr_ord", F.col("cells")[1]["ord"].alias("c1")),
-                            ["page_no"], "c1")
-    return (rows.select("page_no", F.col("cells")[1]["ord"].alias("cell_ord"), "n_cells")
-            .join(links, ["page_no", "cell_ord"]).select("page_no", F.col("href").alias("player_url"), "n_cells"))
+    rows = H.table_rows(_list_els(spark, sf), ["page_no"])
+    return rows.where("link.ord IS NOT NULL").select("page_no", F.col("link.href").alias("player_url"), "n_cells")
 
 
 @register("html_links",
@@ -101,13 +99,11 @@ def player_rows(spark, sf):
           f"SELECT CAST(c_custkey // {ROWS_PER_PAGE} AS BIGINT) AS page_no, '/p/' || c_custkey AS player_url "
           f"FROM customer WHERE c_custkey // {ROWS_PER_PAGE} < coalesce(({_BAD_PAGES_SQL.replace('DISTINCT', 'min(').replace(' FROM', ') FROM')}), 9223372036854775807)")
 def prefix_until_bad(spark, sf):
-    pages = list_pages(spark, sf)
-    els = H.parse_pages(pages, ["page_no"], tags="table,tbody,tr,td,th,a")
-    first_bad = H.bad_pages(els, pages, ["page_no"]).agg(F.min("page_no")).first()[0]  # one scalar
-    rows = H.player_rows(els, ["page_no"])
-    if first_bad is not None:
-        rows = rows.where(F.col("page_no") < F.lit(first_bad))
-    return rows.select("page_no", "player_url")
+    """Rows of the pages before the first bad one; pages are rendered and parsed once."""
+    trees = cut_lineage(_list_els(spark, sf))
+    first_bad = trees.where(H.is_bad_page()).agg(F.min("page_no")).scalar()
+    before = trees.where(F.coalesce(F.col("page_no") < first_bad, first_bad.isNull()))
+    return H.player_rows(before, ["page_no"]).select("page_no", "player_url")
 
 
 # Every list page has one table (element 6 in document order) whose rows are the
@@ -307,15 +303,7 @@ _SIX = "('" + "', '".join(_SIX_CODES) + "')"
           f"FROM customer, range(0, 10) r(i)) WHERE t IN {_SIX} GROUP BY c_custkey")
 def html_parent_lookup(spark, sf):
     """First span (of the first 20) whose text is one of six codes -> its parent's tag and class."""
-    els = H.parse_pages(enrich_pages(spark, sf), ["c_custkey"], tags="*")
-    spans = H.first_k(els.where(F.col("tag") == "span").select(
-        "c_custkey", "ord", "parent_ord", F.trim("text").alias("t")), ["c_custkey"], 20)
-    hit = spans.where(F.col("t").isin(*_SIX_CODES)).groupBy("c_custkey").agg(
-        F.min_by(F.struct("t", "parent_ord"), F.col("ord")).alias("h"))
-    hit = hit.select("c_custkey", F.col("h.t").alias("code"), F.col("h.parent_ord").alias("ord"))
-    parents = els.select("c_custkey", "ord", F.col("tag").alias("parent_tag"),
-                         F.array_join("classes", " ").alias("parent_class"))
-    return hit.join(parents, ["c_custkey", "ord"]).drop("ord")
+    return H.parent_of_first(H.parse_pages(enrich_pages(spark, sf), ["c_custkey"]), ["c_custkey"], "span", _SIX_CODES)
 
 
 _DIV_CODE_SQL = f"{_CODES_SQL}[((p_partkey + {{i}} * {{i}}) % 13) + 1]"
@@ -351,7 +339,7 @@ def _driver_els(spark, sf):
 
 @register("html_elements")
 def html_elements_q(spark, sf):
-    return _driver_els(spark, sf).select("page_id", "ord", "parent_ord", "depth", "tag")
+    return element_table(_driver_els(spark, sf), ["page_id"]).select("page_id", "ord", "parent_ord", "depth", "tag")
 
 
 # The character references that occur in the driver's pages, decoded
@@ -373,7 +361,7 @@ def _visible_text_sql():
           f"(SELECT page_id, {_visible_text_sql()} AS t FROM pages)")
 def html_text(spark, sf):
     """H9: the whole visible text of each page (script, style and comments excluded)."""
-    d = _driver_els(spark, sf).where(F.col("ord") == 0)
+    d = _driver_els(spark, sf).select("page_id", F.col("text").cast("string").alias("text"))
     return d.select("page_id", F.length("text").cast("bigint").alias("n_chars"), "text")
 
 
@@ -394,7 +382,7 @@ def html_inventory(spark, sf):
           f"FROM pages))")
 def html_tag_sequence(spark, sf):
     """H1 check on real pages: every element's tag in document order (ord 1, 2, ...)."""
-    return _driver_els(spark, sf).where(F.col("ord") > 0).select("page_id", "ord", "tag")
+    return element_table(_driver_els(spark, sf), ["page_id"]).where(F.col("ord") > 0).select("page_id", "ord", "tag")
 
 
 @register("page_range",

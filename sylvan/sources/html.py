@@ -1,27 +1,33 @@
-"""H1: HTML -> element table, a Python UDTF over the standard-library parser.
+"""H1: HTML -> interval-numbered page trees, one row per page.
 
-One output row per element: document order ``ord`` (the document itself is
-ord 0, tag ``#document``), ``parent_ord``, ``depth``, ``tag``, ``classes``,
-``attrs``, ``own_text`` (direct text children; for script/style the raw
-content), ``text`` (all descendant text, script/style/comments excluded, like
-a parsed-tree ``get_text()``) and ``ancestors`` (ords from the document down
-to the parent).  Everything downstream is plain Spark SQL over this table.
+A page's row holds its visible text once (``text``, UTF-8 bytes) and its
+elements in document order (``els``).  An element is numbered as an interval:
+its descendants are those with ``ord < other.ord < end_ord``, and they stand
+next to each other in the array (``pos + 1`` up to ``end_pos``), so "inside"
+is a slice.  Its visible text is the slice ``t0 .. t1`` of the page's bytes.
+Nothing of an element is copied into its ancestors: a page's tree is linear in
+its bytes at any nesting depth.
+
+The document itself is ord 0, tag ``#document``.  Script and style contents
+are no visible text; ``own_text`` (direct text children) keeps them.  Pages
+without markup (null) have no tree.
 
 Tree building: a stack; void elements never open; an end tag closes the
 nearest open element of that name and is ignored when none is open.
 
-``tags`` limits the emitted rows (comma list, ``*`` for all) so a job only
-materialises the elements it will use.
+``tags`` limits the emitted elements (comma list, ``*`` for all) so a job only
+materialises those it will use; numbers stay those of the whole page.
 """
 
 from __future__ import annotations
 
-import uuid
+from collections import Counter
 from html.parser import HTMLParser
+from itertools import chain
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import udtf
 
 # HTML void elements (never have an end tag).
 VOID_TAGS = frozenset(
@@ -29,31 +35,46 @@ VOID_TAGS = frozenset(
 # Elements whose content is raw data, not visible text.
 DATA_TAGS = frozenset(["script", "style"])
 
-ELEMENT_SCHEMA = (
-    "ord int, parent_ord int, depth int, tag string, classes array<string>, "
-    "attrs map<string,string>, own_text string, text string, ancestors array<int>"
-)
+ELEMENT = ("ord int, end_ord int, parent_ord int, depth int, pos int, end_pos int, tag string, classes array<string>, "
+           "attrs map<string,string>, own_text string, t0 int, t1 int")
+NAMES = [f.split()[0] for f in ELEMENT.split(", ")]
+TREE = f"text binary, els array<struct<{', '.join(f.replace(' ', ': ', 1) for f in ELEMENT.split(', '))}>>"
+
+#: Pages whose trees are handed back at a time.
+SLICE_PAGES = 200
 
 
 class _TreeBuilder(HTMLParser):
+    """Elements as lists in the order of ``NAMES``; ``own_text`` is a list of parts until the page ends."""
+
+    END_ORD, END_POS, OWN, T0, T1 = (NAMES.index(n) for n in ("end_ord", "end_pos", "own_text", "t0", "t1"))
+
     def __init__(self, wanted):
         super().__init__(convert_charrefs=True)
         self.wanted = wanted
-        self.nodes = [{"ord": 0, "parent": None, "depth": 0, "tag": "#document", "classes": [], "attrs": {},
-                       "own": [], "text": [], "anc": []}]
-        self.stack = [0]
+        self.text: list[bytes] = []
+        self.at, self.n, self.open = 0, 0, Counter()
+        self.els: list[list] = []
+        self.stack: list[list] = []
+        self._open("#document", [], False)
 
     def _open(self, tag, attrs, void):
-        parent = self.stack[-1]
-        a = {}
-        for k, v in attrs:
-            a[k] = "" if v is None else v
-        node = {"ord": len(self.nodes), "parent": parent, "depth": len(self.stack), "tag": tag,
-                "classes": a.get("class", "").split(), "attrs": a, "own": [], "text": [],
-                "anc": list(self.stack)}
-        self.nodes.append(node)
+        a = {k: "" if v is None else v for k, v in attrs}
+        parent = self.stack[-1][0] if self.stack else None
+        kept = self.wanted is None or tag in self.wanted or parent is None
+        el = [self.n, self.n + 1, parent, len(self.stack), len(self.els), len(self.els) + 1, tag,
+              a.get("class", "").split(), a, [], self.at, self.at]
+        self.n += 1
+        if kept:
+            self.els.append(el)
         if not void:
-            self.stack.append(node["ord"])
+            self.stack.append(el)
+            self.open[tag] += 1
+
+    def _shut(self):
+        el = self.stack.pop()
+        self.open[el[6]] -= 1
+        el[self.END_ORD], el[self.END_POS], el[self.T1] = self.n, len(self.els), self.at
 
     def handle_starttag(self, tag, attrs):
         self._open(tag, attrs, tag in VOID_TAGS)
@@ -62,10 +83,10 @@ class _TreeBuilder(HTMLParser):
         self._open(tag, attrs, True)
 
     def handle_endtag(self, tag):
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.nodes[self.stack[i]]["tag"] == tag:
-                del self.stack[i:]
-                return
+        if self.open[tag]:
+            while self.stack[-1][6] != tag:
+                self._shut()
+            self._shut()
 
     def parse_html_declaration(self, i):
         """A declaration the library rejects (such as ``<![foo[x]]>``) is skipped like a comment; parsing goes on."""
@@ -75,53 +96,107 @@ class _TreeBuilder(HTMLParser):
             return self.parse_bogus_comment(i)
 
     def handle_data(self, data):
-        cur = self.nodes[self.stack[-1]]
-        cur["own"].append(data)
-        if cur["tag"] in DATA_TAGS:
-            return
-        for o in self.stack:
-            n = self.nodes[o]
-            if self.wanted is None or n["tag"] in self.wanted or o == 0:
-                n["text"].append(data)
-
-
-def parse_elements(html: str | None, tags: str | None = "*"):
-    """Pure-Python parse used by the UDTF (and directly testable)."""
-    if html is None:
-        return []
-    wanted = None if tags in (None, "", "*") else frozenset(t.strip() for t in tags.split(","))
-    b = _TreeBuilder(wanted)
-    b.feed(html)
-    b.close()
-    out = []
-    for n in b.nodes:
-        if wanted is not None and n["ord"] != 0 and n["tag"] not in wanted:
-            continue
-        out.append((n["ord"], n["parent"], n["depth"], n["tag"], n["classes"], n["attrs"],
-                    "".join(n["own"]), "".join(n["text"]), n["anc"]))
-    return out
-
-
-@udtf(returnType=ELEMENT_SCHEMA)
-class HtmlElements:
-    def eval(self, html: str, tags: str):
-        yield from parse_elements(html, tags)
-
-
-def register_udtf(spark) -> None:
-    spark.udtf.register("html_elements", HtmlElements)
-
-
-def html_elements(df: DataFrame, html_col: str, key_cols: list[str], tags: str = "*") -> DataFrame:
-    """Element table for every page of ``df``: key columns + ELEMENT_SCHEMA.
-
-    Runs as a lateral table function, so pages are parsed where they live
-    (no shuffle); filter pages *before* calling this.
-    """
-    spark = df.sparkSession
-    register_udtf(spark)
-    view = f"_pages_{uuid.uuid4().hex}"
-    df.select(*key_cols, F.col(html_col).alias("_html")).createOrReplaceTempView(view)
-    keys = ", ".join(f"p.`{k}`" for k in key_cols)
-    tag_lit = tags.replace("'", "")
-    return spark.sql(f"SELECT {keys}, e.* FROM {view} p, LATERAL html_elements(p._html, '{tag_lit}') e")
+        el = self.stack[-1]
+        el[self.OWN].append(data)
+        if el[6] not in DATA_TAGS:
+            part = data.encode("utf-8", "replace")
+            self.text.append(part)
+            self.at += len(part)
+
+    def done(self) -> tuple[bytes, list[list]]:
+        self.close()
+        while self.stack:
+            self._shut()
+        for el in self.els:
+            el[self.OWN] = "".join(el[self.OWN])
+        return b"".join(self.text), self.els
+
+
+def parse_tree(html: str, tags: str | None = "*") -> tuple[bytes, list[list]]:
+    """A page's visible text and its elements (lists in the order of ``NAMES``)."""
+    builder = _TreeBuilder(None if tags in (None, "", "*") else frozenset(t.strip() for t in tags.split(",")))
+    builder.feed(html)
+    return builder.done()
+
+
+def _offsets(lists) -> pa.Array:
+    n, out = 0, [0]
+    for x in lists:
+        n += len(x)
+        out.append(n)
+    return pa.array(out, pa.int32())
+
+
+def _element_arrays(trees: list[list[list]]) -> pa.Array:
+    """All pages' elements as one list array of structs."""
+    columns = [list(c) for c in zip(*chain.from_iterable(trees))]
+    if not columns:
+        columns = [[] for _ in NAMES]
+    strings = lambda x: pa.array(list(chain.from_iterable(x)), pa.string())
+    made = []
+    for name, values in zip(NAMES, columns):
+        if name == "classes":
+            made.append(pa.ListArray.from_arrays(_offsets(values), strings(values)))
+        elif name == "attrs":
+            made.append(pa.MapArray.from_arrays(_offsets(values), strings(values), strings(v.values() for v in values)))
+        else:
+            made.append(pa.array(values, pa.string() if name in ("tag", "own_text") else pa.int32()))
+    return pa.ListArray.from_arrays(_offsets(trees), pa.StructArray.from_arrays(made, names=NAMES))
+
+
+def html_trees(pages: DataFrame, html_col: str, key_cols: list[str], tags: str = "*") -> DataFrame:
+    """Key columns, ``text`` and ``els`` of every page with markup, parsed where the pages lie (no shuffle)."""
+    keys = pages.select(*key_cols)
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in keys.schema), TREE])
+
+    def run(batches):
+        for batch in batches:
+            for i in range(0, len(batch), SLICE_PAGES):
+                part = batch.slice(i, SLICE_PAGES)
+                trees = [parse_tree(h, tags) for h in part.column(len(key_cols)).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(k) for k in range(len(key_cols))), pa.array([t for t, _ in trees], pa.binary()),
+                     _element_arrays([els for _, els in trees])], names=[*key_cols, "text", "els"])
+
+    return pages.where(F.col(html_col).isNotNull()).select(*key_cols, F.col(html_col).alias("_html")).mapInArrow(run, schema)
+
+
+# --------------------------------------------------------------------------- columns over a tree
+
+def els() -> Column:
+    return F.col("els")
+
+
+def text_of(e: Column) -> Column:
+    """The visible text of an element (null of null)."""
+    return F.substring(F.col("text"), e["t0"] + 1, e["t1"] - e["t0"]).cast("string")
+
+
+def below(e: Column) -> Column:
+    """The emitted descendants of an element, in document order (null of null)."""
+    return F.slice(F.col("els"), e["pos"] + 2, e["end_pos"] - e["pos"] - 1)
+
+
+def tagged(elements: Column, tag: str, cls: str | None = None) -> Column:
+    """Those with the tag (and the class token)."""
+    def want(e):
+        return (e["tag"] == tag) & F.array_contains(e["classes"], cls) if cls else e["tag"] == tag
+    return F.filter(elements, want)
+
+
+def first(elements: Column) -> Column:
+    """The first of an array (null of an empty or null one)."""
+    return F.get(elements, F.lit(0))
+
+
+def last(elements: Column) -> Column:
+    return F.get(elements, F.size(elements) - 1)
+
+
+def element_table(trees: DataFrame, key: list[str], text: bool = False) -> DataFrame:
+    """One row per element; with ``text``, each element's visible text too."""
+    # outer: a tree always has the document, and a plain explode would evaluate its input once more in a filter
+    if not text:
+        return trees.select(*key, F.explode_outer("els").alias("_e")).select(*key, "_e.*")
+    rows = F.transform(els(), lambda e: F.struct(e.alias("e"), text_of(e).alias("text")))
+    return trees.select(*key, F.explode_outer(rows).alias("_r")).select(*key, "_r.e.*", "_r.text")
