@@ -10,8 +10,8 @@ Summary statistics per group:
                   entropy = log2 N - S/N ;  gini = 1 - Q/N^2
   mse             N, mean, M2 = sum m2 + sum s^2/n - S^2/N over mean-centred
                   cell sums (one pass, no window);  mse = M2/N
-  mae             N, exact median (size-gated, ``quantile.py``),
-                  AD = sum |y - median|;  mae = AD/N
+  mae             N, exact median and AD = sum |y - median| from one rank
+                  lookup (``quantile.RankIndex``);  mae = AD/N
 """
 
 from __future__ import annotations
@@ -19,8 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sylvan.operators.joins import broadcast_if_small
-from sylvan.operators.quantile import exact_quantiles_counted
+from sylvan.operators.quantile import RankIndex
 from sylvan.session import cut_lineage
 
 CLASSIFICATION = {"information_gain": "entropy", "entropy": "entropy", "gini": "gini"}
@@ -93,27 +92,9 @@ def mse_summary(frame: DataFrame, keys: list[str]) -> DataFrame:
                       "ymin", "ymax")
 
 
-def mae_summary(frame: DataFrame, keys: list[str], y: str = "y", count: str = "n",
-                rows_bound: int | None = None) -> DataFrame:
-    """``frame(keys.., y, n)`` -> per key: N, median (exact), AD, ymin, ymax.
-
-    The median comes from ``quantile.exact_quantiles`` (size-gated: exact
-    ``percentile`` for small groups, distributed selection for large ones), so
-    no task ever holds a large group.  The deviation pass joins the per-group
-    medians back, broadcast when the group count is within bound.
-    """
-    if not keys:
-        frame = frame.withColumn("_all", F.lit(0))
-        return mae_summary(frame, ["_all"], y, count, rows_bound).drop("_all")
-    g = frame.withColumn("_g", F.to_json(F.struct(*[F.col(k) for k in keys])))
-    med, n_groups = exact_quantiles_counted(g, ["_g"], y, [0.5], weight=count, rows_bound=rows_bound)
-    if n_groups is None and rows_bound is not None:
-        n_groups = rows_bound  # groups <= rows: a proven bound for the broadcast decision
-    med = med.withColumnRenamed("q0", "median")
-    stats = g.groupBy("_g", *keys).agg(F.sum(count).alias("N"), F.min(y).alias("ymin"), F.max(y).alias("ymax"))
-    dev = (g.join(broadcast_if_small(med, n_groups), "_g")
-           .groupBy("_g").agg(F.sum(F.col(count) * F.abs(F.col(y) - F.col("median"))).alias("AD")))
-    return stats.join(med, "_g").join(dev, "_g").drop("_g")
+def mae_summary(frame: DataFrame, keys: list[str], y: str = "y", count: str = "n") -> DataFrame:
+    """``frame(keys.., y, n)`` -> per key: N, median (exact), AD, ymin, ymax, all from one rank index."""
+    return RankIndex(frame, keys, y, weight=count).median_deviation()
 
 
 def impurity_of(kind: str) -> Column:
@@ -129,14 +110,23 @@ def impurity_of(kind: str) -> Column:
     raise ValueError(kind)
 
 
-def summarize(frame: DataFrame, keys: list[str], kind: str, rows_bound: int | None = None,
-              label_order: list | None = None) -> DataFrame:
-    """Group summary of the kind; ``rows_bound`` bounds the frame's rows per group (MAE uses it)."""
+def prediction_of(kind: str) -> Column:
+    """What a leaf with this summary predicts."""
+    return F.col({"entropy": "majority", "gini": "majority", "mse": "mean", "mae": "median"}[kind])
+
+
+def is_constant(kind: str) -> Column:
+    """Whether the summarised rows have one target value only."""
+    return F.col("n_labels") == 1 if kind in ("entropy", "gini") else F.col("ymin") == F.col("ymax")
+
+
+def summarize(frame: DataFrame, keys: list[str], kind: str, label_order: list | None = None) -> DataFrame:
+    """Group summary of the kind."""
     if kind in ("entropy", "gini"):
         return class_summary(frame, keys, label_order=label_order)
     if kind == "mse":
         return mse_summary(frame, keys)
-    return mae_summary(frame, keys, rows_bound=rows_bound)
+    return mae_summary(frame, keys)
 
 
 # --------------------------------------------------------------------------
@@ -172,34 +162,38 @@ def column_impurity(df: DataFrame, target: str, criterion: str, by: list[str] |
 # split gains for all (node, feature) pairs
 # --------------------------------------------------------------------------
 
-def unpivot_features(frame: DataFrame, feature_cols: list[str], keep: list[str],
-                     used_col: str | None = None) -> DataFrame:
-    """(.., f0..fk, ..) -> (.., f, v, ..): one row per feature not yet used on the path."""
-    pairs = F.array(*[F.struct(F.lit(i).alias("f"), F.col(c).cast("string").alias("v"))
-                      for i, c in enumerate(feature_cols)])
-    out = frame.select(*keep, *( [used_col] if used_col else []), F.explode(pairs).alias("_p"))
-    out = out.select(*keep, *([used_col] if used_col else []), "_p.f", "_p.v")
-    if used_col:
-        out = out.where(~F.array_contains(F.col(used_col), F.col("f"))).drop(used_col)
-    return out
+#: The feature number of a node's own group, beside those of its children.
+WHOLE = -1
 
 
-def gains_from_frames(node_frame: DataFrame | None, value_frame: DataFrame, node_key: list[str],
-                      kind: str, rows_bound: int | None = None, parent: DataFrame | None = None) -> DataFrame:
-    """Gain of every (node, f): parent impurity minus the N-weighted child impurity.
+def grouping_sets(cells: DataFrame, feature_cols: list[str], keep: list[str], used: Column | None = None) -> DataFrame:
+    """Each cell once for its node (feature ``WHOLE``) and once for each feature not yet used on its path."""
+    sets = [F.struct(F.lit(WHOLE).alias("f"), F.lit("").alias("v"))]
+    sets += [F.struct(F.lit(i).alias("f"), F.col(c).cast("string").alias("v")) for i, c in enumerate(feature_cols)]
+    items = F.array(*sets)
+    if used is not None:
+        items = F.filter(items, lambda x: ~F.array_contains(used, x["f"]))
+    return cells.select(*keep, F.explode_outer(items).alias("_p")).select(*keep, "_p.f", "_p.v")
 
-    ``parent`` (node_key.., parent_impurity) may be passed when the caller has
-    already summarised the nodes, so that pass is not repeated.
-    """
-    if parent is None:
-        parent = summarize(node_frame, node_key, kind, rows_bound).select(
-            *node_key, impurity_of(kind).alias("parent_impurity"))
-    child = summarize(value_frame, node_key + ["f", "v"], kind, rows_bound).select(
-        *node_key, "f", "N", impurity_of(kind).alias("imp"))
-    weighted = child.groupBy(*node_key, "f").agg(
-        (F.sum(F.col("N") * F.col("imp")) / F.sum("N")).alias("child_impurity"))
-    return weighted.join(parent, node_key).withColumn(
-        "gain", F.col("parent_impurity") - F.col("child_impurity"))
+
+def node_gains(groups: DataFrame, node_key: list[str], n_features: int, kind: str, carried: dict[str, Column] | None = None) -> DataFrame:
+    """One row per node from the summaries of ``grouping_sets``: ``n, impurity`` and ``gains``, an array of
+    (f, child_impurity, gain) in feature order; ``carried`` columns are taken from the node's own group."""
+    own = F.col("f") == WHOLE
+    weighted = groups.withColumn("_imp", impurity_of(kind))
+    of_node = {"n": F.col("N"), "impurity": F.col("_imp"), **(carried or {})}
+    sums = [(F.sum(F.when(F.col("f") == i, F.col("N") * F.col("_imp"))) / F.sum(F.when(F.col("f") == i, F.col("N")))).alias(f"_c{i}")
+            for i in range(n_features)]
+    nodes = weighted.groupBy(*node_key).agg(*(F.max(F.when(own, c)).alias(k) for k, c in of_node.items()), *sums)
+    gains = F.array(*[F.struct(F.lit(i).alias("f"), F.col(f"_c{i}").alias("child_impurity"), (F.col("impurity") - F.col(f"_c{i}")).alias("gain"))
+                      for i in range(n_features)]).cast("array<struct<f: int, child_impurity: double, gain: double>>")
+    return nodes.select(*node_key, *of_node, F.filter(gains, lambda g: g["gain"].isNotNull()).alias("gains"))
+
+
+def best_of(gains: Column) -> Column:
+    """G1: the (gain, f) with the largest gain; ties -> first feature in column order.  Null without any."""
+    ranked = F.array_max(F.transform(gains, lambda g: F.struct(F.round(g["gain"], GAIN_DECIMALS).alias("gain"), (-g["f"]).alias("f"))))
+    return F.struct(ranked["gain"].alias("gain"), (-ranked["f"]).alias("f"))
 
 
 def split_gains(df: DataFrame, features: list[str], target: str, criterion: str) -> DataFrame:
@@ -210,25 +204,19 @@ def split_gains(df: DataFrame, features: list[str], target: str, criterion: str)
         clean = clean.where(F.col(c).isNotNull())
     frame_cols = [F.col(c).cast("string").alias(f"_f{i}") for i, c in enumerate(features)]
     fcols = [f"_f{i}" for i in range(len(features))]
-    # One pass over the raw rows: compact to cells and materialise them; all
-    # roll-ups below run on the cells.  The root id becomes a real column of
-    # the materialised table (a literal would let the optimizer fold the
-    # parent/child join into a nested-loop join).
+    # one pass over the raw rows: compact to cells; the roll-ups run on the cells
     cells = weighted_rows(clean.select(*frame_cols, F.col(target)), target, kind, fcols)
-    cells = cut_lineage(cells.withColumn("node_id", F.lit("R")))
     if kind == "mse":
-        cells = center_mse_cells(cells)
-    long = unpivot_features(cells, fcols, ["node_id"] + [c for c in cells.columns if c not in fcols and c != "node_id"])
-    g = gains_from_frames(cells, long, ["node_id"], kind, rows_bound=cells.count() if kind == "mae" else None)
+        cells = center_mse_cells(cut_lineage(cells))
+    groups = summarize(grouping_sets(cells, fcols, [c for c in cells.columns if c not in fcols]), ["f", "v"], kind)
+    root = node_gains(groups, [], len(features), kind)
     names = F.array(*[F.lit(c) for c in features])
-    return g.select(F.element_at(names, F.col("f") + 1).alias("feature"), F.col("f").alias("feature_idx"),
-                    "gain", "parent_impurity", "child_impurity")
+    g = root.select("impurity", F.explode("gains").alias("_g"))
+    return g.select(F.element_at(names, F.col("_g.f") + 1).alias("feature"), F.col("_g.f").alias("feature_idx"),
+                    F.col("_g.gain").alias("gain"), F.col("impurity").alias("parent_impurity"), F.col("_g.child_impurity").alias("child_impurity"))
 
 
-def best_split(gains: DataFrame, node_key: list[str]) -> DataFrame:
-    """G1: arg-max gain per node; ties -> first feature in column order."""
-    rounded = F.round("gain", GAIN_DECIMALS)
-    return gains.groupBy(*node_key).agg(
-        F.max_by(F.struct(F.col("f").alias("best_f"), rounded.alias("best_gain")),
-                 F.struct(rounded, -F.col("f"))).alias("_b")
-    ).select(*node_key, "_b.best_f", "_b.best_gain")
+def best_split(gains: DataFrame) -> DataFrame:
+    """G1 over ``split_gains``: best_f, best_gain."""
+    best = best_of(F.collect_list(F.struct(F.col("feature_idx").alias("f"), "gain")))  # a row per feature
+    return gains.agg(best.alias("_b")).select(F.col("_b.f").alias("best_f"), F.col("_b.gain").alias("best_gain"))

@@ -1,13 +1,10 @@
 """Standard scaling and full-batch gradient-descent logistic regression.
 
-The data stay on the executors (persisted once); every epoch is one Spark job:
-``mapInPandas`` turns each Arrow batch into a numpy block and emits the
-partition's partial gradient as a few ``(pos, value)`` rows, which a grouped
-sum (map-side combined) reduces to ``d + 3`` numbers for the driver: the
-gradient, the bias gradient, the loss and the row count.  With at most
-DIRECT_SUM_MAX_PARTITIONS partitions the partials are summed directly.  Only
-the weights travel out (inside the task closure) and only the bounded
-gradient comes back.
+The training rows cross to Python once, as numpy blocks that stay on the
+executors (``blocks.py``).  An epoch is one job over the blocks: each gives its
+gradient, bias gradient, loss and row count (``d + 3`` numbers), and these are
+summed by levels in tasks, so one vector comes back however many partitions
+there are.  Only the weights travel out, inside the task closure.
 """
 
 from __future__ import annotations
@@ -15,12 +12,10 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DIRECT_SUM_MAX_PARTITIONS = 256
+from sylvan.operators.blocks import component_moments, kept, numpy_blocks, tree_sum, width
 
 
 def scaler_fit(df: DataFrame, features: str) -> tuple[list[float], list[float]]:
@@ -28,11 +23,11 @@ def scaler_fit(df: DataFrame, features: str) -> tuple[list[float], list[float]]:
 
     The statistics are ``d`` numbers each, a bound fixed by the feature width.
     """
-    long = df.select(F.posexplode(F.col(features).cast("array<double>")).alias("i", "x"))
-    st = long.groupBy("i").agg(F.avg("x").alias("mu"), F.stddev_pop("x").alias("sd")).orderBy("i").collect()
-    mu = [r["mu"] for r in st]
-    sd = [r["sd"] if r["sd"] not in (None, 0.0) else 1.0 for r in st]
-    return mu, sd
+    m = component_moments(df, F.col(features))
+    if m is None:
+        return [], []
+    sd = np.sqrt(m.m2 / np.maximum(m.n, 1))
+    return [float(v) for v in m.mean], [float(v) if v else 1.0 for v in sd]
 
 
 def scaler_transform(df: DataFrame, features: str, mu, sd, out: str | None = None) -> DataFrame:
@@ -48,30 +43,14 @@ def sigmoid_np(z):
     return 1.0 / (1.0 + np.exp(-z))
 
 
-def _partial_gradients(w: np.ndarray, b: float):
-    d = len(w)
-
-    def run(batches):
-        g = np.zeros(d)
-        gb = 0.0
-        loss = 0.0
-        m = 0
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            x = np.stack(pdf["x"].to_numpy())
-            y = pdf["y"].to_numpy(dtype=float)
-            z = x @ w + b
-            p = sigmoid_np(z)
-            # stable form of -[y log p + (1-y) log(1-p)]
-            loss += float(np.sum(np.maximum(z, 0) - z * y + np.log1p(np.exp(-np.abs(z)))))
-            r = p - y
-            g += x.T @ r
-            gb += float(r.sum())
-            m += len(y)
-        pos = np.arange(d + 3)
-        val = np.concatenate([g, [gb, loss, float(m)]])
-        yield pd.DataFrame({"pos": pos.astype("int32"), "val": val})
+def _partial_gradient(w: np.ndarray, b: float):
+    def run(xy):
+        x, y = xy
+        z = x @ w + b
+        r = sigmoid_np(z) - y
+        # stable form of -[y log p + (1-y) log(1-p)]
+        loss = np.sum(np.maximum(z, 0) - z * y + np.log1p(np.exp(-np.abs(z))))
+        return np.concatenate([x.T @ r, [r.sum(), loss, len(y)]])
 
     return run
 
@@ -100,30 +79,17 @@ def fit_logistic(df: DataFrame, features: str, label: str, learning_rate: float
 
     The loss recorded for an epoch is taken before that epoch's update.
     """
-    data = df.select(F.col(features).cast("array<double>").alias("x"), F.col(label).cast("double").alias("y"))
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    data = kept(numpy_blocks(df, F.col(features), F.col(label)))
     try:
-        first = data.select(F.size("x").alias("d")).first()
-        if first is None:
+        d = width(data)
+        if d is None:
             raise ValueError("empty training frame")
-        d = int(first["d"])
-        w = np.zeros(d)
-        b = 0.0
-        losses = []
-        # partial gradients are (d + 3) numbers per partition: with few partitions
-        # they are summed directly (one stage per epoch); with many, a grouped sum
-        # (map-side combined) first reduces them to d + 3 numbers
-        direct = data.rdd.getNumPartitions() <= DIRECT_SUM_MAX_PARTITIONS
+        w, b, losses = np.zeros(d), 0.0, []
         for epoch in range(epochs):
-            parts = data.mapInPandas(_partial_gradients(w.copy(), b), "pos int, val double")
-            if not direct:
-                parts = parts.groupBy("pos").agg(F.sum("val").alias("val"))
-            vec = np.zeros(d + 3)
-            for r in parts.collect():
-                vec[r["pos"]] += r["val"]
+            vec = tree_sum(data, _partial_gradient(w.copy(), b), np.add)
             m = vec[d + 2]
             if epoch % record_every == 0:
-                losses.append((epoch, vec[d + 1] / m))
+                losses.append((epoch, float(vec[d + 1] / m)))
             w = w - learning_rate * (vec[:d] / m)
             b = b - learning_rate * (vec[d] / m)
         return LogisticModel(weights=[float(v) for v in w], bias=float(b), losses=losses)

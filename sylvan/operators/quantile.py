@@ -1,152 +1,104 @@
-"""Exact quantiles per group without holding a whole group anywhere.
-
-Spark's exact ``percentile`` keeps a value->count map per group; for a hot
-group of continuous values that map grows with the group.  This operator
-checks the size first:
-
-* groups whose row count is within ``small_group_rows`` use ``percentile``
-  (the map is bounded by that count);
-* otherwise it runs distributed selection: per target rank, a weighted
-  histogram of the current bracket (partial aggregation, ``buckets`` bins) finds
-  the bin holding the rank; the bracket shrinks to that bin's smallest and
-  largest value, until it holds at most ``small_group_rows`` rows or a single
-  value, however often it is repeated; a final pass ranks only the distinct
-  values inside the bracket.  All comparisons are of values, so the answer is
-  exact and no rank can leave its bracket.
-
-Interpolation is linear between order statistics (numpy's default), with
-ranks ``h = (N - 1) p`` over the summed weights.
+"""Exact order statistics per group by range-partitioned rank lookup.
+
+``RankIndex`` holds a frame's ``(group, value)`` pairs once, with their weights
+added up (map-side first, so repeated values never travel), range-partitioned by
+group and value.  A partition is a run of one or more groups' sorted values; a
+group may span many partitions, so no task ever holds more than a partition of
+a hot group.  Per partition and group the total weight is kept, with its prefix
+over the group's earlier partitions.  The value at any rank of any group is then
+an offset lookup: the prefix counts name the partition, and a running sum over
+that partition's run finds the row.  The same sums give the weighted total up to
+the rank, which is all that deviations from the median need.
+
+There is one path, whatever the size of a group.  Interpolation is linear
+between order statistics (numpy's default), with ranks ``h = (N - 1) p`` over
+the summed weights.
 """
 
 from __future__ import annotations
 
-import sys
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sylvan.operators.joins import broadcast_if_small, materialize_small
-
-SMALL_GROUP_ROWS = 1_000_000
-BUCKETS = 4096
-
-
-def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float], weight: str | None = None,
-                    small_group_rows: int = SMALL_GROUP_ROWS, buckets: int = BUCKETS) -> DataFrame:
+from sylvan.session import cut_lineage
+
+
+class RankIndex:
+    """Rows with a null, NaN or weightless value are left out; a null group is a group of its own."""
+
+    def __init__(self, df: DataFrame, keys: list[str], value: str, weight: str | None = None):
+        self.keys = keys
+        w = F.col(weight).cast("double") if weight else F.lit(1.0)
+        # one non-null surrogate key, so null group values join like any other
+        gk = F.to_json(F.struct(*[F.col(k) for k in keys])) if keys else F.lit("all")
+        frame = df.select(gk.alias("_g"), *keys, F.col(value).cast("double").alias("_y"), w.alias("_w")).where(
+            F.col("_y").isNotNull() & ~F.isnan("_y") & (F.col("_w") > 0))
+        pairs = frame.groupBy("_g", *keys, "_y").agg(F.sum("_w").alias("_c"))
+        #: group, value, weight and partition; the partition is fixed by writing the rows down
+        self.rows = cut_lineage(pairs.repartitionByRange("_g", "_y").withColumn("_p", F.spark_partition_id()))
+        mass = F.when(F.col("_y") != 0, F.col("_c") * F.col("_y")).otherwise(F.lit(0.0))
+        totals = self.rows.groupBy("_g", *keys, "_p").agg(F.sum("_c").alias("_t"), F.sum(mass).alias("_s"),
+                                                          F.min("_y").alias("_lo"), F.max("_y").alias("_hi"))
+        group = Window.partitionBy("_g")
+        before = group.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+        #: per group and partition: weight, weighted sum, and both before it and of the whole group
+        self.parts, self.n_parts = materialize_small(totals.select(
+            "_g", *keys, "_p", "_t", F.coalesce(F.sum("_t").over(before), F.lit(0.0)).alias("_before"),
+            F.coalesce(F.sum("_s").over(before), F.lit(0.0)).alias("_before_s"),
+            F.sum("_t").over(group).alias("_n"), F.sum("_s").over(group).alias("_total"),
+            F.min("_lo").over(group).alias("_min"), F.max("_hi").over(group).alias("_max")))
+
+    def _found(self, probs: list[float]) -> DataFrame:
+        """One row per group, probability and rank: the value there, and the weight and sum up to it."""
+        ranks = []
+        for i, p in enumerate(probs):
+            h = (F.col("_n") - 1) * F.lit(float(p))
+            ranks += [F.struct(F.lit(i).alias("pi"), h.alias("h"), k(h).cast("double").alias("k")) for k in (F.floor, F.ceil)]
+        hits = (self.parts.withColumn("_r", F.explode(F.array_distinct(F.array(*ranks))))
+                .where((F.col("_r.k") >= F.col("_before")) & (F.col("_r.k") < F.col("_before") + F.col("_t"))))
+        # at most two ranks for each probability of a group, and no more groups than parts
+        n_hits = 2 * len(probs) * self.n_parts
+        wanted = broadcast_if_small(hits.select("_g", "_p").distinct(), n_hits)
+        run = Window.partitionBy("_g", "_p").orderBy("_y").rowsBetween(Window.unboundedPreceding, 0)
+        mass = F.when(F.col("_y") != 0, F.col("_c") * F.col("_y")).otherwise(F.lit(0.0))
+        runs = (self.rows.select("_g", "_p", "_y", "_c").join(wanted, ["_g", "_p"], "left_semi")
+                .withColumn("_cum", F.sum("_c").over(run)).withColumn("_cum_s", F.sum(mass).over(run)))
+        at = F.col("_r.k") - F.col("_before")
+        return (runs.join(broadcast_if_small(hits, n_hits), ["_g", "_p"])
+                .where((F.col("_cum") - F.col("_c") <= at) & (at < F.col("_cum")))
+                .select("_g", *self.keys, "_r.*", F.col("_y").alias("x"), (F.col("_before") + F.col("_cum")).alias("upto"),
+                        (F.col("_before_s") + F.col("_cum_s")).alias("upto_s"), "_n", "_total", "_min", "_max"))
+
+    def _interpolated(self, probs: list[float]) -> DataFrame:
+        """One row per group and probability."""
+        of_group = ("_n", "_total", "_min", "_max")
+        low = lambda c: F.min_by(c, "k").alias(c)
+        q = self._found(probs).groupBy("_g", *self.keys, "pi").agg(
+            F.min_by("x", "k").alias("x_lo"), F.max_by("x", "k").alias("x_hi"), F.first("h").alias("h"), F.min("k").alias("k_lo"),
+            low("upto"), low("upto_s"), *(F.first(c).alias(c) for c in of_group))
+        between = F.col("x_lo") + (F.col("h") - F.col("k_lo")) * (F.col("x_hi") - F.col("x_lo"))
+        return q.withColumn("q", F.when(F.col("x_lo") == F.col("x_hi"), F.col("x_lo")).otherwise(between))
+
+    def quantiles(self, probs: list[float], count: str | None = None, surrogate: bool = False) -> DataFrame:
+        """keys.., q0, q1, ... (one column per probability, in order), the group's weight as ``count``, and the
+        never-null surrogate key ``_g`` of ``rows``."""
+        out = [F.max(F.when(F.col("pi") == i, F.col("q"))).alias(f"q{i}") for i in range(len(probs))]
+        if count:
+            out.append(F.first("_n").alias(count))
+        found = self._interpolated(probs).groupBy("_g", *self.keys).agg(*out)
+        return found if surrogate else found.drop("_g")
+
+    def median_deviation(self) -> DataFrame:
+        """keys.., N, median, AD (summed absolute deviations from the median), ymin, ymax."""
+        below = F.col("q") * F.col("upto") - F.col("upto_s")
+        above = (F.col("_total") - F.col("upto_s")) - F.col("q") * (F.col("_n") - F.col("upto"))
+        deviation = F.when(F.col("_min") == F.col("_max"), F.lit(0.0)).otherwise(F.greatest(below + above, F.lit(0.0)))
+        return self._interpolated([0.5]).select(
+            *self.keys, F.col("_n").alias("N"), F.col("q").alias("median"), deviation.alias("AD"), F.col("_min").alias("ymin"),
+            F.col("_max").alias("ymax"))
+
+
+def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float], weight: str | None = None) -> DataFrame:
     """keys.., q0, q1, ... (one column per probability, in order)."""
-    return exact_quantiles_counted(df, keys, value, probs, weight, small_group_rows, buckets)[0]
-
-
-def exact_quantiles_counted(df: DataFrame, keys: list[str], value: str, probs: list[float],
-                            weight: str | None = None, small_group_rows: int = SMALL_GROUP_ROWS,
-                            buckets: int = BUCKETS, rows_bound: int | None = None) -> tuple[DataFrame, int | None]:
-    """Like ``exact_quantiles`` and also returns the number of groups (None when not measured).
-
-    ``rows_bound`` is a caller-proven upper bound on the rows of any group (e.g.
-    the size of a compacted cell table); within the small-group limit it
-    replaces the size-check job.
-    """
-    if not keys:
-        out, n = exact_quantiles_counted(df.withColumn("_all", F.lit(0)), ["_all"], value, probs, weight,
-                                         small_group_rows, buckets, rows_bound)
-        return out.drop("_all"), n
-    w = F.col(weight).cast("double") if weight else F.lit(1.0)
-    # one non-null surrogate key, so null group values join like any other
-    gk = F.to_json(F.struct(*[F.col(k) for k in keys]))
-    frame = df.select(gk.alias("_qg"), *keys, F.col(value).cast("double").alias("_y"), w.alias("_w")).where(
-        F.col("_y").isNotNull() & ~F.isnan("_y") & (F.col("_w") > 0))
-    # size check: one aggregate job; small groups never need the selection passes
-    if rows_bound is not None and rows_bound <= small_group_rows:
-        largest, n_groups = rows_bound, None
-    else:
-        size = frame.groupBy("_qg").agg(F.count(F.lit(1)).alias("_rows")).agg(
-            F.max("_rows").alias("largest"), F.count(F.lit(1)).alias("groups")).first()
-        largest, n_groups = size["largest"] or 0, size["groups"]
-    if largest <= small_group_rows:
-        freq = F.col("_w").cast("long") if weight else F.lit(1).cast("long")
-        q = frame.groupBy("_qg", *keys).agg(
-            F.percentile("_y", F.array(*[F.lit(float(p)) for p in probs]), freq).alias("_q"))
-        return q.select(*keys, *[F.col("_q")[i].alias(f"q{i}") for i in range(len(probs))]), n_groups
-    stats = frame.groupBy("_qg", *keys).agg(F.sum("_w").alias("_n"), F.count(F.lit(1)).alias("_rows"),
-                                           F.min("_y").alias("_lo"), F.max("_y").alias("_hi"))
-    stats, n_groups = materialize_small(stats)
-    # only the large groups (at most rows / small_group_rows of them) take the
-    # selection passes; the others keep the bounded exact percentile
-    big, n_big = materialize_small(stats.where(F.col("_rows") > small_group_rows))
-    big_keys = broadcast_if_small(big.select("_qg"), n_big)
-    body = frame.select("_qg", "_y", "_w")
-    freq = F.col("_w").cast("long") if weight else F.lit(1).cast("long")
-    small_q = body.join(big_keys, "_qg", "left_anti").groupBy("_qg").agg(
-        F.percentile("_y", F.array(*[F.lit(float(p)) for p in probs]), freq).alias("_q")).select(
-        "_qg", *[F.col("_q")[i].alias(f"q{i}") for i in range(len(probs))])
-    big_q = _select(body.join(big_keys, "_qg", "left_semi"), big.select("_qg", "_n", "_lo", "_hi"), n_big,
-                    ["_qg"], probs, small_group_rows, buckets)
-    names = stats.select("_qg", *keys)
-    return names.join(small_q.unionByName(big_q), "_qg").drop("_qg"), n_groups
-
-
-def _select(frame, stats, n_groups, keys, probs, small_group_rows, buckets):
-    # targets: one row per (group, rank); ranks are 0-based positions in the sorted group
-    ranks = []
-    for i, p in enumerate(probs):
-        h = (F.col("_n") - 1) * F.lit(float(p))
-        ranks.append(F.struct(F.lit(i).alias("pi"), h.alias("h"), F.floor(h).cast("double").alias("k")))
-        ranks.append(F.struct(F.lit(i).alias("pi"), h.alias("h"), F.ceil(h).cast("double").alias("k")))
-    targets = stats.select(*keys, "_lo", "_hi", F.explode(F.array(*ranks)).alias("_t")).select(
-        *keys, "_t.pi", "_t.h", "_t.k", F.col("_lo").alias("lo"), F.col("_hi").alias("hi"))
-    targets = targets.dropDuplicates([*keys, "pi", "k"]).withColumn("t", F.concat_ws(":", "pi", "k"))
-    targets, n_t = materialize_small(targets)
-
-    while True:  # every round takes at least the extremes off a bracket of more than one value
-        hist = _histogram(frame, targets, n_t, keys, buckets)
-        w_ = Window.partitionBy(*keys, "t").orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
-        hist = hist.withColumn("_cum", F.sum("c").over(w_))
-        hit = hist.where((F.col("_cum") - F.col("c") <= F.col("k")) & (F.col("k") < F.col("_cum")))
-        hit, _ = materialize_small(hit.select(*keys, "pi", "h", "k", "t", F.col("y_min").alias("lo"),
-                                              F.col("y_max").alias("hi"), "rows"))
-        targets = hit.drop("rows")
-        widest = hit.agg(F.max(F.when(F.col("lo") < F.col("hi"), F.col("rows")))).first()[0] or 0
-        if widest <= small_group_rows:
-            break
-    values = _final(frame, targets, n_t, keys)
-    qs = values.groupBy(*keys, "pi").agg(
-        F.min_by("x", "k").alias("x_lo"), F.max_by("x", "k").alias("x_hi"), F.first("h").alias("h"),
-        F.min("k").alias("k_lo"))
-    between = F.col("x_lo") + (F.col("h") - F.col("k_lo")) * (F.col("x_hi") - F.col("x_lo"))
-    q = qs.select(*keys, "pi", F.when(F.col("x_lo") == F.col("x_hi"), F.col("x_lo")).otherwise(between).alias("q"))
-    return q.groupBy(*keys).agg(*[F.max(F.when(F.col("pi") == i, F.col("q"))).alias(f"q{i}")
-                                  for i in range(len(probs))])
-
-
-def _in_bracket(frame, targets, n_t, keys):
-    t = broadcast_if_small(targets, n_t)
-    return frame.join(t, keys).where(F.col("_y") <= F.col("hi"))
-
-
-def _histogram(frame, targets, n_t, keys, buckets):
-    """Weight, rows and extreme values of each bin of each bracket; bin -1 lies below the bracket.
-
-    The bracket's ends are bins of their own and the bin number never falls as the value grows, so the
-    bin that holds a rank holds its value, and its own extremes are the next bracket."""
-    x = _in_bracket(frame, targets, n_t, keys)
-    finite = lambda c: F.greatest(F.lit(-sys.float_info.max), F.least(F.lit(sys.float_info.max), F.col(c))) * 0.25
-    span = finite("hi") - finite("lo")
-    middle = F.when(span <= 0, F.lit(0)).otherwise(F.floor((finite("_y") - finite("lo")) / span * (buckets - 2)))
-    b = (F.when(F.col("_y") < F.col("lo"), F.lit(-1)).when(F.col("_y") == F.col("lo"), F.lit(0))
-         .when(F.col("_y") == F.col("hi"), F.lit(buckets - 1))
-         .otherwise(F.least(middle, F.lit(buckets - 3)) + 1))
-    h = x.groupBy(*keys, "t", "pi", "h", "k", b.cast("int").alias("b")).agg(
-        F.sum("_w").alias("c"), F.count(F.lit(1)).alias("rows"), F.min("_y").alias("y_min"), F.max("_y").alias("y_max"))
-    h, _ = materialize_small(h)
-    return h
-
-
-def _final(frame, targets, n_t, keys):
-    x = _in_bracket(frame, targets, n_t, keys)
-    y = F.when(F.col("_y") >= F.col("lo"), F.col("_y"))  # null = below the bracket
-    g = x.groupBy(*keys, "t", "pi", "h", "k", y.alias("x")).agg(F.sum("_w").alias("c"))
-    w_ = Window.partitionBy(*keys, "t").orderBy(F.col("x").asc_nulls_first()).rowsBetween(
-        Window.unboundedPreceding, 0)
-    g = g.withColumn("_cum", F.sum("c").over(w_))
-    hit = g.where(F.col("x").isNotNull() & (F.col("_cum") - F.col("c") <= F.col("k")) & (F.col("k") < F.col("_cum")))
-    return hit.select(*keys, "t", "pi", "h", "k", "x")
+    return RankIndex(df, keys, value, weight).quantiles(probs)

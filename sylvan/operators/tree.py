@@ -1,40 +1,48 @@
 """Multiway categorical decision trees (T1-T6, J5), grown level by level.
 
-Design (one Spark job group per *level*, never per node x feature x value):
+Design (a few Spark jobs per *level*, never per node x feature x value):
 
 1. Compact once: rows -> cells grouped by all features (+ label for
    classification / the value itself for MAE) with counts and the first-seen
    order key.  Map-side partial aggregation makes this the only pass over the
    raw data; it is checkpointed to the shared checkpoint dir.
-2. Per level, every frontier node and every unused feature is scored in one
-   grouped query (``impurity.gains_from_frames``); the arg-max picks the split.
+2. Per level, one query over the cells scores every frontier node and every
+   unused feature: each cell is expanded to its grouping sets (the node itself,
+   and the node's children under each feature), these are summarised together,
+   and one row per node takes the arg-max (``impurity.node_gains``).
 3. Stop rules keep the reference's order (classification: pure, no features /
    depth, too few rows, zero gain; regression: no features / depth, too few
    rows, constant target, no reduction).  Leaves drop out of the frontier.
 4. Cells of split nodes are routed to their children by one join against the
-   (small, counted) decision table, broadcast only within the row bound.
+   (small, counted) decision table, broadcast only within the row bound.  The
+   level's counts are observed while it is written, not in a job of their own.
 
 The model is two tables: ``nodes`` and ``edges`` (node_id, value, child_id,
 first_seen).  Node ids are path strings ``R/<feature_idx>=<value>/...`` with
-``%``, ``/`` and ``=`` escaped, so they are deterministic.
+``%``, ``/`` and ``=`` escaped, so they are deterministic, and a node's parent,
+value and rule follow from its id.
+
+Scoring walks the tree as one flat array (``flat_model``): no join, no shuffle.
 """
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sylvan.operators.impurity import (
-    best_split,
+    best_of,
     center_mse_cells,
-    gains_from_frames,
+    grouping_sets,
     impurity_kind,
-    impurity_of,
+    is_constant,
+    node_gains,
+    prediction_of,
     summarize,
-    unpivot_features,
 )
 from sylvan.operators.joins import broadcast_if_small
 from sylvan.session import cut_lineage
@@ -46,6 +54,12 @@ def escape_value(c: Column) -> Column:
     return F.regexp_replace(c, "=", "%3D")
 
 
+def unescape_value(c: Column) -> Column:
+    c = F.regexp_replace(c, "%3D", "=")
+    c = F.regexp_replace(c, "%2F", "/")
+    return F.regexp_replace(c, "%25", "%")
+
+
 #: The value that stands for null under ``null_policy="branch"`` (a private-use character).
 NULL_VALUE = "\ue000null"
 
@@ -120,127 +134,108 @@ def fit_tree(df: DataFrame, features: list[str], target: str, criterion: str = "
 
     if kind == "mse":
         cells = center_mse_cells(cut_lineage(cells))
-    frontier = cut_lineage(cells.select(
-        F.lit("R").alias("node_id"), F.lit(None).cast("string").alias("parent_id"),
-        F.lit("").alias("rule"), F.array().cast("array<int>").alias("used"), *cells.columns))
+    frontier = cut_lineage(cells.select(F.lit("R").alias("node_id"), F.array().cast("array<int>").alias("used"), *cells.columns))
     if frontier.isEmpty():
         raise ValueError("empty training frame")
-    stat_cols = [c for c in frontier.columns if c not in fcols + ["node_id", "parent_id", "rule", "used", "_o"]]
-    # every group summarised below holds at most one row per cell: a proven bound
-    n_cells = frontier.count() if kind == "mae" else None
-    names = F.array(*[F.lit(c) for c in features])
+    stat_cols = [c for c in frontier.columns if c not in [*fcols, "node_id", "used", "_o"]]
 
-    level_nodes, level_edges, sizes = [], [], []
-    depth = 0
+    levels, firsts, sizes, depth = [], [], [], 0
     while True:
-        summ = summarize(frontier, ["node_id", "parent_id", "rule"], kind, n_cells, label_order)
-        if kind in ("entropy", "gini"):
-            pred, constant = F.col("majority"), F.col("n_labels") == 1
-        elif kind == "mse":
-            pred, constant = F.col("mean"), F.col("ymin") == F.col("ymax")
-        else:
-            pred, constant = F.col("median"), F.col("ymin") == F.col("ymax")
-        stats = summ.select("node_id", "parent_id", "rule", F.col("N").alias("n"),
-                            impurity_of(kind).alias("impurity"), pred.alias("prediction"),
-                            constant.alias("_constant"))
         level_open = (max_depth is None or depth < max_depth) and depth < len(features)
+        sets = grouping_sets(frontier, fcols if level_open else [], ["node_id", *stat_cols], F.col("used"))
+        groups = summarize(sets, ["node_id", "f", "v"], kind, label_order)
+        decision = node_gains(groups, ["node_id"], len(features) if level_open else 0, kind,
+                              {"prediction": prediction_of(kind), "_constant": is_constant(kind)})
         evaluated = ~F.col("_constant") & (F.col("n") >= F.lit(min_samples_split)) & F.lit(level_open)
-        if level_open:
-            long = unpivot_features(frontier, fcols, ["node_id"] + stat_cols, used_col="used")
-            parent = stats.select("node_id", F.col("impurity").alias("parent_impurity"))
-            gains = gains_from_frames(None, long, ["node_id"], kind, n_cells, parent=parent)
-            stats = stats.join(best_split(gains, ["node_id"]), "node_id", "left")
-        else:
-            stats = stats.withColumn("best_f", F.lit(None).cast("int")).withColumn(
-                "best_gain", F.lit(None).cast("double"))
-        decision = stats.select(
-            "node_id", "parent_id", "rule", F.lit(depth).alias("depth"), "n", "impurity", "prediction",
-            F.when(evaluated, F.col("best_gain")).alias("gain"),
-            (~evaluated | (F.col("best_gain") <= 0)).alias("is_leaf"),
-            F.col("best_f").alias("_best"))
-        decision = decision.withColumn("split_idx", F.when(~F.col("is_leaf"), F.col("_best"))).drop("_best")
-        decision = cut_lineage(decision)
-        split_tbl = decision.where(~F.col("is_leaf")).select("node_id", "split_idx")
-        counts = decision.agg(F.count(F.lit(1)).alias("all"), F.count_if(~F.col("is_leaf")).alias("split")).first()
-        n_split = counts["split"]
-        sizes.append(counts["all"])
-        level_nodes.append(decision)
+        decision = decision.withColumn("_best", best_of("gains")).select(
+            "node_id", F.lit(depth).alias("depth"), "n", "impurity", "prediction",
+            F.when(evaluated, F.col("_best.gain")).alias("gain"),
+            (~evaluated | (F.col("_best.gain") <= 0)).alias("is_leaf"), F.col("_best.f").alias("_f"))
+        decision = decision.withColumn("split_idx", F.when(~F.col("is_leaf"), F.col("_f"))).drop("_f")
+        seen = Observation()
+        decision = cut_lineage(decision.observe(seen, F.count(F.lit(1)).alias("all"), F.count_if(~F.col("is_leaf")).alias("split")))
+        levels.append(decision)
+        sizes.append(seen.get["all"])
+        n_split = seen.get["split"]
         if n_split == 0:
             break
-        child_value = F.element_at(F.array(*fcols), F.col("split_idx") + 1)
-        routed = (
-            frontier.join(broadcast_if_small(split_tbl, n_split), "node_id")
-            .withColumn("_v", child_value)
-            .withColumn("parent_id", F.col("node_id"))
-            .withColumn("node_id", F.concat(F.col("node_id"), F.lit("/"), F.col("split_idx").cast("string"),
-                                            F.lit("="), escape_value(F.col("_v"))))
-            .withColumn("rule", F.concat_ws(" AND ", F.when(F.col("rule") != "", F.col("rule")),
-                                            F.concat(F.element_at(names, F.col("split_idx") + 1),
-                                                     F.lit(" = "), F.col("_v"))))
-            .withColumn("used", F.array_union("used", F.array("split_idx")))
-        )
-        routed = cut_lineage(routed)
-        level_edges.append(routed.groupBy(F.col("parent_id").alias("node_id"), F.col("_v").alias("value"),
-                                          F.col("node_id").alias("child_id"))
-                           .agg(F.min("_o").alias("first_seen")))
-        frontier = routed.drop("split_idx", "_v")
+        split = decision.where(~F.col("is_leaf")).select("node_id", "split_idx")
+        value = F.element_at(F.array(*fcols), F.col("split_idx") + 1)
+        child = F.concat("node_id", F.lit("/"), F.col("split_idx").cast("string"), F.lit("="), escape_value(value))
+        frontier = cut_lineage(frontier.join(broadcast_if_small(split, n_split), "node_id").select(
+            child.alias("node_id"), F.array_append("used", F.col("split_idx")).alias("used"), *fcols, *stat_cols, "_o"))
+        firsts.append(frontier.groupBy(F.col("node_id").alias("child_id")).agg(F.min("_o").alias("first_seen")))
         depth += 1
 
-    nodes = reduce(DataFrame.unionByName, level_nodes)
-    if level_edges:
-        edges = cut_lineage(reduce(DataFrame.unionByName, level_edges))
-        first = edges.groupBy("node_id").agg(
-            F.min_by("child_id", F.struct("first_seen", "value")).alias("first_child"))
+    nodes, edges = _tables(levels, firsts, features)
+    n_nodes = sum(sizes)
+    return TreeModel(features=list(features), target=target, criterion=criterion, kind=kind, nodes=nodes, edges=edges,
+                     levels=len(levels) - 1, n_nodes=n_nodes, n_edges=n_nodes - 1, level_sizes=sizes, null_policy=null_policy,
+                     dropped=dropped)
+
+
+def _tables(levels: list[DataFrame], firsts: list[DataFrame], features: list[str]) -> tuple[DataFrame, DataFrame]:
+    """``nodes`` and ``edges``; what a path id tells is read from it."""
+    names = F.array(*[F.lit(c) for c in features])
+    nodes = reduce(DataFrame.unionByName, levels)
+    if firsts:
+        children = reduce(DataFrame.unionByName, firsts)
+        edges = cut_lineage(children.select(
+            F.regexp_replace("child_id", "/[^/]*$", "").alias("node_id"),
+            unescape_value(F.regexp_extract("child_id", "=([^/]*)$", 1)).alias("value"), "child_id", "first_seen"))
+        first = edges.groupBy("node_id").agg(F.min_by("child_id", F.struct("first_seen", "value")).alias("first_child"))
         nodes = nodes.join(first, "node_id", "left")
     else:
-        edges = None
+        edges = nodes.sparkSession.createDataFrame([], "node_id string, value string, child_id string, first_seen string")
         nodes = nodes.withColumn("first_child", F.lit(None).cast("string"))
-    nodes = nodes.withColumn("split_feature", F.when(F.col("split_idx").isNotNull(),
-                                                     F.element_at(names, F.col("split_idx") + 1)))
-    nodes = cut_lineage(nodes)
-    n_edges = edges.count() if edges is not None else 0
-    if edges is None:
-        edges = nodes.sparkSession.createDataFrame(
-            [], "node_id string, value string, child_id string, first_seen string")
-    return TreeModel(features=list(features), target=target, criterion=criterion, kind=kind,
-                     nodes=nodes, edges=edges, levels=len(level_edges), n_nodes=sum(sizes),
-                     n_edges=n_edges, level_sizes=sizes, null_policy=null_policy, dropped=dropped)
+
+    def condition(step):
+        parts = F.split(step, "=", 2)
+        return F.concat(F.element_at(names, parts[0].cast("int") + 1), F.lit(" = "), unescape_value(parts[1]))
+
+    steps = F.split("node_id", "/", -1)
+    rule = F.array_join(F.transform(F.slice(steps, 2, F.size(steps)), condition), " AND ")
+    parent = F.when(F.col("depth") > 0, F.regexp_replace("node_id", "/[^/]*$", ""))
+    feature = F.when(F.col("split_idx").isNotNull(), F.element_at(names, F.col("split_idx") + 1))
+    return cut_lineage(nodes.select("node_id", parent.alias("parent_id"), rule.alias("rule"), "depth", "n", "impurity", "prediction",
+                                    "gain", "is_leaf", "split_idx", "first_child", feature.alias("split_feature"))), edges
+
+
+def flat_model(model: TreeModel) -> Column:
+    """The tree as one constant array; item 0 is the root.
+
+    Each item holds the split feature's number (null for a leaf), the values of its children with their items' numbers,
+    the item for any other value, and the prediction.  The whole model is known to the driver here and travels with the
+    plan, about a hundred bytes a node; it is the result of the fit, not data, and its number of nodes is known.
+    """
+    nodes = model.nodes.select("node_id", "split_idx", "first_child", F.col("prediction").cast("string").alias("p")).collect()
+    nodes.sort(key=lambda r: r["node_id"] != "R")
+    number = {r["node_id"]: i for i, r in enumerate(nodes)}
+    kids: list[list] = [[] for _ in nodes]
+    for e in model.edges.select("node_id", "value", "child_id").collect():
+        kids[number[e["node_id"]]].append((e["value"], number[e["child_id"]]))
+    items = [{"f": r["split_idx"], "v": [v for v, _ in k], "k": [c for _, c in k], "o": number.get(r["first_child"]), "p": r["p"]}
+             for r, k in zip(nodes, kids)]
+    return F.from_json(F.lit(json.dumps(items)), "array<struct<f: int, v: array<string>, k: array<int>, o: int, p: string>>")
 
 
 def predict(model: TreeModel, df: DataFrame, out_col: str = "prediction") -> DataFrame:
-    """Route rows level by level; unseen values (and nulls, unless they are a branch) follow the first child.
+    """Walk the flat tree; unseen values (and nulls, unless they are a branch) follow the first child.
 
-    The root's split comes from the model's one root row, so every row starts
-    with a concrete feature value; each further level is two equi-joins
-    against the model tables, broadcast when their (known) row counts are
-    within bound, so the scored table is never shuffled for a small model.
+    One expression per row whatever the size of the model: the item of the current node is looked up by number, and the
+    row's value of its feature names the next one.
     """
-    fv = F.array(*[F.col(c).cast("string") for c in model.features])
+    tree = flat_model(model)
+    values = F.array(*[F.col(c).cast("string") for c in model.features])
     if model.null_policy == "branch":
-        fv = F.transform(fv, lambda v: F.coalesce(v, F.lit(NULL_VALUE)))
-    root = model.nodes.where(F.col("node_id") == "R").select("split_idx", "first_child", "prediction").first()
-    rows = df.withColumn("_fv", fv)
-    if root is None or root["split_idx"] is None:
-        return rows.withColumn(out_col, F.lit(root["prediction"] if root else None)).drop("_fv")
-    edges = broadcast_if_small(
-        model.edges.select(F.col("node_id").alias("_node"), F.col("value").alias("_val"),
-                           F.col("child_id").alias("_child")), model.n_edges)
-    root_edges = broadcast_if_small(
-        model.edges.where(F.col("node_id") == "R").select(F.col("value").alias("_val"),
-                                                           F.col("child_id").alias("_child")), model.n_edges)
-    rows = rows.withColumn("_val", F.element_at("_fv", root["split_idx"] + 1)).join(root_edges, "_val", "left")
-    rows = rows.withColumn("_node", F.coalesce("_child", F.lit(root["first_child"]))).drop("_val", "_child")
-    internal = broadcast_if_small(model.nodes.where(~F.col("is_leaf")).select(
-        F.col("node_id").alias("_node"), F.col("split_idx").alias("_split"), F.col("first_child").alias("_first")),
-        model.n_nodes)
-    for _ in range(model.levels - 1):
-        rows = rows.join(internal, "_node", "left").withColumn(
-            "_val", F.element_at("_fv", F.col("_split") + 1))
-        rows = rows.join(edges, ["_node", "_val"], "left")
-        rows = rows.withColumn(
-            "_node", F.when(F.col("_split").isNull(), F.col("_node")).otherwise(
-                F.coalesce("_child", "_first"))).drop("_split", "_first", "_val", "_child")
-    leaves = broadcast_if_small(
-        model.nodes.select(F.col("node_id").alias("_node"), F.col("prediction").alias(out_col)),
-        model.n_nodes)
-    return rows.join(leaves, "_node", "left").drop("_node", "_fv")
+        values = F.transform(values, lambda v: F.coalesce(v, F.lit(NULL_VALUE)))
+    rows = df.withColumn("_fv", values)
+
+    def step(at, _):
+        item = F.get(tree, at)
+        child = F.get(item["k"], F.array_position(item["v"], F.get(F.col("_fv"), item["f"])).cast("int") - 1)
+        return F.when(item["f"].isNull(), at).otherwise(F.coalesce(child, item["o"]))
+
+    leaf = F.aggregate(F.sequence(F.lit(1), F.lit(model.levels)), F.lit(0), step) if model.levels else F.lit(0)
+    kind = model.nodes.schema["prediction"].dataType
+    return rows.withColumn(out_col, F.get(tree, leaf)["p"].cast(kind)).drop("_fv")
