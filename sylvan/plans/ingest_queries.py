@@ -116,6 +116,24 @@ def stream_dedupe(spark, sf):
     return spark.read.parquet(sink).select("event_type", "user_id")
 
 
+@register("stream_dedupe_bounded", "SELECT event_id, user_id, event_type FROM events")
+def stream_dedupe_bounded(spark, sf):
+    """ST3 with bounded state: repeats within the watermark's delay go.  Arrivals follow the event time here, and the
+    delay covers one of them, so nothing is late."""
+    landing, sink, ckpt = (scratch_path(spark, n) for n in ("landing-bounded", "sink-bounded", "ckpt-bounded"))
+    e = table(spark, sf, "events")
+    times = e.agg(*[F.percentile_approx(F.col("ts").cast("timestamp"), q).alias(f"q{i}") for i, q in enumerate((0.25, 0.5, 0.75))]).first()
+    at = F.col("ts").cast("timestamp")
+    span = e.agg((F.max(at).cast("long") - F.min(at).cast("long") + 1).alias("s")).first()["s"]
+    bounds = [None, *times, None]
+    for lo, hi in zip(bounds, bounds[1:]):
+        part = e if lo is None else e.where(at > F.lit(lo))
+        part = part if hi is None else part.where(at <= F.lit(hi))
+        part.unionByName(part.where("event_type = 'click'")).write.mode("append").parquet(landing)  # clicks come twice
+        ST.run_dedupe(spark, landing, EVENTS_SCHEMA, ["event_id"], sink, ckpt, event_time="ts", delay=f"{span} seconds")
+    return spark.read.parquet(sink).select("event_id", "user_id", "event_type")
+
+
 PAGES_SCHEMA = "c_custkey long, html string"
 
 
@@ -141,6 +159,7 @@ def stream_enrich(spark, sf):
 
     ST.run_keyed_updates(spark, landing, PAGES_SCHEMA, extract, sink, ckpt)
     pages.where(F.col("c_custkey") % 2 == 1).write.mode("append").parquet(landing)
+    ST.compact_updates(spark, sink, ["c_custkey"], ["position_list", "work_rate"])
     ST.run_keyed_updates(spark, landing, PAGES_SCHEMA, extract, sink, ckpt)
     upd = ST.latest_updates(spark, sink, ["c_custkey"], ["position_list", "work_rate"])
     return prep.keyed_update(base, upd, ["c_custkey"], ["position_list", "work_rate"])
