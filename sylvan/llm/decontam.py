@@ -20,9 +20,14 @@ broadcast only while its counted size proves it small (``BROADCAST_ROWS`` rows
 of 24 bytes), otherwise the join shuffles.  A passage found in a third of all
 documents gives one row per document.
 
-Words are the lower-cased runs of letters and digits.  Defined results: null
-texts and texts under five words hold nothing; an item under five words is
-never found; rows repeated with the same id and text give their pair once.
+Words are the lower-cased runs of letters and digits.  An item of fewer than
+five words is one shingle of all its words; documents are hashed at such a
+length only if an item has it.  Defined results: null texts and items without
+a word hold nothing and are never found; a text shorter than an item does not
+hold it; rows repeated with the same id and text give their pair once, of
+different texts under one id the one that holds most counts; empty tables give
+no row; very long texts are hashed whole; other columns, whatever their names,
+are ignored.
 """
 
 from __future__ import annotations
@@ -57,10 +62,14 @@ def values_needed(threshold: float = CONTAINMENT, miss: float = MISS) -> int:
 
 
 def item_sketches(items: DataFrame, id_col: str, text_col: str, threshold: float, n: int):
-    """``item_id, size_class, n_shingles, shingles, sketch`` of each item that has a shingle."""
+    """``item_id, length, size_class, n_shingles, shingles, sketch`` of each item; ``length`` is its shingles' words."""
     m = values_needed(threshold)
-    base = (items.select(F.col(id_col).alias("item_id"), words_of(F.col(text_col)).alias("w"))
-            .select("item_id", F.array_sort(F.array_distinct(shingle_hashes(F.col("w"), n))).alias("shingles"))
+    words = (items.select(F.col(id_col).alias("item_id"), words_of(F.col(text_col)).alias("w"))
+             .withColumn("length", F.least(F.size("w"), F.lit(n))))
+    hashes = F.array().cast("array<bigint>")
+    for k in range(n, 0, -1):
+        hashes = F.when(F.col("length") == k, shingle_hashes(F.col("w"), k)).otherwise(hashes)
+    base = (words.select("item_id", "length", F.array_sort(F.array_distinct(hashes)).alias("shingles"))
             .withColumn("n_shingles", F.size("shingles")))
     # partitions: up to m shingles all are kept; in each doubling above, a part of the m may repeat a word run
     # across items, so one more value per doubling is kept
@@ -69,21 +78,28 @@ def item_sketches(items: DataFrame, id_col: str, text_col: str, threshold: float
             .withColumn("sketch", F.slice("shingles", 1, F.lit(m) + F.col("size_class"))))
 
 
-def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
-               item_text_col: str = "text", threshold: float = CONTAINMENT, n: int = WORDS) -> DataFrame:
-    """``doc_id, item_id, n_shingles, n_shared, containment`` of every document that holds an item."""
+def document_hashes(words, lengths: list[int]):
+    """The hashes of all runs of the given numbers of words."""
+    found = [shingle_hashes(words, k) for k in lengths]
+    return F.concat(*found) if len(found) > 1 else found[0]
+
+
+def find_versions(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
+                  item_text_col: str = "text", threshold: float = CONTAINMENT, n: int = WORDS) -> DataFrame:
+    """``doc_id, version, item_id, n_shingles, n_shared, containment``; ``version`` is the 64-bit hash of the text."""
     spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "decontam")
     item_sketches(items, item_id_col, item_text_col, threshold, n).write.parquet(f"{path}/items")
     sketches = spark.read.parquet(f"{path}/items").where(F.col("n_shingles") > 0)
     values = sketches.select("item_id", F.explode("sketch").alias("h"))
-    n_values, = sketches.agg(F.coalesce(F.sum(F.size("sketch")), F.lit(0))).first()
+    n_values, short = sketches.agg(F.coalesce(F.sum(F.size("sketch")), F.lit(0)), F.sort_array(F.collect_set("length"))).first()
+    lengths = short or [n]  # at most n numbers
     if n_values <= BROADCAST_ROWS:
         values = F.broadcast(values)
 
     base = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("version"), F.col(text_col).alias("text"))
     # the words are a column of their own: inside the lambda they would be split again for each shingle
     hashed = (base.withColumn("w", words_of(F.col("text")))
-              .select("doc_id", "version", shingle_hashes(F.col("w"), n).alias("hs")))
+              .select("doc_id", "version", document_hashes(F.col("w"), lengths).alias("hs")))
     # explode_outer: a plain explode adds a filter that is pushed below the words and splits them for each shingle
     (hashed.select("doc_id", "version", F.explode_outer("hs").alias("h")).join(values, "h")
      .select("doc_id", "version", "item_id").distinct().write.parquet(f"{path}/candidates"))
@@ -95,13 +111,21 @@ def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
                        F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("version") == F.col("v")), "left_semi")
              .dropDuplicates(["doc_id", "version"])
              .withColumn("w", words_of(F.col("text")))
-             .select("doc_id", "version", F.array_distinct(shingle_hashes(F.col("w"), n)).alias("hs")))
+             .select("doc_id", "version", F.array_distinct(document_hashes(F.col("w"), lengths)).alias("hs")))
     sets = sketches.select(F.col("item_id").alias("i"), "shingles", "n_shingles")
     pairs = found.join(sets, F.col("item_id").eqNullSafe(F.col("i"))).drop("i")
     shared = F.size(F.array_intersect("hs", "shingles"))
     return (pairs.join(texts.withColumnsRenamed({"doc_id": "d", "version": "v"}),
                        F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("version") == F.col("v")))
-            .select("doc_id", "item_id", F.col("n_shingles").cast("long").alias("n_shingles"), shared.cast("long").alias("n_shared"))
-            .groupBy("doc_id", "item_id").agg(F.max("n_shingles").alias("n_shingles"), F.max("n_shared").alias("n_shared"))
+            .select("doc_id", "version", "item_id", F.col("n_shingles").cast("long").alias("n_shingles"), shared.cast("long").alias("n_shared"))
+            .groupBy("doc_id", "version", "item_id").agg(F.max("n_shingles").alias("n_shingles"), F.max("n_shared").alias("n_shared"))
             .withColumn("containment", F.col("n_shared") / F.col("n_shingles"))
             .where(F.col("containment") >= threshold))
+
+
+def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
+               item_text_col: str = "text", threshold: float = CONTAINMENT, n: int = WORDS) -> DataFrame:
+    """``doc_id, item_id, n_shingles, n_shared, containment`` of every document that holds an item."""
+    found = find_versions(docs, items, id_col, text_col, item_id_col, item_text_col, threshold, n)
+    return (found.groupBy("doc_id", "item_id").agg(F.max("n_shingles").alias("n_shingles"), F.max("n_shared").alias("n_shared"))
+            .withColumn("containment", F.col("n_shared") / F.col("n_shingles")))

@@ -25,7 +25,9 @@ equi-join, which adaptive execution splits.
 Defined results: null or empty text is one empty line, which is never dropped
 (its key has no code point); a document is an id, so repeated rows count once
 and are each cleaned; null ids count as one document; columns keep their
-names, extra ones are passed through.
+names, extra ones are passed through whatever they are called (but
+``__n_lines`` and ``__n_dropped``, which are the results' names: an error); an
+empty table gives no row; the work on a text is linear in its lines.
 """
 
 from __future__ import annotations
@@ -105,6 +107,8 @@ class LineRuns:
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS,
                         min_chars: int = MIN_CHARS, batches: int = BATCHES, fan_out: int = FAN_OUT) -> DataFrame:
     """``docs`` with the text cleaned, plus ``__n_lines`` and ``__n_dropped``."""
+    if {"__n_lines", "__n_dropped"} & set(docs.columns):
+        raise ValueError("the results are called __n_lines and __n_dropped; rename those columns")
     spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "line-dedup")
     text = F.coalesce(F.col(text_col), F.lit(""))
     doc = F.col(id_col)
@@ -123,13 +127,17 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         runs.add(stored.where(F.col("batch") == b).select("doc", "h1", "h2"))
 
     drops = (stored.join(runs.frequent(), ["h1", "h2"], "left_semi")
-             .groupBy("doc", "version").agg(F.collect_set("pos").alias("__drop")))
-    kept = F.when(F.col("__drop").isNull(), text).otherwise(F.array_join(
-        F.filter(F.split(text, "\n", -1), lambda _, i: ~F.array_contains(F.col("__drop"), i)), "\n"))
-    joined = docs.withColumn("__version", version).join(
-        drops.withColumnsRenamed({"doc": "__doc", "version": "__drop_version"}),
-        doc.eqNullSafe(F.col("__doc")) & (F.col("__version") == F.col("__drop_version")), "left")
+             .groupBy("doc", "version").agg(F.collect_set("pos").alias("drop")))
+    # the row travels as one column, so no name of its own can clash
+    joined = docs.select(F.struct("*").alias("row"), doc.alias("id"), version.alias("hash")).join(
+        drops, F.col("id").eqNullSafe(F.col("doc")) & (F.col("hash") == F.col("version")), "left")
+    text = F.coalesce(F.col("row")[text_col], F.lit(""))
+    # linear: the positions that stay, then their lines; the one-item array names the split lines, which
+    # would be split again for each position otherwise
+    both = F.array(F.struct(F.split(text, "\n", -1).alias("lines"), F.col("drop").alias("drop")))
+    kept = F.get(F.transform(both, lambda x: F.array_join(F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(x["lines"]) - 1), x["drop"]), lambda p: F.get(x["lines"], p)), "\n")), F.lit(0))
     return joined.select(
-        *(kept.alias(c) if c == text_col else F.col(c) for c in docs.columns),
+        *((F.when(F.col("drop").isNull(), text).otherwise(kept) if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns),
         (F.char_length(text) - F.char_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long").alias("__n_lines"),
-        F.coalesce(F.size("__drop"), F.lit(0)).cast("long").alias("__n_dropped"))
+        F.coalesce(F.size("drop"), F.lit(0)).cast("long").alias("__n_dropped"))

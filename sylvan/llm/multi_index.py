@@ -22,8 +22,9 @@ a third of all vectors is spread over many tasks.  A task returns the ``k`` best
 of each query, and these are merged.
 
 Defined results: vectors that are null, zero, or hold a null or non-finite
-component take no part, nor those of another length than most; ties go to the
-smaller id; a query's own row is no candidate, but a repeated row of the same
+component take no part; vectors of different lengths are searched apart, each
+among its own; ties go to the smaller id; components of any size are scored
+exactly, as both vectors are scaled by powers of two first; a query's own row is no candidate, but a repeated row of the same
 id counts as its own too; null ids take no part; an empty table gives no row.
 """
 
@@ -45,6 +46,8 @@ TARGET = 0.96
 BLOCK = 4096
 LLOYD_STEPS = 12
 
+OUT = "query_id long, rank int, vec_id long, score double"
+
 
 def _distances(x: np.ndarray, c: np.ndarray) -> np.ndarray:
     return np.maximum(0, (x * x).sum(1)[:, None] - 2 * x @ c.T + (c * c).sum(1))
@@ -55,6 +58,12 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
+def _tame(x: np.ndarray) -> np.ndarray:
+    """Rows scaled by the power of two that brings their largest component to about 1: exact, and squares stay finite."""
+    _, power = np.frexp(np.abs(x).max(axis=1, keepdims=True))
+    return np.ldexp(x, -power)
+
+
 def kmeans(x: np.ndarray, k: int, steps: int = LLOYD_STEPS) -> np.ndarray:
     """Lloyd's algorithm from evenly spaced distinct starts; at most ``k`` centroids."""
     distinct = np.unique(x, axis=0)
@@ -146,6 +155,7 @@ def _matrix(arrays: pa.Array) -> np.ndarray:
 
 def best_of(ids: np.ndarray, x: np.ndarray, q: np.ndarray, own: int, k: int):
     """The ``k`` nearest rows of ``x`` to ``q``: (score, id), largest cosine first, then the smaller id."""
+    x, q = _tame(x), _tame(q[None, :])[0]
     scores = (x * q).sum(axis=1) / (np.sqrt((x * x).sum(axis=1)) * np.sqrt((q * q).sum()))
     ok = np.flatnonzero(ids != own)
     order = ok[np.lexsort((ids[ok], -scores[ok]))][:k]
@@ -155,16 +165,19 @@ def best_of(ids: np.ndarray, x: np.ndarray, q: np.ndarray, own: int, k: int):
 def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 5,
             centroids: int = CENTROIDS, sample: int = SAMPLE, target: float = TARGET, block: int = BLOCK) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest found of every row that ``is_query`` (a condition on ``vec_id``)."""
-    spark, path = vectors.sparkSession, scratch_path(vectors.sparkSession, "multi-index")
+    spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector")) \
         .where(F.col("vec_id").isNotNull() & usable(F.col("vector")))
-    lengths = rows.groupBy(F.size("vector").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "d").first()
-    out_schema = "query_id long, rank int, vec_id long, score double"
-    if lengths is None:
-        return spark.createDataFrame([], out_schema)
-    dim, n_rows = lengths
-    rows = rows.where(F.size("vector") == dim)
+    lengths = rows.groupBy(F.size("vector").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy("d").collect()  # a row per length
+    out = spark.createDataFrame([], OUT)
+    for r in lengths:
+        out = out.unionAll(_nearest_of_length(rows.where(F.size("vector") == r["d"]), r["d"], r["n"], is_query, k, centroids, sample, target, block))
+    return out
+
 
+def _nearest_of_length(rows: DataFrame, dim: int, n_rows: int, is_query: Column, k: int, centroids: int, sample: int, target: float,
+                       block: int) -> DataFrame:
+    spark, path = rows.sparkSession, scratch_path(rows.sparkSession, "multi-index")
     # codebooks and share from the bounded sample
     rate = min(1.0, sample / n_rows)
     drawn = rows.where(F.pmod(F.xxhash64(F.lit("codebook"), "vec_id"), F.lit(1_000_000)) < F.lit(rate * 1_000_000)) \
@@ -216,7 +229,7 @@ def nearest(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vector
     asked = {r["i"]: r["n"] for r in visits.groupBy("i").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per centroid
     plan = [(i, -(-int(held[i]) // block), -(-asked[i] // block)) for i in sorted(asked)]
     if not plan:
-        return spark.createDataFrame([], out_schema)
+        return spark.createDataFrame([], OUT)
     dealt = {name: F.create_map(*(F.lit(v) for row in plan for v in (row[0], row[at]))) for name, at in (("blocks", 1), ("chunks", 2))}
     def side(df: DataFrame, key: str, own: str, other: str, own_name: str, other_name: str) -> DataFrame:
         return (df.where(F.col("i").isin([r[0] for r in plan]))

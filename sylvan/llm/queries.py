@@ -41,11 +41,18 @@ def op7_decontamination(spark, sf_dir):
     return decontam.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-ORACLES["op7_decontamination"] = r"""
-WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM documents),
-b AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS w FROM benchmark),
-ds AS (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) AS s FROM d),
-bs AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) AS s FROM b),
+def _runs_sql(k):
+    """Runs of k words in documents, where an item's shingles have that length."""
+    return (f"SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - {k - 2}), lambda i: array_to_string(w[i:i+{k - 1}], ' '))) AS s "
+            f"FROM d WHERE {k} IN (SELECT least(len(w), 5) FROM b)")
+
+
+ORACLES["op7_decontamination"] = rf"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda w: w <> '') AS w FROM documents),
+b AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda w: w <> '') AS w FROM benchmark),
+ds AS ({" UNION ALL ".join(map(_runs_sql, range(1, 6)))}),
+bs AS (SELECT DISTINCT item_id, unnest(list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(w[i:i+4], ' '))) AS s
+  FROM b WHERE len(w) > 0),
 n AS (SELECT item_id, count(*) AS n_shingles FROM bs GROUP BY item_id),
 m AS (SELECT doc_id, item_id, count(*) AS n_shared FROM ds JOIN bs USING (s) GROUP BY doc_id, item_id)
 SELECT doc_id, item_id, n_shingles, n_shared, n_shared / n_shingles AS containment

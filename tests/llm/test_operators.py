@@ -324,3 +324,56 @@ def test_pipeline_equals_its_stages_by_brute_force(spark, odd, texts):
         odd_docs = stage(spark, odd_docs, SF001)
         assert odd_docs.columns == odd.columns
     assert sum(r["doc_id"] == 4 for r in odd_docs.collect()) == 2  # the repeated row once, the other text
+
+
+def test_short_items_and_versions(spark):
+    items = spark.createDataFrame([(1, "capital of France"), (2, "Zürich"), (3, "one two three four five six"), (4, "!?"), (None, "two words")],
+                                  "item_id long, text string")
+    docs = spark.createDataFrame([(1, "the Capital of france is"), (2, "capital of"), (3, "in zürich, one two three four five six"), (4, ""),
+                                  (5, "two"), (None, "two words"), (None, "nothing here")], "doc_id long, text string")
+    got = by_id((r["doc_id"], r["item_id"], r["n_shingles"]) for r in decontam.find_items(docs, items).collect())
+    assert got == by_id([(1, 1, 1), (3, 2, 1), (3, 3, 2), (None, None, 1)])
+
+
+def test_pipeline_keeps_clean_rows_of_null_and_repeated_ids(spark, tmp_path):
+    import corpus_pipeline
+
+    item = "alpha beta gamma delta epsilon zeta eta theta"
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    names = ["__drop", "__version", "__doc", "__v", "__lang", "row", "id", "hash", "d", "v", "version", "drop"]
+    rows = [(None, f"clean one {item[:20]}"), (None, f"x {item} y"), (None, "clean two"), (7, f"{item}"), (7, "clean three"), (7, "clean three"),
+            (8, None), (9, "")]
+    docs = spark.createDataFrame([(*r, *names) for r in rows], ", ".join(["doc_id long", "text string", *(f"{n} string" for n in names)]))
+    kept = corpus_pipeline.decontaminate(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns
+    assert by_id((r["doc_id"], r["text"]) for r in kept.collect()) == by_id([rows[0], rows[2], rows[4], rows[5], rows[6], rows[7]])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path)) if stage is not corpus_pipeline.language else docs
+        assert out.columns == docs.columns
+        assert all(r[n] == n for r in out.collect() for n in names)
+
+
+def test_scores_of_very_large_and_small_vectors(spark):
+    rows = [(0, [1.0, 2.0]), (1, [1e-170, 2e-170]), (2, [1e200, 2e200]), (3, [5e-324, 1e-323]), (4, [2.0, 1.0]), (5, [-1e308, 1e308]),
+            (50, [3.0]), (51, [-1e300]), (52, [2e-300])]
+    got = multi_index.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0, k=4)
+    found = {(r["query_id"], r["vec_id"]): r["score"] for r in got.collect()}
+    assert [found[0, i] for i in (1, 2, 3)] == pytest.approx([1.0] * 3, abs=1e-15)
+    assert found[0, 4] == pytest.approx(0.8, abs=1e-15) and (0, 5) not in found and (0, 51) not in found
+    assert (found[50, 52], found[50, 51]) == (1.0, -1.0)  # vectors of one component, searched apart
+
+
+def test_line_dedup_is_linear_in_lines_and_keeps_any_names(spark):
+    import time
+
+    n = 50_000
+    text = "\n".join(f"line {i}" for i in range(n))
+    docs = spark.createDataFrame([(i, f"own {i}\n{text}", 1, 2, "h", 4) for i in range(12)],
+                                 "doc_id long, text string, __drop int, __version int, h1 string, drop int").repartition(4)
+    began = time.time()
+    rows = line_dedup.drop_repeated_lines(docs).collect()
+    assert all(r["text"] == f"own {r['doc_id']}" and r["__n_dropped"] == n and r["__n_lines"] == n + 1 for r in rows) and len(rows) == 12
+    assert all((r["__drop"], r["__version"], r["h1"], r["drop"]) == (1, 2, "h", 4) for r in rows)
+    assert time.time() - began < 90
+    with pytest.raises(ValueError):
+        line_dedup.drop_repeated_lines(docs.withColumn("__n_lines", F.lit(1)))
