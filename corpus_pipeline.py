@@ -9,7 +9,8 @@ reads back.  All stages but the last return the columns of ``documents``.
 * ``line_dedup``     takes lines found in ten or more documents out of texts
 * ``near_dups``      keeps one document of each near-duplicate group: the one
                      with the smallest id
-* ``decontaminate``  drops documents that hold a benchmark item
+* ``decontaminate``  drops documents that hold a benchmark item (rows are told apart by id and text, so others of
+                     the same or of no id stay)
 * ``bpe``            encodes and decodes the texts and returns their digests
 
 Defined results: repeated rows are exact copies, of which one stays; documents
@@ -30,35 +31,40 @@ from sylvan.sources.tables import table
 
 def language(spark, docs, sf_dir):
     model = langid.train(docs.where(~langid.held_out()))
-    return (docs.withColumn("__lang", langid.predict(F.col("text"), model)["lang_pred"])
-            .where(F.col("__lang") != langid.UNDETERMINED).drop("__lang"))
+    return docs.where(langid.predict(F.col("text"), model)["lang_pred"] != langid.UNDETERMINED)
 
 
 def dedup_lines(spark, docs, sf_dir):
     return line_dedup.drop_repeated_lines(docs).drop("__n_lines", "__n_dropped")
 
 
+def _whole(docs, version):
+    """Rows as one column, with their id and the hash of their text: no name of a row's own can clash."""
+    return docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), version.alias("hash"))
+
+
 def dedup_documents(spark, docs, sf_dir):
     path = scratch_path(spark, "pipeline-near-dups")
     near_dups.near_duplicates(docs).select("doc_id", "version", "is_kept", "has_words").write.parquet(f"{path}/found")
     found = spark.read.parquet(f"{path}/found")
-    key = [F.col("doc_id").alias("__doc"), F.col("version").alias("__v")]
+    key = [F.col("doc_id").alias("d"), F.col("version").alias("v")]
     gone = found.where(~F.col("is_kept")).select(*key).distinct()
     # repeats of a kept row (same id and text): taken out of the main path, and one of each is put back
     again = (found.where(F.col("is_kept") & F.col("has_words")).groupBy("doc_id", "version").agg(F.count(F.lit(1)).alias("n"))
              .where("n > 1").select(*key))
-    here = docs.withColumn("__version", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
-    same = F.col("doc_id").eqNullSafe(F.col("__doc")) & (F.col("__version") == F.col("__v"))
+    here = _whole(docs, F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    same = F.col("id").eqNullSafe(F.col("d")) & (F.col("hash") == F.col("v"))
     once = here.join(stored_keys(gone.unionAll(again), f"{path}/out"), same, "left_anti")
-    repeated = here.join(stored_keys(again, f"{path}/again"), same, "left_semi").dropDuplicates(["doc_id", "__version"])
-    return once.unionByName(repeated).drop("__version")
+    repeated = here.join(stored_keys(again, f"{path}/again"), same, "left_semi").dropDuplicates(["id", "hash"])
+    return once.unionAll(repeated).select("row.*")
 
 
 def decontaminate(spark, docs, sf_dir):
-    found = decontam.find_items(docs, table(spark, sf_dir, "benchmark"))
-    holders = found.select(F.col("doc_id").alias("__doc")).distinct()
+    found = decontam.find_versions(docs, table(spark, sf_dir, "benchmark"))
+    holders = found.select(F.col("doc_id").alias("d"), F.col("version").alias("v")).distinct()
     holders = stored_keys(holders, scratch_path(spark, "pipeline-holders"))
-    return docs.join(holders, F.col("doc_id").eqNullSafe(F.col("__doc")), "left_anti")
+    same = F.col("id").eqNullSafe(F.col("d")) & (F.col("hash") == F.col("v"))
+    return _whole(docs, F.xxhash64("text")).join(holders, same, "left_anti").select("row.*")
 
 
 def encode(spark, docs, sf_dir):
