@@ -43,10 +43,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import sentencepiece
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from sylvan.llm.bpe import BEYOND_PLAIN, plain_pattern
 from sylvan.llm.bytelevel import Vocabulary
 from sylvan.llm.joins import stored_keys
 from sylvan.llm.workers import held
@@ -58,6 +60,8 @@ CACHE_CHARS = 16_000_000
 #: Characters of a text that are cut into units at a time, and rows of a batch that are aligned at a time.
 SEGMENT_CHARS = 1_000_000
 SLICE_ROWS = 500
+#: Units encoded end to end by one call.
+RUN_UNITS = 1000
 #: Partial products expanded at a time by ``Csr.dot``.
 EXPANDED = 4_000_000
 
@@ -175,9 +179,33 @@ class Aligner:
         if any(re.search(r"\S ", p.replace("▁", " ")) for p, byte in zip(pieces, is_byte) if not byte):
             joined.add(" ")
         self.whole = re.compile("[" + re.escape("".join(sorted(joined))) + "]").search if joined else lambda text: None
+        self.ranks = self._rank_encoder(v)
         self.units_of = re.compile(r"\s*\S+|\s+").findall
         self.reset()
 
+    @staticmethod
+    def _rank_encoder(v: Vocabulary):
+        """A faster encoder of the same vocabulary for plain text, or None if it might differ.
+
+        It merges the neighbours whose bytes together have the smallest rank, the vocabulary's own merges the pair with
+        the smallest rank.  The two are the same if ids rise with ranks and every token is the encoding of its own
+        bytes: within the bytes of a token, between two boundaries that stay, all smaller merges leave its own pair.
+        """
+        merged = sorted((rank, i) for rank, i in v.rank.values())
+        ids = [i for _, i in merged]
+        if ids != sorted(set(ids)) or max(v.byte_id) > min(ids, default=1 << 60) or len(v.bytes_of) != 256 + len(ids):
+            return None
+        for token, own in v.bytes_of.items():
+            parts = [v.byte_id[b] for b in own]
+            while len(parts) > 1:
+                rank, at = min((v.rank.get(p, (1 << 60,))[0], k) for k, p in enumerate(zip(parts, parts[1:])))
+                if rank == 1 << 60:
+                    return None
+                parts[at:at + 2] = [v.rank[parts[at], parts[at + 1]][1]]
+            if parts != [token]:
+                return None
+        return tiktoken.Encoding("ranks", pat_str=plain_pattern().pattern, mergeable_ranks={b: i for i, b in v.bytes_of.items()}, special_tokens={})
+
     def reset(self) -> None:
         self.known: dict[str, int] = {}
         self.chars = 0
@@ -203,17 +231,16 @@ class Aligner:
 
     def learn(self, new: list[str]) -> None:
         """Align units that are not known yet, all by one product."""
-        a_ids = [e.ids for e in self.a.encode_batch_fast(new, add_special_tokens=False)]
-        # the library puts a space in front: it stands for the unit's own, else its piece is taken off again
-        b_ids = self.b.encode([u[1:] if u[0] == " " else u for u in new], num_threads=1)
-        for i, u in enumerate(new):
-            if u[0] != " ":
-                b_ids[i] = b_ids[i][1:] if b_ids[i][:1] == [self.lead] else []
-            elif u == " ":
-                b_ids[i] = [self.lead]  # an empty text has no tokens, but a space has
-        na, nb = (np.fromiter(map(len, x), np.int64, len(new)) for x in (a_ids, b_ids))
-        xs, ys = (np.fromiter(chain.from_iterable(x), np.int64, n.sum()) for x, n in ((a_ids, na), (b_ids, nb)))
-        good = self._same_bytes(new, xs, na, self.a_bytes) & self._same_bytes(new, ys, nb, self.b_bytes)
+        # plain units can be encoded end to end: they begin with white space and end without
+        plain = [not BEYOND_PLAIN(u) and not u[-1].isspace() for u in new]
+        if not all(plain):
+            new = [u for u, p in zip(new, plain) if p] + [u for u, p in zip(new, plain) if not p]
+        n_plain = sum(plain)
+        runs = [new[i:min(i + RUN_UNITS, n_plain)] for i in range(0, n_plain, RUN_UNITS)]
+        runs += [new[i:i + 1] for i in range(n_plain, len(new))]
+        found = [self._ids(units, k * RUN_UNITS < n_plain) for k, units in enumerate(runs)]
+        xs, ys = (np.concatenate([f[k] for f in found]) for k in (0, 2))
+        na, nb, good = (np.concatenate([f[k] for f in found]) for k in (1, 3, 4))
         if not good.all():
             xs, ys = xs[np.repeat(good, na)], ys[np.repeat(good, nb)]
             na, nb = na[good], nb[good]
@@ -238,16 +265,45 @@ class Aligner:
         self.pair_at = np.concatenate([self.pair_at, self.pair_at[-1] + np.cumsum(sizes[1])])
         self.pairs = np.concatenate([self.pairs, (xs[links.rows()] << 32) | ys[links.indices]])
 
-    @staticmethod
-    def _same_bytes(units: list[str], ids: np.ndarray, n: np.ndarray, table: list[bytes]) -> np.ndarray:
-        """Which units' tokens give back their bytes."""
-        tokens = [table[i] for i in ids.tolist()]
+    def _ids(self, units: list[str], plain: bool):
+        """(ids A, their number per unit, ids B, their number per unit, whether both give back the unit's bytes)."""
         own = [u.encode() for u in units]
-        at = np.concatenate([[0], np.cumsum(n)])
-        size = np.concatenate([[0], np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)))])
-        if (np.diff(size[at]) == np.fromiter(map(len, own), np.int64, len(own))).all() and b"".join(tokens) == b"".join(own):
-            return np.ones(len(units), bool)
-        return np.array([b"".join(tokens[i:j]) == u for u, i, j in zip(own, at, at[1:])], bool)
+        if plain:
+            text = "".join(units)
+            lead = text[0] != " "  # the library puts a space in front, which stands for the text's own
+            x = self.ranks.encode_ordinary(text) if self.ranks else self.a.encode(text, add_special_tokens=False).ids
+            y = self.b.encode(text if lead else text[1:])
+            x, y = np.array(x, np.int64), np.array(y, np.int64)
+            if not lead or len(y) and y[0] == self.lead:
+                y, size = y[int(lead):], np.cumsum([len(u) for u in own])
+                counts = [self._cut(ids, table, lengths, size, b"".join(own))
+                          for ids, table, lengths in ((x, self.a_bytes, self.a_len), (y, self.b_bytes, self.b_len))]
+                if counts[0] is not None and counts[1] is not None:
+                    return x, counts[0], y, counts[1], np.ones(len(units), bool)
+        found = [self._unit_ids(u, b) for u, b in zip(units, own)]
+        flat = lambda k: np.array([i for f in found for i in f[k]], np.int64)
+        count = lambda k: np.array([len(f[k]) for f in found], np.int64)
+        return flat(0), count(0), flat(1), count(1), np.array([f[2] for f in found], bool)
+
+    @staticmethod
+    def _cut(ids, table, lengths, size, own: bytes):
+        """Tokens per unit, if the tokens give back the bytes and end with each unit; else None."""
+        if b"".join(map(table.__getitem__, ids.tolist())) != own:
+            return None
+        ends = np.cumsum(lengths[ids])
+        upto = np.searchsorted(ends, size, "right")
+        return np.diff(upto, prepend=0) if (ends[upto - 1] == size).all() else None
+
+    def _unit_ids(self, unit: str, own: bytes):
+        x = self.a.encode(unit, add_special_tokens=False).ids
+        if unit == " ":
+            y = [self.lead]  # an empty text has no tokens, but a space has
+        elif unit[0] == " ":
+            y = self.b.encode(unit[1:])
+        else:
+            y = self.b.encode(unit)
+            y = y[1:] if y[:1] == [self.lead] else []
+        return x, y, all(b"".join(map(t.__getitem__, ids)) == own for t, ids in ((self.a_bytes, x), (self.b_bytes, y)))
 
     def _group_items(self, xs, ys, a_of, b_of, last) -> pa.Array:
         """Ids with the sign after them, in the order of the groups' text: a comma, a bar after the last A of a group,
