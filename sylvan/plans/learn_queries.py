@@ -116,7 +116,6 @@ def eda_boxplot(spark, sf):
 # --------------------------------------------------------------------------- logistic regression
 
 LR_EPOCHS, LR_RATE = 5, 0.1
-_MEMO: dict = {}
 
 
 def _embeddings(spark, sf):
@@ -132,11 +131,8 @@ def _scaled(spark, sf):
 
 
 def _lr_model(spark, sf, epochs=LR_EPOCHS, every=1):
-    key = (spark.sparkContext.applicationId, sf, epochs, every)
-    if key not in _MEMO:
-        tr = _scaled(spark, sf).where(F.col("split") == "train")
-        _MEMO[key] = logreg.fit_logistic(tr, "z", "label", learning_rate=LR_RATE, epochs=epochs, record_every=every)
-    return _MEMO[key]
+    tr = _scaled(spark, sf).where(F.col("split") == "train")
+    return logreg.fit_logistic(tr, "z", "label", learning_rate=LR_RATE, epochs=epochs, record_every=every)
 
 
 def _lr_sql(output, epochs=LR_EPOCHS, lr=LR_RATE):
@@ -255,3 +251,31 @@ def best_threshold_split(spark, sf):
     b = cart.best_threshold_split(table(spark, sf, "lineitem"), _THR_FEATURES, "l_returnflag")
     return b.select("feature", r6("threshold").alias("threshold"), r6("gain").alias("gain"),
                     F.col("n_left").cast("bigint").alias("n_left"), F.col("n_right").cast("bigint").alias("n_right"))
+
+
+_THR_REG_FEATURES = ["p_size", "pk_mod"]
+
+
+def _threshold_reg_sql():
+    part = "(SELECT p_size, p_partkey % 1000 AS pk_mod, p_retailprice AS y FROM part)"
+    long = " UNION ALL ".join(f"SELECT '{f}' AS feature, CAST({f} AS DOUBLE) AS x, y FROM {part}" for f in _THR_REG_FEATURES)
+    return (
+        f"WITH l AS ({long}), m AS (SELECT avg(y) AS mu FROM l), "
+        "v AS (SELECT feature, x, count(*) AS c, sum(y - mu) AS s, sum((y - mu) * (y - mu)) AS q FROM l CROSS JOIN m GROUP BY feature, x), "
+        "cum AS (SELECT feature, x, sum(c) OVER w AS nl, sum(s) OVER w AS sl, sum(c) OVER g AS n, sum(s) OVER g AS st, sum(q) OVER g AS qt, "
+        "lead(x) OVER w AS nx FROM v WINDOW w AS (PARTITION BY feature ORDER BY x), g AS (PARTITION BY feature)), "
+        "cand AS (SELECT feature, (x + nx) / 2 AS threshold, nl, n - nl AS nr, "
+        "(sl * sl / nl + (st - sl) * (st - sl) / (n - nl) - st * st / n) / n AS gain, qt / n - (st / n) * (st / n) AS var "
+        "FROM cum WHERE nx IS NOT NULL), "
+        "ranked AS (SELECT *, row_number() OVER (PARTITION BY feature ORDER BY round(gain / var, 12) DESC, threshold) AS rn FROM cand) "
+        "SELECT feature, round(threshold, 6) + 0.0 AS threshold, round(gain, 6) + 0.0 AS gain, CAST(nl AS BIGINT) AS n_left, "
+        "CAST(nr AS BIGINT) AS n_right FROM ranked WHERE rn = 1")
+
+
+@register("best_threshold_split_reg", _threshold_reg_sql())
+def best_threshold_split_reg(spark, sf):
+    """M14 by squared error."""
+    p = table(spark, sf, "part").select("p_size", (F.col("p_partkey") % 1000).alias("pk_mod"), "p_retailprice")
+    b = cart.best_threshold_split(p, _THR_REG_FEATURES, "p_retailprice", "squared_error")
+    return b.select("feature", r6("threshold").alias("threshold"), r6("gain").alias("gain"),
+                    F.col("n_left").cast("bigint").alias("n_left"), F.col("n_right").cast("bigint").alias("n_right"))

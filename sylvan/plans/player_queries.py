@@ -27,23 +27,10 @@ FEATURES = ["Age_Cat", "Potential_Cat", "Wage_Cat"]
 TARGET = "Overall_Category"
 _SOURCE = {"Age_Cat": ("age", "Age"), "Potential_Cat": ("potential", "Potential"),
            "Wage_Cat": ("wage_numeric", "Wage_Numeric"), TARGET: ("overall", "Overall")}
-_MEMO: dict = {}
-
-
-def _materialized(spark, sf, name, build):
-    """The sampled training table is parsed and sampled once, checkpointed and reused
-    by every fit and scoring pass of the chain."""
-    key = (spark.sparkContext.applicationId, sf, "rows", name)
-    if key not in _MEMO:
-        _MEMO[key] = cut_lineage(build(spark, sf))
-    return _MEMO[key]
 
 
 def player_training_rows(spark, sf):
-    return _materialized(spark, sf, "cls", _player_training_rows)
-
-
-def _player_training_rows(spark, sf):
+    """The sampled training table: parsed and sampled once for all fits and scoring passes of a query."""
     rows = H.player_rows(HQ._list_els(spark, sf), ["page_no"])
     rows = rows.where(F.col("age").isNotNull() & F.col("overall").isNotNull() & F.col("potential").isNotNull()
                       & F.col("wage_numeric").isNotNull() & F.col("value_numeric").isNotNull())
@@ -51,15 +38,11 @@ def _player_training_rows(spark, sf):
     binned = rows.select("player_url", *[bin_right_closed(F.col(src), *PLAYER_BINS[b]).alias(name)
                                          for name, (src, b) in _SOURCE.items()])
     binned = binned.where(F.col(TARGET).isNotNull())
-    return sampling.balanced_sample(binned, TARGET, ["player_url"], n=100, seed=42)
+    return cut_lineage(sampling.balanced_sample(binned, TARGET, ["player_url"], n=100, seed=42))
 
 
-def _model(spark, sf, criterion):
-    key = (spark.sparkContext.applicationId, sf, criterion)
-    if key not in _MEMO:
-        _MEMO[key] = fit_tree(player_training_rows(spark, sf), FEATURES, TARGET, criterion, max_depth=4,
-                              order_by=["player_url"], label_order=CATEGORIES)
-    return _MEMO[key]
+def _fit(rows, criterion):
+    return fit_tree(rows, FEATURES, TARGET, criterion, max_depth=4, order_by=["player_url"], label_order=CATEGORIES)
 
 
 _PLAYERS_SQL = (
@@ -92,7 +75,7 @@ def player_balanced_sample(spark, sf):
 
 def _nodes(criterion):
     def q(spark, sf):
-        m = _model(spark, sf, criterion)
+        m = _fit(player_training_rows(spark, sf), criterion)
         return m.nodes.select("node_id", "depth", "split_feature", "is_leaf", "prediction", "n",
                               r6("impurity").alias("impurity"), r6("gain").alias("gain"))
     return q
@@ -108,9 +91,9 @@ register("player_tree_fit_gini", _tree_sql("gini", "nodes"))(_nodes("gini"))
               f"AS accuracy, count(*) AS n FROM ({_tree_sql(kind, 'predict')})"
               for crit, kind in [("information_gain", "entropy"), ("gini", "gini")]))
 def player_tree_accuracy(spark, sf):
-    out = None
+    rows, out = player_training_rows(spark, sf), None
     for crit in ["information_gain", "gini"]:
-        scored = _model(spark, sf, crit).predict(player_training_rows(spark, sf))
+        scored = _fit(rows, crit).predict(rows)
         acc = metrics.accuracy(scored, TARGET, "prediction").select(
             F.lit(crit).alias("criterion"), r6("accuracy").alias("accuracy"), "n")
         out = acc if out is None else out.unionByName(acc)
@@ -125,10 +108,6 @@ _REG_SOURCE = {"Age": "age", "Overall": "overall", "Potential": "potential", "Wa
 
 
 def player_regression_rows(spark, sf):
-    return _materialized(spark, sf, "reg", _player_regression_rows)
-
-
-def _player_regression_rows(spark, sf):
     """Value in millions; the four features binned in place; at most 100 rows per Overall bin."""
     rows = H.player_rows(HQ._list_els(spark, sf), ["page_no"])
     rows = rows.dropna(subset=["age", "overall", "potential", "wage_numeric", "value_numeric"])
@@ -137,15 +116,11 @@ def _player_regression_rows(spark, sf):
                                          for name, src in _REG_SOURCE.items()],
                          (F.col("value_numeric") / 1_000_000).alias(REG_TARGET))
     binned = binned.where(F.col("Overall").isNotNull())
-    return sampling.balanced_sample(binned, "Overall", ["player_url"], n=100, seed=42)
+    return cut_lineage(sampling.balanced_sample(binned, "Overall", ["player_url"], n=100, seed=42))
 
 
-def _reg_model(spark, sf, criterion):
-    key = (spark.sparkContext.applicationId, sf, "reg", criterion)
-    if key not in _MEMO:
-        _MEMO[key] = fit_tree(player_regression_rows(spark, sf), REG_FEATURES, REG_TARGET, criterion,
-                              max_depth=3, order_by=["player_url"])
-    return _MEMO[key]
+def _reg_fit(rows, criterion):
+    return fit_tree(rows, REG_FEATURES, REG_TARGET, criterion, max_depth=3, order_by=["player_url"])
 
 
 _REG_BINNED_SQL = (
@@ -168,7 +143,7 @@ def _reg_tree_sql(kind, output):
 
 def _reg_nodes(criterion):
     def q(spark, sf):
-        m = _reg_model(spark, sf, criterion)
+        m = _reg_fit(player_regression_rows(spark, sf), criterion)
         return m.nodes.select("node_id", "depth", "split_feature", "is_leaf", r6("prediction").alias("prediction"),
                               "n", r6("impurity").alias("impurity"), r6("gain").alias("gain"))
     return q
@@ -191,9 +166,9 @@ def _reg_scores_sql(crit, kind):
 
 @register("player_reg_scores", " UNION ALL ".join(_reg_scores_sql(c, k) for c, k in [("mse", "mse"), ("mae", "mae")]))
 def player_reg_scores(spark, sf):
-    out = None
+    rows, out = player_regression_rows(spark, sf), None
     for crit in ["mse", "mae"]:
-        scored = _reg_model(spark, sf, crit).predict(player_regression_rows(spark, sf))
+        scored = _reg_fit(rows, crit).predict(rows)
         s = metrics.regression_scores(scored, REG_TARGET, "prediction").select(
             F.lit(crit).alias("criterion"), "n", *[r6(c).alias(c) for c in _SCORE_COLS])
         out = s if out is None else out.unionByName(s)

@@ -22,7 +22,7 @@ from sylvan.plans.registry import register
 from sylvan.plans.tree_sql import tree_sql
 
 # ---------------------------------------------------------------------------
-# model specs and a per-application memo so several queries share one fit
+# model specs
 # ---------------------------------------------------------------------------
 
 SPECS = {
@@ -38,7 +38,6 @@ SPECS = {
                    criterion="mse", max_depth=3, keys=LI_KEYS),
 }
 KIND = {"information_gain": "entropy", "gini": "gini", "mse": "mse", "mae": "mae"}
-_MEMO: dict = {}
 
 
 def _src(spark, sf_dir, name):
@@ -50,12 +49,10 @@ def _src_sql(name):
 
 
 def model(spark, sf_dir, spec_name):
-    key = (spark.sparkContext.applicationId, sf_dir, spec_name)
-    if key not in _MEMO:
-        s = SPECS[spec_name]
-        _MEMO[key] = fit_tree(_src(spark, sf_dir, s["src"]), s["features"], s["target"], s["criterion"],
-                              max_depth=s["max_depth"], order_by=s["keys"])
-    return _MEMO[key]
+    """The spec's tree, fitted on the table as it is now."""
+    s = SPECS[spec_name]
+    return fit_tree(_src(spark, sf_dir, s["src"]), s["features"], s["target"], s["criterion"],
+                    max_depth=s["max_depth"], order_by=s["keys"])
 
 
 def _spec_sql(spec_name, output):
