@@ -9,9 +9,13 @@ copies are never paired.
    they agree on a whole band (at similarity 0.8 all bands miss with a
    probability of 7e-6).  Classes that meet are linked to the smallest class of
    their bucket, and connected components give candidate *groups*.
-2. Blocks.  A group's classes are dealt to blocks of about ``BLOCK`` members by
-   hash; each pair of blocks is one unit of work, so a group of any size is
-   spread over many tasks, each of bounded size.
+2. Units of work.  A group's classes are dealt to blocks of about ``BLOCK``
+   members by hash, and each pair of blocks is one unit, so a group of any size
+   is spread over many tasks, each of bounded size.  That suits groups whose
+   members are mostly alike.  A group that is a long chain of small buckets is
+   dealt by bucket instead (a hot bucket again in pairs of blocks), and a pair
+   counts in its first common band only; of the two ways each group takes the
+   one with fewer copies of its members, so a chain costs what its buckets do.
 3. Bayesian pruning.  In a unit, the pairs' MinHash values are compared a few at
    a time.  With a uniform prior, m agreements among h values leave a Beta
    posterior of the similarity; a pair is dropped as soon as the probability of
@@ -25,7 +29,9 @@ the near-duplicate groups.
 Node numbers are the 64-bit hash of the shingle set.  Defined results: a null
 text or one without a word has no shingle, no link and is a group of its own
 (per row); rows with the same id are told apart by their text; exact repeats
-belong to the same class; a null id sorts before all others as a group's name.
+belong to the same class; a null id sorts before all others as a group's name;
+an empty table gives no row; texts of any length are shingled whole; other
+columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -193,12 +199,17 @@ def _sets(batches):
              pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "sig", "shingles"])
 
 
+def first_band(a: np.ndarray, b: np.ndarray, rows: int = ROWS) -> int:
+    """The first band in which two signatures agree."""
+    return int((a == b).reshape(-1, rows).all(axis=1).argmax())
+
+
 def _verifier(threshold: float, tolerance: float):
     least = least_matches(threshold, BANDS * ROWS, STEP, tolerance)
 
     def verify(table: pa.Table) -> pa.Table:
         nodes, blocks = table["node"].to_pylist(), table["block"].to_pylist()
-        lo, hi = table["lo"][0].as_py(), table["hi"][0].as_py()
+        lo, hi, unit, by_bucket = (table[c][0].as_py() for c in ("lo", "hi", "unit", "by_bucket"))
         order = sorted(range(len(nodes)), key=nodes.__getitem__)
         sigs = [np.frombuffer(x.as_py(), np.uint32) for x in table["sig"]]
         sets = [np.frombuffer(x.as_py(), np.uint64) for x in table["shingles"]]
@@ -215,6 +226,8 @@ def _verifier(threshold: float, tolerance: float):
             for i, j in linked_pairs([sigs[i] for i in a], [sets[i] for i in a], np.stack([sigs[i] for i in b]),
                                      [sets[i] for i in b], lo == hi, threshold, least):
                 i, j = a[i], b[j]
+                if by_bucket and band_hashes(sigs[i])[first_band(sigs[i], sigs[j])] != unit:
+                    continue
                 links[i] += 1
                 links[j] += 1
                 i, j = find(i), find(j)
@@ -226,6 +239,32 @@ def _verifier(threshold: float, tolerance: float):
     return verify
 
 
+def deal(groups: DataFrame, buckets: DataFrame, block: int, path: str) -> DataFrame:
+    """``node, unit, by_bucket, block, blocks``: the units of each candidate group ``node, root``.
+
+    ``buckets`` are the memberships ``node, bucket, n`` of buckets of ``n`` > 1 classes.
+    """
+    spark = groups.sparkSession
+    groups.groupBy("root").agg(F.count(F.lit(1)).alias("size")).withColumn("blocks", F.ceil(F.col("size") / block).cast("int")).write.parquet(f"{path}/sizes")
+    sizes = spark.read.schema("root long, size long, blocks int").parquet(f"{path}/sizes")
+    in_blocks = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
+    whole = groups.join(sizes, "root").select("node", F.col("root").alias("unit"), F.lit(False).alias("by_bucket"),
+                                              in_blocks(F.col("blocks")).alias("block"), "blocks", "root")
+    large = sizes.where("blocks > 1")
+    if large.isEmpty():
+        return whole.drop("root")
+    n_blocks = F.ceil(F.col("n") / block).cast("int")
+    inside = buckets.join(groups.join(large, "root"), "node").select("node", "root", "size", "bucket", n_blocks.alias("n_blocks"), "blocks")
+    inside.write.parquet(f"{path}/inside")
+    inside = spark.read.parquet(f"{path}/inside")
+    # copies of members: one per bucket and its blocks, against one per block of the whole group
+    chains = (inside.groupBy("root").agg(F.sum("n_blocks").alias("copies"), F.max("size").alias("size"), F.max("blocks").alias("blocks"))
+              .where(F.col("copies") < F.col("size") * F.col("blocks")).select("root"))
+    dealt = inside.join(chains, "root", "left_semi").select(
+        "node", F.col("bucket").alias("unit"), F.lit(True).alias("by_bucket"), in_blocks(F.col("n_blocks")).alias("block"), F.col("n_blocks").alias("blocks"))
+    return whole.join(chains, "root", "left_anti").drop("root").unionByName(dealt)
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILARITY,
                     tolerance: float = TOLERANCE, block: int = BLOCK) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, version, class_id, copy_id, n_links, has_words, is_kept``.
@@ -254,23 +293,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     hubs = (banded.groupBy("bucket").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1"))
     met = banded.join(hubs.select("bucket", "hub"), "bucket").where("node <> hub").select(F.col("node").alias("u"), F.col("hub").alias("v"))
     groups = components(met, f"{path}/groups")
-    sizes = groups.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-    dealt = (groups.join(sizes, "root")
-             .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))
+    deal(groups, banded.join(hubs.select("bucket", "n"), "bucket"), block, path).write.parquet(f"{path}/dealt")
+    dealt = spark.read.schema("node long, unit long, by_bucket boolean, block int, blocks int").parquet(f"{path}/dealt")
 
     # the representatives' texts, once each, then a row per unit of work
-    reps = dealt.join(classes, "node").select("node", "root", "blocks", "block", F.col("doc_id").alias("d"), F.col("version").alias("v"))
-    reps.write.parquet(f"{path}/reps")
-    reps = spark.read.schema(reps.schema).parquet(f"{path}/reps")
     # (the keys are broadcast while few; beyond that the texts are shuffled once)
-    keys = stored_keys(reps.select("d", "v", "node"), f"{path}/rep-keys")
+    keys = stored_keys(groups.join(classes, "node").select(F.col("doc_id").alias("d"), F.col("version").alias("v"), "node"), f"{path}/rep-keys")
     texts = (base.join(keys, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("version") == F.col("v")))
              .select("node", "text"))
     sets = texts.mapInArrow(_sets, "node long, sig binary, shingles binary").dropDuplicates(["node"])
-    units = (sets.join(reps.select("node", "root", "blocks", "block"), "node")
-             .select("node", "sig", "shingles", "root", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-             .select("node", "sig", "shingles", "root", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")))
-    (units.groupBy("root", "lo", "hi").applyInArrow(_verifier(threshold, tolerance), "node long, links long, root long")
+    units = (sets.join(dealt, "node")
+             .select("node", "sig", "shingles", "unit", "by_bucket", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+             .select("node", "sig", "shingles", "unit", "by_bucket", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")))
+    (units.groupBy("unit", "by_bucket", "lo", "hi").applyInArrow(_verifier(threshold, tolerance), "node long, links long, root long")
      .write.parquet(f"{path}/links"))
     links = spark.read.schema("node long, links long, root long").parquet(f"{path}/links")
     counted = links.groupBy("node").agg(F.sum("links").alias("n_links"))

@@ -107,16 +107,22 @@ def test_word_cache_equals_the_library(texts):
         assert got == [np.array(tok.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in given]
 
 
-def test_near_duplicates_equal_brute_force(spark, texts):
+def test_near_duplicates_equal_brute_force(spark, texts, monkeypatch):
     base = [" ".join(random.Random(9).choices("abcdefghijklmnop", k=120))]
     for i in range(60):  # a family of near copies, in blocks of 16
         words = base[0].split()
         for _ in range(random.Random(i).randint(0, 4)):
             words[random.Random(i * 7).randrange(120)] = f"w{i}"
         base.append(" ".join(words))
-    rows = texts + [(10_000 + i, t) for i, t in enumerate(base)] + [(20_000, None), (20_001, ""), (20_002, "one two")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("node", F.lit(1))
+    rng = random.Random(11)
+    long = [f"word{rng.randrange(10_000)}" for _ in range(3800)]
+    chain = [" ".join(long[i * 3:i * 3 + 100]) for i in range(1200)]  # a group of 1,200 whose ends have nothing in common
+    rows = texts + [(10_000 + i, t) for i, t in enumerate(base + chain)] + [(20_000, None), (20_001, ""), (20_002, "one two")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("node", F.lit(1)).withColumn("unit", F.lit(1))
+    dealt, real = [], near_dups.deal
+    monkeypatch.setattr(near_dups, "deal", lambda *a: dealt.append(real(*a)) or dealt[0])
     got = {r["doc_id"]: (r["class_id"], r["copy_id"], r["n_links"]) for r in near_dups.near_duplicates(docs, block=16).collect()}
+    assert {r["by_bucket"] for r in dealt[0].select("by_bucket").distinct().collect()} == {True, False}  # both ways are taken
 
     def shingles(t):
         w = re.findall(r"[^\W_]+", (t or "").lower())
@@ -151,6 +157,18 @@ def test_near_duplicates_equal_brute_force(spark, texts):
     assert sum(map(bool, links.values())) > 40
 
 
+def test_a_chain_is_dealt_by_its_buckets(spark):
+    n = 2000  # a group of 2,000 in buckets of 3, and one of 200 in one bucket
+    groups = spark.createDataFrame([(i, 0) for i in range(n)] + [(10_000 + i, 10_000) for i in range(200)], "node long, root long")
+    buckets = spark.createDataFrame([(i + k, i, 3) for i in range(n - 2) for k in range(3)] + [(10_000 + i, 77_777, 200) for i in range(200)],
+                                    "node long, bucket long, n long")
+    dealt = near_dups.deal(groups, buckets, 16, scratch_path(spark, "deal"))
+    copies = {r["by_bucket"]: (r["rows"], r["copies"]) for r in dealt.groupBy("by_bucket").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("blocks").alias("copies")).collect()}
+    assert copies[True][1] <= 3 * n + 200 * 13  # linear in the chain, where whole groups would need 2,000 x 125 copies
+    assert dealt.where("by_bucket AND node < 10000").count() == 3 * (n - 2)
+
+
 def test_near_duplicates_odd_and_empty(spark, odd):
     rows = near_dups.near_duplicates(odd).collect()
     assert len(rows) == odd.count()
