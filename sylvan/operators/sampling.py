@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sylvan.operators.joins import broadcast_if_small, materialize_small
+from sylvan.session import scratch_path
 
 # Hex digits of the md5 used to histogram a stratum before locating the exact
 # boundary: 16^5 = 1M buckets, so the boundary bucket of even a 1e11-row
@@ -46,39 +47,38 @@ def stratified_split(df: DataFrame, class_col: str | None, id_cols: list[str], t
                      seed: int = 42, col: str = "split") -> DataFrame:
     """G3 / exact G4: exactly ceil(f * n_class) test rows per class, the smallest hashes.
 
-    1. histogram (class, hash prefix) -> counts (partial aggregation);
-    2. per class, the prefix bucket holding the k-th hash (cumulative window
+    1. the rows are written once with their class and hash (no shuffle); all that follows reads that table, of which
+       the counting passes read two columns;
+    2. histogram (class, hash prefix) -> counts (partial aggregation);
+    3. per class, the prefix bucket holding the k-th hash (cumulative window
        over <= 16^BUCKET_HEX histogram rows per class);
-    3. rank only the rows of that boundary bucket to get the k-th hash itself;
-    4. one more pass tags ``hash <= threshold`` with a broadcast of the
-       per-class thresholds (one row per class, counted first).
-    Ids must be unique for the split to be exact.
+    4. rank only the rows of that boundary bucket to get the k-th hash itself;
+    5. tag ``hash <= threshold`` with a broadcast of the per-class thresholds (one row per class, counted first).
+    The input is read and hashed once.  Ids must be unique for the split to be exact.
     """
-    cls = F.col(class_col) if class_col else F.lit("all")
-    keyed = df.withColumn("_cls", cls).withColumn("_h", seeded_hash(id_cols, seed))
-    keyed = keyed.withColumn("_b", F.substring("_h", 1, BUCKET_HEX))
-    hist = keyed.groupBy("_cls", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    spark = df.sparkSession
+    path = scratch_path(spark, "split")
+    cls = F.col(class_col).cast("string") if class_col else F.lit("all")
+    df.select(F.struct("*").alias("row"), cls.alias("_cls"), seeded_hash(id_cols, seed).alias("_h")).write.parquet(path)
+    keyed = spark.read.parquet(path)
+    bucket = F.substring("_h", 1, BUCKET_HEX)
+    hist = keyed.groupBy("_cls", bucket.alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy("_cls").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
     total = Window.partitionBy("_cls")
     hist = (hist.withColumn("_cum", F.sum("_n").over(w))
             .withColumn("_tot", F.sum("_n").over(total))
             .withColumn("_k", F.ceil(F.col("_tot") * F.lit(test_fraction)).cast("long")))
     boundary = hist.where((F.col("_cum") - F.col("_n") < F.col("_k")) & (F.col("_cum") >= F.col("_k"))).select(
-        "_cls", "_b", (F.col("_k") - (F.col("_cum") - F.col("_n"))).alias("_need"))
+        F.col("_cls").alias("_c"), F.col("_b").alias("_p"), (F.col("_k") - (F.col("_cum") - F.col("_n"))).alias("_need"))
     boundary, n_cls = materialize_small(boundary)
-    in_bucket = keyed.select("_cls", "_b", "_h").join(broadcast_if_small(boundary, n_cls), ["_cls", "_b"])
+    in_bucket = keyed.select("_cls", "_h").join(broadcast_if_small(boundary, n_cls), F.col("_cls").eqNullSafe(F.col("_c")) & (bucket == F.col("_p")))
     rank = Window.partitionBy("_cls").orderBy("_h")
     thresholds = (in_bucket.withColumn("_r", F.row_number().over(rank))
-                  .where(F.col("_r") == F.col("_need")).select("_cls", F.col("_h").alias("_t")))
+                  .where(F.col("_r") == F.col("_need")).select(F.col("_cls").alias("_c"), F.col("_h").alias("_t")))
     thresholds, n_t = materialize_small(thresholds)
-    if class_col is None:
-        # one stratum: its threshold is a single value, applied as a literal
-        row = thresholds.first()
-        out = keyed.withColumn("_t", F.lit(row["_t"] if row else None).cast("string"))
-    else:
-        out = keyed.join(broadcast_if_small(thresholds, n_t), "_cls", "left")
+    out = keyed.join(broadcast_if_small(thresholds, n_t), F.col("_cls").eqNullSafe(F.col("_c")), "left")
     is_test = F.col("_t").isNotNull() & (F.col("_h") <= F.col("_t"))
-    return out.withColumn(col, F.when(is_test, "test").otherwise("train")).drop("_cls", "_h", "_b", "_t")
+    return out.select("row.*", F.when(is_test, "test").otherwise("train").alias(col))
 
 
 def first_per_key(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:

@@ -22,7 +22,8 @@ first_seen).  Node ids are path strings ``R/<feature_idx>=<value>/...`` with
 ``%``, ``/`` and ``=`` escaped, so they are deterministic, and a node's parent,
 value and rule follow from its id.
 
-Scoring walks the tree as one flat array (``flat_model``): no join, no shuffle.
+Scoring walks the tree as one flat array (``flat_model``): no join, no shuffle;
+only levels beyond ``FLAT_NODES`` nodes are joined.
 """
 
 from __future__ import annotations
@@ -201,31 +202,49 @@ def _tables(levels: list[DataFrame], firsts: list[DataFrame], features: list[str
                                     "gain", "is_leaf", "split_idx", "first_child", feature.alias("split_feature"))), edges
 
 
-def flat_model(model: TreeModel) -> Column:
-    """The tree as one constant array; item 0 is the root.
+#: Nodes of a model that are walked as one constant array, about a hundred bytes each; deeper levels are joined.
+FLAT_NODES = 200_000
 
-    Each item holds the split feature's number (null for a leaf), the values of its children with their items' numbers,
-    the item for any other value, and the prediction.  The whole model is known to the driver here and travels with the
-    plan, about a hundred bytes a node; it is the result of the fit, not data, and its number of nodes is known.
+
+def flat_depth(model: TreeModel, max_nodes: int) -> int:
+    """The deepest level such that all nodes down to it are at most ``max_nodes`` (the root always counts)."""
+    total, depth = 0, 0
+    for d, n in enumerate(model.level_sizes):
+        total += n
+        if total > max_nodes:
+            break
+        depth = d
+    return depth
+
+
+def flat_model(model: TreeModel, depth: int) -> Column:
+    """The tree down to ``depth`` as one constant array; item 0 is the root.
+
+    Each item holds its node, the split feature's number (null for a leaf and at the last level), the values of its
+    children with their items' numbers, the item for any other value, and the prediction.
     """
-    nodes = model.nodes.select("node_id", "split_idx", "first_child", F.col("prediction").cast("string").alias("p")).collect()
+    own = model.nodes.where(F.col("depth") <= depth)
+    nodes = own.select("node_id", "depth", "split_idx", "first_child", F.col("prediction").cast("string").alias("p")).collect()
     nodes.sort(key=lambda r: r["node_id"] != "R")
     number = {r["node_id"]: i for i, r in enumerate(nodes)}
     kids: list[list] = [[] for _ in nodes]
-    for e in model.edges.select("node_id", "value", "child_id").collect():
+    inner = own.where(~F.col("is_leaf") & (F.col("depth") < depth)).select("node_id")
+    for e in model.edges.join(inner, "node_id", "left_semi").select("node_id", "value", "child_id").collect():
         kids[number[e["node_id"]]].append((e["value"], number[e["child_id"]]))
-    items = [{"f": r["split_idx"], "v": [v for v, _ in k], "k": [c for _, c in k], "o": number.get(r["first_child"]), "p": r["p"]}
-             for r, k in zip(nodes, kids)]
-    return F.from_json(F.lit(json.dumps(items)), "array<struct<f: int, v: array<string>, k: array<int>, o: int, p: string>>")
+    items = [{"n": r["node_id"], "f": r["split_idx"] if r["depth"] < depth else None, "v": [v for v, _ in k], "k": [c for _, c in k],
+              "o": number.get(r["first_child"]), "p": r["p"]} for r, k in zip(nodes, kids)]
+    return F.from_json(F.lit(json.dumps(items)), "array<struct<n: string, f: int, v: array<string>, k: array<int>, o: int, p: string>>")
 
 
 def predict(model: TreeModel, df: DataFrame, out_col: str = "prediction") -> DataFrame:
     """Walk the flat tree; unseen values (and nulls, unless they are a branch) follow the first child.
 
-    One expression per row whatever the size of the model: the item of the current node is looked up by number, and the
-    row's value of its feature names the next one.
+    One expression per row: the item of the current node is looked up by number, and the row's value of its feature
+    names the next one.  No row is shuffled.  Only levels below the first ``FLAT_NODES`` nodes are joined, and by then
+    the rows are spread over that many nodes.
     """
-    tree = flat_model(model)
+    depth = flat_depth(model, FLAT_NODES)
+    tree = flat_model(model, depth)
     values = F.array(*[F.col(c).cast("string") for c in model.features])
     if model.null_policy == "branch":
         values = F.transform(values, lambda v: F.coalesce(v, F.lit(NULL_VALUE)))
@@ -236,6 +255,16 @@ def predict(model: TreeModel, df: DataFrame, out_col: str = "prediction") -> Dat
         child = F.get(item["k"], F.array_position(item["v"], F.get(F.col("_fv"), item["f"])).cast("int") - 1)
         return F.when(item["f"].isNull(), at).otherwise(F.coalesce(child, item["o"]))
 
-    leaf = F.aggregate(F.sequence(F.lit(1), F.lit(model.levels)), F.lit(0), step) if model.levels else F.lit(0)
+    end = F.get(tree, F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.lit(0), step) if depth else F.lit(0))
     kind = model.nodes.schema["prediction"].dataType
-    return rows.withColumn(out_col, F.get(tree, leaf)["p"].cast(kind)).drop("_fv")
+    if depth == model.levels:
+        return rows.withColumn(out_col, end["p"].cast(kind)).drop("_fv")
+    rows = rows.withColumn("_node", end["n"])
+    inner = model.nodes.where(~F.col("is_leaf") & (F.col("depth") >= depth)).select(
+        F.col("node_id").alias("_node"), F.col("split_idx").alias("_split"), F.col("first_child").alias("_first"))
+    edges = model.edges.select(F.col("node_id").alias("_node"), F.col("value").alias("_val"), F.col("child_id").alias("_child"))
+    for _ in range(model.levels - depth):
+        rows = rows.join(inner, "_node", "left").withColumn("_val", F.get("_fv", F.col("_split"))).join(edges, ["_node", "_val"], "left")
+        rows = rows.withColumn("_node", F.coalesce("_child", "_first", "_node")).drop("_split", "_first", "_val", "_child")
+    leaves = model.nodes.select(F.col("node_id").alias("_node"), F.col("prediction").alias(out_col))
+    return rows.join(leaves, "_node", "left").drop("_node", "_fv")

@@ -145,3 +145,31 @@ def test_join_scoring_routes_unseen_and_null_values(spark, weather, prices):
     m = fit_tree(weather, ["Weather", "Temp"], "Play", "information_gain", order_by=["row_id"])
     assert [r["prediction"] for r in m.predict(probe).collect()] == ["Yes", "Yes", "No", "No"]
 
+
+
+def test_levels_below_the_flat_part_are_joined(weather, monkeypatch):
+    from sylvan.operators import tree
+
+    m = fit_tree(weather, ["Weather", "Temp"], "Play", "information_gain", order_by=["row_id"])
+    whole = [r["prediction"] for r in m.predict(weather).orderBy("row_id").collect()]
+    for flat in (0, 4, 8, 9):
+        monkeypatch.setattr(tree, "FLAT_NODES", flat)
+        scored = m.predict(weather)
+        joined = "Join" in scored._jdf.queryExecution().executedPlan().toString()
+        assert [r["prediction"] for r in scored.orderBy("row_id").collect()] == whole
+        assert joined == (flat < m.n_nodes)
+    assert m.n_nodes == 9 and m.level_sizes == [1, 3, 5]
+
+
+def test_a_level_takes_few_jobs(spark, weather):
+    tracker = spark.sparkContext.statusTracker()
+
+    def jobs(run):
+        group = f"jobs-{id(run)}"
+        spark.sparkContext.setJobGroup(group, "")
+        run()
+        spark.sparkContext.setJobGroup("none", "")
+        return len(tracker.getJobIdsForGroup(group))
+
+    one, two = (jobs(lambda d=d: fit_tree(weather, ["Weather", "Temp"], "Play", "gini", max_depth=d, order_by=["row_id"])) for d in (1, 2))
+    assert two - one <= 8  # with adaptive execution each shuffle is a job of its own
