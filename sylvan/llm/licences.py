@@ -24,7 +24,9 @@ no line end can break.  The test runs inside the scan and what follows is done
 per row: there is no shuffle and nothing grows with the number of copies.
 
 Defined results: null and empty texts have no row; each match is a row;
-repeated rows are scanned row by row.
+repeated rows are scanned row by row; of runs that begin at one piece the
+longest counts; an empty table gives no row; texts of any length are scanned
+whole; other columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -37,7 +39,6 @@ from pyspark.sql import functions as F
 
 # fixed values: sentences of public licence notices, by identifier
 SENTENCES = {
-    "CopyrightHeld": ["all rights reserved."],
     "MITname": ["the mit license", "mit license", "the mit license (mit)", "released under the mit license", "licensed under the mit license",
                 "this project is licensed under the mit license", "this software is released under the mit license",
                 "distributed under the mit license", "license: mit", "spdx-license-identifier: mit"],
@@ -63,8 +64,9 @@ SENTENCES = {
     "ApacheSee": ["see the license for the specific language governing permissions and limitations under the license"],
     "GPLname": ["this work is licensed under the gnu general public license, version #", "gnu general public license, version #",
                 "licensed under the gnu general public license, version #", "released under the gnu general public license, version #",
-                "licensed under the gpl, version #", "spdx-license-identifier: gpl-#-only", "license: gpl-#"],
-    "GPLlaterName": ["spdx-license-identifier: gpl-#-or-later"],
+                "licensed under the gpl, version #", "spdx-license-identifier: gpl-#-only", "license: gpl-#",
+                "spdx-license-identifier: gpl-#"],
+    "GPLlaterName": ["spdx-license-identifier: gpl-#-or-later", "spdx-license-identifier: gpl-#+", "license: gpl-#+"],
     "GPLfree": ["this program is free software: you can redistribute it and/or modify it under the terms of the gnu general public "
                 "license as published by the free software foundation, either version # of the license, or (at your option) any "
                 "later version"],
@@ -74,8 +76,23 @@ SENTENCES = {
                     "implied warranty of merchantability or fitness for a particular purpose"],
     "GPLsee": ["see the gnu general public license for more details"],
     "GPLreceived": ["you should have received a copy of the gnu general public license along with this program"],
-    "LGPLname": ["licensed under the gnu lesser general public license, version #", "spdx-license-identifier: lgpl-#-only"],
-    "AGPLname": ["licensed under the gnu affero general public license, version #", "spdx-license-identifier: agpl-#-only"],
+    "LGPLname": ["licensed under the gnu lesser general public license, version #", "spdx-license-identifier: lgpl-#-only",
+                 "spdx-license-identifier: lgpl-#"],
+    "LGPLlaterName": ["spdx-license-identifier: lgpl-#-or-later", "spdx-license-identifier: lgpl-#+"],
+    "AGPLname": ["licensed under the gnu affero general public license, version #", "spdx-license-identifier: agpl-#-only",
+                 "spdx-license-identifier: agpl-#"],
+    "AGPLlaterName": ["spdx-license-identifier: agpl-#-or-later", "spdx-license-identifier: agpl-#+"],
+    "MITorApache": ["spdx-license-identifier: mit or apache-#", "licensed under the mit license or the apache license, version #",
+                    "licensed under either of apache license, version # or mit license"],
+    "ApacheOrMIT": ["spdx-license-identifier: apache-# or mit"],
+    "ISCname": ["licensed under the isc license", "isc license", "released under the isc license", "spdx-license-identifier: isc"],
+    "ISCgrant": ["permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+                 "granted, provided that the above copyright notice and this permission notice appear in all copies",
+                 "permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby "
+                 "granted, provided that the above copyright notice and this permission notice appear in all copies"],
+    "BSLname": ["distributed under the boost software license, version #", "licensed under the boost software license, version #",
+                "boost software license - version #", "spdx-license-identifier: bsl-#"],
+    "UnlicenseFree": ["this is free and unencumbered software released into the public domain", "spdx-license-identifier: unlicense"],
     "BSDredist": ["redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
                   "following conditions are met"],
     "BSDsource": ["redistributions of source code must retain the above copyright notice, this list of conditions and the following "
@@ -88,11 +105,13 @@ SENTENCES = {
     "BSD2name": ["licensed under the bsd 2-clause license", "spdx-license-identifier: bsd-2-clause"],
     "MPLname": ["this source code form is subject to the terms of the mozilla public license, v. #", "spdx-license-identifier: mpl-#",
                 "licensed under the mozilla public license, version #"],
-    "CCBYNC": ["licensed under cc by-nc #", "this work is licensed under cc by-nc #",
+    "CCBYNC": ["spdx-license-identifier: cc-by-nc-#", "licensed under cc by-nc #", "this work is licensed under cc by-nc #",
                "this work is licensed under a creative commons attribution-noncommercial # international license"],
-    "CCBYSA": ["licensed under cc by-sa #", "this work is licensed under cc by-sa #",
+    "CCBYND": ["licensed under cc by-nd #", "this work is licensed under cc by-nd #", "spdx-license-identifier: cc-by-nd-#",
+               "this work is licensed under a creative commons attribution-noderivatives # international license"],
+    "CCBYSA": ["spdx-license-identifier: cc-by-sa-#", "licensed under cc by-sa #", "this work is licensed under cc by-sa #",
                "this work is licensed under a creative commons attribution-sharealike # international license"],
-    "CCBY": ["licensed under cc by #", "this work is licensed under cc by #",
+    "CCBY": ["spdx-license-identifier: cc-by-#", "licensed under cc by #", "this work is licensed under cc by #",
              "this work is licensed under a creative commons attribution # international license"],
     "CC0": ["spdx-license-identifier: cc0-#", "this work is dedicated to the public domain under cc0 #"],
 }
@@ -114,25 +133,35 @@ RULES = [
     ("GPL-#", ["GPLonly"]),
     ("GPL-#", ["GPLname"]),
     ("LGPL-#", ["LGPLname"]),
+    ("LGPL-#-or-later", ["LGPLlaterName"]),
     ("AGPL-#", ["AGPLname"]),
+    ("AGPL-#-or-later", ["AGPLlaterName"]),
+    ("MIT OR Apache-#", ["MITorApache"]),
+    ("Apache-# OR MIT", ["ApacheOrMIT"]),
+    ("ISC", ["ISCname", "ISCgrant"]),
+    ("ISC", ["ISCgrant"]),
+    ("ISC", ["ISCname"]),
+    ("BSL-#", ["BSLname"]),
+    ("Unlicense", ["UnlicenseFree"]),
     ("BSD-3-Clause", ["BSDredist", "BSDsource", "BSDbinary", "BSDendorse"]),
     ("BSD-2-Clause", ["BSDredist", "BSDsource", "BSDbinary"]),
     ("BSD-3-Clause", ["BSD3name"]),
     ("BSD-2-Clause", ["BSD2name"]),
     ("MPL-#", ["MPLname"]),
     ("CC-BY-NC-#", ["CCBYNC"]),
+    ("CC-BY-ND-#", ["CCBYND"]),
     ("CC-BY-SA-#", ["CCBYSA"]),
     ("CC-BY-#", ["CCBY"]),
     ("CC0-#", ["CC0"]),
 ]
 
 #: Every known sentence holds one of these, each within a word.
-SIGNS = ("licens", "permission", "warrant", "copyright", "redistribut", "reserved", "cc0")
+SIGNS = ("licens", "permission", "warrant", "copyright", "redistribut", "unencumbered", "cc0")
 
 PLACED = re.compile(r"\d+(?:\.\d+)*|#")
 COMMENT = re.compile(r"^[ \t]*(?:/\*+|\*+/?|//+|#+|--+|;+|%+|<!--)?[ \t]*|[ \t]*(?:\*+/|-->)?[ \t]*$", re.M)
 END = re.compile(r"[.;:!?](?=\s)|\n(?P<blank>[ \t]*\n)?")
-WORDS = re.compile(r"[a-z0-9#]+")
+WORDS = re.compile(r"[a-z0-9#]+\+?")
 
 
 def normalise(sentence: str) -> tuple[str, list[str]]:

@@ -299,8 +299,9 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
     """Write the folder described above and return its path."""
     spark = docs.sparkSession
     small_batches(spark)
-    ordered = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-               .repartitionByRange("doc_id").sortWithinPartitions("doc_id"))
+    # the number splits an id that holds many rows (or all null ids) over several ranges
+    ordered = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("at"))
+               .repartitionByRange("doc_id", "at").sortWithinPartitions("doc_id", "at").select("doc_id", "text"))
 
     names = ["part", "doc_id", "start", "n", "ids", "counts"]
 
@@ -345,7 +346,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
 
     # a task for each core adds up its partitions' counts: rows by cores, not by partitions
     (ids.select("counts").where("counts IS NOT NULL").coalesce(spark.sparkContext.defaultParallelism).mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
-     .coalesce(1).write.parquet(f"{path}/model"))
+     .write.parquet(f"{path}/model"))
     counts = _model(spark, path)
     # one row per range partition, in order: the partitions' bases
     totals = ids.where("counts IS NOT NULL").select("part", "n").collect()

@@ -395,3 +395,47 @@ def test_line_dedup_is_linear_in_lines_and_keeps_any_names(spark):
     assert time.time() - began < 90
     with pytest.raises(ValueError):
         line_dedup.drop_repeated_lines(docs.withColumn("__n_lines", F.lit(1)))
+
+
+def test_licences_that_users_meet():
+    names = lambda t: [m[0] for m in licences.match(licences.identify(t))]
+    mit = [licences.SENTENCES[k][0] for k in ("MITgrant", "MITnotice", "AsIsMIT", "LiabMIT")]
+    text = "MIT License\n\nCopyright (c) 2020 Foo\nAll rights reserved.\n\n" + ":\n\n".join(mit[:1]) + ":\n\n" + ".\n".join(mit[1:]) + "."
+    assert names(text) == ["MIT"]
+    for given, name in (("GPL-2.0", "GPL-2.0"), ("GPL-2.0+", "GPL-2.0-or-later"), ("GPL-3.0-only", "GPL-3.0"), ("LGPL-2.1+", "LGPL-2.1-or-later"),
+                        ("MIT OR Apache-2.0", "MIT OR Apache-2.0"), ("Apache-2.0 OR MIT", "Apache-2.0 OR MIT"), ("ISC", "ISC"), ("BSL-1.0", "BSL-1.0"),
+                        ("Unlicense", "Unlicense"), ("CC-BY-ND-4.0", "CC-BY-ND-4.0"), ("CC-BY-4.0", "CC-BY-4.0"), ("MIT", "MIT")):
+        assert names(f"// SPDX-License-Identifier: {given}\nint x;") == [name]
+    assert names("This is free and unencumbered software released into the public domain.") == ["Unlicense"]
+    assert names("Distributed under the Boost Software License, Version 1.0.") == ["BSL-1.0"]
+
+
+def test_rules_equal_a_search_over_names():
+    """Rules as one regular expression over the identifiers' names, tried at each position in turn."""
+    rng = random.Random(6)
+    whole = re.compile("|".join("(" + "".join(f"{k}," for k in seq) + ")" for _, seq in licences.RULES))
+    keys = sorted(licences.SENTENCES)
+    for _ in range(3000):
+        parts = [rng.choice(licences.RULES)[1][:rng.randint(1, 5)] if rng.random() < 0.6 else [rng.choice(keys)] for _ in range(rng.randint(0, 5))]
+        ids = [(k, rng.choice(["", "2.0", "3"])) for p in parts for k in p]
+        want, i = [], 0
+        while i < len(ids):
+            m = whole.match("".join(f"{k}," for k, _ in ids[i:]))
+            if m:
+                licence, seq = licences.RULES[m.lastindex - 1]
+                want.append((licence.replace("#", next((v for _, v in ids[i:i + len(seq)] if v), "")), i, len(seq)))
+            i += len(seq) if m else 1
+        assert licences.match(ids) == want
+
+
+def test_token_files_split_a_hot_id(spark):
+    docs = spark.range(0, 4000, 1, 8).selectExpr("IF(id < 3000, NULL, id) AS doc_id", "CONCAT('some words ', id % 7) AS text")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the table is small
+    try:
+        path = token_files.write_token_files(docs, scratch_path(spark, "tf"), WORD_BPE, end_id=2)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    parts = spark.read.parquet(f"{path}/ids").where("ids IS NOT NULL AND doc_id IS NULL").select("part").distinct().count()
+    assert parts > 1
+    got = sorted(token_files.read_checksums(spark, path).collect(), key=lambda r: r["start"])
+    assert [r["doc_id"] for r in got] == [None] * 3000 + list(range(3000, 4000))
