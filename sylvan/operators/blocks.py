@@ -15,6 +15,8 @@ from pyspark import RDD, StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sylvan.session import ship_package
+
 BLOCK_ROWS = 65_536
 
 
@@ -23,6 +25,7 @@ def numpy_blocks(df: DataFrame, vector: Column, extra: Column | None = None, blo
 
     Vectors of different lengths raise.  The caller persists and releases it.
     """
+    ship_package(df.sparkSession)
     rows = df.select(vector.cast("array<double>").alias("x"), (F.lit(None) if extra is None else extra).cast("double").alias("y"))
 
     def run(batches):

@@ -85,7 +85,8 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path below the shared checkpoint directory."""
+    """A fresh, unique path below the shared checkpoint directory (for a job, whose workers get the package)."""
+    ship_package(spark)
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 

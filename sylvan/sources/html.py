@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sylvan.session import ship_package
+
 # HTML void elements (never have an end tag).
 VOID_TAGS = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split())
@@ -146,6 +148,7 @@ def _element_arrays(trees: list[list[list]]) -> pa.Array:
 
 def html_trees(pages: DataFrame, html_col: str, key_cols: list[str], tags: str = "*") -> DataFrame:
     """Key columns, ``text`` and ``els`` of every page with markup, parsed where the pages lie (no shuffle)."""
+    ship_package(pages.sparkSession)
     keys = pages.select(*key_cols)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in keys.schema), TREE])
 

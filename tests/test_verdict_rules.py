@@ -51,7 +51,9 @@ def test_workers_find_the_package_from_another_folder(tmp_path):
     code = (f"import sys; sys.path.insert(0, {root!r})\n"
             "from sylvan.session import get_spark\nfrom sylvan.plans import QUERIES\n"
             "s = get_spark('local[2]', shuffle_partitions=2)\n"
+            "from sylvan.sources.html import html_trees\n"
+            "print('trees', html_trees(s.createDataFrame([(1, '<p>x</p>')], 'k long, html string'), 'html', ['k']).count())\n"
             f"print('rows', QUERIES['html_text'](s, {SF001!r}).count())")
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
-    assert "rows" in out.stdout, out.stderr[-2000:]
+    assert "rows" in out.stdout and "trees 1" in out.stdout, out.stderr[-2000:]
