@@ -52,7 +52,7 @@ from sylvan.llm.bpe import BEYOND_PLAIN, plain_pattern
 from sylvan.llm.bytelevel import Vocabulary
 from sylvan.llm.joins import stored_keys
 from sylvan.llm.workers import held
-from sylvan.session import scratch_path
+from sylvan.session import scratch_path, ship_package
 
 #: Units kept by a worker, and their characters together; beyond either the cache starts anew.
 CACHE_UNITS = 400_000
@@ -374,6 +374,7 @@ def token_groups(docs: DataFrame, a_path: str, b_path: str, links: str = "end",
     """
     if links not in LINKS:
         raise ValueError(f"links are one of {LINKS}")
+    ship_package(docs.sparkSession)
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):

@@ -37,6 +37,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sylvan.session import ship_package
+
 # fixed values: sentences of public licence notices, by identifier
 SENTENCES = {
     "MITname": ["the mit license", "mit license", "the mit license (mit)", "released under the mit license", "licensed under the mit license",
@@ -244,6 +246,7 @@ def match(ids: list[tuple[str, str]]) -> list[tuple[str, int, int]]:
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, licence, position, n_sentences, sentence_ids`` of every licence notice found."""
+    ship_package(docs.sparkSession)
     id_type = docs.schema[id_col].dataType.simpleString()
     low = F.lower(F.col(text_col))
     signed = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), low.alias("low"))

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sylvan.llm.joins import stored_keys
-from sylvan.session import scratch_path
+from sylvan.session import scratch_path, ship_package
 
 BUCKETS = 1 << 16
 DIM = 12
@@ -170,6 +170,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str = "doc
           sample_per_label: int = SAMPLE_PER_LABEL, buckets: int = BUCKETS, ngrams=NGRAMS, **options) -> EmbeddingModel:
     """Fit on a bounded sample of ``labels`` (``id_col`` and an integer ``label_col``)."""
     spark = docs.sparkSession
+    ship_package(spark)
     given = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where("id IS NOT NULL AND label IS NOT NULL")
     sizes = {r["label"]: r["n"] for r in given.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per label
     names = sorted(sizes)
