@@ -95,7 +95,7 @@ class RankIndex:
         above = (F.col("_total") - F.col("upto_s")) - F.col("q") * (F.col("_n") - F.col("upto"))
         deviation = F.when(F.col("_min") == F.col("_max"), F.lit(0.0)).otherwise(F.greatest(below + above, F.lit(0.0)))
         return self._interpolated([0.5]).select(
-            *self.keys, F.col("_n").alias("N"), F.col("q").alias("median"), deviation.alias("AD"), F.col("_min").alias("ymin"),
+            *self.keys, F.col("_n").cast("long").alias("N"), F.col("q").alias("median"), deviation.alias("AD"), F.col("_min").alias("ymin"),
             F.col("_max").alias("ymax"))
 
 
