@@ -239,10 +239,10 @@ def _verifier(threshold: float, tolerance: float):
     return verify
 
 
-def deal(groups: DataFrame, buckets: DataFrame, block: int, path: str) -> DataFrame:
+def deal(groups: DataFrame, bands: DataFrame, block: int, path: str) -> DataFrame:
     """``node, unit, by_bucket, block, blocks``: the units of each candidate group ``node, root``.
 
-    ``buckets`` are the memberships ``node, bucket, n`` of buckets of ``n`` > 1 classes.
+    ``bands`` has each node's buckets as an array (a node may stand in several rows).
     """
     spark = groups.sparkSession
     groups.groupBy("root").agg(F.count(F.lit(1)).alias("size")).withColumn("blocks", F.ceil(F.col("size") / block).cast("int")).write.parquet(f"{path}/sizes")
@@ -253,8 +253,14 @@ def deal(groups: DataFrame, buckets: DataFrame, block: int, path: str) -> DataFr
     large = sizes.where("blocks > 1")
     if large.isEmpty():
         return whole.drop("root")
-    n_blocks = F.ceil(F.col("n") / block).cast("int")
-    inside = buckets.join(groups.join(large, "root"), "node").select("node", "root", "size", "bucket", n_blocks.alias("n_blocks"), "blocks")
+    # buckets of the large groups' members only; all members of a bucket are of one group
+    groups.join(large, "root").write.parquet(f"{path}/large")
+    members = spark.read.parquet(f"{path}/large")
+    (bands.join(stored_keys(members.select("node"), f"{path}/large-keys"), "node").select("node", F.explode("bands").alias("bucket"))
+     .distinct().write.parquet(f"{path}/met"))
+    met = spark.read.schema("node long, bucket long").parquet(f"{path}/met")
+    shared = met.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("n_blocks"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    inside = met.join(shared, "bucket").join(members, "node").select("node", "root", "size", "bucket", "n_blocks", "blocks")
     inside.write.parquet(f"{path}/inside")
     inside = spark.read.parquet(f"{path}/inside")
     # copies of members: one per bucket and its blocks, against one per block of the whole group
@@ -293,7 +299,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     hubs = (banded.groupBy("bucket").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1"))
     met = banded.join(hubs.select("bucket", "hub"), "bucket").where("node <> hub").select(F.col("node").alias("u"), F.col("hub").alias("v"))
     groups = components(met, f"{path}/groups")
-    deal(groups, banded.join(hubs.select("bucket", "n"), "bucket"), block, path).write.parquet(f"{path}/dealt")
+    deal(groups, signed.where("node IS NOT NULL").select("node", "bands"), block, path).write.parquet(f"{path}/dealt")
     dealt = spark.read.schema("node long, unit long, by_bucket boolean, block int, blocks int").parquet(f"{path}/dealt")
 
     # the representatives' texts, once each, then a row per unit of work

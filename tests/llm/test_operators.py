@@ -160,9 +160,9 @@ def test_near_duplicates_equal_brute_force(spark, texts, monkeypatch):
 def test_a_chain_is_dealt_by_its_buckets(spark):
     n = 2000  # a group of 2,000 in buckets of 3, and one of 200 in one bucket
     groups = spark.createDataFrame([(i, 0) for i in range(n)] + [(10_000 + i, 10_000) for i in range(200)], "node long, root long")
-    buckets = spark.createDataFrame([(i + k, i, 3) for i in range(n - 2) for k in range(3)] + [(10_000 + i, 77_777, 200) for i in range(200)],
-                                    "node long, bucket long, n long")
-    dealt = near_dups.deal(groups, buckets, 16, scratch_path(spark, "deal"))
+    bands = spark.createDataFrame([(i, [b for b in (i - 2, i - 1, i) if 0 <= b < n - 2]) for i in range(n)]
+                                  + [(10_000 + i, [77_777, 90_000 + i]) for i in range(200)] + [(0, [0])], "node long, bands array<long>")
+    dealt = near_dups.deal(groups, bands, 16, scratch_path(spark, "deal"))
     copies = {r["by_bucket"]: (r["rows"], r["copies"]) for r in dealt.groupBy("by_bucket").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("blocks").alias("copies")).collect()}
     assert copies[True][1] <= 3 * n + 200 * 13  # linear in the chain, where whole groups would need 2,000 x 125 copies
