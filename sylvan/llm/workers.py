@@ -10,21 +10,10 @@ import gc
 
 import pyarrow as pa
 
-from sylvan.session import ship_package
+from sylvan.session import BATCH_ROWS, small_batches  # noqa: F401 - used by the operators
 
 _HELD: dict = {}
 
-#: Rows of whole texts that travel to a worker at a time (Spark's default is 10,000).
-BATCH_ROWS = 1000
-
-
-def small_batches(spark) -> None:
-    """Keep batches of whole texts small in the JVM and the worker, unless the session says otherwise."""
-    ship_package(spark)
-    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(setting) == "10000":
-        spark.conf.set(setting, str(BATCH_ROWS))
-
 
 def held(operator: str, key, make):
     if any(k[0] != operator for k in _HELD):

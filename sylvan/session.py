@@ -59,6 +59,18 @@ def ship_package(spark: SparkSession) -> None:
     sc.addPyFile(archive)
 
 
+#: Rows of whole texts that travel to a worker at a time (Spark's default is 10,000).
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Keep batches of whole texts small in the JVM and the worker, unless the session says otherwise."""
+    ship_package(spark)
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(setting) == "10000":
+        spark.conf.set(setting, str(BATCH_ROWS))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Return the shared checkpoint directory, configuring it from the session.
 

@@ -2,8 +2,10 @@
 
 import random
 
+import pyarrow as pa
 
 from sylvan.operators import html_extract as H
+from sylvan.sources import html as source
 from sylvan.sources.html import NAMES, element_table, parse_tree
 
 
@@ -63,6 +65,32 @@ def test_tree_is_linear_in_the_page_at_any_depth():
     assert els[1][NAMES.index("end_ord")] == n + 1
 
 
+PARTS = ["<p>", "</p>", '<P class="a b">', "<br/>", "</div >", "<div id='x'>", "text", "a & b", "&amp;", "&notit;", "<title>T</title>", "<title>",
+         '<script>var a="<p>x</p>";</script>', "<script>", "</script>", "<SCRIPT>a</SCRIPT>", "<style>b<c</style>", "<!-- c -->", "<!--", "-->",
+         "<!DOCTYPE html>", "<!x>", '<a href="x&amp;y" title="&#35;1">', "<a href=x>", "</a>", "<", ">", '"', "\n", "é€", "<li hidden class=\"z\" class=\"w\">",
+         "<textarea><b></textarea>", "\0", '<p\tq="1"\n>', '<p a="1"b="2">', "<![CDATA[x]]>", "<?pi?>", "<plaintext>"]
+
+
+def test_plain_pages_give_the_library_parsers_tree():
+    rng, plain = random.Random(1), 0
+    for _ in range(20_000):
+        html = "".join(rng.choice(PARTS) for _ in range(rng.randrange(9)))
+        wanted = rng.choice([None, frozenset(["p", "a"]), frozenset(["#document"])])
+        found, library = source._plain_tree(html, wanted), source._TreeBuilder(wanted)
+        library.feed(html)
+        assert found is None or found == library.done(), html
+        plain += found is not None
+    assert plain > 2_000 and source._plain_tree(PAGE, None) is not None
+
+
+def test_trees_are_built_for_a_bounded_share_of_a_batch():
+    page = "<p>" + "x" * 9_997
+    runs = source._slices(pa.array([page] * 500 + ["y" * 10**6, ""] + [page] * 20))
+    assert [a for a, _ in runs] == [0, *(a + n for a, n in runs[:-1])] and sum(n for _, n in runs) == 522
+    assert all(n <= source.SLICE_BYTES // 10_000 + 1 for _, n in runs)
+    assert source._slices(pa.array([], pa.string())) == []
+
+
 PAGE = ('<html><head><script type="application/ld+json">{"height": "181cm", "nationality": "X"}</script></head>'
         '<body><div class="attribute"><p>Skill moves <svg class="star"></svg><svg class="star"/></p>'
         '<p>Weak foot <svg class="star"></svg></p></div>'
@@ -113,3 +141,15 @@ def test_first_rows_of_nested_and_repeated_tables(spark):
     bare = H.parse_pages(spark.createDataFrame([(1, "<table class='x y'></table>")], "k long, html string"), ["k"])
     r = H.table_inventory(bare, ["k"]).first()
     assert (r["table_class"], r["n_rows"], r["n_cols"], r["first_cells"]) == ("x y", None, None, None)
+
+
+def test_a_pages_batches_are_small_and_queries_build_what_they_read(spark, monkeypatch):
+    from sylvan.plans import QUERIES, html_queries
+    from .conftest import SF001
+
+    asked, parse = [], H.parse_pages
+    monkeypatch.setattr(html_queries.H, "parse_pages", lambda *a, **k: asked.append(k["tags"]) or parse(*a, **k))
+    for name in ("html_star_count", "html_positions_div", "html_work_rate", "regex_work_rate_page"):
+        assert QUERIES[name](spark, SF001).count() == 200
+    assert asked == ["div,p,svg", "div", "li,div,p", "#document"]
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1000
