@@ -221,8 +221,8 @@ def work_rate_field() -> Column:
     def side(short, long):
         # what is looked for is first tested on the whole page: most elements need no text then
         page = F.col("text").cast("string")
-        hit = F.filter(candidates, lambda e: (text_of(e).contains(short) | text_of(e).contains(long)) & text_of(e).rlike(_RATE))
-        found = F.initcap(F.lower(F.regexp_extract(text_of(last(hit)), _RATE, 1)))
+        hits = F.filter(F.transform(candidates, text_of), lambda t: (t.contains(short) | t.contains(long)) & t.rlike(_RATE))
+        found = F.initcap(F.lower(F.regexp_extract(last(hits), _RATE, 1)))
         return F.when(page.contains(short) | page.contains(long), found)
 
     att, dfn = side("Att. Work Rate", "Attacking Work Rate"), side("Def. Work Rate", "Defensive Work Rate")

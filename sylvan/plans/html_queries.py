@@ -57,8 +57,8 @@ def list_pages(spark, sf):
 _BAD_PAGES_SQL = f"SELECT DISTINCT CAST(c_custkey // {ROWS_PER_PAGE} AS BIGINT) FROM customer WHERE c_acctbal < -990"
 
 
-def _list_els(spark, sf):
-    return H.parse_pages(list_pages(spark, sf), ["page_no"], tags="table,tbody,tr,td,th,a")
+def _list_els(spark, sf, tags="table,tbody,tr,td,th,a"):
+    return H.parse_pages(list_pages(spark, sf), ["page_no"], tags=tags)
 
 
 @register("html_table_rows",
@@ -113,7 +113,7 @@ def prefix_until_bad(spark, sf):
           f"SELECT CAST(c_custkey // {ROWS_PER_PAGE} AS BIGINT) AS page_no, 6 AS t_ord, 'table' AS table_class, "
           f"count(*) + 3 AS n_rows, CAST(1 AS BIGINT) AS n_cols, 'Name' AS first_cells FROM customer GROUP BY 1")
 def html_table_inventory(spark, sf):
-    inv = H.table_inventory(_list_els(spark, sf), ["page_no"])
+    inv = H.table_inventory(_list_els(spark, sf, "table,tr,td,th"), ["page_no"])
     return inv.withColumn("first_cells", F.array_join("first_cells", "|"))
 
 
@@ -166,8 +166,9 @@ def detail_pages(spark, sf):
 DETAIL_TAGS = "script,div,p,span,em,svg,li"
 
 
-def _detail_els(spark, sf):
-    return H.parse_pages(detail_pages(spark, sf), ["p_partkey"], tags=DETAIL_TAGS)
+def _detail_els(spark, sf, tags=DETAIL_TAGS):
+    """The detail pages' trees, with the elements that the extraction looks at."""
+    return H.parse_pages(detail_pages(spark, sf), ["p_partkey"], tags=tags)
 
 
 _CODES_SQL = "[" + ", ".join(f"'{c}'" for c in _CODES) + "]"
@@ -177,14 +178,14 @@ _CODES_SQL = "[" + ", ".join(f"'{c}'" for c in _CODES) + "]"
           "SELECT p_partkey, CAST(p_size % 5 + 1 AS BIGINT) AS skill_moves, CAST(p_partkey % 5 + 1 AS BIGINT) AS weak_foot "
           "FROM part")
 def html_star_count(spark, sf):
-    return H.star_counts(_detail_els(spark, sf), ["p_partkey"])
+    return H.star_counts(_detail_els(spark, sf, "div,p,svg"), ["p_partkey"])
 
 
 @register("html_stats",
           "SELECT p_partkey, 'Agility' AS stat, p_size + 41 AS value FROM part UNION ALL "
           "SELECT p_partkey, 'FK_Accuracy', CAST(p_partkey % 50 + 30 AS INTEGER) FROM part")
 def html_stats(spark, sf):
-    return H.stats(_detail_els(spark, sf), ["p_partkey"])
+    return H.stats(_detail_els(spark, sf, "div,p,span,em"), ["p_partkey"])
 
 
 _DIV_POS_SQL = (
@@ -198,7 +199,7 @@ _DIV_POS_SQL = (
 
 @register("html_positions_div", _DIV_POS_SQL)
 def html_positions_div(spark, sf):
-    return H.positions_div(_detail_els(spark, sf), ["p_partkey"])
+    return H.positions_div(_detail_els(spark, sf, "div"), ["p_partkey"])
 
 
 _RATE_SQL = "['Low', 'Medium', 'High']"
@@ -211,7 +212,7 @@ _WORK_RATE_SQL = (
 
 @register("html_work_rate", f"SELECT p_partkey, {_WORK_RATE_SQL} AS work_rate FROM part")
 def html_work_rate(spark, sf):
-    return H.work_rate(_detail_els(spark, sf), ["p_partkey"])
+    return H.work_rate(_detail_els(spark, sf, "li,div,p"), ["p_partkey"])
 
 
 @register("player_details",
@@ -235,7 +236,7 @@ def player_details(spark, sf):
           "SELECT p_partkey, ['low', 'MEDIUM', 'High'][p_partkey % 3 + 1] || '/' || "
           "['High', 'low', 'medium'][p_partkey % 3 + 1] AS work_rate_page FROM part")
 def regex_work_rate_page(spark, sf):
-    return H.page_text_fields(_detail_els(spark, sf), ["p_partkey"]).select("p_partkey", "work_rate_page")
+    return H.page_text_fields(_detail_els(spark, sf, "#document"), ["p_partkey"]).select("p_partkey", "work_rate_page")
 
 
 # --------------------------------------------------------------------------- enrichment pages
