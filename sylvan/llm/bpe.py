@@ -17,6 +17,7 @@ by row; special strings inside a text become their own ids, as in the library.
 from __future__ import annotations
 
 import heapq
+import json
 import re
 import unicodedata
 from array import array
@@ -69,10 +70,18 @@ class _Known(dict):
         return ids
 
 
+def _pre_tokenizer(path: str):
+    """The library's pre-tokeniser of a vocabulary file, without a second copy of the vocabulary in memory."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    light = {k: spec.get(k) for k in ("version", "normalizer", "pre_tokenizer")}
+    return Tokenizer.from_str(json.dumps(light | {"added_tokens": [], "model": {"type": "BPE", "vocab": {}, "merges": []}})).pre_tokenizer
+
+
 class RankArrayEncoder:
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         self.vocab = Vocabulary(path)
-        self.pre_tokenizer = Tokenizer.from_file(path).pre_tokenizer
+        self.pre_tokenizer = _pre_tokenizer(path)
         self.cache_words = cache_words
         self.known = _Known(self, {})
         specials = sorted(self.vocab.special, key=len, reverse=True)
@@ -143,8 +152,8 @@ class RankArrayEncoder:
 class Decoder:
     """Bytes of ids by one gather; invalid UTF-8 becomes replacement characters, as in the library."""
 
-    def __init__(self, path: str):
-        v = Vocabulary(path)
+    def __init__(self, path: str, vocab: Vocabulary | None = None):
+        v = vocab or Vocabulary(path)
         table = v.bytes_of | {i: s.encode() for s, i in v.special.items()}
         size = max(table) + 1
         self.table = [table.get(i, b"") for i in range(size)]
@@ -157,23 +166,40 @@ def _worker(kind, path: str):
     return held("bpe", (kind, path), lambda: kind(path))
 
 
+def _round_tripper(path: str):
+    """Encoder and decoder of one worker; they share the vocabulary."""
+    enc = RankArrayEncoder(path)
+    return enc, Decoder(path, enc.vocab)
+
+
+def _encode_batch(enc: RankArrayEncoder, texts: pa.Array) -> pa.ListArray:
+    ids = [enc.encode(t.as_py() or "") for t in texts]
+    offsets = np.zeros(len(ids) + 1, np.int32)
+    np.cumsum([len(x) // 4 for x in ids], out=offsets[1:])
+    return pa.ListArray.from_arrays(offsets, np.frombuffer(b"".join(ids), np.int32))
+
+
+def _decode_batch(dec: Decoder, arrays: pa.Array) -> pa.Array:
+    values, at = arrays.values.to_numpy(zero_copy_only=False), arrays.offsets.to_numpy()
+    return pa.array([None if null else dec.decode(values[a:b].tolist())
+                     for null, a, b in zip(arrays.is_null().to_pylist(), at, at[1:])], pa.string())
+
+
+def _id_and_text(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
+    small_batches(docs.sparkSession)
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), docs.schema[id_col].dataType.simpleString()
+
+
 def encode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, ids``: the token ids (``array<int>``) of each row's whole text."""
-    id_type = docs.schema[id_col].dataType.simpleString()
-    small_batches(docs.sparkSession)
+    rows, id_type = _id_and_text(docs, id_col, text_col)
 
     def run(batches):
         enc = _worker(RankArrayEncoder, tokenizer_path)
         for batch in batches:
-            ids = [enc.encode(t.as_py() or "") for t in batch.column(1)]
-            offsets = np.zeros(len(ids) + 1, np.int32)
-            np.cumsum([len(x) // 4 for x in ids], out=offsets[1:])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.ListArray.from_arrays(offsets, np.frombuffer(b"".join(ids), np.int32))],
-                names=["doc_id", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), _encode_batch(enc, batch.column(1))], names=["doc_id", "ids"])
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"doc_id {id_type}, ids array<int>")
+    return rows.mapInArrow(run, f"doc_id {id_type}, ids array<int>")
 
 
 def decode(ids: Column, tokenizer_path: str) -> Column:
@@ -181,17 +207,31 @@ def decode(ids: Column, tokenizer_path: str) -> Column:
 
     @F.arrow_udf("string")
     def bpe_decode(arrays: pa.Array) -> pa.Array:
-        dec = _worker(Decoder, tokenizer_path)
-        values, at = arrays.values.to_numpy(zero_copy_only=False), arrays.offsets.to_numpy()
-        return pa.array([None if null else dec.decode(values[a:b].tolist())
-                         for null, a, b in zip(arrays.is_null().to_pylist(), at, at[1:])], pa.string())
+        return _decode_batch(_worker(Decoder, tokenizer_path), arrays)
 
     return bpe_decode(ids)
 
 
+def encode_decode(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, ids, decoded``: the ids of each row's whole text and the text decoded from these ids.
+
+    As ``encode`` and ``decode`` one after the other, but one worker of a task does both: two
+    Python functions in one stage run in two processes, each with a vocabulary of its own.
+    """
+    rows, id_type = _id_and_text(docs, id_col, text_col)
+
+    def run(batches):
+        enc, dec = _worker(_round_tripper, tokenizer_path)
+        for batch in batches:
+            ids = _encode_batch(enc, batch.column(1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), ids, _decode_batch(dec, ids)], names=["doc_id", "ids", "decoded"])
+
+    return rows.mapInArrow(run, f"doc_id {id_type}, ids array<int>, decoded string")
+
+
 def round_trip(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: the id, token count, and SHA-256 of the ids and of the text decoded from them."""
-    return encode(docs, tokenizer_path, id_col, text_col).select(
+    return encode_decode(docs, tokenizer_path, id_col, text_col).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2(decode(F.col("ids"), tokenizer_path), 256).alias("decoded_sha256"))
+        F.sha2("decoded", 256).alias("decoded_sha256"))

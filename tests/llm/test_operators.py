@@ -72,6 +72,19 @@ def test_bpe_round_trip_equals_the_library(spark, odd, texts):
     assert np.frombuffer(bpe.RankArrayEncoder(BYTE_BPE).encode(long), "<u4").tolist() == tok.encode(long).ids
 
 
+def test_bpe_round_trip_takes_one_python_worker_a_task(spark, odd):
+    plan = bpe.round_trip(odd, BYTE_BPE)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") + plan.count("ArrowEvalPython") == 1  # two would hold the vocabulary twice, in two processes
+    apart = bpe.encode(odd, BYTE_BPE)
+    want = apart.select("doc_id", "ids", bpe.decode(F.col("ids"), BYTE_BPE)).collect()
+    assert by_id(bpe.encode_decode(odd, BYTE_BPE).collect()) == by_id(want)
+
+
+def test_bpe_pre_tokeniser_is_the_library_s():
+    own, library = bpe._pre_tokenizer(BYTE_BPE), Tokenizer.from_file(BYTE_BPE).pre_tokenizer
+    assert all(own.pre_tokenize_str(t) == library.pre_tokenize_str(t) for t in ODD if t)
+
+
 def test_token_files_hold_every_id_in_order(spark, odd, texts):
     tok = Tokenizer.from_file(WORD_BPE)
     for docs, rows, block in ((odd, [(r["doc_id"], r["text"]) for r in odd.collect()], 50),
