@@ -18,20 +18,24 @@ from __future__ import annotations
 
 import math
 import pickle
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sylvan.operators.joins import broadcast_if_small, materialize_small
-from sylvan.session import cut_lineage
+from sylvan.operators.joins import BROADCAST_MAX_ROWS, broadcast_if_small, materialize_small
+from sylvan.session import cut_lineage, ship_package
 
 MAX_VALUES_PER_TASK = 1_000_000
-MAX_ROWS_PER_TASK = 1_000_000
+#: Nodes of more rows are split by the distributed search.
+MAX_ROWS_PER_TASK = 250_000
+#: Bins of a feature in that search.
+MAX_BINS = 4096
+#: Tasks that finish the smaller nodes.
+MAX_TASKS = 1000
 
 
 def grow(x: np.ndarray, y: np.ndarray, k: int, max_depth: int | None = None) -> dict[str, np.ndarray]:
@@ -112,41 +116,39 @@ def descend(tree: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
 
 @dataclass
 class CartModel:
-    """Splits of the large nodes by level, leaves among them, and the trees that one task each has finished."""
+    """The tree of the large nodes (``upper``: its ends hold node numbers), the values of its leaves, and the trees of its
+    other ends, each finished by one task.  ``levels``: how many levels were split by the distributed search."""
 
     features: list[str]
     classes: list | None
     class_type: T.DataType | None
-    levels: list[tuple[DataFrame, int]]
-    leaves: tuple[DataFrame, int]
+    levels: int
+    upper: dict[str, np.ndarray]
+    leaves: dict[int, float]
     trees: DataFrame
 
     def predict(self, df: DataFrame) -> DataFrame:
         """``df`` with ``prediction``."""
         _reject_missing(df, self.features)
-        rows = df.select(F.struct("*").alias("row"), _vector(self.features).alias("_x"), F.lit("").alias("_node"))
-        for splits, n in self.levels:
-            rows = _descend_level(rows, splits, n, "left")
-        rows = cut_lineage(rows)
+        rows = df.select(F.struct("*").alias("row"), _vector(self.features).alias("_x"))
+        rows = cut_lineage(_at_ends(rows, self.upper, len(self.features)))
         limit = MAX_ROWS_PER_TASK
         counts, n_counts = materialize_small(rows.groupBy("_node").agg(F.ceil(F.count("*") / limit).alias("_parts")))
         parts = broadcast_if_small(counts, n_counts)
-        of_tree = rows.join(self.trees.select("_node"), "_node", "left_semi").join(parts, "_node").withColumn(
-            "_part", F.monotonically_increasing_id() % F.col("_parts")).drop("_parts")
+        of_tree = rows.join(parts, "_node").withColumn("_part", F.monotonically_increasing_id() % F.col("_parts")).drop("_parts")
         trees = self.trees.join(parts, "_node").withColumn(
             "_part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_parts") - 1))).drop("_parts")
         schema = T.StructType([T.StructField("row", df.schema), T.StructField("_value", T.DoubleType())])
-        width = len(self.features)
+        width, leaves = len(self.features), self.leaves
 
         def apply(rows, trees):
-            x = rows["_x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-            values = descend(pickle.loads(trees["tree"][0].as_py()), x) if len(x) else np.zeros(0)
+            if len(rows) and (node := rows["_node"][0].as_py()) in leaves:
+                return pa.table({"row": rows["row"], "_value": pa.array(np.full(len(rows), leaves[node]), pa.float64())})
+            values = descend(pickle.loads(trees["tree"][0].as_py()), _matrix(rows["_x"], width)) if len(rows) else np.zeros(0)
             return pa.table({"row": rows["row"], "_value": pa.array(values, pa.float64())})
 
         by = ("_node", "_part")
-        finished = of_tree.groupBy(*by).cogroup(trees.groupBy(*by)).applyInArrow(apply, schema)
-        leaves, n_leaves = self.leaves
-        out = finished.unionByName(rows.join(broadcast_if_small(leaves, n_leaves), "_node").select("row", "_value"))
+        out = of_tree.groupBy(*by).cogroup(trees.groupBy(*by)).applyInArrow(apply, schema)
         value = F.col("_value")
         if self.classes is not None:
             value = F.element_at(F.array(*[F.lit(c).cast(self.class_type) for c in self.classes]), value.cast("int") + 1)
@@ -157,6 +159,24 @@ def _vector(features: list[str]):
     return F.array(*[F.col(f).cast("double") for f in features])
 
 
+def _matrix(x, width: int) -> np.ndarray:
+    """An Arrow column of vectors as rows."""
+    x = x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x
+    return x.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+
+
+def _at_ends(rows: DataFrame, upper: dict[str, np.ndarray], width: int) -> DataFrame:
+    """``rows`` with ``_node``, the end of ``upper`` that each row falls to."""
+    ship_package(rows.sparkSession)
+
+    def walk(batches):
+        for b in batches:
+            node = descend(upper, _matrix(b.column("_x"), width)).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(node)], names=[*b.schema.names, "_node"])
+
+    return rows.mapInArrow(walk, T.StructType([*rows.schema.fields, T.StructField("_node", T.IntegerType())]))
+
+
 def _reject_missing(df: DataFrame, features: list[str], label: str | None = None) -> int:
     """The number of rows; raises when a feature is null or NaN or a label null."""
     bad = F.lit(False) if label is None else F.col(label).isNull()
@@ -168,16 +188,11 @@ def _reject_missing(df: DataFrame, features: list[str], label: str | None = None
     return n
 
 
-def _descend_level(rows: DataFrame, splits: DataFrame, n: int, how: str) -> DataFrame:
-    below = F.concat("_node", F.when(F.element_at("_x", F.col("_f") + 1) <= F.col("_t"), "l").otherwise("r"))
-    return rows.join(broadcast_if_small(splits, n), "_node", how).withColumn(
-        "_node", F.when(F.col("_f").isNull(), F.col("_node")).otherwise(below)).drop("_f", "_t")
-
-
 def fit_cart(df: DataFrame, features: list[str], label: str, criterion: str = "gini",
              max_depth: int | None = None) -> CartModel:
     """The exact tree: ``gini`` for classes, ``squared_error`` for numbers."""
-    if not _reject_missing(df, features, label):
+    n = _reject_missing(df, features, label)
+    if not n:
         raise ValueError("cannot fit a tree on an empty table")
     classes, class_type, k = None, None, 0
     if criterion == "gini":
@@ -188,52 +203,205 @@ def fit_cart(df: DataFrame, features: list[str], label: str, criterion: str = "g
         y = F.col(label).cast("double")
     else:
         raise ValueError(f"unknown criterion {criterion!r}")
-    rows = cut_lineage(df.select(F.lit("").alias("_node"), _vector(features).alias("_x"), y.alias("_y")))
-    limit = MAX_ROWS_PER_TASK
-    # a class's count in each node; the leaf value is the first class with the largest
-    counted = [F.count_if(F.col("_y") == i) for i in range(k)]
-    value = F.array_position(F.array(*counted), F.array_max(F.array(*counted))).cast("double") - 1 if k else F.avg("_y")
-    levels, leaves, tasks, depth = [], [], [], 0
-    while True:
-        nodes, n_nodes = materialize_small(rows.groupBy("_node").agg(
-            F.count("*").alias("_n"), (F.min("_y") == F.max("_y")).alias("_pure"), F.min("_y").alias("_lo"), value.alias("_mean")))
-        ends = F.lit(True) if depth == max_depth else F.col("_pure")
-        nodes = nodes.select("_node", F.when(F.col("_pure"), F.col("_lo")).otherwise(F.col("_mean")).alias("_value"),
-                             F.when(ends, "leaf").when(F.col("_n") <= limit, "task").otherwise("split").alias("_kind"))
-        kinds = {r[0] for r in nodes.select("_kind").distinct().collect()}
-        leaves.append(nodes.where("_kind = 'leaf'").select("_node", "_value"))
-        kinded = rows.join(broadcast_if_small(nodes.select("_node", "_kind"), n_nodes), "_node")
-        if "task" in kinds:
-            tasks.append(kinded.where("_kind = 'task'").select("_node", "_x", "_y"))
-        if "split" not in kinds:
-            break
-        large = kinded.where("_kind = 'split'").select("_node", "_x", "_y")
-        long = large.select("_node", F.posexplode("_x").alias("_f", "x"), "_y")
-        splits, n_splits = materialize_small(_candidates(long, ["_node", "_f"], "_y", range(k) if k else None).groupBy("_node").agg(
-            F.max_by(F.struct("_f", F.col("threshold").alias("_t")), F.struct("_rank", -F.col("_f"), -F.col("threshold"))).alias("b"))
-            .select("_node", "b.*"))
-        # large nodes whose features are all equal
-        leaves.append(nodes.where("_kind = 'split'").join(broadcast_if_small(splits, n_splits), "_node", "left_anti")
-                      .select("_node", "_value"))
-        levels.append((splits, n_splits))
-        rows, depth = cut_lineage(_descend_level(large, splits, n_splits, "inner")), depth + 1
-        if not n_splits:
-            break
-    all_leaves = leaves[0]
-    for more in leaves[1:]:
-        all_leaves = all_leaves.unionByName(more)
-    schema, width = "_node string, tree binary", len(features)
-
-    def finish(group: pd.DataFrame) -> pd.DataFrame:
-        node, x = group["_node"].iloc[0], np.concatenate(group["_x"].to_numpy()).reshape(-1, width)
-        rest = None if max_depth is None else max_depth - len(node)
-        return pd.DataFrame({"_node": [node], "tree": [pickle.dumps(grow(x, group["_y"].to_numpy(), k, rest))]})
-
-    all_tasks = tasks[0] if tasks else rows.where("false").select("_node", "_x", "_y")
-    for more in tasks[1:]:
-        all_tasks = all_tasks.unionByName(more)
-    trees = cut_lineage(all_tasks.groupBy("_node").applyInPandas(finish, schema))
-    return CartModel(features, classes, class_type, levels, materialize_small(all_leaves), trees)
+    width, limit = len(features), MAX_ROWS_PER_TASK
+    rows = cut_lineage(df.select(_vector(features).alias("_x"), y.alias("_y")))
+    names = ("feature", "threshold", "left")
+    upper, leaves, sizes, depth = {name: [-1] for name in names}, {}, {0: n}, 0
+    live = [_Node(0, n, 0.0 if k else rows.agg(F.avg("_y")).first()[0])] if n > limit else []
+    table, table_rows = (_binned(rows, width), n) if live else (None, 0)
+    while live:
+        ends, splits = _level(table, live, width, k, depth == max_depth)
+        leaves.update(ends)
+        kept = []
+        for node in live:
+            if node.id not in splits:
+                continue
+            f, t, left = splits[node.id]
+            at = len(upper["left"])
+            upper["feature"][node.id], upper["threshold"][node.id], upper["left"][node.id] = f, t, at
+            for name in names:
+                upper[name] += [-1, -1]
+            children = [node.child(at, left, f, t, True), node.child(at + 1, left, f, t, False)]
+            sizes.update({c.id: c.n for c in children})
+            kept += [c for c in children if c.n > limit]
+        live, depth = kept, depth + 1
+        held = sum(node.n for node in live)
+        # once half of the rows have left the large nodes the rest is written anew, so a level costs what its rows cost
+        if live and (held <= table_rows / 2 or len(live) > 8 + 2 * len({node.root for node in live})):
+            table, table_rows = cut_lineage(table.withColumn("_node", _at_boxes(live)).where("_node IS NOT NULL")), held
+            live = [_Node(node.id, node.n, node.mean, node.id) for node in live]
+    arrays = {name: np.array(v) for name, v in upper.items()} | {"value": np.arange(len(upper["left"]))}
+    arrays["threshold"] = arrays["threshold"].astype(float)
+
+    def finish(group: pa.Table) -> pa.Table:
+        y = group["_y"].to_numpy()
+        tree = grow(_matrix(group["_x"], width), y, k, None if max_depth is None else max_depth - depths[group["_node"][0].as_py()])
+        return pa.table({"_node": group["_node"][:1], "tree": pa.array([pickle.dumps(tree)], pa.binary())})
+
+    depths = np.zeros(len(arrays["left"]), int)
+    for i in np.flatnonzero(arrays["feature"] >= 0):  # children follow their parents
+        depths[arrays["left"][i]:arrays["left"][i] + 2] = depths[i] + 1
+    n_tasks = sum(arrays["feature"] < 0) - len(leaves)
+    of_tasks = _at_ends(rows, arrays, width)
+    if leaves:
+        of_tasks = of_tasks.where(~F.col("_node").isin(list(leaves)))
+    of_tasks = of_tasks.repartition(int(min(max(n_tasks, 1), MAX_TASKS)), "_node")
+    trees = cut_lineage(of_tasks.groupBy("_node").applyInArrow(finish, "_node int, tree binary"))
+    return CartModel(features, classes, class_type, depth, arrays, leaves, trees)
+
+
+@dataclass
+class _Node:
+    """A large node: its rows, the mean that squared errors are taken from, and its bounds since the table was last written,
+    ``lo < x <= hi`` by feature, below the node ``root`` named there."""
+
+    id: int
+    n: int
+    mean: float = 0.0
+    root: int = 0
+    box: dict[int, tuple[float | None, float | None]] = field(default_factory=dict)
+
+    def child(self, at: int, left: list, f: int, t: float, is_left: bool) -> _Node:
+        """``left``: the rows left of the split, and for squared error the sums on both sides."""
+        lo, hi = self.box.get(f, (None, None))
+        n = left[0] if is_left else self.n - left[0]
+        mean = self.mean + (left[1] if is_left else left[2]) / n
+        return _Node(at, n, mean, self.root, {**self.box, f: (lo, t) if is_left else (t, hi)})
+
+    def holds(self) -> Column:
+        own = F.col("_node") == self.root
+        for f, (lo, hi) in self.box.items():
+            x = F.element_at("_x", f + 1)
+            own = own if lo is None else own & (x > lo)
+            own = own if hi is None else own & (x <= hi)
+        return own
+
+
+def _by_node(live: list[_Node], column: Column, values: dict[int, Column]) -> Column:
+    """The value of the node that ``column`` names."""
+    out = F
+    for node in live:
+        if node.id in values:
+            out = out.when(column == node.id, values[node.id])
+    return F.lit(None).cast("double") if out is F else out
+
+
+def _at_boxes(live: list[_Node]) -> Column:
+    """The large node that a row of the table belongs to, null for rows that have left them."""
+    out = F
+    for node in live:
+        out = out.when(node.holds(), F.lit(node.id))
+    return out
+
+
+def _binned(rows: DataFrame, width: int) -> DataFrame:
+    """``rows`` with ``_node`` 0 and the bin of each feature: the number of its cut points below the value."""
+    probs = [i / MAX_BINS for i in range(1, MAX_BINS)]
+    cuts = rows.agg(*[F.percentile_approx(F.element_at("_x", j + 1), probs, 4 * MAX_BINS) for j in range(width)]).first()
+    cuts = [np.unique(c) for c in cuts]
+
+    def find(batches):
+        for b in batches:
+            x = _matrix(b.column("_x"), width)
+            bins = np.column_stack([np.searchsorted(c, x[:, j], side="left") for j, c in enumerate(cuts)]).astype(np.int32)
+            bins = pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * width), pa.array(bins.ravel()))
+            yield pa.RecordBatch.from_arrays([*b.columns, bins], names=[*b.schema.names, "_b"])
+
+    ship_package(rows.sparkSession)
+    schema = T.StructType([*rows.schema.fields, T.StructField("_b", T.ArrayType(T.IntegerType()))])
+    return cut_lineage(rows.mapInArrow(find, schema).withColumn("_node", F.lit(0)))
+
+
+def _level(table: DataFrame, live: list[_Node], width: int, k: int, last: bool) -> tuple[dict, dict]:
+    """The exact best split of every large node: leaves (node: value) and splits (node: feature, threshold, left sums).
+
+    Class counts (or sums) of a feature's bins give the gain at every bin's end and a bound of the gains within it.  Only
+    bins of several values whose bound reaches the best gain are then searched value by value, so the rows are not sorted.
+
+    With D the sums left of a threshold less their share of the node's, n times the gain is D^2 n / (nl nr), over all
+    classes; within a bin each D stays between what the bin's rows can add and take away.
+    """
+    pairs = F.arrays_zip(F.col("_b").alias("b"), F.col("_x").alias("x"))
+    long = table.withColumn("_node", _at_boxes(live)).where("_node IS NOT NULL")
+    mean = F.lit(0.0) if k else _by_node(live, F.col("_node"), {node.id: F.lit(node.mean) for node in live})
+    long = long.select("_node", "_y", (F.col("_y") - mean).alias("_d"), F.posexplode(pairs).alias("_f", "_p")).select(
+        "_node", "_f", "_p.b", "_p.x", "_y", "_d")
+    own = [F.count_if(F.col("_y") == i).cast("double") for i in range(k)] or [F.sum("_d")]
+    sums = [F.count("*").cast("double").alias("_c"), *[c.alias(f"_c{i}") for i, c in enumerate(own)]]
+    m, span = len(own), Window.partitionBy("_node", "_f")
+    cols = ["_c", *[f"_c{i}" for i in range(m)]]
+    more = [] if k else [F.sum(F.greatest("_d", F.lit(0.0))).alias("_up"), F.sum(F.col("_d") * F.col("_d")).alias("_q")]
+    bins = long.groupBy("_node", "_f", "b").agg(*sums, *more, F.min("x").alias("_lo"), F.max("x").alias("_hi"),
+                                               F.min("_y").alias("_ylo"), F.max("_y").alias("_yhi"))
+    at = span.orderBy("b")
+    run = at.rowsBetween(Window.unboundedPreceding, 0)
+    bins = bins.select("*", F.lead("_lo").over(at).alias("_next"), *[F.sum(c).over(run).alias("_l" + c[2:]) for c in cols],
+                       *[F.sum(c).over(span).alias("_t" + c[2:]) for c in cols],
+                       *([] if k else [F.sum("_q").over(span).alias("_tq")]))
+    n, nl = F.col("_t"), F.col("_l")
+    pick = [(F.col(f"_l{i}"), F.col(f"_t{i}")) for i in range(m)]
+    scale = F.lit(1.0) if k else F.col("_tq") / n - (F.col("_t0") / n) * (F.col("_t0") / n)
+
+    def rank(nl: Column) -> Column:
+        nr = n - nl
+        parts = (sum((c * c for c, _ in pick), F.lit(0.0)) / nl + sum(((t - c) * (t - c) for c, t in pick), F.lit(0.0)) / nr
+                 - sum((t * t for _, t in pick), F.lit(0.0)) / n) / n
+        return F.when(scale > 0, F.round(parts / scale, 12) + 0.0).otherwise(F.lit(0.0))
+
+    most = F.lit(0.0)
+    first, final = nl - F.col("_c") + 1, nl - 1
+    for i, (c, t) in enumerate(pick):
+        share = t / n
+        start = c - F.col(f"_c{i}") - (nl - F.col("_c")) * share
+        if k:
+            low = start - share * (F.col("_c") - F.col(f"_c{i}"))
+            high = start + (1 - share) * F.col(f"_c{i}")
+        else:
+            low = start + F.col("_c0") - F.col("_up") - F.greatest(share * F.col("_c"), F.lit(0.0))
+            high = start + F.col("_up") - F.least(share * F.col("_c"), F.lit(0.0))
+        most = most + F.greatest(low * low, high * high)
+    bound = F.when(scale > 0, most / F.least(first * (n - first), final * (n - final)) / scale).otherwise(F.lit(0.0))
+    middle = (F.col("_hi") + F.col("_next")) / 2
+    keep = ["_node", "_f", "b", "_c", "_next", *[f"_l{c[2:]}" for c in cols], *[f"_t{c[2:]}" for c in cols], *cols[1:]]
+    bins = cut_lineage(bins.select(
+        *keep, *([] if k else ["_tq"]), "_ylo", "_yhi", F.when(F.col("_lo") < F.col("_hi"), bound).alias("_bound"),
+        F.when(F.col("_next").isNotNull(), rank(nl)).alias("_rank"),
+        F.when(middle < F.col("_next"), middle).otherwise(F.col("_hi")).alias("_cut")))
+    left = F.array(nl, *([] if k else [F.col("_l0"), F.col("_t0") - F.col("_l0")]))
+
+    def best(of: DataFrame, *others: Column) -> dict:
+        found = F.max(F.when(F.col("_rank").isNotNull(), F.struct("_rank", -F.col("_f"), -F.col("_cut"), left)))
+        return {r[0]: r[1:] for r in of.groupBy("_node").agg(found, *others).collect()}
+
+    totals = F.max(F.array(*[F.col("_t" + c[2:]) for c in cols]))
+    whole = best(bins, totals, F.min("_ylo"), F.max("_yhi"))
+    ends, tops = {}, {}
+    for node in live:
+        top, total, lo, hi = whole[node.id]
+        value = float(np.argmax(total[1:])) if k else node.mean + total[1] / total[0]
+        ends[node.id] = lo if lo == hi else value
+        if lo != hi and not last:
+            tops[node.id] = top
+    least = _by_node(live, F.col("_node"), {i: F.lit(float("-inf") if t is None else t[0] - 1e-11) for i, t in tops.items()})
+    keys, known = ["_node", "_f", "b"], [*["_t" + c[2:] for c in cols], *([] if k else ["_tq"])]
+    marked = bins.where(F.col("_bound") >= least).select(
+        *keys, *known, *[(F.col("_l" + c[2:]) - F.col(c)).alias("_s" + c[2:]) for c in cols])
+    n_marked = len(live) * width * MAX_BINS  # at most; they are counted only where that is too many
+    if n_marked > BROADCAST_MAX_ROWS:
+        n_marked = marked.count()
+    if tops and n_marked:
+        starts = ["_s" + c[2:] for c in cols]
+        values = long.join(broadcast_if_small(marked, n_marked), keys).groupBy(*keys, *known, *starts, "x").agg(*sums)
+        at = Window.partitionBy(*keys).orderBy("x")
+        run = at.rowsBetween(Window.unboundedPreceding, 0)
+        values = values.select(*keys, *known, "x", F.lead("x").over(at).alias("_next"),
+                               *[(F.col("_s" + c[2:]) + F.sum(c).over(run)).alias("_l" + c[2:]) for c in cols]).where("_next IS NOT NULL")
+        middle = (F.col("x") + F.col("_next")) / 2
+        values = values.select("*", rank(nl).alias("_rank"), F.when(middle < F.col("_next"), middle).otherwise(F.col("x")).alias("_cut"))
+        for i, (found,) in best(values).items():
+            tops[i] = max(filter(None, (tops[i], found)), key=lambda r: r[:3])
+    splits = {i: (-t[1], -t[2], [int(t[3][0]), *(t[3][1:] or [0.0, 0.0])]) for i, t in tops.items() if t is not None}
+    return {i: v for i, v in ends.items() if i not in splits}, splits
 
 
 def cart_classify(df: DataFrame, features: list[str], label: str, max_depth: int | None = None) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sylvan.operators import cart
 from sylvan.plans import QUERIES
+from sylvan.session import cut_lineage
 from sylvan.sources.tables import table
 
 from .conftest import SF001
@@ -63,6 +64,32 @@ def test_exact_trees(spark, monkeypatch, per_task, gini, depth):
     assert all(got[i] == (want(x) if gini else pytest.approx(want(x), abs=1e-12)) for i, x in enumerate(points))
 
 
+@pytest.mark.parametrize("gini", [True, False])
+def test_bins_of_several_values_are_searched_exactly(spark, monkeypatch, gini):
+    monkeypatch.setattr(cart, "MAX_ROWS_PER_TASK", 12)
+    monkeypatch.setattr(cart, "MAX_BINS", 4)
+    rows, _ = _data(70, gini)
+    df = spark.createDataFrame([(*map(float, x), y) for x, y in rows], f"a double, b double, c double, y {'string' if gini else 'double'}")
+    model = cart.fit_cart(df, ["a", "b", "c"], "y", "gini" if gini else "squared_error")
+    want = _brute(rows, gini)
+    assert model.levels > 1
+    assert all(r["prediction"] == (want((r["a"], r["b"], r["c"])) if gini else pytest.approx(want((r["a"], r["b"], r["c"])), abs=1e-12))
+               for r in model.predict(df).collect())
+
+
+def test_levels_of_large_nodes_write_no_rows_and_add_no_joins(spark, monkeypatch):
+    monkeypatch.setattr(cart, "MAX_ROWS_PER_TASK", 30)
+    written = []
+    monkeypatch.setattr(cart, "cut_lineage", lambda df: written.append(df.columns) or cut_lineage(df))
+    # every label is a run of its own at the low end, so each level cuts a thin end off
+    df = spark.createDataFrame([(float(i), 2.0 ** max(0, 8 - i)) for i in range(40)], "x double, y double")
+    model = cart.fit_cart(df, ["x"], "y", "squared_error")
+    assert model.levels > 4
+    assert sum("_x" in columns for columns in written) == 2  # the rows, and the rows with their bins
+    assert model.predict(df)._jdf.queryExecution().analyzed().toString().count("Join") <= 2
+    assert [r["prediction"] == r["y"] for r in model.predict(df).collect()] == [True] * 40
+
+
 @pytest.mark.parametrize("gini", [True, False])
 @pytest.mark.parametrize("per_task", [1_000_000, 7])
 def test_best_threshold_split(spark, monkeypatch, gini, per_task):
