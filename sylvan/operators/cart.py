@@ -16,18 +16,26 @@ raise, an empty table too.
 
 from __future__ import annotations
 
+import base64
 import math
+import os
 import pickle
+import time
+import uuid
+import zlib
 from dataclasses import dataclass, field
+from urllib.parse import unquote, urlparse
 
 import numpy as np
 import pyarrow as pa
+from pyspark import BarrierTaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sylvan.operators.cart_search import split_large
 from sylvan.operators.joins import BROADCAST_MAX_ROWS, broadcast_if_small, materialize_small
-from sylvan.session import cut_lineage, ship_package
+from sylvan.session import cut_lineage, scratch_path, ship_package
 
 MAX_VALUES_PER_TASK = 1_000_000
 #: Nodes of more rows are split by the distributed search.
@@ -36,46 +44,96 @@ MAX_ROWS_PER_TASK = 250_000
 MAX_BINS = 4096
 #: Tasks that finish the smaller nodes.
 MAX_TASKS = 1000
+#: A task splits its nodes of more rows one at a time, by bins as the large ones, and all others of a level at once.
+LARGE_IN_TASK = 16_384
+#: Rows that a task of the search of large class nodes holds at most, and their classes.
+MAX_ROWS_HELD = 20_000_000
+MAX_CLASSES_HELD = 16
+
+
+def grow(x: np.ndarray, y: np.ndarray, k: int, max_depth: int | None = None, node: np.ndarray | None = None,
+         depths: np.ndarray | None = None) -> dict[str, np.ndarray]:
+    """The exact trees of one task's rows: feature (-1 in leaves), threshold, left (the right child follows it) and value by node.
+    ``k`` classes, or 0 for squared error.  ``node``: the tree of each row, its root's number from 0 (the default: one tree),
+    and ``depths``: how deep the roots are."""
+    node = np.zeros(len(y), np.int64) if node is None else node
+    depths = np.zeros(1, np.int64) if depths is None else depths
+    sizes, roots = np.bincount(node, minlength=len(depths)), len(depths)
+    large = np.flatnonzero(sizes > LARGE_IN_TASK) if k else []
+    names = ("feature", "threshold", "left", "value")
+    if not len(large):
+        return dict(zip(names, _grow_levels(x, y, k, max_depth, node, depths)))
+    # the top of large trees, whose ends are the roots of what is grown level by level
+    top = {name: [np.full(roots, -1)] for name in names}
+    n_top, parts, part_depths, own = roots, node.copy(), depths.tolist(), list(range(roots))
+    for r in large:
+        rows = np.flatnonzero(node == r)
+        left_depth = None if max_depth is None else max_depth - depths[r]
+        tree, _, ends, _, _ = split_large([x[rows, j] for j in range(x.shape[1])], y[rows].astype(np.int64), k, LARGE_IN_TASK, 256, left_depth)
+        at = np.r_[r, np.arange(n_top, n_top + len(tree["left"]) - 1)]  # the number of each of its nodes
+        left = np.array(tree["left"])
+        for name, v in (("feature", np.array(tree["feature"])), ("threshold", np.array(tree["threshold"])),
+                        ("left", np.where(left < 0, -1, at[left])), ("value", np.zeros(len(left)))):
+            top[name][0] = top[name][0].astype(v.dtype)
+            top[name][0][r] = v[0]
+            top[name].append(v[1:])
+        parts[rows] = at[ends]
+        n_top += len(left) - 1
+        part_depths += [depths[r] + d for d in tree["depth"][1:]]
+    ends, parts = np.unique(parts, return_inverse=True)
+    rest = _grow_levels(x, y, k, max_depth, parts, np.array(part_depths)[ends])
+    out = {}
+    for name, v in zip(names, rest):
+        if name == "left":
+            v = np.where(v < 0, -1, v + n_top - len(ends))
+        out[name] = np.concatenate([*top[name], v[len(ends):]])
+        out[name][ends] = v[:len(ends)]
+    return out
 
 
-def grow(x: np.ndarray, y: np.ndarray, k: int, max_depth: int | None = None) -> dict[str, np.ndarray]:
-    """The exact tree of one task's rows, all nodes of a level at once: feature (-1 in leaves), threshold,
-    left (the right child follows it) and value by node.  ``k`` classes, or 0 for squared error."""
+def _grow_levels(x: np.ndarray, y: np.ndarray, k: int, max_depth: int | None, node: np.ndarray, depths: np.ndarray) -> list[np.ndarray]:
+    """``grow``, all nodes of a level at once."""
     feature, threshold, left, value = [], [], [], []
-    node, first, depth = np.zeros(len(y), np.int64), 0, 0
-    orders = [np.argsort(x[:, j], kind="stable") for j in range(x.shape[1])]
-    while len(orders[0]):
-        by_node = [o[np.argsort(node[o], kind="stable")] for o in orders]
-        at = node[by_node[0]]
-        starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-        seg = np.cumsum(np.r_[False, at[1:] != at[:-1]])
-        n = np.diff(np.r_[starts, len(at)]).astype(float)
-        m, ys = len(starts), y[by_node[0]]
-        lo, hi = np.minimum.reduceat(ys, starts), np.maximum.reduceat(ys, starts)
-        stats = np.zeros((len(y), max(k, 1)))
+    first, orders, columns = 0, [], [np.ascontiguousarray(x[:, j]) for j in range(x.shape[1])]
+    for c in columns:
+        o = np.argsort(c, kind="stable")
+        orders.append(o if len(depths) == 1 else o[np.argsort(node[o], kind="stable")])
+    sizes, y = np.bincount(node, minlength=len(depths)), y.astype(np.int16 if k < 1 << 15 else np.int64) if k else y
+    is_left, stats = np.zeros(len(y), bool), np.zeros(0 if k else len(y))
+    while len(sizes):
+        m, stops = len(sizes), np.cumsum(sizes)
+        starts, seg, n = stops - sizes, np.repeat(np.arange(m), sizes), sizes.astype(float)
+        ys = y[orders[0]]
         if k:
-            stats[np.arange(len(y)), y.astype(np.int64)] = 1.0
-            total = np.add.reduceat(stats[by_node[0]], starts, axis=0)
-            out, scale = total.argmax(axis=1).astype(float), np.ones(m)
-            parent = (total * total).sum(axis=1)
+            total = np.bincount(seg * k + ys, minlength=m * k).reshape(m, k).astype(float)
+            out, scale, parent = total.argmax(axis=1).astype(float), np.ones(m), (total * total).sum(axis=1)
+            several = (total > 0).sum(axis=1) > 1
         else:
+            lo, hi = np.minimum.reduceat(ys, starts), np.maximum.reduceat(ys, starts)
             mean = lo + np.add.reduceat(ys - lo[seg], starts) / n
-            out = np.where(lo == hi, lo, mean)
-            stats[by_node[0], 0] = ys - mean[seg]
-            scale = np.add.reduceat(stats[by_node[0], 0] ** 2, starts) / n
-            total, parent = np.add.reduceat(stats[by_node[0]], starts, axis=0), np.zeros(m)
+            out, several = np.where(lo == hi, lo, mean), lo != hi
+            stats[orders[0]] = own = ys - mean[seg]
+            scale, total, parent = np.add.reduceat(own ** 2, starts) / n, np.add.reduceat(own, starts)[:, None], np.zeros(m)
+        if max_depth is not None:
+            several &= depths < max_depth
         best, chosen, cut = np.full(m, -np.inf), np.full(m, -1), np.zeros(m)
-        for j, o in enumerate(by_node if max_depth is None or depth < max_depth else []):
-            xs, sums = x[o, j], np.cumsum(stats[o], axis=0)
-            i = np.flatnonzero((seg[1:] == seg[:-1]) & (xs[1:] != xs[:-1]) & (lo != hi)[seg[:-1]])
+        inner = several[seg]
+        inner = inner[1:] & (seg[1:] == seg[:-1])
+        for j, o in enumerate(orders if inner.any() else []):
+            xs = columns[j][o]
+            i = np.flatnonzero((xs[1:] != xs[:-1]) & inner)
             if not len(i):
                 continue
             g = seg[i]
-            base = np.where((starts > 0)[:, None], sums[starts - 1], 0.0)
-            sl = sums[i] - base[g]
-            sr, nl = total[g] - sl, i - starts[g] + 1.0
-            nr = n[g] - nl
-            gain = ((sl * sl).sum(axis=1) / nl + (sr * sr).sum(axis=1) / nr - parent[g] / n[g]) / n[g]
+            nl = i - starts[g] + 1.0
+            nr, of = n[g] - nl, y[o] if k else stats[o]
+            sl2 = sr2 = 0.0
+            for c in range(max(k, 1)):
+                sums = np.cumsum(of == c, dtype=np.int64) if k else np.cumsum(of)
+                sl = (sums[i] - np.where(starts > 0, sums[starts - 1], 0)[g]).astype(float)
+                sr = total[g, c] - sl
+                sl2, sr2 = sl2 + sl * sl, sr2 + sr * sr
+            gain = (sl2 / nl + sr2 / nr - parent[g] / n[g]) / n[g]
             r = np.round(gain / scale[g], 12)
             heads = np.flatnonzero(np.r_[True, g[1:] != g[:-1]])
             top = np.full(m, -np.inf)
@@ -92,21 +150,28 @@ def grow(x: np.ndarray, y: np.ndarray, k: int, max_depth: int | None = None) ->
         child = first + m + 2 * (np.cumsum(split) - 1)
         feature.append(chosen), threshold.append(cut), value.append(out)
         left.append(np.where(split, child, -1))
-        o = by_node[0][split[seg]]
-        own = node[o] - first
-        node[o] = child[own] + ~(x[o, chosen[own]] <= cut[own])
-        goes = np.zeros(len(y), bool)
-        goes[o] = True
-        place = np.cumsum(goes) - 1
-        orders, first, depth = [place[b[goes[b]]] for b in by_node], first + m, depth + 1
-        x, y, node = x[goes], y[goes], node[goes]
-    names = ("feature", "threshold", "left", "value")
-    return {name: np.concatenate(v) for name, v in zip(names, (feature, threshold, left, value))}
-
-
-def descend(tree: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
-    """The value of each row's leaf."""
-    node, live = np.zeros(len(x), np.int64), np.arange(len(x))
+        stays = split[seg]
+        own, o = (np.cumsum(split) - 1)[seg[stays]], orders[0][stays]
+        at, by = chosen[split], cut[split]
+        is_left[o] = x[o, at[own]] <= by[own]
+        n_left, size = np.bincount(own, weights=is_left[o], minlength=len(at)).astype(np.int64), sizes[split]
+        # each node's rows keep their order, those of its left child first
+        start, before = np.cumsum(size) - size, np.cumsum(n_left) - n_left
+        to_left, to_right = (start - before - 1)[own], (n_left + before)[own] + np.arange(len(own))
+        for j, o in enumerate(orders):
+            o = o[stays]
+            goes = is_left[o]
+            lefts = np.cumsum(goes)
+            orders[j] = np.empty_like(o)
+            orders[j][np.where(goes, to_left + lefts, to_right - lefts)] = o
+        sizes = np.column_stack([n_left, size - n_left]).ravel()
+        first, depths = first + m, np.repeat(depths[split] + 1, 2)
+    return [np.concatenate(v) for v in (feature, threshold, left, value)]
+
+
+def descend(tree: dict[str, np.ndarray], x: np.ndarray, node: np.ndarray | None = None) -> np.ndarray:
+    """The value of each row's leaf.  ``node``: where the rows begin (the default: the first node)."""
+    node, live = np.zeros(len(x), np.int64) if node is None else node, np.arange(len(x))
     while len(live):
         live = live[tree["feature"][node[live]] >= 0]
         at = node[live]
@@ -117,7 +182,7 @@ def descend(tree: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
 @dataclass
 class CartModel:
     """The tree of the large nodes (``upper``: its ends hold node numbers), the values of its leaves, and the trees of its
-    other ends, each finished by one task.  ``levels``: how many levels were split by the distributed search."""
+    other ends, those of a bucket grown by one task.  ``levels``: how many levels were split by the distributed search."""
 
     features: list[str]
     classes: list | None
@@ -125,29 +190,34 @@ class CartModel:
     levels: int
     upper: dict[str, np.ndarray]
     leaves: dict[int, float]
+    buckets: np.ndarray
     trees: DataFrame
 
     def predict(self, df: DataFrame) -> DataFrame:
         """``df`` with ``prediction``."""
         _reject_missing(df, self.features)
         rows = df.select(F.struct("*").alias("row"), _vector(self.features).alias("_x"))
-        rows = cut_lineage(_at_ends(rows, self.upper, len(self.features)))
+        rows = cut_lineage(_at_ends(rows, self.upper, len(self.features), self.buckets))
         limit = MAX_ROWS_PER_TASK
-        counts, n_counts = materialize_small(rows.groupBy("_node").agg(F.ceil(F.count("*") / limit).alias("_parts")))
+        counts, n_counts = materialize_small(rows.groupBy("_bucket").agg(F.ceil(F.count("*") / limit).alias("_parts")))
         parts = broadcast_if_small(counts, n_counts)
-        of_tree = rows.join(parts, "_node").withColumn("_part", F.monotonically_increasing_id() % F.col("_parts")).drop("_parts")
-        trees = self.trees.join(parts, "_node").withColumn(
+        of_tree = rows.join(parts, "_bucket").withColumn("_part", F.monotonically_increasing_id() % F.col("_parts")).drop("_parts")
+        trees = self.trees.join(parts, "_bucket").withColumn(
             "_part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_parts") - 1))).drop("_parts")
         schema = T.StructType([T.StructField("row", df.schema), T.StructField("_value", T.DoubleType())])
         width, leaves = len(self.features), self.leaves
 
         def apply(rows, trees):
-            if len(rows) and (node := rows["_node"][0].as_py()) in leaves:
-                return pa.table({"row": rows["row"], "_value": pa.array(np.full(len(rows), leaves[node]), pa.float64())})
-            values = descend(pickle.loads(trees["tree"][0].as_py()), _matrix(rows["_x"], width)) if len(rows) else np.zeros(0)
+            if not len(rows):
+                values = np.zeros(0)
+            elif (bucket := rows["_bucket"][0].as_py()) < 0:
+                values = np.full(len(rows), leaves[~bucket])
+            else:
+                ends, tree = pickle.loads(trees["tree"][0].as_py())
+                values = descend(tree, _matrix(rows["_x"], width), np.searchsorted(ends, rows["_node"].to_numpy()))
             return pa.table({"row": rows["row"], "_value": pa.array(values, pa.float64())})
 
-        by = ("_node", "_part")
+        by = ("_bucket", "_part")
         out = of_tree.groupBy(*by).cogroup(trees.groupBy(*by)).applyInArrow(apply, schema)
         value = F.col("_value")
         if self.classes is not None:
@@ -165,16 +235,30 @@ def _matrix(x, width: int) -> np.ndarray:
     return x.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
 
 
-def _at_ends(rows: DataFrame, upper: dict[str, np.ndarray], width: int) -> DataFrame:
-    """``rows`` with ``_node``, the end of ``upper`` that each row falls to."""
+def _at_ends(rows: DataFrame, upper: dict[str, np.ndarray], width: int, buckets: np.ndarray) -> DataFrame:
+    """``rows`` with ``_node``, the end of ``upper`` that each row falls to, and its ``_bucket``."""
     ship_package(rows.sparkSession)
 
     def walk(batches):
         for b in batches:
             node = descend(upper, _matrix(b.column("_x"), width)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(node)], names=[*b.schema.names, "_node"])
-
-    return rows.mapInArrow(walk, T.StructType([*rows.schema.fields, T.StructField("_node", T.IntegerType())]))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(node), pa.array(buckets[node])], names=[*b.schema.names, "_node", "_bucket"])
+
+    added = [T.StructField("_node", T.IntegerType()), T.StructField("_bucket", T.IntegerType())]
+    return rows.mapInArrow(walk, T.StructType([*rows.schema.fields, *added]))
+
+
+def _buckets(tree: dict, leaves: dict[int, float], limit: int) -> np.ndarray:
+    """The bucket of each end: as many as ``limit`` rows allow share one; a leaf, which needs no task, has ``~number``."""
+    out, bucket, held = np.full(len(tree["left"]), -1, np.int32), 0, 0
+    for end, (feature, n) in enumerate(zip(tree["feature"], tree["n"])):
+        if end in leaves:
+            out[end] = ~end
+        elif feature < 0:
+            if held and held + n > limit:
+                bucket, held = bucket + 1, 0
+            out[end], held = bucket, held + n
+    return out
 
 
 def _reject_missing(df: DataFrame, features: list[str], label: str | None = None) -> int:
@@ -205,8 +289,131 @@ def fit_cart(df: DataFrame, features: list[str], label: str, criterion: str = "g
         raise ValueError(f"unknown criterion {criterion!r}")
     width, limit = len(features), MAX_ROWS_PER_TASK
     rows = cut_lineage(df.select(_vector(features).alias("_x"), y.alias("_y")))
+    slots = _slots(rows.sparkSession) if 0 < k <= MAX_CLASSES_HELD and n > limit else 0
+    if slots and n <= slots * MAX_ROWS_HELD:
+        of_tasks, tree, leaves, depth = _search_held(rows, width, k, min(slots, math.ceil(n / limit)), max_depth)
+    else:
+        of_tasks, (tree, leaves, depth) = None, _search_levels(rows, n, width, k, max_depth)
+    arrays = {name: np.array(tree[name]) for name in ("feature", "threshold", "left")} | {"value": np.arange(len(tree["left"]))}
+    arrays["threshold"] = arrays["threshold"].astype(float)
+    depths = np.zeros(len(arrays["left"]), int)
+    for i in np.flatnonzero(arrays["feature"] >= 0):  # children follow their parents
+        depths[arrays["left"][i]:arrays["left"][i] + 2] = depths[i] + 1
+    buckets = _buckets(tree, leaves, limit)
+
+    def finish(group: pa.Table) -> pa.Table:
+        y = group["_y"].to_numpy()
+        ends, node = np.unique(group["_node"].to_numpy(), return_inverse=True)
+        tree = grow(_matrix(group["_x"], width), y, k, max_depth, node, depths[ends])
+        return pa.table({"_bucket": group["_bucket"][:1], "tree": pa.array([pickle.dumps((ends, tree))], pa.binary())})
+
+    if of_tasks is None:
+        of_tasks = _at_ends(rows, arrays, width, buckets)
+        if leaves:
+            of_tasks = of_tasks.where("_bucket >= 0")
+    of_tasks = of_tasks.repartition(int(min(max(buckets.max() + 1, 1), MAX_TASKS)), "_bucket")
+    trees = cut_lineage(of_tasks.groupBy("_bucket").applyInArrow(finish, "_bucket int, tree binary"))
+    return CartModel(features, classes, class_type, depth, arrays, leaves, buckets, trees)
+
+
+def _slots(spark) -> int:
+    """How many tasks can run at the same time, 0 where that may change."""
+    sc = spark.sparkContext
+    if sc.getConf().get("spark.dynamicAllocation.enabled", "false").lower() == "true":
+        return 0
+    jsc = sc._jsc.sc()
+    return jsc.maxNumConcurrentTasks(jsc.resourceProfileManager().defaultResourceProfile())
+
+
+class _Gather:
+    """Gives each task of a barrier stage the parts of all, by partition.  Files in ``folder`` carry them where all tasks see them there
+    (some milliseconds); Spark's own gathering, which waits a second each time, where not."""
+
+    def __init__(self, folder: str | None):
+        self.task, own = BarrierTaskContext.get(), uuid.uuid4().hex
+        self.me, self.paths = self.task.partitionId(), None
+        if folder is None:
+            return
+        try:
+            os.makedirs(folder, exist_ok=True)
+            open(os.path.join(folder, own), "xb").close()
+        except OSError:
+            own = ""
+        names = self.task.allGather(own)
+        seen = all(name and os.path.exists(os.path.join(folder, name)) for name in names)
+        if all(said == "y" for said in self.task.allGather("y" if seen else "n")):
+            self.paths, self.read = [os.path.join(folder, name) for name in names], [0] * len(names)
+
+    def __call__(self, part) -> list:
+        own = zlib.compress(pickle.dumps(part, 5), 1)
+        if self.paths is None:
+            return [pickle.loads(zlib.decompress(base64.b64decode(m))) for m in self.task.allGather(base64.b64encode(own).decode())]
+        with open(self.paths[self.me], "ab") as f:
+            f.write(len(own).to_bytes(8, "big") + own)
+        return [part if i == self.me else pickle.loads(zlib.decompress(self._next(i))) for i in range(len(self.paths))]
+
+    def _next(self, i: int) -> bytes:
+        """What another task wrote next.  A task that waits for one that failed is ended by Spark with its stage."""
+        wait = 0.0005
+        while True:
+            with open(self.paths[i], "rb") as f:  # opened anew, so that a network file system looks again
+                f.seek(self.read[i])
+                size = int.from_bytes(head, "big") if len(head := f.read(8)) == 8 else None
+                if size is not None and len(body := f.read(size)) == size:
+                    self.read[i] += 8 + size
+                    return body
+            time.sleep(wait)
+            wait = min(2 * wait, 0.02)
+
+
+def _search_held(rows: DataFrame, width: int, k: int, slots: int, max_depth: int | None) -> tuple[DataFrame, dict, dict, int]:
+    """The tree of large class nodes by tasks that hold the rows and run together: the rows of ends that are no leaves with their
+    ``_node`` and ``_bucket``, the tree, its leaves and its levels."""
+    ship_package(rows.sparkSession)
+    limit, max_bins = MAX_ROWS_PER_TASK, MAX_BINS
+    shared = urlparse(scratch_path(rows.sparkSession, "cart-parts"))
+    folder = unquote(shared.path) if shared.scheme in ("", "file") else None
+    schema = T.StructType([T.StructField("_x", T.ArrayType(T.DoubleType())), T.StructField("_y", T.DoubleType()),
+                           T.StructField("_node", T.IntegerType()), T.StructField("_bucket", T.IntegerType()),
+                           T.StructField("_tree", T.BinaryType())])
+
+    def batch(x, y, node, bucket, tree=None):
+        vectors = pa.ListArray.from_arrays(pa.array(np.arange(len(y) + 1, dtype=np.int32) * (x.size // len(y))), pa.array(x.ravel()))
+        return pa.RecordBatch.from_arrays([vectors, *map(pa.array, (y.astype(float), node, bucket)), pa.array([tree] * len(y), pa.binary())],
+                                          names=schema.names)
+
+    def search(batches):
+        xs, ys = [[np.zeros(0)] for _ in range(width)], [np.zeros(0, np.int8)]
+        for b in batches:
+            m = _matrix(b.column("_x"), width)
+            for j in range(width):
+                xs[j].append(m[:, j].copy())
+            ys.append(b.column("_y").to_numpy(zero_copy_only=False).astype(np.int8))
+        x, y = [np.concatenate(xs.pop(0)) for _ in range(width)], np.concatenate(ys)
+        tree, leaves, node, depth, features = split_large(x, y, k, limit, max_bins, max_depth, _Gather(folder))
+        bucket = _buckets(tree, leaves, limit)[node]
+        if BarrierTaskContext.get().partitionId() == 0:
+            none = np.full(1, -1, np.int32)
+            yield batch(np.zeros(0), np.zeros(1), none, none, pickle.dumps((tree, leaves, depth)))
+        stays = np.flatnonzero(bucket >= 0)
+        for i in range(0, len(stays), 1 << 16):
+            at = stays[i:i + (1 << 16)]
+            yield batch(np.column_stack([f.values(at) for f in features]), y[at], node[at], bucket[at])
+
+    spread = rows.withColumn("_id", F.monotonically_increasing_id()).repartition(slots, "_id").drop("_id")
+    # not a checkpoint: what reads one counts as a barrier stage, too
+    path = scratch_path(rows.sparkSession, "cart-ends")
+    spread.mapInArrow(search, schema, barrier=True).write.parquet(path)
+    out = rows.sparkSession.read.schema(schema).parquet(path)
+    tree, leaves, depth = pickle.loads(out.where("_tree IS NOT NULL").select("_tree").first()[0])
+    return out.where("_bucket >= 0").drop("_tree"), tree, leaves, depth
+
+
+def _search_levels(rows: DataFrame, n: int, width: int, k: int, max_depth: int | None) -> tuple[dict, dict, int]:
+    """The tree of large nodes by queries over the stored rows, its leaves and its levels."""
+    limit = MAX_ROWS_PER_TASK
     names = ("feature", "threshold", "left")
-    upper, leaves, sizes, depth = {name: [-1] for name in names}, {}, {0: n}, 0
+    upper, leaves, depth = {name: [-1] for name in names} | {"n": [n]}, {}, 0
     live = [_Node(0, n, 0.0 if k else rows.agg(F.avg("_y")).first()[0])] if n > limit else []
     table, table_rows = (_binned(rows, width), n) if live else (None, 0)
     while live:
@@ -222,7 +429,7 @@ def fit_cart(df: DataFrame, features: list[str], label: str, criterion: str = "g
             for name in names:
                 upper[name] += [-1, -1]
             children = [node.child(at, left, f, t, True), node.child(at + 1, left, f, t, False)]
-            sizes.update({c.id: c.n for c in children})
+            upper["n"] += [c.n for c in children]
             kept += [c for c in children if c.n > limit]
         live, depth = kept, depth + 1
         held = sum(node.n for node in live)
@@ -230,24 +437,7 @@ def fit_cart(df: DataFrame, features: list[str], label: str, criterion: str = "g
         if live and (held <= table_rows / 2 or len(live) > 8 + 2 * len({node.root for node in live})):
             table, table_rows = cut_lineage(table.withColumn("_node", _at_boxes(live)).where("_node IS NOT NULL")), held
             live = [_Node(node.id, node.n, node.mean, node.id) for node in live]
-    arrays = {name: np.array(v) for name, v in upper.items()} | {"value": np.arange(len(upper["left"]))}
-    arrays["threshold"] = arrays["threshold"].astype(float)
-
-    def finish(group: pa.Table) -> pa.Table:
-        y = group["_y"].to_numpy()
-        tree = grow(_matrix(group["_x"], width), y, k, None if max_depth is None else max_depth - depths[group["_node"][0].as_py()])
-        return pa.table({"_node": group["_node"][:1], "tree": pa.array([pickle.dumps(tree)], pa.binary())})
-
-    depths = np.zeros(len(arrays["left"]), int)
-    for i in np.flatnonzero(arrays["feature"] >= 0):  # children follow their parents
-        depths[arrays["left"][i]:arrays["left"][i] + 2] = depths[i] + 1
-    n_tasks = sum(arrays["feature"] < 0) - len(leaves)
-    of_tasks = _at_ends(rows, arrays, width)
-    if leaves:
-        of_tasks = of_tasks.where(~F.col("_node").isin(list(leaves)))
-    of_tasks = of_tasks.repartition(int(min(max(n_tasks, 1), MAX_TASKS)), "_node")
-    trees = cut_lineage(of_tasks.groupBy("_node").applyInArrow(finish, "_node int, tree binary"))
-    return CartModel(features, classes, class_type, depth, arrays, leaves, trees)
+    return upper, leaves, depth
 
 
 @dataclass

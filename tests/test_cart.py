@@ -1,12 +1,15 @@
 """Threshold trees (M12-M14) against a brute-force tree, in one task and split level by level."""
 
 import random
+import threading
 from fractions import Fraction
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from sylvan.operators import cart
+from sylvan.operators.cart_search import split_large
 from sylvan.plans import QUERIES
 from sylvan.session import cut_lineage
 from sylvan.sources.tables import table
@@ -90,6 +93,85 @@ def test_levels_of_large_nodes_write_no_rows_and_add_no_joins(spark, monkeypatch
     assert [r["prediction"] == r["y"] for r in model.predict(df).collect()] == [True] * 40
 
 
+def test_levels_of_large_class_nodes_take_no_jobs(spark, monkeypatch):
+    monkeypatch.setattr(cart, "MAX_ROWS_PER_TASK", 10)
+    # each level cuts a thin end off
+    df = cut_lineage(spark.createDataFrame([(float(i), "ABC"[i % 3]) for i in range(40)], "x double, y string"))
+    tracker, jobs, levels = spark.sparkContext.statusTracker(), [], []
+    for depth in (1, None):
+        spark.sparkContext.setJobGroup(group := f"cart-{depth}", "")
+        model = cart.fit_cart(df, ["x"], "y", "gini", depth)
+        spark.sparkContext.setJobGroup("none", "")
+        jobs.append(len(tracker.getJobIdsForGroup(group)))
+        levels.append(model.levels)
+    assert levels[1] > levels[0] + 3
+    assert abs(jobs[1] - jobs[0]) <= 4  # with adaptive execution each shuffle is a job of its own
+    assert model.predict(df).where("prediction <> y").count() == 0
+
+
+@pytest.mark.parametrize("slots, folder", [(0, "file:/"), (2, "viewfs:/")])
+def test_without_tasks_that_run_together_or_a_folder_they_share(spark, monkeypatch, slots, folder):
+    monkeypatch.setattr(cart, "MAX_ROWS_PER_TASK", 20)
+    monkeypatch.setattr(cart, "_slots", lambda _: slots)
+    path = cart.scratch_path
+    monkeypatch.setattr(cart, "scratch_path", lambda spark, name: path(spark, name).replace("file:/", folder if name == "cart-parts" else "file:/"))
+    rows, new = _data(60, True)
+    df = spark.createDataFrame([(*map(float, x), y) for x, y in rows], "a double, b double, c double, y string")
+    model = cart.fit_cart(df, ["a", "b"], "y", "gini", 2)
+    want = _brute([(x[:2], y) for x, y in rows], True, 2)
+    assert model.levels
+    assert all(r["prediction"] == want((r["a"], r["b"])) for r in model.predict(df).collect())
+
+
+@pytest.mark.parametrize("max_bins", [3, 64])
+@pytest.mark.parametrize("limit", [7, 40])
+def test_tasks_with_shares_of_the_rows_take_the_splits_of_one(max_bins, limit):
+    rnd = np.random.default_rng(3)
+    n, k, tasks = 400, 3, 3
+    x = np.column_stack([np.round(rnd.normal(size=n), 2), rnd.integers(0, 9, n), np.where(rnd.random(n) < 0.5, 7.0, rnd.random(n))])
+    y = ((x[:, 0] > 0.3) + (rnd.random(n) < 0.2) * rnd.integers(0, 3, n)) % k
+    share, parts, meet = rnd.integers(0, tasks - 1, n), [None] * tasks, threading.Barrier(tasks, timeout=60)  # the last task has no rows
+    found = [None] * tasks
+
+    def gather(i):
+        def exchange(part):
+            parts[i] = part
+            meet.wait()
+            out = list(parts)
+            meet.wait()
+            return out
+        return exchange
+
+    def run(i):
+        own = share == i
+        found[i] = split_large([v.copy() for v in x[own].T], y[own].astype(np.int64), k, limit, max_bins, None, gather(i))
+
+    threads = [threading.Thread(target=run, args=(i,)) for i in range(tasks)]
+    [t.start() for t in threads], [t.join() for t in threads]
+    tree = found[0][0]
+    assert all(f[0] == tree and f[1] == found[0][1] for f in found)
+    whole = cart.grow(x, y.astype(float), k)
+    at = [(0, 0)]
+    while at:
+        i, j = at.pop()
+        if tree["feature"][i] >= 0:
+            assert (tree["feature"][i], tree["threshold"][i]) == (whole["feature"][j], whole["threshold"][j])
+            at += [(tree["left"][i] + side, whole["left"][j] + side) for side in (0, 1)]
+        else:
+            assert tree["n"][i] == sum((f[2] == i).sum() for f in found)
+            assert tree["n"][i] <= limit or found[0][1][i] == whole["value"][j] and whole["feature"][j] < 0
+
+
+def test_a_task_splits_its_large_nodes_by_bins_to_the_same_tree(monkeypatch):
+    rows, new = _data(90, True)
+    x, y = np.array([x for x, _ in rows], float), np.array(["ANR".index(y) for _, y in rows], float)
+    want = _brute([(p, float("ANR".index(v))) for p, v in rows], True)
+    monkeypatch.setattr(cart, "LARGE_IN_TASK", 20)
+    tree = cart.grow(x, y, 3)
+    points = np.array([p for p, _ in rows] + new, float)
+    assert cart.descend(tree, points).tolist() == [want(p) for p in points.tolist()]
+
+
 @pytest.mark.parametrize("gini", [True, False])
 @pytest.mark.parametrize("per_task", [1_000_000, 7])
 def test_best_threshold_split(spark, monkeypatch, gini, per_task):
