@@ -400,10 +400,9 @@ def _search_held(rows: DataFrame, width: int, k: int, slots: int, max_depth: int
             at = stays[i:i + (1 << 16)]
             yield batch(np.column_stack([f.values(at) for f in features]), y[at], node[at], bucket[at])
 
-    spread = rows.withColumn("_id", F.monotonically_increasing_id()).repartition(slots, "_id").drop("_id")
     # not a checkpoint: what reads one counts as a barrier stage, too
     path = scratch_path(rows.sparkSession, "cart-ends")
-    spread.mapInArrow(search, schema, barrier=True).write.parquet(path)
+    rows.repartition(slots).mapInArrow(search, schema, barrier=True).write.parquet(path)
     out = rows.sparkSession.read.schema(schema).parquet(path)
     tree, leaves, depth = pickle.loads(out.where("_tree IS NOT NULL").select("_tree").first()[0])
     return out.where("_bucket >= 0").drop("_tree"), tree, leaves, depth
