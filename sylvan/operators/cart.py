@@ -196,8 +196,17 @@ class CartModel:
     def predict(self, df: DataFrame) -> DataFrame:
         """``df`` with ``prediction``."""
         _reject_missing(df, self.features)
-        rows = df.select(F.struct("*").alias("row"), _vector(self.features).alias("_x"))
-        rows = cut_lineage(_at_ends(rows, self.upper, len(self.features), self.buckets))
+        ship_package(df.sparkSession)
+        upper, buckets = self.upper, self.buckets
+
+        @F.arrow_udf("struct<_node: int, _bucket: int>")
+        def place(*x: pa.Array) -> pa.Array:  # the rows themselves need not go to Python here
+            node = descend(upper, np.column_stack([v.to_numpy(zero_copy_only=False) for v in x])).astype(np.int32)
+            return pa.StructArray.from_arrays([pa.array(node), pa.array(buckets[node])], names=["_node", "_bucket"])
+
+        at = place(*[F.col(f).cast("double") for f in self.features])
+        rows = df.select(F.struct("*").alias("row"), _vector(self.features).alias("_x"), at.alias("_at"))
+        rows = cut_lineage(rows.select("row", "_x", "_at.*"))
         limit = MAX_ROWS_PER_TASK
         counts, n_counts = materialize_small(rows.groupBy("_bucket").agg(F.ceil(F.count("*") / limit).alias("_parts")))
         parts = broadcast_if_small(counts, n_counts)
@@ -288,12 +297,14 @@ def fit_cart(df: DataFrame, features: list[str], label: str, criterion: str = "g
     else:
         raise ValueError(f"unknown criterion {criterion!r}")
     width, limit = len(features), MAX_ROWS_PER_TASK
-    rows = cut_lineage(df.select(_vector(features).alias("_x"), y.alias("_y")))
+    rows = df.select(_vector(features).alias("_x"), y.alias("_y"))
     slots = _slots(rows.sparkSession) if 0 < k <= MAX_CLASSES_HELD and n > limit else 0
-    if slots and n <= slots * MAX_ROWS_HELD:
+    held = n <= slots * MAX_ROWS_HELD
+    if held:
         of_tasks, tree, leaves, depth = _search_held(rows, width, k, min(slots, math.ceil(n / limit)), max_depth)
     else:
-        of_tasks, (tree, leaves, depth) = None, _search_levels(rows, n, width, k, max_depth)
+        rows = cut_lineage(rows)
+        tree, leaves, depth = _search_levels(rows, n, width, k, max_depth)
     arrays = {name: np.array(tree[name]) for name in ("feature", "threshold", "left")} | {"value": np.arange(len(tree["left"]))}
     arrays["threshold"] = arrays["threshold"].astype(float)
     depths = np.zeros(len(arrays["left"]), int)
@@ -307,7 +318,7 @@ def fit_cart(df: DataFrame, features: list[str], label: str, criterion: str = "g
         tree = grow(_matrix(group["_x"], width), y, k, max_depth, node, depths[ends])
         return pa.table({"_bucket": group["_bucket"][:1], "tree": pa.array([pickle.dumps((ends, tree))], pa.binary())})
 
-    if of_tasks is None:
+    if not held:
         of_tasks = _at_ends(rows, arrays, width, buckets)
         if leaves:
             of_tasks = of_tasks.where("_bucket >= 0")
