@@ -46,8 +46,8 @@ MAX_BINS = 4096
 MAX_TASKS = 1000
 #: A task splits its nodes of more rows one at a time, by bins as the large ones, and all others of a level at once.
 LARGE_IN_TASK = 16_384
-#: Rows that a task of the search of large class nodes holds at most, and their classes.
-MAX_ROWS_HELD = 20_000_000
+#: Feature values that a task of the search of large class nodes holds at most (8,000,000 rows of four), and its classes.
+MAX_VALUES_HELD = 32_000_000
 MAX_CLASSES_HELD = 16
 
 
@@ -299,7 +299,7 @@ def fit_cart(df: DataFrame, features: list[str], label: str, criterion: str = "g
     width, limit = len(features), MAX_ROWS_PER_TASK
     rows = df.select(_vector(features).alias("_x"), y.alias("_y"))
     slots = _slots(rows.sparkSession) if 0 < k <= MAX_CLASSES_HELD and n > limit else 0
-    held = n <= slots * MAX_ROWS_HELD
+    held = n * width <= slots * MAX_VALUES_HELD
     if held:
         of_tasks, tree, leaves, depth = _search_held(rows, width, k, min(slots, math.ceil(n / limit)), max_depth)
     else:
